@@ -66,9 +66,13 @@ def to_num(c) -> Column:
     return nan_to_null(trim_ws(_c(c).cast("string")).try_cast("double"))
 
 
-def to_int(c) -> Column:
-    """Text -> int through double, so '2014.0' -> 2014 (truncating toward zero)."""
-    return to_num(c).try_cast("int")
+def to_int(c, int_type: str = "int") -> Column:
+    """Text -> integer; '2014.0' -> 2014 through double (truncating toward zero).
+
+    Plain integer text is cast directly first, so large keys keep full precision.
+    """
+    direct = trim_ws(_c(c).cast("string")).try_cast(int_type)
+    return F.coalesce(direct, to_num(c).try_cast(int_type))
 
 
 def strip_zeros_to_int(c) -> Column:

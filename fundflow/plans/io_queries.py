@@ -1,2 +1,131 @@
-"""Registered source/sink queries (filled in below)."""
-IO_QUERIES = {}
+"""Registered source/sink queries.
+
+Each exports part of a driver table to files in the shared scratch folder
+(under ``spark.checkpoint.dir``), in the awkward shapes the sources must
+handle, then reads them back through the engine's readers. The exports are
+whole tables; the result is compared with SQL over the original table.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from fundflow import sources
+from fundflow.operators import sinks
+from fundflow.plans import driver as dv
+from fundflow.plans import pipeline as pl
+from fundflow.plans import queries as q
+from fundflow.session import scratch_path
+
+
+def _csv_export(df: DataFrame, path: str, null_token: str = "NA", partition_by: str | None = None):
+    w = df.write.mode("overwrite").option("header", True).option("nullValue", null_token)
+    if partition_by:
+        w = w.partitionBy(partition_by)
+    w.csv(path)
+
+
+def q_ingest_by_name(spark: SparkSession, sf: str) -> DataFrame:
+    """SRC-1 / SET-1 / PRJ-5: two exports with different column order and one
+    extra column, stacked by name, provenance kept."""
+    root = scratch_path(spark, "ingest_by_name")
+    c = dv.table(spark, sf, "customer")
+    a = c.filter(F.col("c_nationkey") < 13).select(
+        "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    b = c.filter(F.col("c_nationkey") >= 13).select(
+        "c_mktsegment", "c_acctbal", F.concat(F.lit("C"), F.col("c_custkey")).alias("CustomerRef"),
+        "c_name", "c_custkey", "c_nationkey")
+    _csv_export(a, f"{root}/Customers_A.csv")
+    _csv_export(b, f"{root}/Customers_B.csv")
+    raw = sources.read_many(spark, root, "*.csv", source="dir")
+    return sources.typed(raw, {"c_custkey": "bigint", "c_nationkey": "int", "c_acctbal": "double"})
+
+
+def q_typed_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """SRC-2 / SRC-3 / SCL-7: 'NA' tokens, text years like '2014.0' and junk, typed
+    without errors."""
+    path = scratch_path(spark, "typed_scan")
+    s = dv.table(spark, sf, "supplier")
+    k = F.col("s_suppkey") % 4
+    since = (F.when(k == 0, F.lit("2014.0")).when(k == 1, F.lit("x"))
+             .otherwise((F.lit(1990) + F.col("s_suppkey") % 30).cast("string")))
+    _csv_export(s.select("s_suppkey", "s_name", "s_nationkey",
+                         F.when(F.col("s_acctbal") >= 0, F.col("s_acctbal")).alias("s_acctbal"),
+                         since.alias("SinceYear")), path)
+    cols = ["s_suppkey", "s_name", "s_nationkey", "s_acctbal", "SinceYear"]
+    raw = sources.read_csv_text(spark, path, cols, null_token="NA", source=None)
+    return sources.typed(raw, {"s_suppkey": "bigint", "s_nationkey": "int",
+                               "s_acctbal": "double", "SinceYear": "int"})
+
+
+def q_bad_line_skip(spark: SparkSession, sf: str) -> DataFrame:
+    """SRC-4: lines with too many fields dropped, short lines kept with NULLs."""
+    path = scratch_path(spark, "bad_line_skip")
+    n = dv.table(spark, sf, "nation")
+    k = F.col("n_nationkey")
+    good = F.when(k % 7 == 3, F.concat_ws(",", k, "n_name")).otherwise(
+        F.concat_ws(",", k, "n_name", "n_regionkey"))
+    bad = F.concat_ws(",", k, "n_name", "n_regionkey", F.lit("junk"))
+    lines = n.select(F.lit(1).alias("ord"), k, good.alias("value")).unionByName(
+        n.filter(k % 5 == 0).select(F.lit(2).alias("ord"), k, bad.alias("value")))
+    header = n.limit(1).select(F.lit(0).alias("ord"), F.lit(-1).alias("n_nationkey"),
+                               F.lit("n_nationkey,n_name,n_regionkey").alias("value"))
+    # One sorted file with the header first: orderBy + coalesce(1) keeps order.
+    (header.unionByName(lines).orderBy("n_nationkey", "ord").coalesce(1)
+     .select("value").write.mode("overwrite").text(path))
+    raw = sources.read_csv_text(spark, path, ["n_nationkey", "n_name", "n_regionkey"],
+                                skip_bad_lines=True, source=None)
+    return sources.typed(raw, {"n_nationkey": "int", "n_regionkey": "int"})
+
+
+def _orders_by_year_export(spark: SparkSession, sf: str) -> str:
+    root = scratch_path(spark, "orders_by_year")
+    o = dv.table(spark, sf, "orders").select(
+        "o_orderkey", "o_totalprice", F.year("o_orderdate").cast("int").alias("Orders"))
+    _csv_export(o, root, partition_by="Orders")
+    return root
+
+
+def q_year_from_file(spark: SparkSession, sf: str) -> DataFrame:
+    """SRC-6 / PRJ-6: the tax year is taken from each file's folder name."""
+    root = _orders_by_year_export(spark, sf)
+    raw = sources.read_csv_text(spark, f"{root}/*/*.csv", ["o_orderkey", "o_totalprice"],
+                                source="dir")
+    return (sources.typed(raw, {"o_orderkey": "bigint", "o_totalprice": "double"})
+            .withColumn("TaxYear", sources.year_from_name("SourceFile")))
+
+
+def q_ingest_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """SRC-8 / SNK-4 / AGG-9: rows per source file, one aggregation."""
+    df = q_year_from_file(spark, sf)
+    return sources.ingest_audit(df).withColumn("TaxYear", sources.year_from_name("SourceFile"))
+
+
+def q_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK-1: header CSV written (overwrite) and read back typed."""
+    path = scratch_path(spark, "csv_roundtrip")
+    sinks.write_csv(dv.table(spark, sf, "region"), path, null_token="NA")
+    sinks.write_csv(dv.table(spark, sf, "region"), path, null_token="NA")  # overwrite
+    raw = sources.read_csv_text(spark, path, ["r_regionkey", "r_name"], source=None)
+    return sources.typed(raw, {"r_regionkey": "int"})
+
+
+def q_split_report(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK-2 / SNK-3: combined loss written as one folder per municipality label
+    in a single pass, read back."""
+    path = scratch_path(spark, "split_report")
+    combined = pl.split_labels(q.q_combined_loss(spark, sf), "Municipality", "Combined_")
+    sinks.write_split(combined, "SheetLabel", path)
+    return spark.read.schema(combined.schema).parquet(path)
+
+
+IO_QUERIES = {
+    "ingest_by_name": q_ingest_by_name,
+    "typed_scan": q_typed_scan,
+    "bad_line_skip": q_bad_line_skip,
+    "year_from_file": q_year_from_file,
+    "ingest_audit": q_ingest_audit,
+    "csv_roundtrip": q_csv_roundtrip,
+    "split_report": q_split_report,
+}

@@ -1,2 +1,37 @@
-"""Oracle SQL for the source/sink queries."""
-IO_ORACLE_SQL = {}
+"""Oracle SQL for the source/sink queries: the same rows computed from the
+original tables (what a correct export + read-back must give)."""
+
+from __future__ import annotations
+
+from fundflow.plans.oracle import COMBINED, year
+
+_Y = year("o_orderdate")
+
+IO_ORACLE_SQL: dict[str, str] = {
+    "ingest_by_name": """
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment,
+       CASE WHEN c_nationkey >= 13 THEN 'C' || CAST(c_custkey AS VARCHAR) END AS CustomerRef,
+       CASE WHEN c_nationkey < 13 THEN 'Customers_A.csv' ELSE 'Customers_B.csv' END AS SourceFile
+FROM customer""",
+    "typed_scan": """
+SELECT s_suppkey, s_name, s_nationkey, CASE WHEN s_acctbal >= 0 THEN s_acctbal END AS s_acctbal,
+       CASE s_suppkey % 4 WHEN 0 THEN 2014 WHEN 1 THEN NULL
+            ELSE CAST(1990 + s_suppkey % 30 AS INTEGER) END AS SinceYear
+FROM supplier""",
+    "bad_line_skip": """
+SELECT n_nationkey, n_name, CASE WHEN n_nationkey % 7 = 3 THEN NULL ELSE n_regionkey END AS n_regionkey
+FROM nation""",
+    "year_from_file": f"""
+SELECT o_orderkey, o_totalprice, 'Orders=' || CAST({_Y} AS VARCHAR) AS SourceFile, {_Y} AS TaxYear
+FROM orders""",
+    "ingest_audit": f"""
+SELECT 'Orders=' || CAST({_Y} AS VARCHAR) AS SourceFile, count(*) AS n_rows, {_Y} AS TaxYear
+FROM orders GROUP BY {_Y}""",
+    "csv_roundtrip": "SELECT r_regionkey, r_name FROM region",
+    "split_report": COMBINED + """
+SELECT TaxYear, Municipality, Fund, round(Taxes_Diverted_TIF, 2) AS Taxes_Diverted_TIF,
+       round(Forgone_Revenue_Abatements, 2) AS Forgone_Revenue_Abatements,
+       round(Total_Forgone_and_Diverted, 2) AS Total_Forgone_and_Diverted,
+       substr('Combined_' || replace(Municipality, ' ', ''), 1, 31) AS SheetLabel
+FROM combined""",
+}

@@ -45,14 +45,29 @@ def prefix(c, n: int = 3) -> Column:
     return F.substring(_c(c).cast("string"), 1, n)
 
 
+_REGEX_META = set(".^$*+?()[]{}|\\")
+
+
 def strip_suffix(c, pattern: str = "-00") -> Column:
-    """Remove ``pattern`` at the end only (regex, end-anchored, one match)."""
-    return F.regexp_replace(_c(c), f"(?:{pattern})$", "")
+    """Remove ``pattern`` at the end only (end-anchored, one match).
+
+    A literal suffix is cut with ``endswith`` + ``substring`` (no regex
+    engine per row); a pattern with regex syntax uses ``regexp_replace``.
+    """
+    col = _c(c)
+    if not (set(pattern) & _REGEX_META):
+        n = len(pattern)
+        return F.when(col.endswith(F.lit(pattern)),
+                      col.substr(F.lit(1), F.length(col) - F.lit(n))).otherwise(col)
+    return F.regexp_replace(col, f"(?:{pattern})$", "")
 
 
 def drop_chars(c, chars: str = "-") -> Column:
     """Remove every occurrence of each literal character in ``chars``."""
-    return F.translate(_c(c), chars, "")
+    col = _c(c)
+    for ch in dict.fromkeys(chars):
+        col = F.replace(col, F.lit(ch), F.lit(""))
+    return col
 
 
 def nan_to_null(c) -> Column:

@@ -34,8 +34,19 @@ RATE_CLASSES = ("A", "N")
 NATION_WITHOUT_RATES = 24
 
 
+_SCHEMAS: dict[str, object] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet table; its footer schema is read once per path and then passed
+    explicitly, so repeated reads plan without a schema-inference job."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
 
 
 def parcel_id(district, key, suffix: str | None = "00", width: int = 6):

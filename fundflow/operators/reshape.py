@@ -21,7 +21,8 @@ def to_long(df: DataFrame, ids: Sequence[str], values: Sequence[str],
     return src.unpivot(list(ids), list(values), names_to, values_to)
 
 
-_AGGS = {"sum": F.sum, "first": F.first, "max": F.max, "min": F.min, "avg": F.avg}
+_AGGS = {"sum": F.sum, "max": F.max, "min": F.min, "avg": F.avg,
+         "first": lambda c: F.first(c, ignorenulls=True)}
 
 
 def to_wide(df: DataFrame, ids: Sequence[str], names_from: str, values: Sequence[str],
@@ -30,20 +31,16 @@ def to_wide(df: DataFrame, ids: Sequence[str], names_from: str, values: Sequence
 
     ``names`` must be given explicitly (no extra distinct job to discover them);
     columns come out value-major: ``A_2022, A_2023, B_2022, B_2023``. Duplicate
-    (ids, name) rows are combined with ``agg`` (default ``sum``; a missing cell
-    stays NULL). One shuffle on ``ids``; the pivot is a hash aggregate with
-    map-side partial aggregation.
+    (ids, name) rows are combined with ``agg`` (default ``sum``); a missing
+    cell stays NULL.
+
+    Written as conditional aggregation, ``agg(CASE WHEN name = n THEN v END)``
+    per cell, in a single ``groupBy(ids)``: one shuffle with map-side partial
+    aggregation (Spark's ``pivot`` aggregates by (ids, name) first and then
+    pivots, which costs a second shuffle).
     """
     fn = _AGGS[agg]
-    names = list(names)
-    vals = list(values)
-    g = df.groupBy(*ids).pivot(names_from, names)
-    if len(vals) == 1:
-        wide = g.agg(fn(vals[0]))
-        renames = {str(n): template.format(value=vals[0], name=n) for n in names}
-    else:
-        wide = g.agg(*[fn(v).alias(v) for v in vals])
-        renames = {f"{n}_{v}": template.format(value=v, name=n) for v in vals for n in names}
-    wide = wide.withColumnsRenamed(renames)
-    ordered = [template.format(value=v, name=n) for v in vals for n in names]
-    return wide.select(*ids, *ordered)
+    key = F.col(names_from)
+    cells = [fn(F.when(key == F.lit(n), F.col(v))).alias(template.format(value=v, name=n))
+             for v in values for n in names]
+    return df.groupBy(*ids).agg(*cells)

@@ -120,7 +120,17 @@ def q_split_report(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(combined.schema).parquet(path)
 
 
+def q_stage_handoff(spark: SparkSession, sf: str) -> DataFrame:
+    """SRC-5: each loss summary materialised as a stage table in the shared
+    folder (lineage cut), the combine reads the stage tables back."""
+    root = scratch_path(spark, "stages")
+    tif = sinks.write_stage(q._tif_long(spark, sf), f"{root}/tif_by_fund")
+    abate = sinks.write_stage(q._abate_long(spark, sf), f"{root}/abatement_by_fund")
+    return q._round(pl.combined_loss(tif, abate), 2)
+
+
 IO_QUERIES = {
+    "stage_handoff": q_stage_handoff,
     "ingest_by_name": q_ingest_by_name,
     "typed_scan": q_typed_scan,
     "bad_line_skip": q_bad_line_skip,

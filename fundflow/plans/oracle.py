@@ -302,7 +302,10 @@ GROUP BY 1, 2""",
     "mean_of_means": _MEANS + "\nSELECT TaxYear, round(global_avg_price, 6) AS global_avg_price FROM g",
     "pct_change_trend": _MEANS + """
 SELECT TaxYear, round(global_avg_price, 6) AS global_avg_price, round(pct_change, 6) AS pct_change FROM t""",
-    "avg_pct_change": _MEANS + "\nSELECT round(avg(pct_change), 6) AS avg_pct_change FROM t",
+    "avg_pct_change": _MEANS + """
+SELECT round(avg(pct_change), 6) AS avg_pct_change,
+       format('{:.2f}', round(avg(pct_change), 6)) || '%' AS avg_pct_change_text
+FROM t""",
     "yearly_value_total": _VALUE + "\nSELECT TaxYear, round(total_value, 2) AS total_value FROM p",
     "value_trend": _VALUE + """
 SELECT TaxYear, round(total_value, 2) AS total_value, round(pct_change, 6) AS pct_change,

@@ -28,6 +28,11 @@ FROM orders""",
 SELECT 'Orders=' || CAST({_Y} AS VARCHAR) AS SourceFile, count(*) AS n_rows, {_Y} AS TaxYear
 FROM orders GROUP BY {_Y}""",
     "csv_roundtrip": "SELECT r_regionkey, r_name FROM region",
+    "stage_handoff": COMBINED + """
+SELECT TaxYear, Municipality, Fund, round(Taxes_Diverted_TIF, 2) AS Taxes_Diverted_TIF,
+       round(Forgone_Revenue_Abatements, 2) AS Forgone_Revenue_Abatements,
+       round(Total_Forgone_and_Diverted, 2) AS Total_Forgone_and_Diverted
+FROM combined""",
     "split_report": COMBINED + """
 SELECT TaxYear, Municipality, Fund, round(Taxes_Diverted_TIF, 2) AS Taxes_Diverted_TIF,
        round(Forgone_Revenue_Abatements, 2) AS Forgone_Revenue_Abatements,

@@ -239,8 +239,10 @@ def q_pct_change_trend(spark, sf):
 
 
 def q_avg_pct_change(spark, sf):
-    """AGG-6: average of the triennial % changes (first period skipped)."""
-    return _round(trend.avg_change(_rate_trend(spark, sf), "pct_change"), 6)
+    """AGG-6 + SCL-18: average of the triennial % changes (first period skipped),
+    with its '12.34%' display text."""
+    avg = _round(trend.avg_change(_rate_trend(spark, sf), "pct_change"), 6)
+    return avg.withColumn("avg_pct_change_text", text.percent_text("avg_pct_change", 2))
 
 
 TREND_DISTRICTS = [0, 1, 2, 3, 24]      # the labelled (township) districts, as integers

@@ -16,12 +16,12 @@ def write_split(df: DataFrame, label_col: str, path: str, fmt: str = "parquet",
                 mode: str = "overwrite") -> None:
     """'One output per label' in a single pass: ``path/<label_col>=<label>/``.
 
-    ``repartition(label_col)`` first so each label is written by one task
-    (one file per label instead of one per label per input partition). With a
-    label holding a third of the rows, that task writes a third of the data;
-    pass through ``maxRecordsPerFile`` to cap file size if needed.
+    The ``rebalance`` hint clusters rows by label before the write, so a label
+    lands in few files instead of one per input partition, while AQE splits a
+    label that holds a large share of the rows over several tasks and
+    coalesces the small ones (a hot label is never funnelled into one task).
     """
-    (df.repartition(label_col).write.mode(mode).partitionBy(label_col)
+    (df.hint("rebalance", label_col).write.mode(mode).partitionBy(label_col)
      .option("header", True).format(fmt).save(path))
 
 

@@ -141,15 +141,14 @@ COMPARE_YEARS = [1996, 1997, 1998]
 
 def q_parcel_wide_change(spark, sf):
     """CMP-7 / RSH-2 / SCL-15: per parcel, measures by year side by side + % change."""
-    o = dv.table(spark, sf, "orders")
-    c = dv.table(spark, sf, "customer").select("c_custkey", "c_nationkey")
-    rows = (o.join(c, F.col("o_custkey") == F.col("c_custkey"))
+    # Per (customer, year) sums first: the pivot sums them again per parcel.
+    totals = dv.order_totals(spark, sf, {
+        "TotalPrice": F.col("o_totalprice"),
+        "UrgentPrice": F.when(F.col("o_orderpriority") == "1-URGENT", F.col("o_totalprice"))})
+    rows = (totals.filter(F.col("TaxYear").isin(COMPARE_YEARS))
+            .join(dv.customers(spark, sf), F.col("o_custkey") == F.col("c_custkey"))
             .select(dv.parcel_id("c_nationkey", "o_custkey").alias("ParcelNumber"),
-                    F.year("o_orderdate").cast("int").alias("TaxYear"),
-                    F.col("o_totalprice").alias("TotalPrice"),
-                    F.when(F.col("o_orderpriority") == "1-URGENT", F.col("o_totalprice"))
-                    .alias("UrgentPrice"))
-            .filter(F.col("TaxYear").isin(COMPARE_YEARS)))
+                    "TaxYear", "TotalPrice", "UrgentPrice"))
     out = pl.parcel_year_compare(rows, "ParcelNumber", "TaxYear", ["TotalPrice", "UrgentPrice"],
                                  COMPARE_YEARS, "TotalPrice", "Total")
     money = [f"{m}_{y}" for m in ("TotalPrice", "UrgentPrice") for y in COMPARE_YEARS]

@@ -2,5 +2,5 @@
 
 from fundflow.sources.readers import (  # noqa: F401
     all_string_schema, bad_cast_counts, ingest_audit, list_files, missing_sources,
-    peek_headers, read_csv_text, read_many, source_file, typed, year_from_name,
+    peek_headers, read_csv_text, read_many, read_parquet_many, source_file, typed, year_from_name,
 )

@@ -135,6 +135,21 @@ def read_many(spark: SparkSession, path: str, pattern: str | None = None,
     return out
 
 
+def read_parquet_many(spark: SparkSession, paths: Sequence[str] | str, source: str = "file",
+                      skip_unreadable: bool = True) -> DataFrame:
+    """Parquet files stacked (schemas merged by name), provenance kept.
+
+    ``skip_unreadable`` makes a corrupt or vanished file contribute no rows
+    instead of failing the job (per-file fault tolerance); compare the
+    expected file list with ``ingest_audit`` / ``missing_sources`` to report it.
+    """
+    r = spark.read.option("mergeSchema", True)
+    if skip_unreadable:
+        r = r.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True)
+    df = r.parquet(*([paths] if isinstance(paths, str) else list(paths)))
+    return df.withColumn("SourceFile", source_file(source)) if source else df
+
+
 def typed(df: DataFrame, schema: dict[str, str]) -> DataFrame:
     """Cast text columns to types without raising: bad text -> NULL.
 

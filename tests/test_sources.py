@@ -58,3 +58,28 @@ def test_ingest_audit_and_missing(spark):
     assert audit == {"Tif2020.csv": 2, "Tif2021.csv": 1}
     expected = spark.createDataFrame([("Tif2020.csv",), ("Tif2021.csv",), ("Tif2022.csv",)], "SourceFile string")
     assert [r.SourceFile for r in sources.missing_sources(expected, df).collect()] == ["Tif2022.csv"]
+
+
+def test_parquet_many_skips_corrupt_file(spark):
+    d = tempfile.mkdtemp(prefix="ff-pq-")
+    spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string").coalesce(1) \
+        .write.parquet(os.path.join(d, "Tif2021.parquet"))
+    spark.createDataFrame([(3, "c", 1.5)], "k int, v string, x double").coalesce(1) \
+        .write.parquet(os.path.join(d, "Tif2022.parquet"))
+    bad_dir = os.path.join(d, "Tif2023.parquet")
+    os.makedirs(bad_dir)
+    write(os.path.join(bad_dir, "part-0.parquet"), "this is not parquet")
+    paths = [os.path.join(d, f"Tif{y}.parquet") for y in (2021, 2022, 2023)]
+    df = sources.read_parquet_many(spark, paths, source="dir")
+    assert sorted((r.k, r.x) for r in df.collect()) == [(1, None), (2, None), (3, 1.5)]
+    seen = sources.ingest_audit(df)
+    expected = spark.createDataFrame([(os.path.basename(p),) for p in paths], "SourceFile string")
+    assert [r.SourceFile for r in sources.missing_sources(expected, seen).collect()] == ["Tif2023.parquet"]
+
+
+def test_observe_rows_counts_during_write(spark):
+    from fundflow.operators import sinks
+    d = tempfile.mkdtemp(prefix="ff-obs-")
+    df, obs = sinks.observe_rows(spark.range(123), "n")
+    sinks.write_csv(df, os.path.join(d, "out"))
+    assert obs.get["rows"] == 123

@@ -27,7 +27,8 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
 def expand_alias(rates: DataFrame, key: str, aliases: Mapping[str, str]) -> DataFrame:
     """Copy the rows of each source key under an alias key: ``{alias: source}``.
 
-    One extra scan of the (small) rate table; a source may feed several aliases.
+    One pass: every row explodes into itself plus its aliases (a source may
+    feed several), so the rate table is scanned once, not once per copy.
     """
     if not aliases:
         return rates
@@ -36,9 +37,10 @@ def expand_alias(rates: DataFrame, key: str, aliases: Mapping[str, str]) -> Data
         targets.setdefault(source, []).append(alias)
     lookup = F.create_map(*[x for src, al in targets.items()
                             for x in (F.lit(src), F.array(*[F.lit(a) for a in al]))])
-    copies = (rates.filter(F.col(key).isin(list(targets)))
-              .withColumn(key, F.explode(lookup[F.col(key)])))
-    return rates.unionByName(copies)
+    k = F.col(key)
+    # NULL keys stay one row (a NULL map lookup falls back to the empty list).
+    copies = F.coalesce(lookup[k], F.array().cast("array<string>"))
+    return rates.withColumn(key, F.explode(F.concat(F.array(k), copies)))
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

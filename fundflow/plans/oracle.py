@@ -269,6 +269,9 @@ FROM combined""",
     "loss_series": COMBINED + """
 SELECT TaxYear, Fund, Municipality, LossType, round(Total_Loss, 2) AS Total_Loss FROM series""",
     "chart_series": CHART,
+    "chart_panel": COMBINED + """
+SELECT TaxYear, Fund, Municipality, LossType, round(Total_Loss, 2) AS Total_Loss FROM series
+WHERE Fund = 'Fire' AND LossType = 'Taxes_Diverted_TIF'""",
     "series_max": COMBINED + "\nSELECT round(max(Total_Loss), 2) AS y_max FROM series",
     "invalid_loss_rows": COMBINED + """
 SELECT Fund, LossType, count(*) AS n_rows,

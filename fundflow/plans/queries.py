@@ -102,6 +102,13 @@ def q_chart_series(spark, sf):
     return pl.chart_series(s)
 
 
+def q_chart_panel(spark, sf):
+    """FLT-4: one chart panel's data, by a conjunction of equalities."""
+    s = pl.loss_series(_combined(spark, sf))
+    panel = s.filter((F.col("Fund") == "Fire") & (F.col("LossType") == "Taxes_Diverted_TIF"))
+    return _round(panel, 2)
+
+
 def q_series_max(spark, sf):
     """AGG-8: global maximum of the plotted series."""
     return _round(pl.loss_series(_combined(spark, sf)).agg(F.max("Total_Loss").alias("y_max")), 2)
@@ -386,6 +393,7 @@ QUERIES: dict[str, Query] = {
     "combined_loss": q_combined_loss,
     "loss_series": q_loss_series,
     "chart_series": q_chart_series,
+    "chart_panel": q_chart_panel,
     "series_max": q_series_max,
     "invalid_loss_rows": q_invalid_loss_rows,
     "cross_column_total": q_cross_column_total,

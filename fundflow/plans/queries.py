@@ -36,12 +36,14 @@ def q_rate_left_join(spark, sf):
             .agg(F.sum("n_rows").cast("bigint").alias("n_rows")))
 
 
-def _tif_apportioned(spark, sf):
-    return pl.apportion_sum_rates(dv.tif_fact(spark, sf), dv.rates(spark, sf), DRIVER, "Amount")
+def _tif_apportioned(spark, sf, rates=None):
+    rates = rates if rates is not None else dv.rates(spark, sf)
+    return pl.apportion_sum_rates(dv.tif_fact(spark, sf), rates, DRIVER, "Amount")
 
 
-def _abate_apportioned(spark, sf):
-    return pl.apportion_total_rate(dv.abatement_fact(spark, sf), dv.rates(spark, sf), DRIVER, "Amount")
+def _abate_apportioned(spark, sf, rates=None):
+    rates = rates if rates is not None else dv.rates(spark, sf)
+    return pl.apportion_total_rate(dv.abatement_fact(spark, sf), rates, DRIVER, "Amount")
 
 
 def _per_district(app):
@@ -64,12 +66,12 @@ def q_fund_wide(spark, sf):
     return _round(pl.fund_wide(_tif_apportioned(spark, sf), DRIVER), 2)
 
 
-def _tif_long(spark, sf):
-    return pl.fund_summary(_tif_apportioned(spark, sf), DRIVER, "Taxes_Diverted_TIF")
+def _tif_long(spark, sf, rates=None):
+    return pl.fund_summary(_tif_apportioned(spark, sf, rates), DRIVER, "Taxes_Diverted_TIF")
 
 
-def _abate_long(spark, sf):
-    return pl.fund_summary(_abate_apportioned(spark, sf), DRIVER, "Forgone_Revenue_Abatements")
+def _abate_long(spark, sf, rates=None):
+    return pl.fund_summary(_abate_apportioned(spark, sf, rates), DRIVER, "Forgone_Revenue_Abatements")
 
 
 def q_fund_long_filtered(spark, sf):
@@ -83,7 +85,8 @@ def q_abatement_long(spark, sf):
 
 
 def _combined(spark, sf):
-    return pl.combined_loss(_tif_long(spark, sf), _abate_long(spark, sf))
+    rates = dv.rates(spark, sf)          # one rate plan feeds both sides
+    return pl.combined_loss(_tif_long(spark, sf, rates), _abate_long(spark, sf, rates))
 
 
 def q_combined_loss(spark, sf):

@@ -162,6 +162,19 @@ def invalid_loss_rows(combined: DataFrame) -> DataFrame:
     return agg.invalid_counts(loss_long(combined), ["Fund", "LossType"], "Loss")
 
 
+def rate_coverage(fact: DataFrame, rate_table: DataFrame, keys: Sequence[str] = KEY) -> DataFrame:
+    """CMP-12: fact rows per (year, class) and how many found no rate.
+
+    Rows without a rate silently become zero shares in the fund sums; this
+    makes them visible. The rate side is reduced to its (few) keys first.
+    """
+    hit = rate_table.select(*keys).distinct().withColumn("_rated", F.lit(True))
+    j = fact.select(*keys).join(hit, list(keys), "left")
+    return (j.groupBy("TaxYear", "PropertyClass")
+            .agg(F.count(F.lit(1)).alias("n_rows"),
+                 F.count_if(F.col("_rated").isNull()).alias("n_unmatched")))
+
+
 def split_labels(df: DataFrame, label_col: str, prefix: str, out: str = "SheetLabel") -> DataFrame:
     """SNK-3 on a column: ``prefix`` + label without spaces, capped at 31."""
     return df.withColumn(out, text.safe_label(label_col, prefix))

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from fundflow import sources
 from fundflow.functions import clean
-from fundflow.operators import sinks
+from fundflow.operators import reshape, sinks
 from fundflow.plans import pipeline as pl
 from fundflow.plans.domain import TOWNSHIP, TOWNSHIP_SCOPE, Domain
 
@@ -79,12 +79,30 @@ def run(spark: SparkSession, abatement_dir: str, tif_dir: str, rates_path: str,
     counts["tifs_all_years"] = tif.count()
 
     rates = read_rates(spark, rates_path, dom)
+    tif_rows, ab_rows = pl.tif_fact(tif, dom), pl.abatement_fact(ab, dom)
     tif_long = pl.fund_summary(
-        pl.apportion_sum_rates(pl.tif_fact(tif, dom), rates, dom, "DivertedTownship"),
+        pl.apportion_sum_rates(tif_rows, rates, dom, "DivertedTownship"),
         dom, "Taxes_Diverted_TIF")
     ab_long = pl.fund_summary(
-        pl.apportion_total_rate(pl.abatement_fact(ab, dom), rates, dom, "ForegoneTownship"),
+        pl.apportion_total_rate(ab_rows, rates, dom, "ForegoneTownship"),
         dom, "Forgone_Revenue_Abatements")
+
+    # Data-quality tables (CMP-12): rows per file, rows without a rate, bad casts.
+    q = f"{out}/quality"
+    sinks.write_csv(sources.ingest_audit(tif).withColumn("Source", F.lit("TIF")).unionByName(
+        sources.ingest_audit(ab).withColumn("Source", F.lit("Abatement"))), f"{q}/rows_per_file")
+    sinks.write_csv(pl.rate_coverage(tif_rows, rates).withColumn("Source", F.lit("TIF")).unionByName(
+        pl.rate_coverage(ab_rows, rates).withColumn("Source", F.lit("Abatement"))),
+        f"{q}/rate_coverage")
+    casts = {"TIF": (tif, {"TaxYear": "int", "DivertedTownship": "double"}),
+             "Abatement": (ab, {"TaxYear": "int", "ForegoneTownship": "double"})}
+    bad = None
+    for label, (raw, types) in casts.items():
+        part = (reshape.to_long(sources.bad_cast_counts(raw, types), [], list(types),
+                                "Column", "n_bad", value_type="bigint")
+                .withColumn("Source", F.lit(label)))
+        bad = part if bad is None else bad.unionByName(part)
+    sinks.write_csv(bad, f"{q}/bad_casts")
     _report(tif_long, out, "Final_", counts, "tif_by_fund")
     _report(ab_long, out, "Final_", counts, "abatements_by_fund")
 

@@ -1,6 +1,6 @@
 """Readers: by-name multi-file CSV, typed scans, bad-line skipping, audits."""
 
 from fundflow.sources.readers import (  # noqa: F401
-    all_string_schema, bad_cast_counts, ingest_audit, list_files, missing_sources,
+    all_string_schema, bad_cast_counts, files_for_years, ingest_audit, list_files, missing_sources,
     peek_headers, read_csv_text, read_many, read_parquet_many, source_file, typed, year_from_name,
 )

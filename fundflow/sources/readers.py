@@ -115,15 +115,35 @@ def read_csv_text(spark: SparkSession, paths: Sequence[str] | str, columns: Sequ
     return df
 
 
-def read_many(spark: SparkSession, path: str, pattern: str | None = None,
+def files_for_years(paths: Sequence[str], years: Iterable[int]) -> list[str]:
+    """Keep the files whose name carries one of ``years`` (first 4-digit run).
+
+    Works on the listing only, so files of other years are never opened.
+    """
+    import re
+    wanted = {int(y) for y in years}
+    out = []
+    for p in paths:
+        m = re.search(r"(\d{4})", p.rstrip("/").rsplit("/", 1)[-1])
+        if m and int(m.group(1)) in wanted:
+            out.append(p)
+    return out
+
+
+def read_many(spark: SparkSession, path: str | None = None, pattern: str | None = None,
               null_token: str = "NA", sep: str = ",", source: str = "file",
-              skip_bad_lines: bool = False) -> DataFrame:
-    """All files under ``path`` matching ``pattern``, stacked by column *name*.
+              skip_bad_lines: bool = False, paths: Sequence[str] | None = None,
+              years: Iterable[int] | None = None) -> DataFrame:
+    """All files under ``path`` matching ``pattern`` (or the given ``paths``),
+    stacked by column *name*; optionally only the files named for ``years``.
 
     One Spark read per distinct header (few), each reading all of its files
     in parallel; the union fills columns missing from a group with NULL.
     """
-    groups = peek_headers(spark, list_files(spark, path, pattern))
+    files = list(paths) if paths is not None else list_files(spark, path, pattern)
+    if years is not None:
+        files = files_for_years(files, years)
+    groups = peek_headers(spark, files)
     out = None
     for header in sorted(groups):
         cols = _split_header(header, sep)
@@ -131,7 +151,7 @@ def read_many(spark: SparkSession, path: str, pattern: str | None = None,
                              skip_bad_lines, sep, source)
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     if out is None:
-        raise FileNotFoundError(f"no files under {path} matching {pattern!r}")
+        raise FileNotFoundError(f"no files under {path} matching {pattern!r} (years={years})")
     return out
 
 

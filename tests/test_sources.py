@@ -83,3 +83,14 @@ def test_observe_rows_counts_during_write(spark):
     df, obs = sinks.observe_rows(spark.range(123), "n")
     sinks.write_csv(df, os.path.join(d, "out"))
     assert obs.get["rows"] == 123
+
+
+def test_year_subset_opens_only_named_years(spark):
+    d = tempfile.mkdtemp(prefix="ff-years-")
+    for y in (2014, 2015, 2017, 2020):
+        write(os.path.join(d, f"TifDetails-TY{y}-2025-05-22.csv"), f"TaxYear,V\n{y},1\n")
+    write(os.path.join(d, "TifDetails-TY2016-2025-05-22.csv"), "garbage\x00\x01")
+    df = sources.read_many(spark, d, "TifDetails*.csv", years=[2014, 2017, 2020])
+    assert sorted(int(r.TaxYear) for r in df.collect()) == [2014, 2017, 2020]
+    assert sources.files_for_years(["/a/Parcel2019.csv", "/a/x.csv", "/a/Parcel2020.csv"], [2020]) == \
+        ["/a/Parcel2020.csv"]

@@ -83,3 +83,21 @@ def test_chart_series_and_county(spark, outputs):
     got = {(r.TaxYear, r.Municipality): float(r.Total_County_Diverted) for r in county.collect()}
     # 2022 Gahanna: two TIF rows x (1.0 + NULL + 2.5)
     assert got[("2022", "Gahanna")] == pytest.approx(7.0)
+
+
+def test_quality_tables(spark, outputs):
+    out, _ = outputs
+    cov = spark.read.option("header", True).csv(f"{out}/quality/rate_coverage")
+    tif = {(r.TaxYear, r.PropertyClass): (int(r.n_rows), int(r.n_unmatched))
+           for r in cov.filter(F.col("Source") == "TIF").collect()}
+    # Exempt class (no rate), unknown district 999, and year 2025 find no rate.
+    assert sum(u for _, u in tif.values()) == 3
+    assert tif[("2025", "ResAgr")] == (1, 1)
+    bad = {(r.Source, r.Column): int(r.n_bad)
+           for r in spark.read.option("header", True).csv(f"{out}/quality/bad_casts").collect()}
+    assert bad[("TIF", "DivertedTownship")] == 1 and bad[("TIF", "TaxYear")] == 0
+    assert bad[("Abatement", "ForegoneTownship")] == 0
+    files = {(r.Source, r.SourceFile): int(r.n_rows)
+             for r in spark.read.option("header", True).csv(f"{out}/quality/rows_per_file").collect()}
+    assert files[("Abatement", "AbatementDetails-TY2014-2019.csv")] == 15
+    assert files[("TIF", "TifDetails-TY2022.csv")] == 8

@@ -73,8 +73,11 @@ def run(spark: SparkSession, abatement_dir: str, tif_dir: str, rates_path: str,
     counts: dict[str, int] = {}
     ab = gather(spark, abatement_dir, ABATEMENT_PATTERN, scope)
     tif = gather(spark, tif_dir, TIF_PATTERN, scope, strip_parcel_suffix=True)
-    ab = sinks.write_stage(ab, f"{out}/stage/abatements_all_years")
-    tif = sinks.write_stage(tif, f"{out}/stage/tifs_all_years")
+    # Stage tables partitioned by tax year: later year-scoped reads prune folders.
+    ab = sinks.write_stage(ab.withColumn("TaxYear", clean.to_int("TaxYear")),
+                           f"{out}/stage/abatements_all_years", ["TaxYear"])
+    tif = sinks.write_stage(tif.withColumn("TaxYear", clean.to_int("TaxYear")),
+                            f"{out}/stage/tifs_all_years", ["TaxYear"])
     counts["abatements_all_years"] = ab.count()
     counts["tifs_all_years"] = tif.count()
 
@@ -94,8 +97,8 @@ def run(spark: SparkSession, abatement_dir: str, tif_dir: str, rates_path: str,
     sinks.write_csv(pl.rate_coverage(tif_rows, rates).withColumn("Source", F.lit("TIF")).unionByName(
         pl.rate_coverage(ab_rows, rates).withColumn("Source", F.lit("Abatement"))),
         f"{q}/rate_coverage")
-    casts = {"TIF": (tif, {"TaxYear": "int", "DivertedTownship": "double"}),
-             "Abatement": (ab, {"TaxYear": "int", "ForegoneTownship": "double"})}
+    casts = {"TIF": (tif, {"DivertedTownship": "double"}),
+             "Abatement": (ab, {"ForegoneTownship": "double"})}
     bad = None
     for label, (raw, types) in casts.items():
         part = (reshape.to_long(sources.bad_cast_counts(raw, types), [], list(types),

@@ -209,6 +209,29 @@ def parcel_year_compare(df: DataFrame, id_col: str, year_col: str,
     return wide.withColumns(changes)
 
 
+def parcel_comparison(tif: DataFrame, district: str, years: Sequence[int], cols: Sequence[str],
+                      change_measure: str, change_label: str,
+                      id_col: str = "ParcelNumber") -> tuple[DataFrame, DataFrame]:
+    """CMP-7 end to end on raw TIF rows: one district and a few years.
+
+    Decorated amounts in ``cols`` are parsed to numbers (PRJ-7/SCL-8), rows
+    are selected by district *and* year (FLT-4), and two shapes come back:
+    long (one row per parcel, year and amount type) and wide
+    (``{col}_{year}`` with guarded % changes of ``change_measure``).
+    """
+    typed = tif.withColumns({
+        "TaxYear": clean.to_int("TaxYear"),
+        "TaxDistrict": clean.zero_pad("TaxDistrict", 3),
+        **{c: clean.parse_number(c) for c in cols},
+    })
+    sel = (typed.filter((F.col("TaxDistrict") == F.lit(district))
+                        & F.col("TaxYear").isin(list(years)))
+           .select(id_col, "TaxYear", *cols))
+    long = reshape.to_long(sel, [id_col, "TaxYear"], list(cols), "DivertedType", "Amount")
+    wide = parcel_year_compare(sel, id_col, "TaxYear", cols, years, change_measure, change_label)
+    return wide, long
+
+
 # ---------------------------------------------------------------- trends ---
 def rate_trend(df: DataFrame, group: str, year: str, value: str, years: Sequence[int],
                inner_name: str = "avg_rate", outer_name: str = "global_avg_rate",

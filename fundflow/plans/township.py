@@ -7,7 +7,9 @@ The study's whole workflow as one Spark application, stage by stage:
 3. TIF losses by fund (share of the sum of rates, gated Road fund);
 4. abatement losses by fund (share of the published total rate);
 5. combined table (outer combine, zero-fill, total);
-6. loss series and chart-ready panels, invalid-row counts, county totals.
+6. loss series and chart-ready panels, invalid-row counts, county totals;
+7. side analyses: triennial fire-rate and TIF-value trends, one district's
+   parcel comparison across years, parcel-file <-> TIF reconciliation.
 
 Every output is written as a total table plus one folder per municipality
 label, in one pass each. Outputs are overwritten, so a re-run after a failure
@@ -30,7 +32,10 @@ from fundflow import sources
 from fundflow.functions import clean
 from fundflow.operators import reshape, sinks
 from fundflow.plans import pipeline as pl
-from fundflow.plans.domain import TOWNSHIP, TOWNSHIP_SCOPE, Domain
+from fundflow.operators import trend
+from fundflow.plans.domain import (
+    ASSESSMENT_RATIO, TOWNSHIP, TOWNSHIP_SCOPE, TOWNSHIP_TREND_DISTRICTS, TOWNSHIP_TREND_YEARS, Domain,
+)
 
 # File-name patterns of the yearly files and the county-level
 # diversion columns summed into one county total.
@@ -38,6 +43,67 @@ ABATEMENT_PATTERN = "AbatementDetails*.csv"
 TIF_PATTERN = "*[Tt][Ii][Ff]Details*.csv"
 COUNTY_COLUMNS = ["DivertedCountyGen", "DivertedChildren", "DivertedADMH", "DivertedFCBDD",
                   "DivertedParks", "DivertedZoo", "DivertedSenior"]
+PARCEL_PATTERN = "Parcel20*.csv"
+PARCEL_COLUMNS = {"PARCEL ID": "ParcelNumber", "TIFMLND": "TIFMLND", "TIFMBLD": "TIFMBLD"}
+# The parcel comparison of the study (district 027, 2022-2024, these
+# diverted amounts; % change of the township amount).
+COMPARE_DISTRICT = "027"
+COMPARE_YEARS = [2022, 2023, 2024]
+COMPARE_COLUMNS = ["DivertedTownship", "DivertedParks", "DivertedCityVillage", "DivertedZoo",
+                   "DivertedChildren", "DivertedLibrary"]
+
+
+def normalise_parcel(col, strip_suffix: bool = True):
+    """Parcel id key: drop the '-00' suffix (optional) then every hyphen."""
+    c = clean.strip_suffix(col, "-00") if strip_suffix else F.col(col) if isinstance(col, str) else col
+    return clean.drop_chars(c, "-")
+
+
+def parcel_files(spark: SparkSession, folder: str, pattern: str = PARCEL_PATTERN,
+                 strip_suffix: bool = True) -> DataFrame:
+    """Yearly parcel files: malformed lines skipped, three columns kept and
+    renamed, id normalised, tax year from the file name."""
+    raw = sources.read_many(spark, folder, pattern, skip_bad_lines=True)
+    return (raw.select(*PARCEL_COLUMNS, "SourceFile")
+            .withColumnsRenamed(PARCEL_COLUMNS)
+            .withColumn("ParcelNumber", normalise_parcel("ParcelNumber", strip_suffix))
+            .withColumn("TaxYear", sources.year_from_name("SourceFile")))
+
+
+def reconcile_parcels(tif: DataFrame, parcels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """TIF rows matched to parcel-file rows on (parcel, year), and the rest."""
+    from fundflow.operators import combine
+    t = tif.withColumns({"ParcelNumber": normalise_parcel("ParcelNumber"),
+                         "TaxYear": clean.to_int("TaxYear")})
+    return combine.reconcile(t, parcels.drop("SourceFile"), ["ParcelNumber", "TaxYear"])
+
+
+def fire_rate_trend(spark: SparkSession, rates_path: str, years=TOWNSHIP_TREND_YEARS) -> DataFrame:
+    """Triennial mean fire rate (mean of per-municipality means) and its % change."""
+    raw = sources.read_csv_text(spark, rates_path, ["TaxYear", "Municipality", "TaxDistrict",
+                                                    "PropertyClass", "GeneralRate", "FireRate",
+                                                    "RoadRate", "TotalTownshipMillage"], source=None)
+    df = raw.select(clean.to_int("TaxYear").alias("Year"), "Municipality",
+                    clean.to_num("FireRate").alias("Effective_Rate"))
+    return pl.rate_trend(df, "Municipality", "Year", "Effective_Rate", years,
+                         "avg_fire_rate", "global_avg_fire_rate", "pct_change_global_fire_rate")
+
+
+def tif_value_trend(tif: DataFrame, years=TOWNSHIP_TREND_YEARS,
+                    districts=TOWNSHIP_TREND_DISTRICTS, ratio: float = ASSESSMENT_RATIO,
+                    unit: float = 1e6) -> DataFrame:
+    """Triennial taxable TIF value of the township districts and its % change.
+
+    Appraised value, else assessed, times the assessment ratio, summed per
+    year; ``unit`` scales the display column (a parameter, see README).
+    """
+    scoped = (tif.filter(F.col("TaxYear").isin(list(years)))
+              .withColumn("_district", clean.strip_zeros_to_int("TaxDistrict"))
+              .filter(F.col("_district").isin(list(districts)))
+              .withColumns({c: clean.to_num(c) for c in ("AppraisedTotal", "AssessedTotal")}))
+    t = pl.value_trend(scoped, "TaxYear", ["AppraisedTotal", "AssessedTotal"], ratio,
+                       "total_tif_value", "pct_change")
+    return t.withColumn("total_tif_value_units", F.col("total_tif_value") / F.lit(unit))
 
 
 def gather(spark: SparkSession, folder: str, pattern: str, scope: str | None = TOWNSHIP_SCOPE,
@@ -68,7 +134,8 @@ def _report(df: DataFrame, out: str, prefix: str, counts: dict, name: str) -> No
 
 
 def run(spark: SparkSession, abatement_dir: str, tif_dir: str, rates_path: str, out: str,
-        dom: Domain = TOWNSHIP, scope: str | None = TOWNSHIP_SCOPE) -> dict[str, int]:
+        dom: Domain = TOWNSHIP, scope: str | None = TOWNSHIP_SCOPE,
+        parcel_dir: str | None = None) -> dict[str, int]:
     """Run all stages; returns the row count of each written table."""
     counts: dict[str, int] = {}
     ab = gather(spark, abatement_dir, ABATEMENT_PATTERN, scope)
@@ -119,6 +186,32 @@ def run(spark: SparkSession, abatement_dir: str, tif_dir: str, rates_path: str,
     sinks.write_csv(pl.chart_series(series), f"{out}/chart_series")
     sinks.write_csv(pl.invalid_loss_rows(combined), f"{out}/quality/invalid_loss_rows")
 
+    # Trends: fire rate from the rate table, TIF taxable value from the stage.
+    fire = fire_rate_trend(spark, rates_path)
+    sinks.write_csv(fire, f"{out}/trends/fire_rate")
+    sinks.write_csv(trend.avg_change(fire, "pct_change_global_fire_rate"), f"{out}/trends/fire_rate_avg")
+    if {"AppraisedTotal", "AssessedTotal"} <= set(tif.columns):
+        value = tif_value_trend(tif)
+        sinks.write_csv(value, f"{out}/trends/tif_value")
+        sinks.write_csv(trend.avg_change(value, "pct_change"), f"{out}/trends/tif_value_avg")
+
+    # Parcel comparison of one district over a few years (wide + long).
+    cmp_cols = [c for c in COMPARE_COLUMNS if c in tif.columns]
+    if "DivertedTownship" in cmp_cols:
+        wide, long = pl.parcel_comparison(tif, COMPARE_DISTRICT, COMPARE_YEARS, cmp_cols,
+                                          "DivertedTownship", "Township")
+        sinks.write_csv(wide, f"{out}/parcel_comparison/wide")
+        sinks.write_csv(long, f"{out}/parcel_comparison/long")
+
+    # Parcel files <-> TIF reconciliation.
+    if parcel_dir:
+        matched, unmatched = reconcile_parcels(tif, parcel_files(spark, parcel_dir))
+        m, mo = sinks.observe_rows(matched, "matched")
+        u, uo = sinks.observe_rows(unmatched, "unmatched")
+        sinks.write_csv(m, f"{out}/reconcile/matched")
+        sinks.write_csv(u, f"{out}/reconcile/unmatched")
+        counts["matched"], counts["unmatched"] = mo.get["rows"], uo.get["rows"]
+
     present = [c for c in COUNTY_COLUMNS if c in tif.columns]
     typed_tif = tif.withColumns({
         "TaxDistrict": clean.zero_pad("TaxDistrict", 3), "TaxYear": clean.to_int("TaxYear"),
@@ -137,9 +230,11 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--rates", required=True)
     p.add_argument("--out", required=True)
     p.add_argument("--scope", default=TOWNSHIP_SCOPE)
+    p.add_argument("--parcels", default=None, help="folder of yearly parcel files to reconcile")
     a = p.parse_args(argv)
     spark = build_session()
-    for k, v in run(spark, a.abatements, a.tifs, a.rates, a.out, scope=a.scope).items():
+    for k, v in run(spark, a.abatements, a.tifs, a.rates, a.out, scope=a.scope,
+                    parcel_dir=a.parcels).items():
         print(f"{k}: {v} rows")
 
 

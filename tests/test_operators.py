@@ -109,3 +109,32 @@ def test_apportion_gated_and_zero_denominator(spark):
     assert got[("027", "R")] == (25.0, 25.0, 0.0)       # not gated: Road is 0
     assert got[("170", None)] == (None, None, None)     # no rate matched
     assert got[("999", "R")] == (None, None, 0.0)       # zero denominator -> NULL, no error
+
+
+def test_parcel_comparison_and_value_trend(spark):
+    from fundflow.plans import pipeline as pl
+    from fundflow.plans import township as job
+    rows = [("027-1", "2022", "027", "$1,000.00", "$5"), ("027-1", "2023", "27", "$1,250.00", None),
+            ("027-1", "2024", "027", "$1,000.00", "$7"), ("027-2", "2022", "027", "0", "1"),
+            ("027-2", "2023", "027", "10", "1"), ("170-9", "2022", "170", "99", "1")]
+    tif = spark.createDataFrame(rows, "ParcelNumber string, TaxYear string, TaxDistrict string, "
+                                      "DivertedTownship string, DivertedZoo string")
+    wide, long = pl.parcel_comparison(tif, "027", [2022, 2023, 2024], ["DivertedTownship", "DivertedZoo"],
+                                      "DivertedTownship", "Township")
+    got = {r.ParcelNumber: r for r in wide.collect()}
+    assert set(got) == {"027-1", "027-2"}
+    assert got["027-1"].PctChange_Township_22_23 == 25.0
+    assert got["027-1"].PctChange_Township_23_24 == -20.0
+    assert got["027-2"].PctChange_Township_22_23 is None          # base 0: guarded
+    assert got["027-1"].DivertedZoo_2023 is None
+    assert long.count() == 5 * 2
+
+    vals = [("2014", "170", "100", "50"), ("2014", "0027", None, "40"), ("2017", "67", "300", None),
+            ("2017", "999", "1000", "1000"), ("2016", "170", "5", "5"), ("2020", None, "1", "1")]
+    t = spark.createDataFrame(vals, "TaxYear string, TaxDistrict string, AppraisedTotal string, "
+                                    "AssessedTotal string").withColumn("TaxYear", F.col("TaxYear").cast("int"))
+    out = {r.TaxYear: r for r in job.tif_value_trend(t).collect()}
+    assert sorted(out) == [2014, 2017]
+    assert out[2014].total_tif_value == pytest.approx(0.35 * 140)
+    assert out[2017].total_tif_value == pytest.approx(0.35 * 300)
+    assert out[2017].pct_change == pytest.approx((300 / 140 - 1) * 100)

@@ -44,8 +44,13 @@ def outputs(spark):
                "ParcelNumber", "DivertedCountyGen", "DivertedZoo", "DivertedSenior"], tif_rows)
     rates_path = os.path.join(base, "Township_Rates.csv")
     write_csv(rates_path, tw.RATE_COLS, tw.rate_rows())
+    parcel_dir = os.path.join(base, "parcels")
+    os.makedirs(parcel_dir)
+    with open(f"{parcel_dir}/Parcel2022.csv", "w") as fh:
+        fh.write("PARCEL ID,TIFMLND,TIFMBLD,OTHER\n027-000000,100,200,x\n170-000002,1,2,y\n"
+                 "170-000002,1,2,y,EXTRA\n999-999999,5,6,z\n170-000003,7\n")
     out = scratch_path(spark, "township_job")
-    counts = job.run(spark, ab_dir, tif_dir, rates_path, out)
+    counts = job.run(spark, ab_dir, tif_dir, rates_path, out, parcel_dir=parcel_dir)
     return out, counts
 
 
@@ -104,3 +109,16 @@ def test_quality_tables(spark, outputs):
              for r in spark.read.option("header", True).csv(f"{out}/quality/rows_per_file").collect()}
     assert files[("Abatement", "AbatementDetails-TY2014-2019.csv")] == 15
     assert files[("TIF", "TifDetails-TY2022.csv")] == 8
+
+
+def test_side_analyses(spark, outputs):
+    out, counts = outputs
+    assert counts["matched"] == 2 and counts["unmatched"] == 6
+    fire = {int(r.Year): r for r in spark.read.option("header", True).csv(f"{out}/trends/fire_rate").collect()}
+    assert float(fire[2014].global_avg_fire_rate) == pytest.approx(10.4767145, abs=1e-9)
+    assert float(fire[2017].pct_change_global_fire_rate) == pytest.approx(-14.081060431684001, abs=1e-9)
+    avg = spark.read.option("header", True).csv(f"{out}/trends/fire_rate_avg").first()[0]
+    assert float(avg) == pytest.approx(-7.530209987816487, abs=1e-9)
+    wide = spark.read.option("header", True).csv(f"{out}/parcel_comparison/wide")
+    assert "PctChange_Township_22_23" in wide.columns and "DivertedTownship_2024" in wide.columns
+    assert wide.count() == 2

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from fundflow.functions.sqltext import ident, lit
+
 # Characters removed by whitespace trimming (space, tab, CR, LF, FF, VT).
 WHITESPACE = " \t\r\n\f\u000b"
 
@@ -19,9 +21,48 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# SQL text of WHITESPACE, built from character codes (no escapes to interpret).
+_WS_SQL = "concat(" + ", ".join(f"char({ord(ch)})" for ch in WHITESPACE) + ")"
+
+
+def _s(c) -> str:
+    """SQL text of a column name (the helpers' fast path)."""
+    return ident(c)
+
+
+def trim_ws_sql(x: str) -> str:
+    return f"btrim({x}, {_WS_SQL})"
+
+
+def to_num_sql(x: str) -> str:
+    return f"nanvl(try_cast({trim_ws_sql(f'CAST({x} AS STRING)')} AS DOUBLE), CAST(NULL AS DOUBLE))"
+
+
+def zero_pad_sql(x: str, width: int = 3) -> str:
+    s = f"CAST({x} AS STRING)"
+    return f"lpad({s}, greatest(length({s}), {width}), '0')"
+
+
+def prefix_sql(x: str, n: int = 3) -> str:
+    return f"substring(CAST({x} AS STRING), 1, {n})"
+
+
+def strip_literal_suffix_sql(x: str, suffix: str) -> str:
+    return (f"CASE WHEN endswith({x}, {lit(suffix)}) "
+            f"THEN substring({x}, 1, length({x}) - {len(suffix)}) ELSE {x} END")
+
+
+def drop_chars_sql(x: str, chars: str = "-") -> str:
+    for ch in dict.fromkeys(chars):
+        x = f"replace({x}, {lit(ch)}, '')"
+    return x
+
+
 def trim_ws(c) -> Column:
     """Trim spaces *and* tabs/newlines on both sides (plain ``trim`` drops spaces only)."""
-    return F.btrim(_c(c), F.lit(WHITESPACE))
+    if isinstance(c, str):
+        return F.expr(trim_ws_sql(_s(c)))
+    return F.btrim(c, F.lit(WHITESPACE))
 
 
 def blank_to_null(c) -> Column:
@@ -36,13 +77,17 @@ def zero_pad(c, width: int = 3) -> Column:
     ``lpad`` truncates ('1234' -> '123'), so it is applied only to short codes.
     Numbers are rendered as text first; NULL stays NULL.
     """
-    s = _c(c).cast("string")
-    return F.when(F.length(s) < width, F.lpad(s, width, "0")).otherwise(s)
+    if isinstance(c, str):
+        return F.expr(zero_pad_sql(_s(c), width))
+    s = c.cast("string")
+    return F.lpad(s, F.greatest(F.length(s), F.lit(width)), "0")
 
 
 def prefix(c, n: int = 3) -> Column:
     """First ``n`` characters."""
-    return F.substring(_c(c).cast("string"), 1, n)
+    if isinstance(c, str):
+        return F.expr(prefix_sql(_s(c), n))
+    return F.substring(c.cast("string"), 1, n)
 
 
 _REGEX_META = set(".^$*+?()[]{}|\\")
@@ -54,6 +99,8 @@ def strip_suffix(c, pattern: str = "-00") -> Column:
     A literal suffix is cut with ``endswith`` + ``substring`` (no regex
     engine per row); a pattern with regex syntax uses ``regexp_replace``.
     """
+    if isinstance(c, str) and not (set(pattern) & _REGEX_META):
+        return F.expr(strip_literal_suffix_sql(_s(c), pattern))
     col = _c(c)
     if not (set(pattern) & _REGEX_META):
         n = len(pattern)
@@ -64,6 +111,8 @@ def strip_suffix(c, pattern: str = "-00") -> Column:
 
 def drop_chars(c, chars: str = "-") -> Column:
     """Remove every occurrence of each literal character in ``chars``."""
+    if isinstance(c, str):
+        return F.expr(drop_chars_sql(_s(c), chars))
     col = _c(c)
     for ch in dict.fromkeys(chars):
         col = F.replace(col, F.lit(ch), F.lit(""))
@@ -72,13 +121,17 @@ def drop_chars(c, chars: str = "-") -> Column:
 
 def nan_to_null(c) -> Column:
     """NaN -> NULL so that NULL-skipping aggregates also skip NaN."""
-    col = _c(c).cast("double")
+    if isinstance(c, str):
+        return F.expr(f"nanvl(CAST({_s(c)} AS DOUBLE), CAST(NULL AS DOUBLE))")
+    col = c.cast("double")
     return F.nanvl(col, F.lit(None).cast("double"))
 
 
 def to_num(c) -> Column:
     """Text -> double; unparsable text, blanks and NaN become NULL (no error)."""
-    return nan_to_null(trim_ws(_c(c).cast("string")).try_cast("double"))
+    if isinstance(c, str):
+        return F.expr(to_num_sql(_s(c)))
+    return nan_to_null(trim_ws(c.cast("string")).try_cast("double"))
 
 
 def to_int(c, int_type: str = "int") -> Column:
@@ -86,7 +139,11 @@ def to_int(c, int_type: str = "int") -> Column:
 
     Plain integer text is cast directly first, so large keys keep full precision.
     """
-    direct = trim_ws(_c(c).cast("string")).try_cast(int_type)
+    if isinstance(c, str):
+        x = _s(c)
+        direct = f"try_cast({trim_ws_sql(f'CAST({x} AS STRING)')} AS {int_type})"
+        return F.expr(f"coalesce({direct}, try_cast({to_num_sql(x)} AS {int_type}))")
+    direct = trim_ws(c.cast("string")).try_cast(int_type)
     return F.coalesce(direct, to_num(c).try_cast(int_type))
 
 
@@ -95,11 +152,16 @@ def strip_zeros_to_int(c) -> Column:
     return to_int(c)
 
 
-# Leading number inside decorated text such as '$1,234.50 USD' or '(12%)'.
-NUMBER_PATTERN = r"-?[0-9][0-9,]*\.?[0-9]*"
+# Fixed value: the leading number inside decorated text such as
+# '$1,234.50 USD' or '(12%)' (optional minus, digits with grouping commas,
+# optional decimal point and digits).
+NUMBER_PATTERN = r"-?[0-9][0-9,]*[.]?[0-9]*"
 
 
 def parse_number(c) -> Column:
     """Pull the first number out of decorated text; grouping commas dropped."""
-    hit = F.regexp_extract(_c(c).cast("string"), NUMBER_PATTERN, 0)
+    if isinstance(c, str):
+        hit = f"regexp_extract(CAST({_s(c)} AS STRING), {lit(NUMBER_PATTERN)}, 0)"
+        return F.expr(f"try_cast(nullif(replace({hit}, ',', ''), '') AS DOUBLE)")
+    hit = F.regexp_extract(c.cast("string"), NUMBER_PATTERN, 0)
     return F.nullif(F.regexp_replace(hit, ",", ""), F.lit("")).try_cast("double")

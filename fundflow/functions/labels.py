@@ -11,6 +11,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from fundflow.functions.sqltext import ident, in_list, lit
+
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -18,6 +20,12 @@ def _c(c) -> Column:
 
 def recode(c, mapping: Mapping[str, str | None]) -> Column:
     """Map codes to new values; codes not in ``mapping`` (and NULL) -> NULL."""
+    if isinstance(c, str):
+        if not mapping:
+            return F.expr("CAST(NULL AS STRING)")
+        x = ident(c)
+        arms = " ".join(f"WHEN {x} = {lit(k)} THEN CAST({lit(v)} AS STRING)" for k, v in mapping.items())
+        return F.expr(f"CASE {arms} END")
     col = _c(c)
     expr = None
     for k, v in mapping.items():
@@ -32,6 +40,12 @@ def label_by_set(c, labels: Mapping[str, Sequence[str]], other: str | None = "Ot
     ``labels`` preserves order, like a chain of ``case_when`` branches. A NULL
     code matches no set and falls through to ``other``.
     """
+    if isinstance(c, str):
+        x = ident(c)
+        arms = " ".join(f"WHEN {x} IN {in_list(codes)} THEN {lit(label)}"
+                        for label, codes in labels.items() if codes)
+        fallback = f"CAST({lit(other)} AS STRING)"
+        return F.expr(f"CASE {arms} ELSE {fallback} END" if arms else fallback)
     col = _c(c)
     expr = None
     for label, codes in labels.items():

@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fundflow.functions.sqltext import ident
+
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -16,11 +18,16 @@ def _c(c) -> Column:
 
 def sum0(c) -> Column:
     """Sum skipping NULLs; a group with no non-NULL value sums to 0, not NULL."""
-    return F.coalesce(F.sum(_c(c)), F.lit(0.0))
+    if isinstance(c, str):
+        return F.expr(f"coalesce(sum({ident(c)}), 0D)")
+    return F.coalesce(F.sum(c), F.lit(0.0))
 
 
 def sum_across(cols: Sequence) -> Column:
     """One total over several columns *and* all rows of a group, NULLs skipped."""
+    if all(isinstance(c, str) for c in cols):
+        row = " + ".join(f"coalesce(CAST({ident(c)} AS DOUBLE), 0D)" for c in cols)
+        return F.expr(f"coalesce(sum({row}), 0D)")
     row = reduce(lambda a, b: a + b, [F.coalesce(_c(c).cast("double"), F.lit(0.0)) for c in cols])
     return F.coalesce(F.sum(row), F.lit(0.0))
 
@@ -35,8 +42,8 @@ def mean_by(df: DataFrame, keys: Sequence[str], value: str, name: str,
     """Mean per group. Like pandas ``groupby`` the NULL-key groups are dropped by default."""
     src = df
     if drop_null_keys:
-        src = src.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
-    return src.groupBy(*keys).agg(F.avg(value).alias(name))
+        src = src.filter(" AND ".join(f"{ident(k)} IS NOT NULL" for k in keys))
+    return src.groupBy(*keys).agg(F.expr(f"avg({ident(value)})").alias(name))
 
 
 def mean_of_means(df: DataFrame, outer: Sequence[str], inner: Sequence[str], value: str,
@@ -52,6 +59,6 @@ def mean_of_means(df: DataFrame, outer: Sequence[str], inner: Sequence[str], val
 def invalid_counts(df: DataFrame, keys: Sequence[str], value: str,
                    count_name: str = "n_rows", invalid_name: str = "n_invalid") -> DataFrame:
     """Rows and rows with a missing or negative ``value`` per group, in one pass."""
-    bad = F.col(value).isNull() | (F.col(value) < 0)
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_name),
-                                 F.count_if(bad).alias(invalid_name))
+    v = ident(value)
+    return df.groupBy(*keys).agg(F.expr("count(1)").alias(count_name),
+                                 F.expr(f"count_if({v} IS NULL OR {v} < 0)").alias(invalid_name))

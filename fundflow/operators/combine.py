@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fundflow.functions.sqltext import ident
+
 
 def outer_combine(left: DataFrame, right: DataFrame, keys: Sequence[str],
                   fill: float | None = 0.0, total: str | None = None) -> DataFrame:
@@ -27,19 +27,20 @@ def outer_combine(left: DataFrame, right: DataFrame, keys: Sequence[str],
     if clash:
         raise ValueError(f"value columns on both sides: {sorted(clash)}")
     types = dict(left.dtypes) | dict(right.dtypes)
-    null = {c: F.lit(None).cast(types[c]) for c in lvals + rvals}
-    l = left.select(*keys, *lvals, *[null[c].alias(c) for c in rvals])
-    r = right.select(*keys, *[null[c].alias(c) for c in lvals], *rvals)
+    null = {c: f"CAST(NULL AS {types[c]}) AS {ident(c)}" for c in lvals + rvals}
+    l = left.selectExpr(*map(ident, keys), *map(ident, lvals), *[null[c] for c in rvals])
+    r = right.selectExpr(*map(ident, keys), *[null[c] for c in lvals], *map(ident, rvals))
     vals = lvals + rvals
     # ``sum`` keeps the side's value (only one non-NULL per key) and is
-    # partial-aggregatable; ``max`` would do for non-numeric columns.
-    aggs = [(F.sum(c) if types[c] in ("double", "float", "int", "bigint") else F.max(c)).alias(c)
-            for c in vals]
+    # partial-aggregatable; ``max`` does for non-numeric columns.
+    numeric = ("double", "float", "int", "bigint")
+    aggs = [F.expr(f"{'sum' if types[c] in numeric else 'max'}({ident(c)})").alias(c) for c in vals]
     out = l.unionByName(r).groupBy(*keys).agg(*aggs)
     if fill is not None:
-        out = out.withColumns({c: F.coalesce(F.col(c), F.lit(fill)) for c in vals})
+        out = out.withColumns({c: F.expr(f"coalesce({ident(c)}, CAST({fill!r} AS {types[c]}))")
+                               for c in vals})
     if total:
-        out = out.withColumn(total, reduce(lambda a, b: a + b, [F.col(c) for c in vals]))
+        out = out.withColumn(total, F.expr(" + ".join(ident(c) for c in vals)))
     return out
 
 
@@ -50,13 +51,12 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     never a nested loop. Key columns come out once, from the left side.
     """
     l, r = left.alias("_l"), right.alias("_r")
-    cond = reduce(lambda a, b: a & b,
-                  [F.col(f"_l.{k}").eqNullSafe(F.col(f"_r.{k}")) for k in keys])
+    cond = F.expr(" AND ".join(f"_l.{ident(k)} <=> _r.{ident(k)}" for k in keys))
     j = l.join(r, cond, how)
     if how in ("left_anti", "left_semi", "anti", "semi", "leftanti", "leftsemi"):
         return j
-    rest = [F.col(f"_r.{c}") for c in right.columns if c not in keys]
-    return j.select(*[F.col(f"_l.{c}") for c in left.columns], *rest)
+    rest = [f"_r.{ident(c)}" for c in right.columns if c not in keys]
+    return j.selectExpr(*[f"_l.{ident(c)}" for c in left.columns], *rest)
 
 
 def reconcile(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fundflow.functions.sqltext import ident, in_list, lit
+
 # A dimension is broadcast only after this many rows have been proven absent.
 DEFAULT_BROADCAST_ROWS = 100_000
 
@@ -35,12 +35,11 @@ def expand_alias(rates: DataFrame, key: str, aliases: Mapping[str, str]) -> Data
     targets: dict[str, list[str]] = {}
     for alias, source in aliases.items():
         targets.setdefault(source, []).append(alias)
-    lookup = F.create_map(*[x for src, al in targets.items()
-                            for x in (F.lit(src), F.array(*[F.lit(a) for a in al]))])
-    k = F.col(key)
-    # NULL keys stay one row (a NULL map lookup falls back to the empty list).
-    copies = F.coalesce(lookup[k], F.array().cast("array<string>"))
-    return rates.withColumn(key, F.explode(F.concat(F.array(k), copies)))
+    k = ident(key)
+    arms = " ".join(f"WHEN {k} = {lit(src)} THEN array({k}, {', '.join(lit(a) for a in al)})"
+                    for src, al in targets.items())
+    # NULL and unlisted keys stay one row each.
+    return rates.withColumn(key, F.expr(f"explode(CASE {arms} ELSE array({k}) END)"))
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -76,23 +75,20 @@ def apportion(fact: DataFrame, rates: DataFrame, keys: Sequence[str], amount: st
     join. Pass ``broadcast_rows`` to force a counted check instead (for rate
     tables from sources without statistics).
     """
-    rate_cols = list(funds.values()) + ([total] if total else [])
-    r = rates.select(*keys, *dict.fromkeys(rate_cols))
+    rate_cols = list(dict.fromkeys(list(funds.values()) + ([total] if total else [])))
+    r = rates.select(*keys, *rate_cols)
     if broadcast_rows:
         r = broadcast_if_small(r, broadcast_rows)
     joined = fact.join(r, list(keys), "left")
-    if total:
-        denom: Column = F.col(total)
-    else:
-        denom = reduce(lambda a, b: a + b, [F.col(c) for c in funds.values()])
+    denom = ident(total) if total else "(" + " + ".join(ident(c) for c in funds.values()) + ")"
     out = {}
     for fund, rate_col in funds.items():
-        share = F.col(amount) * F.try_divide(F.col(rate_col), denom)
+        share = f"{ident(amount)} * try_divide({ident(rate_col)}, {denom})"
         if gated and fund in gated:
             code_col, codes = gated[fund]
-            share = F.when(F.col(code_col).isin(list(codes)), share).otherwise(F.lit(0.0))
-        out[f"{out_prefix}{fund}"] = share
+            share = f"CASE WHEN {ident(code_col)} IN {in_list(codes)} THEN {share} ELSE 0D END"
+        out[f"{out_prefix}{fund}"] = F.expr(share)
     res = joined.withColumns(out)
     if not keep_rates:
-        res = res.drop(*[c for c in dict.fromkeys(rate_cols) if c not in fact.columns])
+        res = res.drop(*[c for c in rate_cols if c not in fact.columns])
     return res

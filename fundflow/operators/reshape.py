@@ -7,22 +7,21 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fundflow.functions.sqltext import ident, lit
+
 
 def to_long(df: DataFrame, ids: Sequence[str], values: Sequence[str],
             names_to: str = "name", values_to: str = "value",
             value_type: str | None = "double") -> DataFrame:
     """Wide -> long (one output row per input row and value column; NULLs kept).
 
-    A narrow transformation: no shuffle, stays in the scan's stage.
+    ``stack`` in one projection: a narrow transformation, no shuffle, stays in
+    the scan's stage.
     """
-    src = df
-    if value_type:
-        src = df.withColumns({v: F.col(v).cast(value_type) for v in values})
-    return src.unpivot(list(ids), list(values), names_to, values_to)
-
-
-_AGGS = {"sum": F.sum, "max": F.max, "min": F.min, "avg": F.avg,
-         "first": lambda c: F.first(c, ignorenulls=True)}
+    pairs = ", ".join(f"{lit(v)}, " + (f"CAST({ident(v)} AS {value_type})" if value_type else ident(v))
+                      for v in values)
+    stack = f"stack({len(values)}, {pairs}) AS ({ident(names_to)}, {ident(values_to)})"
+    return df.selectExpr(*[ident(i) for i in ids], stack)
 
 
 def to_wide(df: DataFrame, ids: Sequence[str], names_from: str, values: Sequence[str],
@@ -39,8 +38,12 @@ def to_wide(df: DataFrame, ids: Sequence[str], names_from: str, values: Sequence
     aggregation (Spark's ``pivot`` aggregates by (ids, name) first and then
     pivots, which costs a second shuffle).
     """
-    fn = _AGGS[agg]
-    key = F.col(names_from)
-    cells = [fn(F.when(key == F.lit(n), F.col(v))).alias(template.format(value=v, name=n))
-             for v in values for n in names]
+    fn = {"sum": "sum", "max": "max", "min": "min", "avg": "avg", "first": "first"}[agg]
+    key = ident(names_from)
+    cells = []
+    for v in values:
+        for n in names:
+            val = f"CASE WHEN {key} = {lit(n)} THEN {ident(v)} END"
+            call = f"first({val}, true)" if fn == "first" else f"{fn}({val})"
+            cells.append(F.expr(call).alias(template.format(value=v, name=n)))
     return df.groupBy(*ids).agg(*cells)

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fundflow.functions.sqltext import ident
+
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -21,19 +23,16 @@ def pct_change(df: DataFrame, value: str, order_by: str, name: str = "pct_change
     partition: call it on an aggregated series (one row per period), never on
     raw rows.
     """
-    w = Window.orderBy(order_by)
-    if partition_by:
-        w = Window.partitionBy(*partition_by).orderBy(order_by)
-    prev = F.lag(F.col(value)).over(w)
-    return df.withColumn(name, (F.try_divide(F.col(value), prev) - F.lit(1.0)) * F.lit(scale))
+    part = f"PARTITION BY {', '.join(map(ident, partition_by))} " if partition_by else ""
+    prev = f"lag({ident(value)}) OVER ({part}ORDER BY {ident(order_by)})"
+    return df.withColumn(name, F.expr(f"(try_divide({ident(value)}, {prev}) - 1D) * CAST({scale!r} AS DOUBLE)"))
 
 
 def avg_change(df: DataFrame, col: str, name: str = "avg_pct_change",
                by: Sequence[str] | None = None) -> DataFrame:
     """Mean of a change column, NULLs (the first period) skipped."""
-    if by:
-        return df.groupBy(*by).agg(F.avg(col).alias(name))
-    return df.agg(F.avg(col).alias(name))
+    a = F.expr(f"avg({ident(col)})").alias(name)
+    return df.groupBy(*by).agg(a) if by else df.agg(a)
 
 
 def col_pct_change(new, base, digits: int = 1) -> Column:
@@ -41,5 +40,8 @@ def col_pct_change(new, base, digits: int = 1) -> Column:
 
     Rounded half-to-even (``bround``) to ``digits`` places.
     """
+    if isinstance(new, str) and isinstance(base, str):
+        n, b = ident(new), ident(base)
+        return F.expr(f"CASE WHEN {b} > 0 THEN bround(100D * ({n} - {b}) / {b}, {digits}) END")
     b = _c(base)
     return F.when(b > 0, F.bround(F.lit(100.0) * (_c(new) - b) / b, digits))

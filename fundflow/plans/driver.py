@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundflow.functions import clean, labels
+from fundflow.functions.sqltext import ident, lit
 from fundflow.operators import rates as rates_op
 from fundflow.plans.domain import DRIVER
 
@@ -49,19 +50,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def parcel_id(district, key, suffix: str | None = "00", width: int = 6):
-    """``ddd-nnnnnn[-ss]`` parcel-style id; parts are padded, never truncated."""
-    parts = [clean.zero_pad(district, 3), F.lit("-"), clean.zero_pad(key, width)]
+def parcel_id_sql(district: str, key: str, suffix: str | None = "00", width: int = 6) -> str:
+    """SQL text of a ``ddd-nnnnnn[-ss]`` parcel-style id from two columns
+    (``suffix`` is literal text, or SQL text when it starts with ``=``)."""
+    parts = [clean.zero_pad_sql(ident(district), 3), "'-'", clean.zero_pad_sql(ident(key), width)]
     if suffix is not None:
-        parts += [F.lit("-"), F.lit(suffix) if isinstance(suffix, str) else suffix]
-    return F.concat(*parts)
+        parts += ["'-'", suffix[1:] if suffix.startswith("=") else lit(suffix)]
+    return f"concat({', '.join(parts)})"
+
+
+def parcel_id(district: str, key: str, suffix: str | None = "00", width: int = 6):
+    """``ddd-nnnnnn[-ss]`` parcel-style id; parts are padded, never truncated."""
+    return F.expr(parcel_id_sql(district, key, suffix, width))
 
 
-def split_id(key, width: int = 9):
+def split_id_sql(key: str, width: int = 9) -> str:
+    s = clean.zero_pad_sql(ident(key), width)
+    return f"concat(substring({s}, 1, length({s}) - 6), '-', substring({s}, length({s}) - 5, 6))"
+
+
+def split_id(key: str, width: int = 9):
     """Order key as ``ddd-nnnnnn``: the last six digits after the first three (or more)."""
-    s = clean.zero_pad(key, width)
-    n = F.length(s)
-    return F.concat(F.substring(s, 1, n - 6), F.lit("-"), F.substring(s, n - 5, 6))
+    return F.expr(split_id_sql(key, width))
 
 
 def rates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,19 +80,20 @@ def rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     Years and classes are generated per nation row (``explode``), not by a
     cross join.
     """
-    n = F.col("n_nationkey")
-    y = F.col("TaxYear")
+    classes = ", ".join(lit(c) for c in RATE_CLASSES)
     base = (table(spark, sf_dir, "nation")
-            .filter(n != F.lit(NATION_WITHOUT_RATES))
-            .select(n, F.explode(F.sequence(F.lit(RATE_YEARS[0]), F.lit(RATE_YEARS[1]))).alias("TaxYear"))
-            .select(n, y, F.explode(F.array(*[F.lit(c) for c in RATE_CLASSES])).alias("PropertyClass"))
-            .select(
-                y, clean.zero_pad(n, 3).alias("TaxDistrict"), "PropertyClass",
-                (F.lit(1.0) + (n % 3) * F.lit(0.31)).alias("GeneralRate"),
-                (F.lit(6.0) + ((F.lit(7) * n + y) % 40) / F.lit(10.0)).alias("FireRate"),
-                F.when(n < 10, F.lit(0.25) + (y % 4) * F.lit(0.7)).otherwise(F.lit(0.0)).alias("RoadRate"),
-            )
-            .withColumn("TotalTownshipMillage", F.col("GeneralRate") + F.col("FireRate") + F.col("RoadRate")))
+            .where(f"n_nationkey <> {NATION_WITHOUT_RATES}")
+            .selectExpr("n_nationkey AS n",
+                        f"explode(sequence({RATE_YEARS[0]}, {RATE_YEARS[1]})) AS TaxYear")
+            .selectExpr("n", "TaxYear", f"explode(array({classes})) AS PropertyClass")
+            .selectExpr(
+                "TaxYear",
+                f"{clean.zero_pad_sql('n', 3)} AS TaxDistrict",
+                "PropertyClass",
+                "1.0D + (n % 3) * 0.31D AS GeneralRate",
+                "6.0D + ((7 * n + TaxYear) % 40) / 10.0D AS FireRate",
+                "CASE WHEN n < 10 THEN 0.25D + (TaxYear % 4) * 0.7D ELSE 0.0D END AS RoadRate")
+            .selectExpr("*", "GeneralRate + FireRate + RoadRate AS TotalTownshipMillage"))
     return rates_op.expand_alias(base, "TaxDistrict", DRIVER.rate_aliases)
 
 
@@ -92,10 +103,9 @@ def tif_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     Map-side partial aggregation runs in the scan stage.
     """
     li = table(spark, sf_dir, "lineitem")
-    return (li.groupBy(F.col("l_suppkey"),
-                       F.year("l_shipdate").cast("int").alias("TaxYear"),
-                       F.col("l_returnflag"))
-            .agg(F.sum("l_extendedprice").alias("Amount"), F.count(F.lit(1)).alias("n_rows")))
+    return (li.groupBy("l_suppkey", F.expr("CAST(year(l_shipdate) AS INT)").alias("TaxYear"),
+                       "l_returnflag")
+            .agg(F.expr("sum(l_extendedprice)").alias("Amount"), F.expr("count(1)").alias("n_rows")))
 
 
 def suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,8 +116,7 @@ def suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tif_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """TIF-like fact: TaxYear, TaxDistrict, PropertyClass, Amount, n_rows."""
-    f = tif_lines(spark, sf_dir).join(suppliers(spark, sf_dir),
-                                      F.col("l_suppkey") == F.col("s_suppkey"))
+    f = tif_lines(spark, sf_dir).join(suppliers(spark, sf_dir), F.expr("l_suppkey = s_suppkey"))
     return f.select(
         "TaxYear",
         clean.zero_pad("s_nationkey", 3).alias("TaxDistrict"),
@@ -118,15 +127,17 @@ def tif_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 def order_totals(spark: SparkSession, sf_dir: str, measures: dict | None = None) -> DataFrame:
     """Orders summed per (customer, order year) in the scan stage.
 
+    ``measures`` maps output name -> SQL expression over ``orders``.
+
     The abatement-like rows and the wide comparison are both per parcel
     (= customer) and year, and their amounts only ever get summed, so the
     shuffle into the customer join carries one row per customer-year; a
     customer holding a third of all orders collapses to a few rows per task.
     """
-    measures = measures or {"Amount": F.col("o_totalprice")}
+    measures = measures or {"Amount": "o_totalprice"}
     o = table(spark, sf_dir, "orders")
-    return (o.groupBy("o_custkey", F.year("o_orderdate").cast("int").alias("TaxYear"))
-            .agg(*[F.sum(c).alias(n) for n, c in measures.items()]))
+    return (o.groupBy("o_custkey", F.expr("CAST(year(o_orderdate) AS INT)").alias("TaxYear"))
+            .agg(*[F.expr(f"sum({sql})").alias(n) for n, sql in measures.items()]))
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,12 +146,11 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def abatement_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Abatement-like fact: ParcelNumber, TaxYear, TaxDistrict (id prefix), class, Amount."""
-    j = order_totals(spark, sf_dir).join(customers(spark, sf_dir),
-                                         F.col("o_custkey") == F.col("c_custkey"))
-    pid = parcel_id("c_nationkey", "o_custkey")
-    return j.select(
-        pid.alias("ParcelNumber"),
+    j = order_totals(spark, sf_dir).join(customers(spark, sf_dir), F.expr("o_custkey = c_custkey"))
+    pid = parcel_id_sql("c_nationkey", "o_custkey")
+    return j.selectExpr(
+        f"{pid} AS ParcelNumber",
         "TaxYear",
-        clean.zero_pad(clean.prefix(pid, 3), 3).alias("TaxDistrict"),
-        F.lit(DRIVER.default_class).alias("PropertyClass"),
+        f"{clean.zero_pad_sql(clean.prefix_sql(pid, 3), 3)} AS TaxDistrict",
+        f"{lit(DRIVER.default_class)} AS PropertyClass",
         "Amount")

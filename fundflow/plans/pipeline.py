@@ -7,12 +7,12 @@ the township study (TaxYear, TaxDistrict, PropertyClass, Municipality, Fund).
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fundflow.functions import clean, labels, text
+from fundflow.functions.sqltext import ident, in_list, lit
 from fundflow.operators import agg, combine, rates, reshape, trend
 from fundflow.plans.domain import Domain
 
@@ -88,13 +88,12 @@ def fund_wide(apportioned: DataFrame, dom: Domain,
 def exclude_pairs(df: DataFrame, dom: Domain, fund_col: str = "Fund",
                   label_col: str = "Municipality") -> DataFrame:
     """FLT-3: drop fund x municipality pairs that do not apply."""
-    conds = [(F.col(fund_col) == F.lit(f)) & F.col(label_col).isin(list(ms))
-             for f, ms in dom.excluded_pairs.items()]
+    f, m = ident(fund_col), ident(label_col)
+    conds = [f"({f} = {lit(fund)} AND {m} IN {in_list(ms)})" for fund, ms in dom.excluded_pairs.items()]
     if not conds:
         return df
-    drop = reduce(lambda a, b: a | b, conds)
     # A NULL condition keeps the row (NULL label is not in any list).
-    return df.filter(~F.coalesce(drop, F.lit(False)))
+    return df.where(f"NOT coalesce({' OR '.join(conds)}, FALSE)")
 
 
 def fund_long(wide: DataFrame, dom: Domain, value_name: str,

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundflow.functions import clean, labels, text
+from fundflow.functions.sqltext import ident
 from fundflow.operators import agg, combine, reshape, trend
 from fundflow.plans import driver as dv
 from fundflow.plans import pipeline as pl
@@ -23,7 +24,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def _round(df: DataFrame, digits: int, cols: list[str] | None = None) -> DataFrame:
     cols = cols or [c for c, t in df.dtypes if t == "double"]
-    return df.withColumns({c: F.round(c, digits) for c in cols})
+    return df.withColumns({c: F.expr(f"round({ident(c)}, {digits})") for c in cols})
 
 
 # ------------------------------------------------------------ apportion ---
@@ -129,18 +130,16 @@ def q_cross_column_total(spark, sf):
     The row total is linear, so it is pre-summed per (supplier, year) before
     the supplier join.
     """
-    li = dv.table(spark, sf, "lineitem")
-    cols = [
-        F.col("l_extendedprice"),
-        F.when(F.col("l_returnflag") != "R", F.col("l_discount")),
-        F.when(F.col("l_linestatus") != "O", F.col("l_tax")),
-        F.col("l_quantity"),
-    ]
-    pre = (li.groupBy("l_suppkey", F.year("l_shipdate").cast("int").alias("TaxYear"))
-           .agg(agg.sum_across(cols).alias("part_total")))
-    j = pre.join(dv.suppliers(spark, sf), F.col("l_suppkey") == F.col("s_suppkey"))
-    j = j.withColumn("Municipality", labels.label_by_set(clean.zero_pad("s_nationkey", 3),
-                                                        DRIVER.district_labels, DRIVER.other_label))
+    li = dv.table(spark, sf, "lineitem").selectExpr(
+        "l_suppkey", "CAST(year(l_shipdate) AS INT) AS TaxYear", "l_extendedprice",
+        "CASE WHEN l_returnflag <> 'R' THEN l_discount END AS l_discount",
+        "CASE WHEN l_linestatus <> 'O' THEN l_tax END AS l_tax", "l_quantity")
+    pre = (li.groupBy("l_suppkey", "TaxYear")
+           .agg(agg.sum_across(["l_extendedprice", "l_discount", "l_tax", "l_quantity"])
+                .alias("part_total")))
+    j = pre.join(dv.suppliers(spark, sf), F.expr("l_suppkey = s_suppkey"))
+    j = j.withColumn("TaxDistrict", clean.zero_pad("s_nationkey", 3))
+    j = j.withColumn("Municipality", pl.municipality(DRIVER))
     out = pl.county_totals(j, ["part_total"])
     return _round(out, 2)
 
@@ -153,12 +152,12 @@ def q_parcel_wide_change(spark, sf):
     """CMP-7 / RSH-2 / SCL-15: per parcel, measures by year side by side + % change."""
     # Per (customer, year) sums first: the pivot sums them again per parcel.
     totals = dv.order_totals(spark, sf, {
-        "TotalPrice": F.col("o_totalprice"),
-        "UrgentPrice": F.when(F.col("o_orderpriority") == "1-URGENT", F.col("o_totalprice"))})
-    rows = (totals.filter(F.col("TaxYear").isin(COMPARE_YEARS))
-            .join(dv.customers(spark, sf), F.col("o_custkey") == F.col("c_custkey"))
-            .select(dv.parcel_id("c_nationkey", "o_custkey").alias("ParcelNumber"),
-                    "TaxYear", "TotalPrice", "UrgentPrice"))
+        "TotalPrice": "o_totalprice",
+        "UrgentPrice": "CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice END"})
+    rows = (totals.where(f"TaxYear IN ({', '.join(map(str, COMPARE_YEARS))})")
+            .join(dv.customers(spark, sf), F.expr("o_custkey = c_custkey"))
+            .selectExpr(f"{dv.parcel_id_sql('c_nationkey', 'o_custkey')} AS ParcelNumber",
+                        "TaxYear", "TotalPrice", "UrgentPrice"))
     out = pl.parcel_year_compare(rows, "ParcelNumber", "TaxYear", ["TotalPrice", "UrgentPrice"],
                                  COMPARE_YEARS, "TotalPrice", "Total")
     money = [f"{m}_{y}" for m in ("TotalPrice", "UrgentPrice") for y in COMPARE_YEARS]
@@ -167,34 +166,37 @@ def q_parcel_wide_change(spark, sf):
 
 def q_measure_long(spark, sf):
     """RSH-1: orders wide -> long over two measures (NULL values kept)."""
-    o = dv.table(spark, sf, "orders").select(
-        "o_orderkey", F.col("o_totalprice").alias("TotalPrice"),
-        F.when(F.col("o_orderstatus") == "P", F.col("o_totalprice")).alias("PendingPrice"))
+    o = dv.table(spark, sf, "orders").selectExpr(
+        "o_orderkey", "o_totalprice AS TotalPrice",
+        "CASE WHEN o_orderstatus = 'P' THEN o_totalprice END AS PendingPrice")
     return reshape.to_long(o, ["o_orderkey"], ["TotalPrice", "PendingPrice"], "Measure", "Amount")
 
 
 # ------------------------------------------------------------ reconcile ---
+def _norm_parcel_sql(raw_sql: str) -> str:
+    """Reference normaliser: drop a trailing '-00', then every hyphen."""
+    return clean.drop_chars_sql(clean.strip_literal_suffix_sql(raw_sql, "-00"), "-")
+
+
 def _tif_parcels(spark, sf):
     o = dv.table(spark, sf, "orders")
-    raw = F.concat(dv.split_id("o_orderkey"), F.lit("-00"))
-    return o.select(clean.drop_chars(clean.strip_suffix(raw, "-00"), "-").alias("ParcelNumber"),
-                    F.year("o_orderdate").cast("int").alias("TaxYear"),
-                    F.col("o_totalprice").alias("DivertedTownship"))
+    raw = f"concat({dv.split_id_sql('o_orderkey')}, '-00')"
+    return o.selectExpr(f"{_norm_parcel_sql(raw)} AS ParcelNumber",
+                        "CAST(year(o_orderdate) AS INT) AS TaxYear",
+                        "o_totalprice AS DivertedTownship")
 
 
 def _parcel_file_rows(spark, sf):
     li = dv.table(spark, sf, "lineitem")
-    return li.select(clean.drop_chars(clean.strip_suffix(dv.split_id("l_orderkey"), "-00"), "-")
-                     .alias("ParcelNumber"),
-                     F.year("l_shipdate").cast("int").alias("TaxYear"),
-                     F.col("l_extendedprice").alias("TIFMLND"),
-                     F.col("l_quantity").alias("TIFMBLD"))
+    return li.selectExpr(f"{_norm_parcel_sql(dv.split_id_sql('l_orderkey'))} AS ParcelNumber",
+                         "CAST(year(l_shipdate) AS INT) AS TaxYear",
+                         "l_extendedprice AS TIFMLND", "l_quantity AS TIFMBLD")
 
 
 def q_parcel_prepare(spark, sf):
     """PRJ-2/3 + SCL-3/4: build parcel ids, select/rename, strip '-00' then hyphens."""
     c = dv.table(spark, sf, "customer")
-    raw = dv.parcel_id("c_nationkey", "c_custkey", clean.zero_pad(F.col("c_custkey") % 3, 2))
+    raw = dv.parcel_id("c_nationkey", "c_custkey", "=" + clean.zero_pad_sql("c_custkey % 3", 2))
     return (c.select("c_custkey", "c_acctbal", "c_mktsegment", raw.alias("ParcelRaw"))
             .withColumnsRenamed({"c_acctbal": "AccountBalance", "c_mktsegment": "Segment"})
             .withColumn("ParcelNumber", clean.drop_chars(clean.strip_suffix("ParcelRaw", "-00"), "-")))
@@ -259,14 +261,15 @@ TREND_DISTRICTS = [0, 1, 2, 3, 24]      # the labelled (township) districts, as
 
 def _value_rows(spark, sf):
     """Line values pre-summed per (supplier, year): appraised else assessed, x ratio."""
-    li = dv.table(spark, sf, "lineitem")
-    appraised = F.when(F.col("l_linestatus") != "O", F.col("l_extendedprice"))
-    assessed = F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount"))
-    pre = (li.groupBy("l_suppkey", F.year("l_shipdate").cast("int").alias("TaxYear"))
-           .agg(agg.sum0(F.lit(0.35) * F.coalesce(appraised, assessed)).alias("taxable_value")))
-    j = pre.join(dv.suppliers(spark, sf), F.col("l_suppkey") == F.col("s_suppkey"))
-    code = clean.strip_zeros_to_int(clean.zero_pad("s_nationkey", 3))
-    return j.filter(code.isin(TREND_DISTRICTS))
+    li = dv.table(spark, sf, "lineitem").selectExpr(
+        "l_suppkey", "CAST(year(l_shipdate) AS INT) AS TaxYear",
+        "CASE WHEN l_linestatus <> 'O' THEN l_extendedprice END AS appraised",
+        "l_extendedprice * (1D - l_discount) AS assessed")
+    pre = (li.groupBy("l_suppkey", "TaxYear")
+           .agg(agg.sum0(F.expr("0.35D * coalesce(appraised, assessed)")).alias("taxable_value")))
+    j = pre.join(dv.suppliers(spark, sf), F.expr("l_suppkey = s_suppkey"))
+    j = j.withColumn("TaxDistrict", clean.zero_pad("s_nationkey", 3))
+    return j.where(clean.strip_zeros_to_int("TaxDistrict").isin(TREND_DISTRICTS))
 
 
 def _value_trend(spark, sf):

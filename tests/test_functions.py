@@ -6,8 +6,13 @@ from fundflow.functions import clean, labels, text
 
 
 def one_col(spark, values, expr, typ="string"):
-    df = spark.createDataFrame([(v,) for v in values], f"x {typ}")
-    return [r[0] for r in df.select(expr(F.col("x"))).collect()]
+    """Apply a helper through both forms (column name -> SQL text, Column ->
+    function API); both must agree."""
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, x {typ}").orderBy("i")
+    by_col = [r[0] for r in df.select(expr(F.col("x"))).collect()]
+    by_name = [r[0] for r in df.select(expr("x")).collect()]
+    assert by_col == by_name, (by_col, by_name)
+    return by_col
 
 
 def test_zero_pad_never_truncates(spark):

@@ -67,6 +67,9 @@ def trim_ws(c) -> Column:
 
 def blank_to_null(c) -> Column:
     """Empty or all-blank text becomes NULL."""
+    if isinstance(c, str):
+        x = _s(c)
+        return F.expr(f"CASE WHEN {trim_ws_sql(x)} = '' THEN CAST(NULL AS STRING) ELSE {x} END")
     col = _c(c)
     return F.when(trim_ws(col) == F.lit(""), F.lit(None).cast("string")).otherwise(col)
 

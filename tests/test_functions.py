@@ -82,3 +82,7 @@ def test_col_pct_change_guarded(spark):
     df = spark.createDataFrame([(200.0, 250.0), (0.0, 5.0), (None, 5.0), (3.0, 3.15)], "b double, a double")
     got = [r[0] for r in df.select(col_pct_change("a", "b")).collect()]
     assert got == [25.0, None, None, 5.0]
+
+
+def test_blank_to_null(spark):
+    assert one_col(spark, ["", "  \t", "a", None, " b "], clean.blank_to_null) == [None, None, "a", None, " b "]

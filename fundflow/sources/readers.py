@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,32 +49,34 @@ def list_files(spark: SparkSession, path: str, pattern: str | None = None,
     return [row.path for row in r.load(path).select("path").collect()]
 
 
-def _first_line(path: str) -> str:
-    """First line of one file (local or any pyarrow-supported file system)."""
-    if path.startswith("file:"):
-        local = path[5:]
-        while local.startswith("//"):
-            local = local[1:]
-        with open(local, "rb") as fh:
-            return fh.readline().decode("utf-8-sig").rstrip("\r\n")
-    import pyarrow.fs as pafs
-    fs, inner = pafs.FileSystem.from_uri(path)
-    with fs.open_input_stream(inner) as fh:
-        buf = fh.read(1 << 16)
-    return buf.split(b"\n", 1)[0].decode("utf-8-sig").rstrip("\r")
-
-
 def peek_headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[str]]:
     """``{header line: [paths]}``; the reads run as one distributed job."""
     if not paths:
         return {}
-    files = spark.createDataFrame([(p,) for p in paths], "path string")
-    n = max(1, min(len(paths), spark.sparkContext.defaultParallelism))
 
-    def heads(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
+    def heads(batches):
+        # Self-contained (imports inside, no module globals): it is pickled by
+        # value, so executors need not have this package on their Python path.
+        import pandas as pd
+
+        def first_line(path: str) -> str:
+            if path.startswith("file:"):
+                local = path[5:]
+                while local.startswith("//"):
+                    local = local[1:]
+                with open(local, "rb") as fh:
+                    return fh.readline().decode("utf-8-sig").rstrip("\r\n")
+            import pyarrow.fs as pafs
+            fs, inner = pafs.FileSystem.from_uri(path)
+            with fs.open_input_stream(inner) as fh:
+                buf = fh.read(1 << 16)
+            return buf.split(b"\n", 1)[0].decode("utf-8-sig").rstrip("\r")
+
         for b in batches:
-            yield pd.DataFrame({"path": b["path"], "header": [_first_line(p) for p in b["path"]]})
+            yield pd.DataFrame({"path": b["path"], "header": [first_line(p) for p in b["path"]]})
 
+    files = spark.createDataFrame([(p,) for p in paths], "path string")
+    n = max(1, min(len(paths), spark.sparkContext.defaultParallelism))
     rows = (files.repartition(n).mapInPandas(heads, "path string, header string")
             .groupBy("header").agg(F.collect_list("path").alias("paths")).collect())
     return {r.header: list(r.paths) for r in rows}

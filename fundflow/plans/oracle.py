@@ -54,11 +54,16 @@ rates AS (
 )"""
 
 TIF = f"""
+tif_pre AS (
+  SELECT l_suppkey, {year('l_shipdate')} AS TaxYear, l_returnflag,
+         sum(l_extendedprice) AS Amount, count(*) AS n_rows
+  FROM lineitem GROUP BY 1, 2, 3
+),
 tif AS (
-  SELECT {year('l.l_shipdate')} AS TaxYear, {pad('s.s_nationkey')} AS TaxDistrict,
-         CASE WHEN l.l_returnflag = 'A' THEN 'A' WHEN l.l_returnflag = 'N' THEN 'N' END AS PropertyClass,
-         l.l_extendedprice AS Amount
-  FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
+  SELECT p.TaxYear, {pad('s.s_nationkey')} AS TaxDistrict,
+         CASE WHEN p.l_returnflag = 'A' THEN 'A' WHEN p.l_returnflag = 'N' THEN 'N' END AS PropertyClass,
+         p.Amount, p.n_rows
+  FROM tif_pre p JOIN supplier s ON p.l_suppkey = s.s_suppkey
 ),
 tif_app AS (
   SELECT f.TaxYear, f.TaxDistrict, {muni('f.TaxDistrict')} AS Municipality,
@@ -71,14 +76,21 @@ tif_app AS (
     ON f.TaxYear = r.TaxYear AND f.TaxDistrict = r.TaxDistrict AND f.PropertyClass = r.PropertyClass
 )"""
 
-_PID = f"{pad('c.c_nationkey')} || '-' || {pad('o.o_custkey', 6)} || '-00'"
+def _pid(cust: str) -> str:
+    return f"{pad('c.c_nationkey')} || '-' || {pad(cust, 6)} || '-00'"
+
+
+_PID = _pid("o.o_custkey")
 
 ABATE = f"""
+abate_pre AS (
+  SELECT o_custkey, {year('o_orderdate')} AS TaxYear, sum(o_totalprice) AS Amount
+  FROM orders GROUP BY 1, 2
+),
 abate AS (
-  SELECT {year('o.o_orderdate')} AS TaxYear,
-         {pad(f"substr({_PID}, 1, 3)")} AS TaxDistrict,
-         'A' AS PropertyClass, o.o_totalprice AS Amount
-  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+  SELECT p.TaxYear, {pad(f"substr({_pid('p.o_custkey')}, 1, 3)")} AS TaxDistrict,
+         'A' AS PropertyClass, p.Amount
+  FROM abate_pre p JOIN customer c ON p.o_custkey = c.c_custkey
 ),
 abate_app AS (
   SELECT f.TaxYear, f.TaxDistrict, {muni('f.TaxDistrict')} AS Municipality,
@@ -159,12 +171,17 @@ SELECT TaxYear, Fund, Municipality, LossType, round(Total_Loss, 2) AS Total_Loss
 FROM series""")
 
 _CROSS = f"""
-SELECT {year('l.l_shipdate')} AS TaxYear, {muni(pad('s.s_nationkey'))} AS Municipality,
-       round(coalesce(sum(coalesce(l.l_extendedprice, 0.0e0)
-                        + coalesce(CASE WHEN l.l_returnflag <> 'R' THEN l.l_discount END, 0.0e0)
-                        + coalesce(CASE WHEN l.l_linestatus <> 'O' THEN l.l_tax END, 0.0e0)
-                        + coalesce(l.l_quantity, 0.0e0)), 0.0e0), 2) AS Total_County_Diverted
-FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
+WITH pre AS (
+  SELECT l_suppkey, {year('l_shipdate')} AS TaxYear,
+         coalesce(sum(coalesce(l_extendedprice, 0.0e0)
+                    + coalesce(CASE WHEN l_returnflag <> 'R' THEN l_discount END, 0.0e0)
+                    + coalesce(CASE WHEN l_linestatus <> 'O' THEN l_tax END, 0.0e0)
+                    + coalesce(l_quantity, 0.0e0)), 0.0e0) AS part_total
+  FROM lineitem GROUP BY 1, 2
+)
+SELECT p.TaxYear, {muni(pad('s.s_nationkey'))} AS Municipality,
+       round(coalesce(sum(coalesce(p.part_total, 0.0e0)), 0.0e0), 2) AS Total_County_Diverted
+FROM pre p JOIN supplier s ON p.l_suppkey = s.s_suppkey
 GROUP BY 1, 2"""
 
 _YEARS = [1996, 1997, 1998]
@@ -177,15 +194,19 @@ def _wide_sql() -> str:
             cols.append(f"sum({m}) FILTER (WHERE TaxYear = {y}) AS {m}_{y}")
     outs = [f"round({m}_{y}, 2) AS {m}_{y}" for m in ("TotalPrice", "UrgentPrice") for y in _YEARS]
     for a, b in zip(_YEARS, _YEARS[1:]):
+        # "+ 0.0" turns DuckDB's -0.0 (a small negative change rounded to zero)
+        # into 0.0, as Spark's decimal-based bround returns; the value is unchanged.
         outs.append(f"CASE WHEN TotalPrice_{a} > 0 THEN round_even(100.0e0 * (TotalPrice_{b} - TotalPrice_{a})"
-                    f" / TotalPrice_{a}, 1) END AS PctChange_Total_{str(a)[-2:]}_{str(b)[-2:]}")
+                    f" / TotalPrice_{a}, 1) + 0.0e0 END AS PctChange_Total_{str(a)[-2:]}_{str(b)[-2:]}")
     return f"""
-WITH r AS (
-  SELECT {_PID} AS ParcelNumber, {year('o.o_orderdate')} AS TaxYear,
-         o.o_totalprice AS TotalPrice,
-         CASE WHEN o.o_orderpriority = '1-URGENT' THEN o.o_totalprice END AS UrgentPrice
-  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
-  WHERE {year('o.o_orderdate')} IN ({', '.join(map(str, _YEARS))})
+WITH pre AS (
+  SELECT o_custkey, {year('o_orderdate')} AS TaxYear, sum(o_totalprice) AS TotalPrice,
+         sum(CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice END) AS UrgentPrice
+  FROM orders GROUP BY 1, 2
+), r AS (
+  SELECT {_pid('p.o_custkey')} AS ParcelNumber, p.TaxYear, p.TotalPrice, p.UrgentPrice
+  FROM pre p JOIN customer c ON p.o_custkey = c.c_custkey
+  WHERE p.TaxYear IN ({', '.join(map(str, _YEARS))})
 ), w AS (
   SELECT ParcelNumber, {', '.join(cols)} FROM r GROUP BY ParcelNumber
 )
@@ -219,11 +240,14 @@ WITH m AS (
 )"""
 
 _VALUE = f"""
-WITH v AS (
-  SELECT {year('l.l_shipdate')} AS TaxYear,
-         0.35e0 * coalesce(CASE WHEN l.l_linestatus <> 'O' THEN l.l_extendedprice END,
-                          l.l_extendedprice * (1.0e0 - l.l_discount)) AS taxable_value
-  FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
+WITH pre AS (
+  SELECT l_suppkey, {year('l_shipdate')} AS TaxYear,
+         coalesce(sum(0.35e0 * coalesce(CASE WHEN l_linestatus <> 'O' THEN l_extendedprice END,
+                                       l_extendedprice * (1.0e0 - l_discount))), 0.0e0) AS taxable_value
+  FROM lineitem GROUP BY 1, 2
+), v AS (
+  SELECT p.TaxYear, p.taxable_value
+  FROM pre p JOIN supplier s ON p.l_suppkey = s.s_suppkey
   WHERE s.s_nationkey IN (0, 1, 2, 3, 24)
 ), t AS (
   SELECT TaxYear, coalesce(sum(taxable_value), 0.0e0) AS total_value FROM v GROUP BY 1
@@ -243,7 +267,8 @@ _STUB = f"{pad('s.s_nationkey')} || '-' || {pad('s.s_suppkey', 6)}"
 
 ORACLE_SQL: dict[str, str] = {
     "rate_left_join": f"""WITH {RATES}, {TIF}
-SELECT f.TaxYear, f.PropertyClass, (r.GeneralRate IS NOT NULL) AS Matched, count(*) AS n_rows
+SELECT f.TaxYear, f.PropertyClass, (r.GeneralRate IS NOT NULL) AS Matched,
+       CAST(sum(f.n_rows) AS BIGINT) AS n_rows
 FROM tif f LEFT JOIN rates r
   ON f.TaxYear = r.TaxYear AND f.TaxDistrict = r.TaxDistrict AND f.PropertyClass = r.PropertyClass
 GROUP BY 1, 2, 3""",

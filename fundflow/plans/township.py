@@ -124,11 +124,16 @@ def read_rates(spark: SparkSession, path: str, dom: Domain = TOWNSHIP) -> DataFr
     return pl.prepare_rates(sources.read_csv_text(spark, path, cols, source=None), dom)
 
 
+def _write(df: DataFrame, path: str, counts: dict, name: str) -> None:
+    """CSV output with its row count recorded during the write (SNK-4)."""
+    observed, obs = sinks.observe_rows(df, name)
+    sinks.write_csv(observed, path)
+    counts[name] = obs.get["rows"]
+
+
 def _report(df: DataFrame, out: str, prefix: str, counts: dict, name: str) -> None:
     """Total table + one folder per municipality label (capped 31-char labels)."""
-    total, obs = sinks.observe_rows(df, name)
-    sinks.write_csv(total, f"{out}/{name}/Total")
-    counts[name] = obs.get["rows"]
+    _write(df, f"{out}/{name}/Total", counts, name)
     sinks.write_split(pl.split_labels(df, "Municipality", prefix), "SheetLabel",
                       f"{out}/{name}/by_label", fmt="csv")
 
@@ -159,11 +164,12 @@ def run(spark: SparkSession, abatement_dir: str, tif_dir: str, rates_path: str,
 
     # Data-quality tables (CMP-12): rows per file, rows without a rate, bad casts.
     q = f"{out}/quality"
-    sinks.write_csv(sources.ingest_audit(tif).withColumn("Source", F.lit("TIF")).unionByName(
-        sources.ingest_audit(ab).withColumn("Source", F.lit("Abatement"))), f"{q}/rows_per_file")
-    sinks.write_csv(pl.rate_coverage(tif_rows, rates).withColumn("Source", F.lit("TIF")).unionByName(
+    _write(sources.ingest_audit(tif).withColumn("Source", F.lit("TIF")).unionByName(
+        sources.ingest_audit(ab).withColumn("Source", F.lit("Abatement"))), f"{q}/rows_per_file",
+        counts, "quality/rows_per_file")
+    _write(pl.rate_coverage(tif_rows, rates).withColumn("Source", F.lit("TIF")).unionByName(
         pl.rate_coverage(ab_rows, rates).withColumn("Source", F.lit("Abatement"))),
-        f"{q}/rate_coverage")
+        f"{q}/rate_coverage", counts, "quality/rate_coverage")
     casts = {"TIF": (tif, {"DivertedTownship": "double"}),
              "Abatement": (ab, {"ForegoneTownship": "double"})}
     bad = None
@@ -172,7 +178,7 @@ def run(spark: SparkSession, abatement_dir: str, tif_dir: str, rates_path: str,
                                 "Column", "n_bad", value_type="bigint")
                 .withColumn("Source", F.lit(label)))
         bad = part if bad is None else bad.unionByName(part)
-    sinks.write_csv(bad, f"{q}/bad_casts")
+    _write(bad, f"{q}/bad_casts", counts, "quality/bad_casts")
     _report(tif_long, out, "Final_", counts, "tif_by_fund")
     _report(ab_long, out, "Final_", counts, "abatements_by_fund")
 
@@ -183,34 +189,34 @@ def run(spark: SparkSession, abatement_dir: str, tif_dir: str, rates_path: str,
     _report(combined, out, "Combined_", counts, "combined")
 
     series = pl.loss_series(combined)
-    sinks.write_csv(pl.chart_series(series), f"{out}/chart_series")
-    sinks.write_csv(pl.invalid_loss_rows(combined), f"{out}/quality/invalid_loss_rows")
+    _write(pl.chart_series(series), f"{out}/chart_series", counts, "chart_series")
+    _write(pl.invalid_loss_rows(combined), f"{out}/quality/invalid_loss_rows", counts,
+           "quality/invalid_loss_rows")
 
     # Trends: fire rate from the rate table, TIF taxable value from the stage.
     fire = fire_rate_trend(spark, rates_path)
-    sinks.write_csv(fire, f"{out}/trends/fire_rate")
-    sinks.write_csv(trend.avg_change(fire, "pct_change_global_fire_rate"), f"{out}/trends/fire_rate_avg")
+    _write(fire, f"{out}/trends/fire_rate", counts, "trends/fire_rate")
+    _write(trend.avg_change(fire, "pct_change_global_fire_rate"), f"{out}/trends/fire_rate_avg",
+           counts, "trends/fire_rate_avg")
     if {"AppraisedTotal", "AssessedTotal"} <= set(tif.columns):
         value = tif_value_trend(tif)
-        sinks.write_csv(value, f"{out}/trends/tif_value")
-        sinks.write_csv(trend.avg_change(value, "pct_change"), f"{out}/trends/tif_value_avg")
+        _write(value, f"{out}/trends/tif_value", counts, "trends/tif_value")
+        _write(trend.avg_change(value, "pct_change"), f"{out}/trends/tif_value_avg", counts,
+               "trends/tif_value_avg")
 
     # Parcel comparison of one district over a few years (wide + long).
     cmp_cols = [c for c in COMPARE_COLUMNS if c in tif.columns]
     if "DivertedTownship" in cmp_cols:
         wide, long = pl.parcel_comparison(tif, COMPARE_DISTRICT, COMPARE_YEARS, cmp_cols,
                                           "DivertedTownship", "Township")
-        sinks.write_csv(wide, f"{out}/parcel_comparison/wide")
-        sinks.write_csv(long, f"{out}/parcel_comparison/long")
+        _write(wide, f"{out}/parcel_comparison/wide", counts, "parcel_comparison/wide")
+        _write(long, f"{out}/parcel_comparison/long", counts, "parcel_comparison/long")
 
     # Parcel files <-> TIF reconciliation.
     if parcel_dir:
         matched, unmatched = reconcile_parcels(tif, parcel_files(spark, parcel_dir))
-        m, mo = sinks.observe_rows(matched, "matched")
-        u, uo = sinks.observe_rows(unmatched, "unmatched")
-        sinks.write_csv(m, f"{out}/reconcile/matched")
-        sinks.write_csv(u, f"{out}/reconcile/unmatched")
-        counts["matched"], counts["unmatched"] = mo.get["rows"], uo.get["rows"]
+        _write(matched, f"{out}/reconcile/matched", counts, "matched")
+        _write(unmatched, f"{out}/reconcile/unmatched", counts, "unmatched")
 
     present = [c for c in COUNTY_COLUMNS if c in tif.columns]
     typed_tif = tif.withColumns({

@@ -61,6 +61,8 @@ def test_counts(outputs):
     assert counts["tif_by_fund"] == 15
     assert counts["abatements_by_fund"] == 55
     assert counts["combined"] == 65
+    assert counts["chart_series"] == 2 * 65 and counts["quality/invalid_loss_rows"] == 6
+    assert counts["trends/fire_rate"] == 4 and counts["parcel_comparison/wide"] == 2
 
 
 def test_parcel_suffix_stripped(spark, outputs, capsys):

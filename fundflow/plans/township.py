@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from fundflow import sources
 from fundflow.functions import clean
+from fundflow.operators import rates as rates_op
 from fundflow.operators import reshape, sinks
 from fundflow.plans import pipeline as pl
 from fundflow.operators import trend
@@ -143,6 +144,10 @@ def run(spark: SparkSession, abatement_dir: str, tif_dir: str, rates_path: str,
         parcel_dir: str | None = None) -> dict[str, int]:
     """Run all stages; returns the row count of each written table."""
     counts: dict[str, int] = {}
+    # Validate the (small) rate table before any heavy work: unique
+    # (year, district, class) keeps the left joins from fanning out fact rows.
+    rates = read_rates(spark, rates_path, dom)
+    rates_op.assert_unique(rates, pl.KEY)
     ab = gather(spark, abatement_dir, ABATEMENT_PATTERN, scope)
     tif = gather(spark, tif_dir, TIF_PATTERN, scope, strip_parcel_suffix=True)
     # Stage tables partitioned by tax year: later year-scoped reads prune folders.
@@ -153,7 +158,6 @@ def run(spark: SparkSession, abatement_dir: str, tif_dir: str, rates_path: str,
     counts["abatements_all_years"] = ab.count()
     counts["tifs_all_years"] = tif.count()
 
-    rates = read_rates(spark, rates_path, dom)
     tif_rows, ab_rows = pl.tif_fact(tif, dom), pl.abatement_fact(ab, dom)
     tif_long = pl.fund_summary(
         pl.apportion_sum_rates(tif_rows, rates, dom, "DivertedTownship"),

@@ -124,3 +124,13 @@ def test_side_analyses(spark, outputs):
     wide = spark.read.option("header", True).csv(f"{out}/parcel_comparison/wide")
     assert "PctChange_Township_22_23" in wide.columns and "DivertedTownship_2024" in wide.columns
     assert wide.count() == 2
+
+
+def test_duplicate_rate_keys_are_rejected(spark, tmp_path):
+    rows = tw.rate_rows()
+    path = str(tmp_path / "rates.csv")
+    write_csv(path, tw.RATE_COLS, rows + rows[:1])
+    empty = tmp_path / "none"
+    empty.mkdir()
+    with pytest.raises(ValueError, match="not unique"):
+        job.run(spark, str(empty), str(empty), path, scratch_path(spark, "dup_rates"))

@@ -32,10 +32,13 @@ def test_read_many_aligns_by_name(spark):
 def test_skip_bad_lines(spark):
     d = tempfile.mkdtemp(prefix="ff-bad-")
     p = os.path.join(d, "Parcel2023.csv")
-    write(p, 'A,B,C,D\n1,2,3,4\n1,2,3,4,5\n7,8\n"x,y",b,c,d\n')
+    write(p, 'A,B,C,D\n1,2,3,4\n1,2,3,4,5\n7,8\n"x,y",b,c,d\n9,9,9,9,\n')
     df = sources.read_csv_text(spark, p, ["A", "B", "C", "D"], skip_bad_lines=True, source=None)
     rows = sorted(df.collect(), key=lambda r: r.A)
-    assert [tuple(r) for r in rows] == [("1", "2", "3", "4"), ("7", "8", None, None), ("x,y", "b", "c", "d")]
+    # Known divergence from pandas: a line whose only extra field is empty
+    # ("9,9,9,9,") reads like a full line and is kept.
+    assert [tuple(r) for r in rows] == [("1", "2", "3", "4"), ("7", "8", None, None),
+                                        ("9", "9", "9", "9"), ("x,y", "b", "c", "d")]
 
 
 def test_na_token_and_typed(spark):

@@ -215,6 +215,12 @@ def run(spark: SparkSession, abatement_dir: str, tif_dir: str, rates_path: str,
                                           "DivertedTownship", "Township")
         _write(wide, f"{out}/parcel_comparison/wide", counts, "parcel_comparison/wide")
         _write(long, f"{out}/parcel_comparison/long", counts, "parcel_comparison/long")
+        # (parcel, year) pairs that occur more than once were summed in the wide
+        # form; each raw row gives one long row per amount type, so one type's
+        # rows are the raw rows.
+        one_type = long.where(F.col("DivertedType") == F.lit(cmp_cols[0]))
+        _write(rates_op.duplicate_keys(one_type, ["ParcelNumber", "TaxYear"]),
+               f"{q}/parcel_comparison_duplicates", counts, "quality/parcel_comparison_duplicates")
 
     # Parcel files <-> TIF reconciliation.
     if parcel_dir:

@@ -63,6 +63,7 @@ def test_counts(outputs):
     assert counts["combined"] == 65
     assert counts["chart_series"] == 2 * 65 and counts["quality/invalid_loss_rows"] == 6
     assert counts["trends/fire_rate"] == 4 and counts["parcel_comparison/wide"] == 2
+    assert counts["quality/parcel_comparison_duplicates"] == 0
 
 
 def test_parcel_suffix_stripped(spark, outputs, capsys):

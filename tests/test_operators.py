@@ -116,7 +116,8 @@ def test_parcel_comparison_and_value_trend(spark):
     from fundflow.plans import township as job
     rows = [("027-1", "2022", "027", "$1,000.00", "$5"), ("027-1", "2023", "27", "$1,250.00", None),
             ("027-1", "2024", "027", "$1,000.00", "$7"), ("027-2", "2022", "027", "0", "1"),
-            ("027-2", "2023", "027", "10", "1"), ("170-9", "2022", "170", "99", "1")]
+            ("027-2", "2023", "027", "10", "1"), ("170-9", "2022", "170", "99", "1"),
+            ("027-2", "2023", "027", "5", None)]
     tif = spark.createDataFrame(rows, "ParcelNumber string, TaxYear string, TaxDistrict string, "
                                       "DivertedTownship string, DivertedZoo string")
     wide, long = pl.parcel_comparison(tif, "027", [2022, 2023, 2024], ["DivertedTownship", "DivertedZoo"],
@@ -126,8 +127,9 @@ def test_parcel_comparison_and_value_trend(spark):
     assert got["027-1"].PctChange_Township_22_23 == 25.0
     assert got["027-1"].PctChange_Township_23_24 == -20.0
     assert got["027-2"].PctChange_Township_22_23 is None          # base 0: guarded
+    assert got["027-2"].DivertedTownship_2023 == 15.0             # duplicate (parcel, year) summed
     assert got["027-1"].DivertedZoo_2023 is None
-    assert long.count() == 5 * 2
+    assert long.count() == 6 * 2
 
     vals = [("2014", "170", "100", "50"), ("2014", "0027", None, "40"), ("2017", "67", "300", None),
             ("2017", "999", "1000", "1000"), ("2016", "170", "5", "5"), ("2020", None, "1", "1")]

@@ -150,12 +150,10 @@ COMPARE_YEARS = [1996, 1997, 1998]
 
 def q_parcel_wide_change(spark, sf):
     """CMP-7 / RSH-2 / SCL-15: per parcel, measures by year side by side + % change."""
-    # Per (customer, year) sums first: the pivot sums them again per parcel.
-    totals = dv.order_totals(spark, sf, {
-        "TotalPrice": "o_totalprice",
-        "UrgentPrice": "CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice END"})
-    rows = (totals.where(f"TaxYear IN ({', '.join(map(str, COMPARE_YEARS))})")
-            .join(dv.customers(spark, sf), F.expr("o_custkey = c_custkey"))
+    rows = (dv.order_rows(spark, sf, {
+                "TotalPrice": "o_totalprice",
+                "UrgentPrice": "CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice END"})
+            .where(f"TaxYear IN ({', '.join(map(str, COMPARE_YEARS))})")
             .selectExpr(f"{dv.parcel_id_sql('c_nationkey', 'o_custkey')} AS ParcelNumber",
                         "TaxYear", "TotalPrice", "UrgentPrice"))
     out = pl.parcel_year_compare(rows, "ParcelNumber", "TaxYear", ["TotalPrice", "UrgentPrice"],

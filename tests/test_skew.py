@@ -1,4 +1,5 @@
-"""Whole results under a hot key: one supplier and one order hold most line items.
+"""Whole results under hot keys: one supplier and one order hold most line items,
+one customer holds half of the orders.
 
 The driver's smallest tables are copied to a scratch folder with extra line
 items all pointing at one supplier and one order (well over a third of the
@@ -20,7 +21,8 @@ from scripts.check_oracle import digest
 SRC = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
 HOT_QUERIES = ["fund_long_filtered", "combined_loss", "cross_column_total", "reconcile_matched",
-               "reconcile_unmatched", "parcel_wide_change", "yearly_value_total", "rate_left_join"]
+               "reconcile_unmatched", "parcel_wide_change", "yearly_value_total", "rate_left_join",
+               "apportion_total_rate", "abatement_long"]
 pytestmark = pytest.mark.skipif(not os.path.isdir(SRC), reason="driver tables not present")
 
 
@@ -36,6 +38,14 @@ def skewed_dir(tmp_path_factory):
             hot = hot.set_column(hot.schema.get_field_index("l_orderkey"), "l_orderkey",
                                  pa.array([hot_order] * tab.num_rows, pa.int64()))
             tab = pa.concat_tables([tab, hot, hot])
+        if t == "orders":
+            hot_cust = pc.min(tab["o_custkey"]).as_py()
+            offset = pc.max(tab["o_orderkey"]).as_py() + 1
+            hot = tab.set_column(tab.schema.get_field_index("o_custkey"), "o_custkey",
+                                 pa.array([hot_cust] * tab.num_rows, pa.int64()))
+            hot = hot.set_column(hot.schema.get_field_index("o_orderkey"), "o_orderkey",
+                                 pc.add(hot["o_orderkey"], offset))
+            tab = pa.concat_tables([tab, hot])
         pq.write_table(tab, f"{d}/{t}.parquet")
     return str(d)
 
@@ -51,6 +61,10 @@ def con(skewed_dir):
 def test_hot_key_share(con):
     total, hot = con.execute("SELECT count(*), count(*) FILTER (WHERE l_suppkey = 0) FROM lineitem").fetchone()
     assert hot * 3 > total
+    total, hot = con.execute(
+        "SELECT (SELECT count(*) FROM orders), max(n) "
+        "FROM (SELECT count(*) AS n FROM orders GROUP BY o_custkey)").fetchone()
+    assert hot * 3 > total
 
 
 @pytest.mark.parametrize("name", HOT_QUERIES)

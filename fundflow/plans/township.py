@@ -30,10 +30,9 @@ from pyspark.sql import functions as F
 
 from fundflow import sources
 from fundflow.functions import clean
+from fundflow.operators import combine, reshape, sinks, trend
 from fundflow.operators import rates as rates_op
-from fundflow.operators import reshape, sinks
 from fundflow.plans import pipeline as pl
-from fundflow.operators import trend
 from fundflow.plans.domain import (
     ASSESSMENT_RATIO, TOWNSHIP, TOWNSHIP_SCOPE, TOWNSHIP_TREND_DISTRICTS, TOWNSHIP_TREND_YEARS, Domain,
 )
@@ -54,10 +53,9 @@ COMPARE_COLUMNS = ["DivertedTownship", "DivertedParks", "DivertedCityVillage", "
                    "DivertedChildren", "DivertedLibrary"]
 
 
-def normalise_parcel(col, strip_suffix: bool = True):
+def normalise_parcel(col: str, strip_suffix: bool = True):
     """Parcel id key: drop the '-00' suffix (optional) then every hyphen."""
-    c = clean.strip_suffix(col, "-00") if strip_suffix else F.col(col) if isinstance(col, str) else col
-    return clean.drop_chars(c, "-")
+    return clean.drop_chars(clean.strip_suffix(col, "-00") if strip_suffix else col, "-")
 
 
 def parcel_files(spark: SparkSession, folder: str, pattern: str = PARCEL_PATTERN,
@@ -73,7 +71,6 @@ def parcel_files(spark: SparkSession, folder: str, pattern: str = PARCEL_PATTERN
 
 def reconcile_parcels(tif: DataFrame, parcels: DataFrame) -> tuple[DataFrame, DataFrame]:
     """TIF rows matched to parcel-file rows on (parcel, year), and the rest."""
-    from fundflow.operators import combine
     t = tif.withColumns({"ParcelNumber": normalise_parcel("ParcelNumber"),
                          "TaxYear": clean.to_int("TaxYear")})
     return combine.reconcile(t, parcels.drop("SourceFile"), ["ParcelNumber", "TaxYear"])

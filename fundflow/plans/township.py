@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundflow import sources
+from fundflow.sources import schemas
 from fundflow.functions import clean
 from fundflow.operators import combine, reshape, sinks, trend
 from fundflow.operators import rates as rates_op
@@ -171,8 +172,11 @@ def run(spark: SparkSession, abatement_dir: str, tif_dir: str, rates_path: str,
     _write(pl.rate_coverage(tif_rows, rates).withColumn("Source", F.lit("TIF")).unionByName(
         pl.rate_coverage(ab_rows, rates).withColumn("Source", F.lit("Abatement"))),
         f"{q}/rate_coverage", counts, "quality/rate_coverage")
-    casts = {"TIF": (tif, {"DivertedTownship": "double"}),
-             "Abatement": (ab, {"ForegoneTownship": "double"})}
+    # Every typed column the files carry (TaxYear is already typed in the stage).
+    casts = {"TIF": (tif, schemas.present(sources.TIF_TYPES, tif.columns)),
+             "Abatement": (ab, schemas.present(sources.ABATEMENT_TYPES, ab.columns))}
+    casts = {k: (df, {c: t for c, t in types.items() if c != "TaxYear"})
+             for k, (df, types) in casts.items()}
     bad = None
     for label, (raw, types) in casts.items():
         part = (reshape.to_long(sources.bad_cast_counts(raw, types), [], list(types),

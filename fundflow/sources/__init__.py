@@ -4,3 +4,4 @@ from fundflow.sources.readers import (  # noqa: F401
     all_string_schema, bad_cast_counts, files_for_years, ingest_audit, list_files, missing_sources,
     peek_headers, read_csv_text, read_many, read_parquet_many, source_file, typed, year_from_name,
 )
+from fundflow.sources.schemas import ABATEMENT_TYPES, RATE_TYPES, TIF_TYPES  # noqa: F401

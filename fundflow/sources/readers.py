@@ -174,10 +174,14 @@ def read_parquet_many(spark: SparkSession, paths: Sequence[str] | str, source: s
 def typed(df: DataFrame, schema: dict[str, str]) -> DataFrame:
     """Cast text columns to types without raising: bad text -> NULL.
 
-    Integers go through double so '2014.0' -> 2014; doubles treat NaN as NULL.
+    Integers go through double so '2014.0' -> 2014; doubles treat NaN as NULL;
+    ``"number"`` parses decorated text ('$1,234.50' -> 1234.5).
     """
     out = {}
     for c, t in schema.items():
+        if t == "number":
+            out[c] = clean.parse_number(c)
+            continue
         if t in ("int", "integer", "bigint", "long", "smallint"):
             out[c] = clean.to_int(c, t)
         elif t in ("double", "float"):
@@ -191,7 +195,9 @@ def bad_cast_counts(raw: DataFrame, typed_df_cols: dict[str, str]) -> DataFrame:
     """Per column: values present as text but NULL after casting (one pass)."""
     aggs = []
     for c, t in typed_df_cols.items():
-        if t in ("int", "integer", "bigint", "long", "smallint"):
+        if t == "number":
+            conv = clean.parse_number(c)
+        elif t in ("int", "integer", "bigint", "long", "smallint"):
             conv = clean.to_int(c, t)
         elif t in ("double", "float"):
             conv = clean.to_num(c).try_cast(t)

@@ -97,3 +97,14 @@ def test_year_subset_opens_only_named_years(spark):
     assert sorted(int(r.TaxYear) for r in df.collect()) == [2014, 2017, 2020]
     assert sources.files_for_years(["/a/Parcel2019.csv", "/a/x.csv", "/a/Parcel2020.csv"], [2020]) == \
         ["/a/Parcel2020.csv"]
+
+
+def test_typed_number_and_schemas(spark):
+    df = spark.createDataFrame([("$1,234.50", "12", "x"), ("n/a", "7.0", "y")],
+                               "DivertedLibrary string, TaxYear string, Township string")
+    types = sources.schemas.present(sources.TIF_TYPES, df.columns)
+    assert types == {"DivertedLibrary": "number", "TaxYear": "int"}
+    rows = sources.typed(df, types).collect()
+    assert [(r.DivertedLibrary, r.TaxYear, r.Township) for r in rows] == [(1234.5, 12, "x"), (None, 7, "y")]
+    bad = sources.bad_cast_counts(df, types).first()
+    assert (bad.DivertedLibrary, bad.TaxYear) == (1, 0)

@@ -56,3 +56,23 @@ def test_stream_matches_batch_and_resumes(spark):
     for k in e:
         assert g[k] == pytest.approx(e[k], abs=1e-9)
     assert batch_raw.count() == 9
+
+
+def test_abatement_stream_equals_golden(spark):
+    inbox = tempfile.mkdtemp(prefix="ff-abate-inbox-")
+    out = scratch_path(spark, "abate_stream_out")
+    ckpt = scratch_path(spark, "abate_stream_ckpt")
+    cols = ["TaxYear", "ParcelNumber", "ForegoneTownship"]
+    for half, keep in (("A", lambda y: y < 2020), ("B", lambda y: y >= 2020)):
+        with open(os.path.join(inbox, f"AbatementDetails-{half}.csv"), "w", newline="") as fh:
+            w = csv.writer(fh)
+            w.writerow(cols)
+            w.writerows([(y, p, "NA" if a is None else f"{a:.2f}") for y, p, a in tw.ABATEMENTS if keep(y)])
+    rates = pl.prepare_rates(tw.raw_rates(spark), TOWNSHIP)
+    raw = streaming.read_yearly_stream(spark, inbox, cols, pattern="AbatementDetails*.csv")
+    q = streaming.start_summary(streaming.abatement_fund_stream(raw, rates, TOWNSHIP), TOWNSHIP,
+                                "Forgone_Revenue_Abatements", out, ckpt)
+    q.awaitTermination(120)
+    got = spark.read.parquet(out)
+    assert got.count() == 55
+    assert got.agg(F.sum("Forgone_Revenue_Abatements")).first()[0] == pytest.approx(341842.29, abs=1e-6)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundflow import sources
-from fundflow.operators import sinks
+from fundflow.operators import reshape, sinks
 from fundflow.plans import driver as dv
 from fundflow.plans import pipeline as pl
 from fundflow.plans import queries as q
@@ -42,9 +42,11 @@ def q_ingest_by_name(spark: SparkSession, sf: str) -> DataFrame:
     return sources.typed(raw, {"c_custkey": "bigint", "c_nationkey": "int", "c_acctbal": "double"})
 
 
-def q_typed_scan(spark: SparkSession, sf: str) -> DataFrame:
-    """SRC-2 / SRC-3 / SCL-7: 'NA' tokens, text years like '2014.0' and junk, typed
-    without errors."""
+_SUPPLIER_TYPES = {"s_suppkey": "bigint", "s_nationkey": "int", "s_acctbal": "double", "SinceYear": "int"}
+
+
+def _supplier_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Supplier exported with 'NA' tokens and text years ('2014.0', junk), read back as text."""
     path = scratch_path(spark, "typed_scan")
     s = dv.table(spark, sf, "supplier")
     k = F.col("s_suppkey") % 4
@@ -54,9 +56,19 @@ def q_typed_scan(spark: SparkSession, sf: str) -> DataFrame:
                          F.when(F.col("s_acctbal") >= 0, F.col("s_acctbal")).alias("s_acctbal"),
                          since.alias("SinceYear")), path)
     cols = ["s_suppkey", "s_name", "s_nationkey", "s_acctbal", "SinceYear"]
-    raw = sources.read_csv_text(spark, path, cols, null_token="NA", source=None)
-    return sources.typed(raw, {"s_suppkey": "bigint", "s_nationkey": "int",
-                               "s_acctbal": "double", "SinceYear": "int"})
+    return sources.read_csv_text(spark, path, cols, null_token="NA", source=None)
+
+
+def q_typed_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """SRC-2 / SRC-3 / SCL-7: 'NA' tokens, text years like '2014.0' and junk, typed
+    without errors."""
+    return sources.typed(_supplier_text(spark, sf), _SUPPLIER_TYPES)
+
+
+def q_bad_casts(spark: SparkSession, sf: str) -> DataFrame:
+    """CMP-12: per column, values present as text that did not cast (one pass)."""
+    counts = sources.bad_cast_counts(_supplier_text(spark, sf), _SUPPLIER_TYPES)
+    return reshape.to_long(counts, [], list(_SUPPLIER_TYPES), "Column", "n_bad", value_type="bigint")
 
 
 def q_bad_line_skip(spark: SparkSession, sf: str) -> DataFrame:
@@ -131,6 +143,7 @@ IO_QUERIES = {
     "stage_handoff": q_stage_handoff,
     "ingest_by_name": q_ingest_by_name,
     "typed_scan": q_typed_scan,
+    "bad_casts": q_bad_casts,
     "bad_line_skip": q_bad_line_skip,
     "year_from_file": q_year_from_file,
     "ingest_audit": q_ingest_audit,

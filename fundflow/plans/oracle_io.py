@@ -18,6 +18,11 @@ SELECT s_suppkey, s_name, s_nationkey, CASE WHEN s_acctbal >= 0 THEN s_acctbal E
        CASE s_suppkey % 4 WHEN 0 THEN 2014 WHEN 1 THEN NULL
             ELSE CAST(1990 + s_suppkey % 30 AS INTEGER) END AS SinceYear
 FROM supplier""",
+    "bad_casts": """
+SELECT 's_suppkey' AS "Column", CAST(0 AS BIGINT) AS n_bad
+UNION ALL SELECT 's_nationkey', CAST(0 AS BIGINT)
+UNION ALL SELECT 's_acctbal', CAST(0 AS BIGINT)
+UNION ALL SELECT 'SinceYear', count(*) FILTER (WHERE s_suppkey % 4 = 1) FROM supplier""",
     "bad_line_skip": """
 SELECT n_nationkey, n_name, CASE WHEN n_nationkey % 7 = 3 THEN NULL ELSE n_regionkey END AS n_regionkey
 FROM nation""",

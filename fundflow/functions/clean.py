@@ -168,3 +168,24 @@ def parse_number(c) -> Column:
         return F.expr(f"try_cast(nullif(replace({hit}, ',', ''), '') AS DOUBLE)")
     hit = F.regexp_extract(c.cast("string"), NUMBER_PATTERN, 0)
     return F.nullif(F.regexp_replace(hit, ",", ""), F.lit("")).try_cast("double")
+
+
+def year_in_sql(col: str, years) -> str:
+    """Pushable SQL predicate equivalent to ``year(col) IN years``.
+
+    A function of the column cannot reach the Parquet reader; plain ranges on
+    the raw date/timestamp can (row groups outside them are skipped).
+    Consecutive years merge into one range: ``[y0-01-01, y1+1-01-01)``.
+    """
+    ys = sorted({int(y) for y in years})
+    if not ys:
+        return "FALSE"
+    runs, start, prev = [], ys[0], ys[0]
+    for y in ys[1:]:
+        if y != prev + 1:
+            runs.append((start, prev))
+            start = y
+        prev = y
+    runs.append((start, prev))
+    x = ident(col)
+    return " OR ".join(f"({x} >= '{a:04d}-01-01' AND {x} < '{b + 1:04d}-01-01')" for a, b in runs)

@@ -152,8 +152,8 @@ def q_parcel_wide_change(spark, sf):
     """CMP-7 / RSH-2 / SCL-15: per parcel, measures by year side by side + % change."""
     rows = (dv.order_rows(spark, sf, {
                 "TotalPrice": "o_totalprice",
-                "UrgentPrice": "CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice END"})
-            .where(f"TaxYear IN ({', '.join(map(str, COMPARE_YEARS))})")
+                "UrgentPrice": "CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice END"},
+                years=COMPARE_YEARS)
             .selectExpr(f"{dv.parcel_id_sql('c_nationkey', 'o_custkey')} AS ParcelNumber",
                         "TaxYear", "TotalPrice", "UrgentPrice"))
     out = pl.parcel_year_compare(rows, "ParcelNumber", "TaxYear", ["TotalPrice", "UrgentPrice"],
@@ -218,9 +218,11 @@ def q_reconcile_unmatched(spark, sf):
 TRIENNIAL_YEARS = [1995, 1998, 2001]
 
 
-def _orders_by_priority(spark, sf):
-    return dv.table(spark, sf, "orders").select(
-        "o_orderpriority", F.year("o_orderdate").cast("int").alias("TaxYear"), "o_totalprice")
+def _orders_by_priority(spark, sf, years=None):
+    o = dv.table(spark, sf, "orders")
+    if years is not None:                       # pushable date ranges, not year(...) IN
+        o = o.where(clean.year_in_sql("o_orderdate", years))
+    return o.selectExpr("o_orderpriority", "CAST(year(o_orderdate) AS INT) AS TaxYear", "o_totalprice")
 
 
 def q_mean_by_group(spark, sf):
@@ -231,13 +233,13 @@ def q_mean_by_group(spark, sf):
 
 def q_mean_of_means(spark, sf):
     """AGG-5 + FLT-2: triennial years, unweighted mean of per-priority means."""
-    o = _orders_by_priority(spark, sf).filter(F.col("TaxYear").isin(TRIENNIAL_YEARS))
+    o = _orders_by_priority(spark, sf, TRIENNIAL_YEARS)
     return _round(agg.mean_of_means(o, ["TaxYear"], ["o_orderpriority"], "o_totalprice",
                                     "avg_price", "global_avg_price"), 6)
 
 
 def _rate_trend(spark, sf):
-    return pl.rate_trend(_orders_by_priority(spark, sf), "o_orderpriority", "TaxYear",
+    return pl.rate_trend(_orders_by_priority(spark, sf, TRIENNIAL_YEARS), "o_orderpriority", "TaxYear",
                          "o_totalprice", TRIENNIAL_YEARS, "avg_price", "global_avg_price",
                          "pct_change")
 

@@ -86,3 +86,14 @@ def test_col_pct_change_guarded(spark):
 
 def test_blank_to_null(spark):
     assert one_col(spark, ["", "  \t", "a", None, " b "], clean.blank_to_null) == [None, None, "a", None, " b "]
+
+
+def test_year_in_sql_ranges(spark):
+    assert clean.year_in_sql("d", [2014, 2015, 2017]) == (
+        "(`d` >= '2014-01-01' AND `d` < '2016-01-01') OR (`d` >= '2017-01-01' AND `d` < '2018-01-01')")
+    assert clean.year_in_sql("d", []) == "FALSE"
+    df = spark.sql("SELECT explode(sequence(TIMESTAMP_NTZ'2013-12-31 23:59:59', "
+                   "TIMESTAMP_NTZ'2018-01-01 00:00:00', INTERVAL 12 HOURS)) AS d")
+    a = df.where(clean.year_in_sql("d", [2014, 2015, 2017])).count()
+    b = df.where(F.year("d").isin(2014, 2015, 2017)).count()
+    assert a == b > 0

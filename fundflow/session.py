@@ -49,15 +49,20 @@ def build_session(master: str | None = None, app: str = "fundflow",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (tests, a laptop) a private
-    scratch folder is created and registered, so lineage cuts and stage
-    tables never land on a machine-local path on a real cluster.
+    Read from the session; only when it is unset *and* the master is local
+    (tests, a laptop) a private scratch folder is created and registered. On
+    a cluster an unset value is an error, so lineage cuts, stage tables and
+    streaming checkpoints never land on a machine-local path.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         jdir = spark.sparkContext.getCheckpointDir()
         root = jdir if jdir else None
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            # A machine-local folder is not shared by executors: refuse.
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) "
+                               "for stage tables and streaming checkpoints")
         root = tempfile.mkdtemp(prefix="fundflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if not spark.sparkContext.getCheckpointDir():

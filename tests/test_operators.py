@@ -140,3 +140,11 @@ def test_parcel_comparison_and_value_trend(spark):
     assert out[2014].total_tif_value == pytest.approx(0.35 * 140)
     assert out[2017].total_tif_value == pytest.approx(0.35 * 300)
     assert out[2017].pct_change == pytest.approx((300 / 140 - 1) * 100)
+
+
+def test_checkpoint_root_reads_session_setting(spark):
+    from fundflow.session import checkpoint_root, scratch_path
+    root = checkpoint_root(spark)
+    assert root == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+    p1, p2 = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert p1 != p2 and p1.startswith(root + "/fundflow/x-")

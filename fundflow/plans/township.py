@@ -131,9 +131,15 @@ def _write(df: DataFrame, path: str, counts: dict, name: str) -> None:
 
 
 def _report(df: DataFrame, out: str, prefix: str, counts: dict, name: str) -> None:
-    """Total table + one folder per municipality label (capped 31-char labels)."""
-    _write(df, f"{out}/{name}/Total", counts, name)
-    sinks.write_split(pl.split_labels(df, "Municipality", prefix), "SheetLabel",
+    """Total table + one folder per municipality label (capped 31-char labels).
+
+    The split reads the written total back instead of recomputing the report,
+    so both outputs hold the same values.
+    """
+    total_path = f"{out}/{name}/Total"
+    _write(df, total_path, counts, name)
+    total = df.sparkSession.read.option("header", True).schema(df.schema).csv(total_path)
+    sinks.write_split(pl.split_labels(total, "Municipality", prefix), "SheetLabel",
                       f"{out}/{name}/by_label", fmt="csv")
 
 

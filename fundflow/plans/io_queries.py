@@ -74,19 +74,19 @@ def q_bad_casts(spark: SparkSession, sf: str) -> DataFrame:
 def q_bad_line_skip(spark: SparkSession, sf: str) -> DataFrame:
     """SRC-4: lines with too many fields dropped, short lines kept with NULLs."""
     path = scratch_path(spark, "bad_line_skip")
-    n = dv.table(spark, sf, "nation")
-    k = F.col("n_nationkey")
-    good = F.when(k % 7 == 3, F.concat_ws(",", k, "n_name")).otherwise(
-        F.concat_ws(",", k, "n_name", "n_regionkey"))
-    bad = F.concat_ws(",", k, "n_name", "n_regionkey", F.lit("junk"))
-    lines = n.select(good.alias("value")).unionByName(n.filter(k % 5 == 0).select(bad.alias("value")))
+    c = dv.table(spark, sf, "customer")
+    k = F.col("c_custkey")
+    good = F.when(k % 7 == 3, F.concat_ws(",", k, "c_name")).otherwise(
+        F.concat_ws(",", k, "c_name", "c_nationkey"))
+    bad = F.concat_ws(",", k, "c_name", "c_nationkey", F.lit("junk"))
+    lines = c.select(good.alias("value")).unionByName(c.filter(k % 5 == 0).select(bad.alias("value")))
     # One text column named after the header line, written with a delimiter
     # that never occurs: every part file starts with the header, lines stay raw.
-    (lines.select(F.col("value").alias("n_nationkey,n_name,n_regionkey"))
+    (lines.select(F.col("value").alias("c_custkey,c_name,c_nationkey"))
      .write.mode("overwrite").option("header", True).option("sep", "|").csv(path))
-    raw = sources.read_csv_text(spark, path, ["n_nationkey", "n_name", "n_regionkey"],
+    raw = sources.read_csv_text(spark, path, ["c_custkey", "c_name", "c_nationkey"],
                                 skip_bad_lines=True, source=None)
-    return sources.typed(raw, {"n_nationkey": "int", "n_regionkey": "int"})
+    return sources.typed(raw, {"c_custkey": "bigint", "c_nationkey": "int"})
 
 
 def _orders_by_year_export(spark: SparkSession, sf: str) -> str:
@@ -115,10 +115,11 @@ def q_ingest_audit(spark: SparkSession, sf: str) -> DataFrame:
 def q_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """SNK-1: header CSV written (overwrite) and read back typed."""
     path = scratch_path(spark, "csv_roundtrip")
-    sinks.write_csv(dv.table(spark, sf, "region"), path, null_token="NA")
-    sinks.write_csv(dv.table(spark, sf, "region"), path, null_token="NA")  # overwrite
-    raw = sources.read_csv_text(spark, path, ["r_regionkey", "r_name"], source=None)
-    return sources.typed(raw, {"r_regionkey": "int"})
+    part = dv.table(spark, sf, "part")
+    sinks.write_csv(part, path, null_token="NA")
+    sinks.write_csv(part, path, null_token="NA")           # second write overwrites the first
+    raw = sources.read_csv_text(spark, path, part.columns, source=None)
+    return sources.typed(raw, {"p_partkey": "bigint", "p_size": "int", "p_retailprice": "double"})
 
 
 def q_split_report(spark: SparkSession, sf: str) -> DataFrame:

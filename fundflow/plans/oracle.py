@@ -358,11 +358,10 @@ FROM (SELECT c_custkey,
     "scope_filter": f"""
 SELECT c_custkey, c_name, trim(({_PADDED}), {_WS}) AS Segment
 FROM customer WHERE trim(({_PADDED}), {_WS}) = 'BUILDING'""",
-    "alias_expand": f"""WITH {RATES}
-SELECT TaxYear, TaxDistrict, PropertyClass, round(GeneralRate, 6) AS GeneralRate,
-       round(FireRate, 6) AS FireRate, round(RoadRate, 6) AS RoadRate,
-       round(TotalTownshipMillage, 6) AS TotalTownshipMillage
-FROM rates""",
+    "alias_expand": f"""
+SELECT s_suppkey, {pad('s_nationkey')} AS TaxDistrict FROM supplier
+UNION ALL
+SELECT s_suppkey, '024' AS TaxDistrict FROM supplier WHERE {pad('s_nationkey')} = '023'""",
     "distinct_dims": f"""
 SELECT DISTINCT Dimension, Value FROM (
   SELECT 'priority' AS Dimension, o_orderpriority AS Value FROM orders

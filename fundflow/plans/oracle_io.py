@@ -24,15 +24,15 @@ UNION ALL SELECT 's_nationkey', CAST(0 AS BIGINT)
 UNION ALL SELECT 's_acctbal', CAST(0 AS BIGINT)
 UNION ALL SELECT 'SinceYear', count(*) FILTER (WHERE s_suppkey % 4 = 1) FROM supplier""",
     "bad_line_skip": """
-SELECT n_nationkey, n_name, CASE WHEN n_nationkey % 7 = 3 THEN NULL ELSE n_regionkey END AS n_regionkey
-FROM nation""",
+SELECT c_custkey, c_name, CASE WHEN c_custkey % 7 = 3 THEN NULL ELSE c_nationkey END AS c_nationkey
+FROM customer""",
     "year_from_file": f"""
 SELECT o_orderkey, o_totalprice, 'Orders=' || CAST({_Y} AS VARCHAR) AS SourceFile, {_Y} AS TaxYear
 FROM orders""",
     "ingest_audit": f"""
 SELECT 'Orders=' || CAST({_Y} AS VARCHAR) AS SourceFile, count(*) AS n_rows, {_Y} AS TaxYear
 FROM orders GROUP BY {_Y}""",
-    "csv_roundtrip": "SELECT r_regionkey, r_name FROM region",
+    "csv_roundtrip": "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part",
     "stage_handoff": COMBINED + """
 SELECT TaxYear, Municipality, Fund, round(Taxes_Diverted_TIF, 2) AS Taxes_Diverted_TIF,
        round(Forgone_Revenue_Abatements, 2) AS Forgone_Revenue_Abatements,

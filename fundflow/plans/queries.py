@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from fundflow.functions import clean, labels, text
 from fundflow.functions.sqltext import ident
 from fundflow.operators import agg, combine, reshape, trend
+from fundflow.operators.rates import expand_alias
 from fundflow.plans import driver as dv
 from fundflow.plans import pipeline as pl
 from fundflow.plans.domain import DRIVER
@@ -343,8 +344,11 @@ def q_scope_filter(spark, sf):
 
 
 def q_alias_expand(spark, sf):
-    """SET-2: rate table with alias rows (unique on its key)."""
-    return _round(dv.rates(spark, sf), 6)
+    """SET-2: alias-key expansion over supplier districts (rows of the source
+    district copied under the alias); grows with the supplier table."""
+    s = dv.table(spark, sf, "supplier").select(
+        "s_suppkey", clean.zero_pad("s_nationkey", 3).alias("TaxDistrict"))
+    return expand_alias(s, "TaxDistrict", DRIVER.rate_aliases)
 
 
 def q_distinct_dims(spark, sf):

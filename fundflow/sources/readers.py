@@ -77,9 +77,12 @@ def peek_headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[st
 
     files = spark.createDataFrame([(p,) for p in paths], "path string")
     n = max(1, min(len(paths), spark.sparkContext.defaultParallelism))
-    rows = (files.repartition(n).mapInPandas(heads, "path string, header string")
-            .groupBy("header").agg(F.collect_list("path").alias("paths")).collect())
-    return {r.header: list(r.paths) for r in rows}
+    # One (path, header) row per file comes back: file metadata the driver
+    # needs anyway to read each header group; no single-task grouping.
+    groups: dict[str, list[str]] = {}
+    for r in files.repartition(n).mapInPandas(heads, "path string, header string").collect():
+        groups.setdefault(r.header, []).append(r.path)
+    return groups
 
 
 def _split_header(line: str, sep: str) -> list[str]:

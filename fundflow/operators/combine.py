@@ -27,21 +27,27 @@ def outer_combine(left: DataFrame, right: DataFrame, keys: Sequence[str],
     if clash:
         raise ValueError(f"value columns on both sides: {sorted(clash)}")
     types = dict(left.dtypes) | dict(right.dtypes)
-    null = {c: f"CAST(NULL AS {types[c]}) AS {ident(c)}" for c in lvals + rvals}
-    l = left.selectExpr(*map(ident, keys), *map(ident, lvals), *[null[c] for c in rvals])
-    r = right.selectExpr(*map(ident, keys), *[null[c] for c in lvals], *map(ident, rvals))
     vals = lvals + rvals
+
+    def side(present: list[str]) -> str:
+        cols = [ident(c) if c in present else f"CAST(NULL AS {types[c]}) AS {ident(c)}" for c in vals]
+        return ", ".join([*map(ident, keys), *cols])
+
     # ``sum`` keeps the side's value (only one non-NULL per key) and is
     # partial-aggregatable; ``max`` does for non-numeric columns.
     numeric = ("double", "float", "int", "bigint")
-    aggs = [F.expr(f"{'sum' if types[c] in numeric else 'max'}({ident(c)})").alias(c) for c in vals]
-    out = l.unionByName(r).groupBy(*keys).agg(*aggs)
-    if fill is not None:
-        out = out.withColumns({c: F.expr(f"coalesce({ident(c)}, CAST({fill!r} AS {types[c]}))")
-                               for c in vals})
+    aggs = ", ".join(f"{'sum' if types[c] in numeric else 'max'}({ident(c)}) AS {ident(c)}" for c in vals)
+    grouped = (f"SELECT {', '.join(map(ident, keys))}, {aggs} FROM ("
+               f"SELECT {side(lvals)} FROM {{l}} UNION ALL SELECT {side(rvals)} FROM {{r}}) "
+               f"GROUP BY {', '.join(map(ident, keys))}")
+    filled = [f"coalesce({ident(c)}, CAST({fill!r} AS {types[c]})) AS {ident(c)}" if fill is not None
+              else ident(c) for c in vals]
+    out = [*map(ident, keys), *filled]
     if total:
-        out = out.withColumn(total, F.expr(" + ".join(ident(c) for c in vals)))
-    return out
+        out.append(" + ".join(f"coalesce({ident(c)}, CAST({fill!r} AS {types[c]}))" if fill is not None
+                              else ident(c) for c in vals) + f" AS {ident(total)}")
+    # One parameterised statement: a single JVM round trip for the whole plan.
+    return left.sparkSession.sql(f"SELECT {', '.join(out)} FROM ({grouped})", l=left, r=right)
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:

@@ -20,8 +20,12 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     Beyond the bound the plain DataFrame is returned and the join falls back
     to a shuffle join (AQE may still convert it once real sizes are known).
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if is_small(df, max_rows) else df
+
+
+def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (stops reading beyond the bound)."""
+    return df.limit(max_rows + 1).count() <= max_rows
 
 
 def expand_alias(rates: DataFrame, key: str, aliases: Mapping[str, str]) -> DataFrame:
@@ -76,19 +80,28 @@ def apportion(fact: DataFrame, rates: DataFrame, keys: Sequence[str], amount: st
     tables from sources without statistics).
     """
     rate_cols = list(dict.fromkeys(list(funds.values()) + ([total] if total else [])))
-    r = rates.select(*keys, *rate_cols)
-    if broadcast_rows:
-        r = broadcast_if_small(r, broadcast_rows)
-    joined = fact.join(r, list(keys), "left")
-    denom = ident(total) if total else "(" + " + ".join(ident(c) for c in funds.values()) + ")"
-    out = {}
+
+    def f(c: str) -> str:
+        return f"f.{ident(c)}"
+
+    def r(c: str) -> str:
+        return f"r.{ident(c)}"
+
+    denom = r(total) if total else "(" + " + ".join(r(c) for c in funds.values()) + ")"
+    shares = []
     for fund, rate_col in funds.items():
-        share = f"{ident(amount)} * try_divide({ident(rate_col)}, {denom})"
+        share = f"{f(amount)} * try_divide({r(rate_col)}, {denom})"
         if gated and fund in gated:
             code_col, codes = gated[fund]
-            share = f"CASE WHEN {ident(code_col)} IN {in_list(codes)} THEN {share} ELSE 0D END"
-        out[f"{out_prefix}{fund}"] = F.expr(share)
-    res = joined.withColumns(out)
-    if not keep_rates:
-        res = res.drop(*[c for c in rate_cols if c not in fact.columns])
-    return res
+            share = f"CASE WHEN {f(code_col)} IN {in_list(codes)} THEN {share} ELSE 0D END"
+        shares.append(f"{share} AS {ident(out_prefix + fund)}")
+    cols = [f(c) for c in keys] + [f(c) for c in fact.columns if c not in keys]
+    if keep_rates:
+        cols += [r(c) for c in rate_cols if c not in fact.columns]
+    hint = "/*+ BROADCAST(r) */ " if broadcast_rows and is_small(rates, broadcast_rows) else ""
+    on = " AND ".join(f"{f(k)} = {r(k)}" for k in keys)
+    rate_side = f"SELECT {', '.join(map(ident, [*keys, *rate_cols]))} FROM {{rates}}"
+    # One parameterised statement: a single JVM round trip for the whole plan.
+    return fact.sparkSession.sql(
+        f"SELECT {hint}{', '.join(cols + shares)} FROM {{fact}} f LEFT JOIN ({rate_side}) r ON {on}",
+        fact=fact, rates=rates)

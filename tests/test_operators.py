@@ -148,3 +148,21 @@ def test_checkpoint_root_reads_session_setting(spark):
     assert root == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     p1, p2 = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert p1 != p2 and p1.startswith(root + "/fundflow/x-")
+
+
+def test_apportion_counted_broadcast_hint(spark, capsys):
+    fact = spark.createDataFrame([(2020, "170", "R", 100.0)],
+                                 "TaxYear int, TaxDistrict string, PropertyClass string, amt double")
+    rt = spark.createDataFrame([(2020, "170", "R", 1.0, 3.0)],
+                               "TaxYear int, TaxDistrict string, PropertyClass string, g double, f double")
+    keys = ["TaxYear", "TaxDistrict", "PropertyClass"]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rates.apportion(fact, rt, keys, "amt", {"G": "g", "F": "f"}, broadcast_rows=10).explain()
+        assert "BroadcastHashJoin" in capsys.readouterr().out
+        rates.apportion(fact, rt, keys, "amt", {"G": "g", "F": "f"}).explain()
+        assert "BroadcastHashJoin" not in capsys.readouterr().out
+        out = rates.apportion(fact, rt, keys, "amt", {"G": "g", "F": "f"}, keep_rates=True).first()
+        assert (out.Lost_G, out.Lost_F, out.g) == (25.0, 75.0, 1.0)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -13,7 +13,8 @@
 3. No list is expanded into all its pairs. In a *hub round* each list offers the
    pairs of one member, drawn anew each round, with the others; lists whose
    members are all in one component are done. When few pairs between different
-   components are left (or a round brought no link), those are taken as they are.
+   components are left (``FEW`` by row of the lists; or a round brought no link), those are
+   taken as they are.
    A link inside a component can't change the components.
 4. A pair is kept if the estimate from the union's sketch (the k smallest of
    both sketches, and which of them are in both) is not far below the threshold
@@ -42,6 +43,8 @@ from fundflow.llm.components import components
 SKETCH = 64
 SHARE = 0.45
 MARGIN = 0.3
+#: Pairs between components, by row of the lists, that are taken as they are.
+FEW = 4
 #: Word hashes that a worker keeps.
 WORDS = 1_000_000
 
@@ -146,7 +149,7 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, k: int = S
     links = spark.createDataFrame([], "a long, b long")
     tried = links
     linked = links.toDF("node", "component")
-    turn, gained = 0, True
+    turn, gained, n_lists = 0, True, lists.count()
     while True:
         member = (lists.join(linked.toDF("rep", "component"), "rep", "left")
                   .withColumn("component", F.coalesce("component", "rep")))
@@ -154,12 +157,12 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, k: int = S
         of = member.groupBy("value", "component").agg(F.count("*").alias("c"))
         open_ = (of.groupBy("value").agg(F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("cc"))
                  .where("c * c > cc"))
-        left, rows = open_.selectExpr("sum(c * c - cc) / 2", "sum(c)").first()
+        left = open_.selectExpr("sum(c * c - cc) / 2").first()[0]
         if not left:
             break
         open_ = open_.select("value")
         member = member.join(open_, "value", "left_semi")
-        last = not gained or left <= 4 * rows
+        last = not gained or left <= FEW * n_lists
         if last:
             other = member.selectExpr("value", "rep hub", "n hub_n", "component hub_component")
             pairs = member.join(other, "value").where(f"component <> hub_component and rep < hub and {size}")

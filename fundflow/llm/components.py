@@ -9,7 +9,7 @@ it goes back to them by a join that can split a node with very many links.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from fundflow.llm.common import staged
@@ -27,9 +27,12 @@ def components(links: DataFrame) -> DataFrame:
         large = both.where("v > u").join(least, "u").selectExpr("v u", "m v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")
-        edges = staged(small.selectExpr("v u", "m v").where("u <> v").union(least.selectExpr("u", "m v")).distinct(),
-                       "links")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        new = small.selectExpr("v u", "m v").where("u <> v").union(least.selectExpr("u", "m v")).distinct()
+        # Taken while the links are written: how many, and a sum that tells them from others.
+        seen = Observation()
+        edges = staged(new.observe(seen, F.count(F.lit(1)).alias("n"),
+                                   F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum")), "links")
+        now = seen.get
         if now == last:
             return edges.selectExpr("u node", "v component")
         last = now

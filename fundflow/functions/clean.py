@@ -34,8 +34,14 @@ def trim_ws_sql(x: str) -> str:
     return f"btrim({x}, {_WS_SQL})"
 
 
+# Fixed value: text that is a number. A plain cast also takes what Java takes
+# ('12d', '1f'), which is junk in a data file.
+NUMERIC_TEXT = "^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$|^[+-]?([Ii]nf|[Ii]nfinity)$"
+
+
 def to_num_sql(x: str) -> str:
-    return f"nanvl(try_cast({trim_ws_sql(f'CAST({x} AS STRING)')} AS DOUBLE), CAST(NULL AS DOUBLE))"
+    t = trim_ws_sql(f"CAST({x} AS STRING)")
+    return f"CASE WHEN {t} RLIKE {lit(NUMERIC_TEXT)} THEN try_cast({t} AS DOUBLE) END"
 
 
 def zero_pad_sql(x: str, width: int = 3) -> str:
@@ -131,10 +137,11 @@ def nan_to_null(c) -> Column:
 
 
 def to_num(c) -> Column:
-    """Text -> double; unparsable text, blanks and NaN become NULL (no error)."""
+    """Text -> double; other text (blanks, NaN, a Java suffix as in '12d') becomes NULL (no error)."""
     if isinstance(c, str):
         return F.expr(to_num_sql(_s(c)))
-    return nan_to_null(trim_ws(c.cast("string")).try_cast("double"))
+    t = trim_ws(c.cast("string"))
+    return F.when(t.rlike(NUMERIC_TEXT), t.try_cast("double"))
 
 
 def to_int(c, int_type: str = "int") -> Column:
@@ -155,10 +162,10 @@ def strip_zeros_to_int(c) -> Column:
     return to_int(c)
 
 
-# Fixed value: the leading number inside decorated text such as
-# '$1,234.50 USD' or '(12%)' (optional minus, digits with grouping commas,
-# optional decimal point and digits).
-NUMBER_PATTERN = r"-?[0-9][0-9,]*[.]?[0-9]*"
+# Fixed value: the first number inside decorated text such as '$1,234.50 USD',
+# '(12%)', '$.50' or '1e3' (optional minus, digits with grouping commas and
+# optional decimals, or a leading point; optional exponent).
+NUMBER_PATTERN = r"-?([0-9][0-9,]*[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?"
 
 
 def parse_number(c) -> Column:

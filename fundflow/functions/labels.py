@@ -1,7 +1,7 @@
 """Recoding helpers: code lists to labels, unknown codes to NULL or 'Other'.
 
 Short maps compile to a CASE expression (stays inside whole-stage codegen).
-For long maps use ``operators.rates.broadcast_if_small`` with a dimension table.
+For long maps join a dimension table; the planner broadcasts it by its size.
 """
 
 from __future__ import annotations

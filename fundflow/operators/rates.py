@@ -8,26 +8,6 @@ from pyspark.sql import functions as F
 
 from fundflow.functions.sqltext import ident, in_list, lit
 
-# A dimension is broadcast only after this many rows have been proven absent.
-DEFAULT_BROADCAST_ROWS = 100_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only if it has at most ``max_rows`` rows.
-
-    The check is ``limit(max_rows + 1).count()``: it stops reading as soon as
-    the bound is exceeded, so it is cheap for both tiny and huge tables.
-    Beyond the bound the plain DataFrame is returned and the join falls back
-    to a shuffle join (AQE may still convert it once real sizes are known).
-    """
-    return F.broadcast(df) if is_small(df, max_rows) else df
-
-
-def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (stops reading beyond the bound)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def expand_alias(rates: DataFrame, key: str, aliases: Mapping[str, str]) -> DataFrame:
     """Copy the rows of each source key under an alias key: ``{alias: source}``.
 
@@ -61,8 +41,7 @@ def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
 def apportion(fact: DataFrame, rates: DataFrame, keys: Sequence[str], amount: str,
               funds: Mapping[str, str], total: str | None = None,
               gated: Mapping[str, tuple[str, Sequence[str]]] | None = None,
-              out_prefix: str = "Lost_", broadcast_rows: int | None = None,
-              keep_rates: bool = False) -> DataFrame:
+              out_prefix: str = "Lost_", keep_rates: bool = False) -> DataFrame:
     """Left-join ``fact`` to ``rates`` on ``keys`` and split ``amount`` over funds.
 
     ``funds`` maps fund name -> rate column. The denominator is the ``total``
@@ -72,12 +51,10 @@ def apportion(fact: DataFrame, rates: DataFrame, keys: Sequence[str], amount: st
     where no rate matched. Division never raises: a zero or missing
     denominator yields NULL, which NULL-skipping sums then ignore.
 
-    Join strategy: by default no hint is given. A rate table is small by
-    construction (years x districts x classes), Spark's planner broadcasts it
-    from its size statistics (``autoBroadcastJoinThreshold``) and AQE re-plans
-    from the real size at run time; beyond the threshold it stays a shuffle
-    join. Pass ``broadcast_rows`` to force a counted check instead (for rate
-    tables from sources without statistics).
+    Join strategy: no hint. A rate table is small by construction (years x
+    districts x classes); Spark's planner broadcasts it from its size
+    statistics (``autoBroadcastJoinThreshold``, in bytes) and AQE re-plans from
+    the real size at run time; beyond the threshold it stays a shuffle join.
     """
     rate_cols = list(dict.fromkeys(list(funds.values()) + ([total] if total else [])))
 
@@ -98,10 +75,9 @@ def apportion(fact: DataFrame, rates: DataFrame, keys: Sequence[str], amount: st
     cols = [f(c) for c in keys] + [f(c) for c in fact.columns if c not in keys]
     if keep_rates:
         cols += [r(c) for c in rate_cols if c not in fact.columns]
-    hint = "/*+ BROADCAST(r) */ " if broadcast_rows and is_small(rates, broadcast_rows) else ""
     on = " AND ".join(f"{f(k)} = {r(k)}" for k in keys)
     rate_side = f"SELECT {', '.join(map(ident, [*keys, *rate_cols]))} FROM {{rates}}"
     # One parameterised statement: a single JVM round trip for the whole plan.
     return fact.sparkSession.sql(
-        f"SELECT {hint}{', '.join(cols + shares)} FROM {{fact}} f LEFT JOIN ({rate_side}) r ON {on}",
+        f"SELECT {', '.join(cols + shares)} FROM {{fact}} f LEFT JOIN ({rate_side}) r ON {on}",
         fact=fact, rates=rates)

@@ -9,33 +9,59 @@ from pyspark.sql import functions as F
 def write_csv(df: DataFrame, path: str, null_token: str = "", mode: str = "overwrite") -> None:
     """Delimited output with a header (overwrite by default)."""
     (df.write.mode(mode).option("header", True).option("nullValue", null_token)
-     .option("emptyValue", '""').csv(path))
+     .option("emptyValue", '""').option("escape", '"').csv(path))
+
+
+FOLDER = "Folder"
+
+
+def unique_folders(df: DataFrame, label_col: str, key_col: str, out: str = FOLDER) -> DataFrame:
+    """A folder name for each row: its label, or, where labels of different keys became equal (they
+    are cut), the label with a digest of the key behind it. Only the distinct pairs are compared."""
+    pairs = df.select(key_col, label_col).distinct()
+    named = pairs.select(
+        F.col(key_col).alias("_key"),
+        F.expr(f"CASE WHEN count(1) OVER (PARTITION BY `{label_col}`) > 1 THEN concat(`{label_col}`, '_', "
+               f"substring(md5(coalesce(CAST(`{key_col}` AS STRING), '')), 1, 8)) ELSE `{label_col}` END").alias(out))
+    return df.join(named, F.col(key_col).eqNullSafe(F.col("_key")), "left").drop("_key")
 
 
 def write_split(df: DataFrame, label_col: str, path: str, fmt: str = "parquet",
-                mode: str = "overwrite") -> None:
-    """'One output per label' in a single pass: ``path/<label_col>=<label>/``.
+                mode: str = "overwrite", key_col: str | None = None) -> DataFrame:
+    """'One output per label' in a single pass: ``path/<label_col>=<label>/``; returns what was written.
+
+    With ``key_col`` (what the labels were made from) the folders are
+    ``path/Folder=<name>/`` of :func:`unique_folders`, and the label stays a
+    column: two keys whose cut labels are equal don't share a folder.
 
-    The ``rebalance`` hint clusters rows by label before the write, so a label
-    lands in few files instead of one per input partition, while AQE splits a
-    label that holds a large share of the rows over several tasks and
+    The ``rebalance`` hint clusters rows by folder before the write, so a folder
+    lands in few files instead of one per input partition, while AQE splits one
+    that holds a large share of the rows over several tasks and
     coalesces the small ones (a hot label is never funnelled into one task).
     """
-    (df.hint("rebalance", label_col).write.mode(mode).partitionBy(label_col)
+    by = label_col
+    if key_col is not None:
+        df, by = unique_folders(df, label_col, key_col), FOLDER
+    (df.hint("rebalance", by).write.mode(mode).partitionBy(by)
      .option("header", True).format(fmt).save(path))
+    return df
 
 
 def write_stage(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
     """Materialise a stage as Parquet in shared storage and read it back.
 
     Cuts lineage (a lost executor recomputes from the stage table, not from
-    the raw files) and is the hand-off between pipeline stages.
+    the raw files) and is the hand-off between pipeline stages. With
+    ``partition_by`` rows are clustered first, so a folder gets few files. What
+    is read back has the columns, in order, and the types of ``df``: a padded
+    code as partition key stays text.
     """
-    w = df.write.mode("overwrite")
+    out = df.hint("rebalance", *partition_by) if partition_by else df
+    w = out.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def observe_rows(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:

@@ -8,8 +8,10 @@ Row meaning is carried over, not the data:
              supplier nation, class = return flag (R has none), amount =
              extended price. Ship year 2001 has no rates on purpose.
 * abatement  orders joined to their customer: a parcel id
-             ``<nation>-<custkey>-00`` whose prefix is the district, year =
-             order year, class constant, amount = total price.
+             ``<nation>-<custkey>-00`` whose prefix is the district, tax year =
+             the year after the order's (so the first TIF year and the last
+             abatement year have no partner in the combine), class constant,
+             amount = total price.
 
 Large-scale notes: the TIF fact is pre-aggregated to (supplier, year, flag)
 *before* the supplier join (the apportioned shares are linear in the amount),
@@ -36,19 +38,9 @@ RATE_CLASSES = ("A", "N")
 NATION_WITHOUT_RATES = 24
 
 
-_SCHEMAS: dict[str, object] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet table; its footer schema is read once per path and then passed
-    explicitly, so repeated reads plan without a schema-inference job."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    schema = _SCHEMAS.get(path)
-    if schema is None:
-        df = spark.read.parquet(path)
-        _SCHEMAS[path] = df.schema
-        return df
-    return spark.read.schema(schema).parquet(path)
+    """A given Parquet table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def parcel_id_sql(district: str, key: str, suffix: str | None = "00", width: int = 6) -> str:
@@ -158,7 +150,7 @@ def abatement_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     pid = parcel_id_sql("c_nationkey", "o_custkey")
     return j.selectExpr(
         f"{pid} AS ParcelNumber",
-        "TaxYear",
+        "TaxYear + 1 AS TaxYear",
         f"{clean.zero_pad_sql(clean.prefix_sql(pid, 3), 3)} AS TaxDistrict",
         f"{lit(DRIVER.default_class)} AS PropertyClass",
         "Amount")

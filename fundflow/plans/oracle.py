@@ -54,16 +54,11 @@ rates AS (
 )"""
 
 TIF = f"""
-tif_pre AS (
-  SELECT l_suppkey, {year('l_shipdate')} AS TaxYear, l_returnflag,
-         sum(l_extendedprice) AS Amount, count(*) AS n_rows
-  FROM lineitem GROUP BY 1, 2, 3
-),
 tif AS (
-  SELECT p.TaxYear, {pad('s.s_nationkey')} AS TaxDistrict,
-         CASE WHEN p.l_returnflag = 'A' THEN 'A' WHEN p.l_returnflag = 'N' THEN 'N' END AS PropertyClass,
-         p.Amount, p.n_rows
-  FROM tif_pre p JOIN supplier s ON p.l_suppkey = s.s_suppkey
+  SELECT {year('l.l_shipdate')} AS TaxYear, {pad('s.s_nationkey')} AS TaxDistrict,
+         CASE WHEN l.l_returnflag = 'A' THEN 'A' WHEN l.l_returnflag = 'N' THEN 'N' END AS PropertyClass,
+         l.l_extendedprice AS Amount, 1 AS n_rows
+  FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
 ),
 tif_app AS (
   SELECT f.TaxYear, f.TaxDistrict, {muni('f.TaxDistrict')} AS Municipality,
@@ -84,7 +79,7 @@ _PID = _pid("o.o_custkey")
 
 ABATE = f"""
 abate AS (
-  SELECT {year('o.o_orderdate')} AS TaxYear,
+  SELECT {year('o.o_orderdate')} + 1 AS TaxYear,
          {pad(f"substr({_PID}, 1, 3)")} AS TaxDistrict,
          'A' AS PropertyClass, o.o_totalprice AS Amount
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
@@ -168,17 +163,12 @@ SELECT TaxYear, Fund, Municipality, LossType, round(Total_Loss, 2) AS Total_Loss
 FROM series""")
 
 _CROSS = f"""
-WITH pre AS (
-  SELECT l_suppkey, {year('l_shipdate')} AS TaxYear,
-         coalesce(sum(coalesce(l_extendedprice, 0.0e0)
-                    + coalesce(CASE WHEN l_returnflag <> 'R' THEN l_discount END, 0.0e0)
-                    + coalesce(CASE WHEN l_linestatus <> 'O' THEN l_tax END, 0.0e0)
-                    + coalesce(l_quantity, 0.0e0)), 0.0e0) AS part_total
-  FROM lineitem GROUP BY 1, 2
-)
-SELECT p.TaxYear, {muni(pad('s.s_nationkey'))} AS Municipality,
-       round(coalesce(sum(coalesce(p.part_total, 0.0e0)), 0.0e0), 2) AS Total_County_Diverted
-FROM pre p JOIN supplier s ON p.l_suppkey = s.s_suppkey
+SELECT {year('l.l_shipdate')} AS TaxYear, {muni(pad('s.s_nationkey'))} AS Municipality,
+       round(coalesce(sum(coalesce(l_extendedprice, 0.0e0)
+                        + coalesce(CASE WHEN l_returnflag <> 'R' THEN l_discount END, 0.0e0)
+                        + coalesce(CASE WHEN l_linestatus <> 'O' THEN l_tax END, 0.0e0)
+                        + coalesce(l_quantity, 0.0e0)), 0.0e0), 2) AS Total_County_Diverted
+FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
 GROUP BY 1, 2"""
 
 _YEARS = [1996, 1997, 1998]
@@ -235,14 +225,11 @@ WITH m AS (
 )"""
 
 _VALUE = f"""
-WITH pre AS (
-  SELECT l_suppkey, {year('l_shipdate')} AS TaxYear,
-         coalesce(sum(0.35e0 * coalesce(CASE WHEN l_linestatus <> 'O' THEN l_extendedprice END,
-                                       l_extendedprice * (1.0e0 - l_discount))), 0.0e0) AS taxable_value
-  FROM lineitem GROUP BY 1, 2
-), v AS (
-  SELECT p.TaxYear, p.taxable_value
-  FROM pre p JOIN supplier s ON p.l_suppkey = s.s_suppkey
+WITH v AS (
+  SELECT {year('l.l_shipdate')} AS TaxYear,
+         0.35e0 * coalesce(CASE WHEN l_linestatus <> 'O' THEN l_extendedprice END,
+                           l_extendedprice * (1.0e0 - l_discount)) AS taxable_value
+  FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
   WHERE s.s_nationkey IN (0, 1, 2, 3, 24)
 ), t AS (
   SELECT TaxYear, coalesce(sum(taxable_value), 0.0e0) AS total_value FROM v GROUP BY 1
@@ -256,7 +243,7 @@ _WS = "' ' || chr(9) || chr(13) || chr(10) || chr(12) || chr(11)"
 _PADDED = ("CASE c_custkey % 3 WHEN 0 THEN c_mktsegment || chr(9) "
            "WHEN 1 THEN '  ' || c_mktsegment || chr(10) ELSE c_mktsegment END")
 
-_NUM = r"-?[0-9][0-9,]*\.?[0-9]*"
+_NUM = r"-?([0-9][0-9,]*[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?"
 
 _STUB = f"{pad('s.s_nationkey')} || '-' || {pad('s.s_suppkey', 6)}"
 
@@ -312,12 +299,11 @@ FROM (SELECT c_custkey, c_acctbal AS AccountBalance, c_mktsegment AS Segment,
     "reconcile_matched": _RECON + """
 SELECT t.ParcelNumber, t.TaxYear, t.DivertedTownship, p.TIFMLND, p.TIFMBLD
 FROM tifp t JOIN parc p
-  ON t.ParcelNumber IS NOT DISTINCT FROM p.ParcelNumber AND t.TaxYear IS NOT DISTINCT FROM p.TaxYear""",
+  ON t.ParcelNumber = p.ParcelNumber AND t.TaxYear = p.TaxYear""",
     "reconcile_unmatched": _RECON + """
 SELECT t.* FROM tifp t
 WHERE NOT EXISTS (SELECT 1 FROM parc p
-                  WHERE p.ParcelNumber IS NOT DISTINCT FROM t.ParcelNumber
-                    AND p.TaxYear IS NOT DISTINCT FROM t.TaxYear)""",
+                  WHERE p.ParcelNumber = t.ParcelNumber AND p.TaxYear = t.TaxYear)""",
     "mean_by_group": f"""
 SELECT o_orderpriority, {year('o_orderdate')} AS TaxYear, round(avg(o_totalprice), 6) AS avg_price
 FROM orders WHERE o_orderpriority IS NOT NULL AND o_orderdate IS NOT NULL
@@ -334,6 +320,30 @@ FROM t""",
 SELECT TaxYear, round(total_value, 2) AS total_value, round(pct_change, 6) AS pct_change,
        round(total_value / 1e6, 6) AS total_value_millions
 FROM p""",
+    "trend_panels": _MEANS + ", " + _VALUE.split("WITH", 1)[1].replace("t AS (", "vt AS (").replace("FROM t", "FROM vt") + """
+SELECT TaxYear AS Year, round(global_avg_price, 6) AS Value, round(pct_change, 6) AS PctChange,
+       CASE WHEN pct_change IS NOT NULL THEN format('{:.2f}', round(pct_change, 6)) || '%' END AS PctText,
+       'Global average rate by triennial year' AS Title, 'Global average rate by triennial year.png' AS FileName
+FROM t
+UNION ALL
+SELECT TaxYear, round(total_value / 1e6, 6), round(pct_change, 6),
+       CASE WHEN pct_change IS NOT NULL THEN format('{:.2f}', round(pct_change, 6)) || '%' END,
+       'Taxable value of TIF parcels by year', 'Taxable value of TIF parcels by year.png'
+FROM p""",
+    "rate_coverage": f"""WITH {RATES}, {ABATE}
+SELECT f.TaxYear, f.PropertyClass, count(*) AS n_rows, count(*) FILTER (WHERE r.TaxYear IS NULL) AS n_unmatched
+FROM abate f LEFT JOIN rates r
+  ON f.TaxYear = r.TaxYear AND f.TaxDistrict = r.TaxDistrict AND f.PropertyClass = r.PropertyClass
+GROUP BY 1, 2""",
+    "parcel_long": f"""
+WITH r AS (
+  SELECT {_PID} AS ParcelNumber, {year('o.o_orderdate')} AS TaxYear, round(o.o_totalprice, 2) AS TotalPrice,
+         CASE WHEN o.o_orderpriority = '1-URGENT' THEN round(o.o_totalprice, 2) END AS UrgentPrice
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+  WHERE c.c_nationkey = 5 AND {year('o.o_orderdate')} IN (1996, 1997, 1998)
+)
+SELECT ParcelNumber, TaxYear, 'TotalPrice' AS DivertedType, TotalPrice AS Amount FROM r
+UNION ALL SELECT ParcelNumber, TaxYear, 'UrgentPrice', UrgentPrice FROM r""",
     "recode_class": """
 SELECT CASE WHEN l_returnflag = 'A' THEN 'A' WHEN l_returnflag = 'N' THEN 'N' END AS PropertyClass,
        count(*) AS n_rows
@@ -348,16 +358,23 @@ SELECT s.s_suppkey, n.n_name, {pad('s.s_nationkey')} AS DistrictCode,
        CAST(TRY_CAST(substr({_STUB}, 1, 3) AS DOUBLE) AS INTEGER) AS DistrictInt
 FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey""",
     "multi_col_clean": """
-SELECT c_custkey, AcctText, KeyText,
+SELECT c_custkey, AcctText, KeyText, OddText,
        TRY_CAST(replace(regexp_extract(AcctText, '""" + _NUM + """', 0), ',', '') AS DOUBLE) AS AcctValue,
-       TRY_CAST(replace(regexp_extract(KeyText, '""" + _NUM + """', 0), ',', '') AS DOUBLE) AS KeyValue
+       TRY_CAST(replace(regexp_extract(KeyText, '""" + _NUM + """', 0), ',', '') AS DOUBLE) AS KeyValue,
+       CASE c_custkey % 5 WHEN 0 THEN 0.5e0 WHEN 1 THEN -(c_custkey % 10) / 10.0e0 WHEN 2 THEN c_custkey * 1000.0e0
+            WHEN 3 THEN CAST(CAST(c_custkey AS VARCHAR) || '.5e-1' AS DOUBLE) END AS OddValue
 FROM (SELECT c_custkey,
              '$' || format('{:,.2f}', c_acctbal) || ' USD' AS AcctText,
-             '#' || format('{:,.0f}', CAST(c_custkey AS DOUBLE)) AS KeyText
+             '#' || format('{:,.0f}', CAST(c_custkey AS DOUBLE)) AS KeyText,
+             CASE c_custkey % 5 WHEN 0 THEN '$.50' WHEN 1 THEN '-.' || (c_custkey % 10)
+                  WHEN 2 THEN 'about ' || c_custkey || 'e3 each' WHEN 3 THEN '(' || c_custkey || '.5e-1%)'
+                  ELSE 'none' END AS OddText
       FROM customer)""",
     "scope_filter": f"""
-SELECT c_custkey, c_name, trim(({_PADDED}), {_WS}) AS Segment
-FROM customer WHERE trim(({_PADDED}), {_WS}) = 'BUILDING'""",
+SELECT c_custkey, c_name, trim(({_PADDED}), {_WS}) AS Segment, 'with' AS Input
+FROM customer WHERE trim(({_PADDED}), {_WS}) = 'BUILDING'
+UNION ALL
+SELECT c_custkey, c_name, NULL, 'without' FROM customer""",
     "alias_expand": f"""
 SELECT s_suppkey, {pad('s_nationkey')} AS TaxDistrict FROM supplier
 UNION ALL

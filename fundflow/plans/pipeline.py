@@ -34,6 +34,14 @@ def municipality(dom: Domain, district: str = "TaxDistrict") -> Column:
     return labels.label_by_set(district, dom.district_labels, dom.other_label)
 
 
+def in_scope(df: DataFrame, column: str, value: str | None) -> DataFrame:
+    """FLT-1 / FLT-6: rows whose trimmed ``column`` is ``value``; all rows if the input has no such
+    column (or no value is asked for)."""
+    if value is None or column not in df.columns:
+        return df
+    return df.filter(clean.trim_ws(column) == F.lit(value))
+
+
 # ------------------------------------------------------------- apportion ---
 def apportion_sum_rates(fact: DataFrame, rate_table: DataFrame, dom: Domain,
                         amount: str) -> DataFrame:
@@ -153,6 +161,20 @@ def chart_series(series: DataFrame, tif_type: str = "Taxes_Diverted_TIF") -> Dat
             .withColumn("LossText", text.currency_text(F.round("Total_Loss", 2), 2)))
 
 
+# Chart titles of the trend panels.
+TITLE_RATE_TREND = "Global average rate by triennial year"
+TITLE_VALUE_TREND = "Taxable value of TIF parcels by year"
+
+
+def trend_panel(t: DataFrame, year: str, value: str, change: str, title: str, unit: float = 1.0) -> DataFrame:
+    """CMP-11 on a trend series: ``year, Value`` (in ``unit``), the change with its '12.34%' text, the
+    panel's title and file name. The first period has no change and no text."""
+    return t.select(
+        F.col(year).alias("Year"), (F.col(value) / F.lit(unit)).alias("Value"), F.col(change).alias("PctChange"),
+        F.when(F.col(change).isNotNull(), text.percent_text(change, 2)).alias("PctText"), F.lit(title).alias("Title"),
+        text.safe_file_name(F.lit(title), ".png").alias("FileName"))
+
+
 def invalid_loss_rows(combined: DataFrame) -> DataFrame:
     """CMP-12: per (fund, loss type) panel, rows with a missing or negative loss.
 

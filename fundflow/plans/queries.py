@@ -163,6 +163,21 @@ def q_parcel_wide_change(spark, sf):
     return _round(out, 2, money)
 
 
+COMPARE_DISTRICT = "005"
+
+
+def q_parcel_long(spark, sf):
+    """CMP-7 (long form) + PRJ-7 / FLT-4: one district's raw rows with decorated amounts, parsed, one row
+    per parcel, year and amount."""
+    rows = dv.order_rows(spark, sf, {
+        "TotalPrice": "concat('$', format_number(o_totalprice, 2))",
+        "UrgentPrice": "CASE WHEN o_orderpriority = '1-URGENT' THEN concat(format_number(o_totalprice, 2), ' USD') END"})
+    raw = rows.selectExpr(f"{dv.parcel_id_sql('c_nationkey', 'o_custkey')} AS ParcelNumber", "CAST(TaxYear AS STRING) AS TaxYear",
+                          "CAST(c_nationkey AS STRING) AS TaxDistrict", "TotalPrice", "UrgentPrice")
+    _, long = pl.parcel_comparison(raw, COMPARE_DISTRICT, COMPARE_YEARS, ["TotalPrice", "UrgentPrice"], "TotalPrice", "Total")
+    return long
+
+
 def q_measure_long(spark, sf):
     """RSH-1: orders wide -> long over two measures (NULL values kept)."""
     o = dv.table(spark, sf, "orders").selectExpr(
@@ -261,22 +276,22 @@ TREND_DISTRICTS = [0, 1, 2, 3, 24]      # the labelled (township) districts, as
 
 
 def _value_rows(spark, sf):
-    """Line values pre-summed per (supplier, year): appraised else assessed, x ratio."""
+    """Line values of the township districts: appraised (may be missing) and assessed.
+
+    The districts filter suppliers by their integer key (pushed to the scan), and
+    line items are semi-joined to the suppliers that are left before anything
+    is aggregated.
+    """
     li = dv.table(spark, sf, "lineitem").selectExpr(
         "l_suppkey", "CAST(year(l_shipdate) AS INT) AS TaxYear",
         "CASE WHEN l_linestatus <> 'O' THEN l_extendedprice END AS appraised",
         "l_extendedprice * (1D - l_discount) AS assessed")
-    pre = (li.groupBy("l_suppkey", "TaxYear")
-           .agg(agg.sum0(F.expr("0.35D * coalesce(appraised, assessed)")).alias("taxable_value")))
-    j = pre.join(dv.suppliers(spark, sf), F.expr("l_suppkey = s_suppkey"))
-    j = j.withColumn("TaxDistrict", clean.zero_pad("s_nationkey", 3))
-    return j.where(clean.strip_zeros_to_int("TaxDistrict").isin(TREND_DISTRICTS))
+    kept = dv.suppliers(spark, sf).where(F.col("s_nationkey").isin(TREND_DISTRICTS))
+    return li.join(kept, F.expr("l_suppkey = s_suppkey"), "left_semi")
 
 
 def _value_trend(spark, sf):
-    totals = (_value_rows(spark, sf).groupBy("TaxYear")
-              .agg(agg.sum0("taxable_value").alias("total_value")))
-    return trend.pct_change(totals, "total_value", "TaxYear", "pct_change")
+    return pl.value_trend(_value_rows(spark, sf), "TaxYear", ["appraised", "assessed"], 0.35)
 
 
 def q_yearly_value_total(spark, sf):
@@ -290,6 +305,20 @@ def q_value_trend(spark, sf):
     return _round(_round(t, 2, ["total_value"]), 6, ["pct_change", "total_value_millions"])
 
 
+def q_trend_panels(spark, sf):
+    """CMP-11 on both trend series: chart-ready rows with title, file name, scaled value and text."""
+    rate = pl.trend_panel(_round(_rate_trend(spark, sf), 6), "TaxYear", "global_avg_price", "pct_change",
+                          pl.TITLE_RATE_TREND)
+    value = pl.trend_panel(_round(_value_trend(spark, sf), 6, ["pct_change"]), "TaxYear", "total_value", "pct_change",
+                           pl.TITLE_VALUE_TREND, unit=1e6)
+    return _round(rate.unionByName(value), 6, ["Value"])
+
+
+def q_rate_coverage(spark, sf):
+    """CMP-12: abatement rows per year and class, and how many find no rate."""
+    return pl.rate_coverage(dv.abatement_fact(spark, sf), dv.rates(spark, sf))
+
+
 # ------------------------------------------------------- scalar helpers ---
 def q_recode_class(spark, sf):
     """SCL-9: return flag -> class, unknown -> NULL; rows per class."""
@@ -321,26 +350,31 @@ def q_code_normalise(spark, sf):
 
 
 def q_multi_col_clean(spark, sf):
-    """PRJ-7 + SCL-8: decorate numbers as text, parse a list of columns back."""
+    """PRJ-7 + SCL-8: decorate numbers as text, parse a list of columns back; among them amounts with
+    a leading point, a sign before it, an exponent, and none at all."""
     c = dv.table(spark, sf, "customer").select(
         "c_custkey",
         F.concat(F.lit("$"), F.format_number("c_acctbal", 2), F.lit(" USD")).alias("AcctText"),
-        F.concat(F.lit("#"), F.format_number(F.col("c_custkey").cast("double"), 0)).alias("KeyText"))
-    cols = {"AcctText": "AcctValue", "KeyText": "KeyValue"}
+        F.concat(F.lit("#"), F.format_number(F.col("c_custkey").cast("double"), 0)).alias("KeyText"),
+        F.expr("CASE c_custkey % 5 WHEN 0 THEN '$.50' WHEN 1 THEN concat('-.', c_custkey % 10) WHEN 2 THEN "
+               "concat('about ', c_custkey, 'e3 each') WHEN 3 THEN concat('(', c_custkey, '.5e-1%)') "
+               "ELSE 'none' END").alias("OddText"))
+    cols = {"AcctText": "AcctValue", "KeyText": "KeyValue", "OddText": "OddValue"}
     return c.withColumns({out: clean.parse_number(src) for src, out in cols.items()})
 
 
 def q_scope_filter(spark, sf):
-    """FLT-1/6 + SCL-5: whitespace-padded text, equality after trimming tabs/newlines."""
+    """FLT-1/6 + SCL-5: whitespace-padded text, equality after trimming tabs/newlines; an input without
+    the scope column passes whole."""
     c = dv.table(spark, sf, "customer")
     k = F.col("c_custkey") % 3
     padded = (F.when(k == 0, F.concat("c_mktsegment", F.lit("\t")))
               .when(k == 1, F.concat(F.lit("  "), "c_mktsegment", F.lit("\n")))
               .otherwise(F.col("c_mktsegment")))
-    df = c.select("c_custkey", "c_name", padded.alias("Segment"), "c_nationkey")
-    if "Segment" in df.columns:                       # FLT-6: filter only if present
-        df = df.filter(clean.trim_ws("Segment") == F.lit("BUILDING"))
-    return df.select("c_custkey", "c_name", clean.trim_ws("Segment").alias("Segment"))
+    scoped = pl.in_scope(c.select("c_custkey", "c_name", padded.alias("Segment")), "Segment", "BUILDING")
+    bare = pl.in_scope(c.select("c_custkey", "c_name"), "Segment", "BUILDING")
+    return (scoped.withColumn("Segment", clean.trim_ws("Segment")).withColumn("Input", F.lit("with"))
+            .unionByName(bare.withColumn("Input", F.lit("without")), allowMissingColumns=True))
 
 
 def q_alias_expand(spark, sf):
@@ -418,6 +452,9 @@ QUERIES: dict[str, Query] = {
     "avg_pct_change": q_avg_pct_change,
     "yearly_value_total": q_yearly_value_total,
     "value_trend": q_value_trend,
+    "trend_panels": q_trend_panels,
+    "rate_coverage": q_rate_coverage,
+    "parcel_long": q_parcel_long,
     "recode_class": q_recode_class,
     "label_district": q_label_district,
     "code_normalise": q_code_normalise,

@@ -8,7 +8,8 @@ The study's whole workflow as one Spark application, stage by stage:
 4. abatement losses by fund (share of the published total rate);
 5. combined table (outer combine, zero-fill, total);
 6. loss series and chart-ready panels, invalid-row counts, county totals;
-7. side analyses: triennial fire-rate and TIF-value trends, one district's
+7. side analyses: triennial fire-rate and TIF-value trends (the latter over the
+   whole county's files), one district's
    parcel comparison across years, parcel-file <-> TIF reconciliation.
 
 Every output is written as a total table plus one folder per municipality
@@ -34,6 +35,7 @@ from fundflow.functions import clean
 from fundflow.operators import combine, reshape, sinks, trend
 from fundflow.operators import rates as rates_op
 from fundflow.plans import pipeline as pl
+from fundflow.session import drop_scratch, scratch_path
 from fundflow.plans.domain import (
     ASSESSMENT_RATIO, TOWNSHIP, TOWNSHIP_SCOPE, TOWNSHIP_TREND_DISTRICTS, TOWNSHIP_TREND_YEARS, Domain,
 )
@@ -70,11 +72,12 @@ def parcel_files(spark: SparkSession, folder: str, pattern: str = PARCEL_PATTERN
             .withColumn("TaxYear", sources.year_from_name("SourceFile")))
 
 
-def reconcile_parcels(tif: DataFrame, parcels: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """TIF rows matched to parcel-file rows on (parcel, year), and the rest."""
+def reconcile_parcels(tif: DataFrame, parcels: DataFrame) -> DataFrame:
+    """TIF rows with their parcel-file rows on (parcel, year), marked ``_matched`` or not. Rows
+    without a parcel id or year match nothing."""
     t = tif.withColumns({"ParcelNumber": normalise_parcel("ParcelNumber"),
                          "TaxYear": clean.to_int("TaxYear")})
-    return combine.reconcile(t, parcels.drop("SourceFile"), ["ParcelNumber", "TaxYear"])
+    return combine.reconcile_marked(t, parcels.drop("SourceFile"), ["ParcelNumber", "TaxYear"])
 
 
 def fire_rate_trend(spark: SparkSession, rates_path: str, years=TOWNSHIP_TREND_YEARS) -> DataFrame:
@@ -91,7 +94,8 @@ def fire_rate_trend(spark: SparkSession, rates_path: str, years=TOWNSHIP_TREND_Y
 def tif_value_trend(tif: DataFrame, years=TOWNSHIP_TREND_YEARS,
                     districts=TOWNSHIP_TREND_DISTRICTS, ratio: float = ASSESSMENT_RATIO,
                     unit: float = 1e6) -> DataFrame:
-    """Triennial taxable TIF value of the township districts and its % change.
+    """Triennial taxable TIF value of the township districts and its % change, from the rows of
+    all townships (the district alone decides).
 
     Appraised value, else assessed, times the assessment ratio, summed per
     year; ``unit`` scales the display column (a parameter, see README).
@@ -109,14 +113,23 @@ def gather(spark: SparkSession, folder: str, pattern: str, scope: str | None = T
            strip_parcel_suffix: bool = False) -> DataFrame:
     """Stages 1-2: all matching yearly files, text columns stacked by name,
     rows of the township only (when the files have a Township column)."""
-    raw = sources.read_many(spark, folder, pattern)
-    if scope and "Township" in raw.columns:
-        raw = raw.filter(clean.trim_ws("Township") == F.lit(scope))
+    raw = pl.in_scope(sources.read_many(spark, folder, pattern), "Township", scope)
     if strip_parcel_suffix and "ParcelNumber" in raw.columns:
         raw = raw.withColumn("ParcelNumber", clean.strip_suffix("ParcelNumber", "-00"))
     return raw
 
 
+def value_rows(spark: SparkSession, folder: str, years=TOWNSHIP_TREND_YEARS) -> DataFrame | None:
+    """Rows of the whole county's TIF files named for ``years`` (only those are opened), with the
+    columns of :func:`tif_value_trend`; None if there are no such files or columns."""
+    try:
+        raw = sources.read_many(spark, folder, TIF_PATTERN, years=years)
+    except FileNotFoundError:
+        return None
+    need = ["TaxYear", "TaxDistrict", "AppraisedTotal", "AssessedTotal"]
+    return raw.select(*need).withColumn("TaxYear", clean.to_int("TaxYear")) if set(need) <= set(raw.columns) else None
+
+
 def read_rates(spark: SparkSession, path: str, dom: Domain = TOWNSHIP) -> DataFrame:
     cols = ["TaxYear", "Municipality", "TaxDistrict", "PropertyClass", *dom.funds.values(),
             dom.total_rate]
@@ -140,13 +153,15 @@ def _report(df: DataFrame, out: str, prefix: str, counts: dict, name: str) -> No
     _write(df, total_path, counts, name)
     total = df.sparkSession.read.option("header", True).schema(df.schema).csv(total_path)
     sinks.write_split(pl.split_labels(total, "Municipality", prefix), "SheetLabel",
-                      f"{out}/{name}/by_label", fmt="csv")
+                      f"{out}/{name}/by_label", fmt="csv", key_col="Municipality")
 
 
 def run(spark: SparkSession, abatement_dir: str, tif_dir: str, rates_path: str, out: str,
         dom: Domain = TOWNSHIP, scope: str | None = TOWNSHIP_SCOPE,
         parcel_dir: str | None = None) -> dict[str, int]:
-    """Run all stages; returns the row count of each written table."""
+    """Run all stages; returns the row count of each written table. A yearly file that can't be read
+    fails the job. Stage tables lie in the shared checkpoint folder and go at the end."""
+    stage = scratch_path(spark, "township")
     counts: dict[str, int] = {}
     # Validate the (small) rate table before any heavy work: unique
     # (year, district, class) keeps the left joins from fanning out fact rows.
@@ -156,9 +171,9 @@ def run(spark: SparkSession, abatement_dir: str, tif_dir: str, rates_path: str,
     tif = gather(spark, tif_dir, TIF_PATTERN, scope, strip_parcel_suffix=True)
     # Stage tables partitioned by tax year: later year-scoped reads prune folders.
     ab = sinks.write_stage(ab.withColumn("TaxYear", clean.to_int("TaxYear")),
-                           f"{out}/stage/abatements_all_years", ["TaxYear"])
+                           f"{stage}/abatements_all_years", ["TaxYear"])
     tif = sinks.write_stage(tif.withColumn("TaxYear", clean.to_int("TaxYear")),
-                            f"{out}/stage/tifs_all_years", ["TaxYear"])
+                            f"{stage}/tifs_all_years", ["TaxYear"])
     counts["abatements_all_years"] = ab.count()
     counts["tifs_all_years"] = tif.count()
 
@@ -209,8 +224,9 @@ def run(spark: SparkSession, abatement_dir: str, tif_dir: str, rates_path: str,
     _write(fire, f"{out}/trends/fire_rate", counts, "trends/fire_rate")
     _write(trend.avg_change(fire, "pct_change_global_fire_rate"), f"{out}/trends/fire_rate_avg",
            counts, "trends/fire_rate_avg")
-    if {"AppraisedTotal", "AssessedTotal"} <= set(tif.columns):
-        value = tif_value_trend(tif)
+    county = value_rows(spark, tif_dir)
+    if county is not None:
+        value = tif_value_trend(county)
         _write(value, f"{out}/trends/tif_value", counts, "trends/tif_value")
         _write(trend.avg_change(value, "pct_change"), f"{out}/trends/tif_value_avg", counts,
                "trends/tif_value_avg")
@@ -231,9 +247,11 @@ def run(spark: SparkSession, abatement_dir: str, tif_dir: str, rates_path: str,
 
     # Parcel files <-> TIF reconciliation.
     if parcel_dir:
-        matched, unmatched = reconcile_parcels(tif, parcel_files(spark, parcel_dir))
-        _write(matched, f"{out}/reconcile/matched", counts, "matched")
-        _write(unmatched, f"{out}/reconcile/unmatched", counts, "unmatched")
+        # One pass over both sides; the two outputs are read off what it wrote.
+        both = sinks.write_stage(reconcile_parcels(tif, parcel_files(spark, parcel_dir)), f"{stage}/reconciled")
+        hit = F.col(combine.MATCHED)
+        _write(both.where(hit).drop(combine.MATCHED), f"{out}/reconcile/matched", counts, "matched")
+        _write(both.where(~hit).select(*tif.columns), f"{out}/reconcile/unmatched", counts, "unmatched")
 
     present = [c for c in COUNTY_COLUMNS if c in tif.columns]
     typed_tif = tif.withColumns({
@@ -242,6 +260,7 @@ def run(spark: SparkSession, abatement_dir: str, tif_dir: str, rates_path: str,
     typed_tif = typed_tif.withColumn("Municipality", pl.municipality(dom))
     county = pl.county_totals(typed_tif, present or [F.lit(None).cast("double")])
     _report(county, out, "CountyTot_", counts, "county_totals")
+    drop_scratch(spark, [stage])
     return counts
 
 

@@ -71,8 +71,24 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique sub-folder of the shared checkpoint root."""
-    return f"{checkpoint_root(spark)}/fundflow/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique sub-folder of the shared checkpoint root (see :func:`drop_scratch`)."""
+    path = f"{checkpoint_root(spark)}/fundflow/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+_SCRATCH: list[str] = []
+
+
+def drop_scratch(spark: SparkSession, paths: list[str] | None = None) -> None:
+    """Delete scratch folders that this process made (default: all of them), once nothing that
+    reads them is needed any more."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for p in list(_SCRATCH if paths is None else paths):
+        folder = jvm.org.apache.hadoop.fs.Path(p)
+        folder.getFileSystem(conf).delete(folder, True)
+        if p in _SCRATCH:
+            _SCRATCH.remove(p)
 
 
 def local_path(p: str) -> str:

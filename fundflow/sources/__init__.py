@@ -1,7 +1,7 @@
 """Readers: by-name multi-file CSV, typed scans, bad-line skipping, audits."""
 
 from fundflow.sources.readers import (  # noqa: F401
-    all_string_schema, bad_cast_counts, files_for_years, ingest_audit, list_files, missing_sources,
-    peek_headers, read_csv_text, read_many, read_parquet_many, source_file, typed, year_from_name,
+    all_string_schema, bad_cast_counts, escape_glob, file_heads, file_table, files_for_years, ingest_audit, list_files,
+    missing_sources, read_csv_text, read_many, read_parquet_many, read_tolerant, source_file, typed, year_from_name,
 )
 from fundflow.sources.schemas import ABATEMENT_TYPES, RATE_TYPES, TIF_TYPES  # noqa: F401

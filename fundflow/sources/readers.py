@@ -2,12 +2,15 @@
 
 Spark's multi-file CSV read aligns columns by *position* of the first file's
 header. Yearly exports often reorder or add columns, so ``read_many`` groups
-files by their header (peeked on the executors, one short read per file) and
-reads each group once, then unions by *name* with missing columns NULL.
+files by their header (read on the executors, one short read per file) and
+reads each group once, then unions by *name* with missing columns NULL. No
+reader drops rows or files that it wasn't told to: ``read_many`` fails on a
+file that can't be read, ``read_tolerant`` leaves it out and reports it.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,16 +19,18 @@ from pyspark.sql import types as T
 
 from fundflow.functions import clean
 
-EXTRA_COL = "_extra"
+
+def _decoded(path: Column) -> Column:
+    """A path as it is called: percent escapes undone (a plus sign is no space)."""
+    return F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
 def source_file(level: str = "file") -> Column:
     """Provenance: the base file name, or the parent folder name (``level='dir'``)
     when each logical file is a Spark-written folder of part files."""
     path = F.col("_metadata.file_path")
-    if level == "dir":
-        return F.regexp_extract(path, r"([^/]+)/[^/]+$", 1)
-    return F.col("_metadata.file_name")
+    part = r"([^/]+)/[^/]+$" if level == "dir" else r"([^/]+)$"
+    return _decoded(F.regexp_extract(path, part, 1))
 
 
 def year_from_name(name) -> Column:
@@ -34,55 +39,82 @@ def year_from_name(name) -> Column:
     return clean.to_int(F.nullif(F.regexp_extract(c, r"(\d{4})", 1), F.lit("")))
 
 
-def list_files(spark: SparkSession, path: str, pattern: str | None = None,
-               recursive: bool = True) -> list[str]:
-    """Paths of the files under ``path`` matching the glob ``pattern``.
+def escape_glob(path: str) -> str:
+    """A path whose glob characters stand for themselves."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
+def file_table(spark: SparkSession, path: str, pattern: str | None = None,
+               recursive: bool = True) -> DataFrame:
+    """``path`` of the files under a folder matching the glob ``pattern``.
 
-    Uses Spark's own (parallel) file listing through the ``binaryFile``
-    source; only paths are returned, no file content is read.
+    Spark's own (parallel) file listing through the ``binaryFile`` source; no
+    content is read, and nothing comes to the driver but Spark's own listing.
     """
     r = spark.read.format("binaryFile")
     if pattern:
         r = r.option("pathGlobFilter", pattern)
     if recursive:
         r = r.option("recursiveFileLookup", True)
-    return [row.path for row in r.load(path).select("path").collect()]
+    return r.load(path).select("path")
+
+
+def list_files(spark: SparkSession, path: str, pattern: str | None = None,
+               recursive: bool = True) -> list[str]:
+    """The paths of :func:`file_table` as a list."""
+    return [row.path for row in file_table(spark, path, pattern, recursive).collect()]
 
 
-def peek_headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[str]]:
-    """``{header line: [paths]}``; the reads run as one distributed job."""
-    if not paths:
-        return {}
+def file_heads(files: DataFrame, whole: bool = False) -> DataFrame:
+    """``path, header, error`` of each file of ``files`` (``path``), read on the executors.
 
+    ``header`` is the whole first line, however long. ``error`` says why a file
+    can't be read or decoded (else NULL): of its first line, or with ``whole``
+    of all of it (compressed ones are unpacked), a block at a time.
+    """
     def heads(batches):
         # Self-contained (imports inside, no module globals): it is pickled by
         # value, so executors need not have this package on their Python path.
+        import codecs
+
         import pandas as pd
+        import pyarrow as pa
+        import pyarrow.fs as pafs
 
-        def first_line(path: str) -> str:
+        def opened(path: str):
             if path.startswith("file:"):
-                local = path[5:]
-                while local.startswith("//"):
-                    local = local[1:]
-                with open(local, "rb") as fh:
-                    return fh.readline().decode("utf-8-sig").rstrip("\r\n")
-            import pyarrow.fs as pafs
-            fs, inner = pafs.FileSystem.from_uri(path)
-            with fs.open_input_stream(inner) as fh:
-                buf = fh.read(1 << 16)
-            return buf.split(b"\n", 1)[0].decode("utf-8-sig").rstrip("\r")
+                local = "/" + path[5:].lstrip("/")
+                fs, inner = pafs.LocalFileSystem(), local
+            else:
+                fs, inner = pafs.FileSystem.from_uri(path)
+            packed = "gzip" if path.endswith(".gz") else "bz2" if path.endswith(".bz2") else None
+            return fs.open_input_stream(inner, compression=packed)
+
+        def look(path: str):
+            text, ended = codecs.getincrementaldecoder("utf-8-sig")(), False
+            first = []
+            try:
+                with opened(path) as fh:
+                    while not ended or whole:
+                        block = fh.read(1 << 16)
+                        part = text.decode(block, not block)
+                        if not ended:
+                            line, mark, _ = part.partition("\n")
+                            first.append(line)
+                            ended = bool(mark)
+                        if not block:
+                            break
+            except (OSError, UnicodeDecodeError, pa.ArrowException) as e:
+                return None, f"{type(e).__name__}: {e}"[:500]
+            header = "".join(first).rstrip("\r")
+            return (header, None) if header else (None, "EmptyFile: no header line")
 
         for b in batches:
-            yield pd.DataFrame({"path": b["path"], "header": [first_line(p) for p in b["path"]]})
+            rows = [look(p) for p in b["path"]]
+            yield pd.DataFrame({"path": b["path"], "header": [r[0] for r in rows], "error": [r[1] for r in rows]})
 
-    files = spark.createDataFrame([(p,) for p in paths], "path string")
-    n = max(1, min(len(paths), spark.sparkContext.defaultParallelism))
-    # One (path, header) row per file comes back: file metadata the driver
-    # needs anyway to read each header group; no single-task grouping.
-    groups: dict[str, list[str]] = {}
-    for r in files.repartition(n).mapInPandas(heads, "path string, header string").collect():
-        groups.setdefault(r.header, []).append(r.path)
-    return groups
+    n = max(1, files.sparkSession.sparkContext.defaultParallelism)
+    return files.repartition(n).mapInPandas(heads, "path string, header string, error string")
 
 
 def _split_header(line: str, sep: str) -> list[str]:
@@ -90,82 +122,152 @@ def _split_header(line: str, sep: str) -> list[str]:
     return [c.strip() for c in next(csv.reader([line], delimiter=sep))]
 
 
-def all_string_schema(columns: Sequence[str], extra: bool = False) -> T.StructType:
-    fields = [T.StructField(c, T.StringType()) for c in columns]
-    if extra:
-        fields.append(T.StructField(EXTRA_COL, T.StringType()))
-    return T.StructType(fields)
+def all_string_schema(columns: Sequence[str]) -> T.StructType:
+    return T.StructType([T.StructField(c, T.StringType()) for c in columns])
+
+
+CORRUPT_COL = "_line"
 
 
 def read_csv_text(spark: SparkSession, paths: Sequence[str] | str, columns: Sequence[str],
                   null_token: str = "NA", skip_bad_lines: bool = False, sep: str = ",",
-                  source: str | None = "file") -> DataFrame:
+                  source: str | None = "file", multiline: bool = False,
+                  pattern: str | None = None) -> DataFrame:
     """All-text CSV read with a header, ``null_token`` and blank text as NULL.
 
-    ``skip_bad_lines`` drops lines with more fields than the header (pandas
-    ``on_bad_lines='skip'``) and keeps short lines padded with NULL: the
-    schema gets one trailing ``_extra`` column and only rows where it is
-    NULL survive. Adds ``SourceFile`` unless ``source`` is None.
+    An unreadable file fails the read (see :func:`read_tolerant` for the
+    alternative). ``skip_bad_lines`` drops lines with more fields than the
+    header (pandas ``on_bad_lines='skip'``), empty ones and missing-value
+    tokens included, and keeps short lines padded with NULL: the text of every
+    line whose field count is not the header's is kept aside, and its fields
+    are counted outside quotes. ``multiline`` lets quoted fields hold line
+    breaks; a file is then read by one task, so leave it off for files that
+    need none. ``pattern`` selects files in a folder. Adds ``SourceFile``
+    unless ``source`` is None.
     """
-    reader = (spark.read.schema(all_string_schema(columns, skip_bad_lines))
-              .option("header", True).option("sep", sep).option("mode", "PERMISSIVE")
-              .option("nullValue", null_token).option("ignoreCorruptFiles", True))
+    fields = all_string_schema(columns)
+    if skip_bad_lines:
+        fields = T.StructType([*fields, T.StructField(CORRUPT_COL, T.StringType())])
+    reader = (spark.read.schema(fields).option("header", True).option("sep", sep).option("mode", "PERMISSIVE")
+              .option("nullValue", null_token).option("multiLine", multiline).option("escape", '"'))
+    if skip_bad_lines:
+        # A pruned parser reads some fields only and can't count them.
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COL).option("columnPruning", False)
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
     df = reader.csv(list(paths) if not isinstance(paths, str) else paths)
     if skip_bad_lines:
-        df = df.filter(F.col(EXTRA_COL).isNull()).drop(EXTRA_COL)
+        plain = F.regexp_replace(F.col(CORRUPT_COL), '"([^"]|"")*"', "")
+        n = F.length(plain) - F.length(F.replace(plain, F.lit(sep), F.lit(""))) + 1
+        df = df.filter(F.col(CORRUPT_COL).isNull() | (n <= len(columns))).drop(CORRUPT_COL)
     df = df.withColumns({c: clean.blank_to_null(c) for c in columns})
     if source:
         df = df.withColumn("SourceFile", source_file(source))
     return df
 
 
-def files_for_years(paths: Sequence[str], years: Iterable[int]) -> list[str]:
-    """Keep the files whose name carries one of ``years`` (first 4-digit run).
-
-    Works on the listing only, so files of other years are never opened.
-    """
-    import re
+def files_for_years(paths: Sequence[str], years: Iterable[int], level: str = "file") -> list[str]:
+    """Keep the files whose name (``level='dir'``: whose folder's name) carries one of ``years``
+    (first 4-digit run). Works on the listing only, so files of other years are never opened."""
     wanted = {int(y) for y in years}
+    at = -2 if level == "dir" else -1
     out = []
     for p in paths:
-        m = re.search(r"(\d{4})", p.rstrip("/").rsplit("/", 1)[-1])
+        parts = p.rstrip("/").split("/")
+        m = re.search(r"(\d{4})", parts[at] if len(parts) >= -at else "")
         if m and int(m.group(1)) in wanted:
             out.append(p)
     return out
 
 
+def _for_years(files: DataFrame, years: Iterable[int] | None, level: str) -> DataFrame:
+    if years is None:
+        return files
+    part = r"([^/]+)/[^/]+$" if level == "dir" else r"([^/]+)$"
+    return files.where(year_from_name(F.regexp_extract("path", part, 1)).isin([int(y) for y in years]))
+
+
+def _stack(spark: SparkSession, heads: DataFrame, folder: tuple[str, str | None] | None, null_token: str, sep: str,
+           source: str, skip_bad_lines: bool, multiline: bool) -> DataFrame | None:
+    """Files of ``heads`` stacked by column name; ``folder`` (path, pattern) if they are all of its files.
+
+    The driver takes the distinct headers. With one header, a folder is read by
+    its path; paths come to the driver only where headers differ (or files were
+    chosen), to be read a header at a time.
+    """
+    def read(paths, header, pattern=None):
+        return read_csv_text(spark, paths, _split_header(header, sep), null_token, skip_bad_lines, sep, source,
+                             multiline, pattern)
+
+    headers = sorted(r.header for r in heads.select("header").distinct().collect())
+    if len(headers) == 1 and folder is not None:
+        return read(folder[0], headers[0], folder[1] or "*")
+    out = None
+    for h in headers:
+        paths = sorted(r.path for r in heads.where(F.col("header") == h).select("path").collect())
+        part = read([escape_glob(p) for p in paths], h)
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out
+
+
 def read_many(spark: SparkSession, path: str | None = None, pattern: str | None = None,
               null_token: str = "NA", sep: str = ",", source: str = "file",
               skip_bad_lines: bool = False, paths: Sequence[str] | None = None,
-              years: Iterable[int] | None = None) -> DataFrame:
+              years: Iterable[int] | None = None, multiline: bool = False) -> DataFrame:
     """All files under ``path`` matching ``pattern`` (or the given ``paths``),
-    stacked by column *name*; optionally only the files named for ``years``.
+    stacked by column *name*; optionally only the files named for ``years``
+    (with ``source='dir'``: in folders named for them).
 
     One Spark read per distinct header (few), each reading all of its files
-    in parallel; the union fills columns missing from a group with NULL.
+    in parallel; the union fills columns missing from a group with NULL. A file
+    that can't be read fails the gather, naming the file.
     """
-    files = list(paths) if paths is not None else list_files(spark, path, pattern)
-    if years is not None:
-        files = files_for_years(files, years)
-    groups = peek_headers(spark, files)
-    out = None
-    for header in sorted(groups):
-        cols = _split_header(header, sep)
-        part = read_csv_text(spark, sorted(groups[header]), cols, null_token,
-                             skip_bad_lines, sep, source)
-        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    files = (spark.createDataFrame([(p,) for p in paths], "path string") if paths is not None
+             else file_table(spark, path, pattern))
+    heads = file_heads(_for_years(files, years, source))
+    bad = heads.where("error is not null").limit(1).collect()
+    if bad:
+        raise OSError(f"cannot read {bad[0].path}: {bad[0].error}")
+    folder = (path, pattern) if paths is None and years is None else None
+    out = _stack(spark, heads, folder, null_token, sep, source, skip_bad_lines, multiline)
     if out is None:
         raise FileNotFoundError(f"no files under {path} matching {pattern!r} (years={years})")
     return out
 
 
+def read_tolerant(spark: SparkSession, path: str, pattern: str | None = None, null_token: str = "NA",
+                  sep: str = ",", source: str = "file", skip_bad_lines: bool = False,
+                  years: Iterable[int] | None = None, multiline: bool = False) -> tuple[DataFrame | None, DataFrame]:
+    """:func:`read_many` that leaves out files that can't be read or decoded, and reports every file.
+
+    Returns the rows of the readable files (None if there are none) and the
+    report: ``SourceFile, seen, n_rows, error`` with a row for each file found
+    (a file of no bytes is not listed).
+    Each file is read through once beforehand on the executors, so that a file
+    that breaks off gives no rows rather than some.
+    """
+    heads = file_heads(_for_years(file_table(spark, path, pattern), years, source), whole=True)
+    bad = heads.where("error is not null").limit(1).count()
+    df = _stack(spark, heads.where("error is null"), None if bad or years is not None else (path, pattern), null_token,
+                sep, source, skip_bad_lines, multiline)
+    part = r"([^/]+)/[^/]+$" if source == "dir" else r"([^/]+)$"
+    expected = (heads.select(F.regexp_extract("path", part, 1).alias("SourceFile"), "error").groupBy("SourceFile")
+                .agg(F.max("error").alias("error")))
+    seen = (ingest_audit(df) if df is not None
+            else spark.createDataFrame([], "SourceFile string, n_rows bigint"))
+    report = expected.join(seen, "SourceFile", "left").select(
+        "SourceFile", F.col("error").isNull().alias("seen"), F.coalesce("n_rows", F.lit(0)).cast("bigint").alias("n_rows"),
+        "error")
+    return df, report
+
+
 def read_parquet_many(spark: SparkSession, paths: Sequence[str] | str, source: str = "file",
-                      skip_unreadable: bool = True) -> DataFrame:
+                      skip_unreadable: bool = False) -> DataFrame:
     """Parquet files stacked (schemas merged by name), provenance kept.
 
-    ``skip_unreadable`` makes a corrupt or vanished file contribute no rows
-    instead of failing the job (per-file fault tolerance); compare the
-    expected file list with ``ingest_audit`` / ``missing_sources`` to report it.
+    An unreadable file fails the job, unless ``skip_unreadable``: a corrupt or
+    vanished file then contributes no rows; compare the expected file list with
+    ``ingest_audit`` / ``missing_sources`` to report it.
     """
     r = spark.read.option("mergeSchema", True)
     if skip_unreadable:

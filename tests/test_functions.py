@@ -31,8 +31,9 @@ def test_strip_suffix_and_hyphens(spark):
 
 
 def test_parse_number(spark):
-    got = one_col(spark, ["$1,234.50 USD", "(12%)", "-3.5", "none", None], clean.parse_number)
-    assert got == [1234.5, 12.0, -3.5, None, None]
+    got = one_col(spark, ["$1,234.50 USD", "(12%)", "-3.5", "none", None, "$.50", "-.5", "1e3", "2.5E-1x", "7e", "-,5", "5."],
+                  clean.parse_number)
+    assert got == [1234.5, 12.0, -3.5, None, None, 0.5, -0.5, 1000.0, 0.25, 7.0, 5.0, 5.0]
 
 
 def test_to_int_through_double(spark):
@@ -40,7 +41,8 @@ def test_to_int_through_double(spark):
 
 
 def test_to_num_nan_and_junk(spark):
-    assert one_col(spark, ["1.5", "NaN", "n/a", ""], clean.to_num) == [1.5, None, None, None]
+    assert one_col(spark, ["1.5", "NaN", "n/a", "", "12d", "1f", "3L", " -.5e1 ", "+7.", "."], clean.to_num) == \
+        [1.5, None, None, None, None, None, None, -5.0, 7.0, None]
 
 
 def test_trim_ws_tabs_newlines(spark):

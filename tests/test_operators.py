@@ -36,12 +36,49 @@ def test_outer_combine_null_keys_and_fill(spark):
     assert got == [(-1, 2.0, 20.0, 22.0), (1, 1.0, 10.0, 11.0), (3, 0.0, 30.0, 30.0)]
 
 
+@pytest.mark.parametrize("kind", ["double", "float", "int", "smallint", "bigint", "decimal(18,2)", "string"])
+def test_outer_combine_rejects_repeated_keys(spark, kind):
+    a = spark.createDataFrame([(1, "1"), (2, "2"), (None, "3")], "k int, a string").selectExpr("k", f"CAST(a AS {kind}) a")
+    b = spark.createDataFrame([(1, "4"), (1, "4")], "k int, b string").selectExpr("k", f"CAST(b AS {kind}) b")
+    fill = None if kind == "string" else 0
+    ok = combine.outer_combine(a, b.distinct(), ["k"], fill=fill)
+    assert sorted((r.k or 0, int(r.a or 0), int(r.b or 0)) for r in ok.collect()) == [(0, 3, 0), (1, 1, 4), (2, 2, 0)]
+    for left, right in ((a, b), (b.withColumnRenamed("b", "x"), a)):
+        with pytest.raises(Exception, match="occurs twice"):
+            combine.outer_combine(left, right, ["k"], fill=fill).collect()
+
+
 def test_reconcile_partition_of_keys(spark):
     left = spark.createDataFrame([("a", 1), ("b", 1), ("a", 2), (None, 1)], "p string, y int")
-    right = spark.createDataFrame([("a", 1, 9), ("a", 1, 8), (None, 1, 7)], "p string, y int, v int")
+    right = spark.createDataFrame([("a", 1, 9), ("a", 1, 8), (None, 1, 7), (None, 1, 6)], "p string, y int, v int")
     m, u = combine.reconcile(left, right, ["p", "y"])
-    assert sorted((r.p or "-", r.y, r.v) for r in m.collect()) == [("-", 1, 7), ("a", 1, 8), ("a", 1, 9)]
+    assert sorted((r.p, r.y, r.v) for r in m.collect()) == [("a", 1, 8), ("a", 1, 9)]
+    assert sorted((r.p or "-", r.y) for r in u.collect()) == [("-", 1), ("a", 2), ("b", 1)]
+    m, u = combine.reconcile(left, right, ["p", "y"], null_keys="match")
+    assert sorted((r.p or "-", r.y, r.v) for r in m.collect()) == [("-", 1, 6), ("-", 1, 7), ("a", 1, 8), ("a", 1, 9)]
     assert sorted((r.p, r.y) for r in u.collect()) == [("a", 2), ("b", 1)]
+    for null_keys in ("unmatched", "match"):
+        m, u = combine.reconcile(left, right, ["p", "y"], null_keys)
+        both = combine.reconcile_marked(left, right, ["p", "y"], null_keys)
+        assert sorted(map(str, both.where("_matched").drop("_matched").collect())) == sorted(map(str, m.collect()))
+        assert sorted(map(str, both.where("not _matched").select(*left.columns).collect())) == sorted(map(str, u.collect()))
+    with pytest.raises(ValueError):
+        combine.reconcile(left, right, ["p", "y"], "other")
+
+
+def test_reconcile_exchanges_each_side_once(spark, capsys):
+    left = spark.range(100).selectExpr("id % 7 as p", "id as y", "id as a")
+    right = spark.range(100).selectExpr("id % 5 as p", "id as y", "id as b")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for df in combine.reconcile(left, right, ["p", "y"]):
+            df.explain()
+            assert capsys.readouterr().out.count("Exchange hashpartitioning") == 2
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
 
 
 def test_sum0_and_sum_across(spark):
@@ -79,22 +116,6 @@ def test_expand_alias_and_unique(spark):
         rates.assert_unique(e.unionByName(r), ["d"])
 
 
-def test_broadcast_if_small_fallback(spark, capsys):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        small = spark.range(10)
-        big = spark.range(1000)
-        j1 = spark.range(100).join(rates.broadcast_if_small(small, 100), "id")
-        j2 = spark.range(100).join(rates.broadcast_if_small(big, 100), "id")
-        j1.explain()
-        assert "BroadcastHashJoin" in capsys.readouterr().out
-        j2.explain()
-        assert "BroadcastHashJoin" not in capsys.readouterr().out
-        assert j1.count() == 10 and j2.count() == 100
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
 def test_apportion_gated_and_zero_denominator(spark):
     fact = spark.createDataFrame([(2020, "170", "R", 100.0), (2020, "027", "R", 100.0),
                                   (2020, "170", None, 100.0), (2020, "999", "R", 100.0)],
@@ -150,19 +171,44 @@ def test_checkpoint_root_reads_session_setting(spark):
     assert p1 != p2 and p1.startswith(root + "/fundflow/x-")
 
 
-def test_apportion_counted_broadcast_hint(spark, capsys):
+def test_apportion_keeps_rates(spark):
     fact = spark.createDataFrame([(2020, "170", "R", 100.0)],
                                  "TaxYear int, TaxDistrict string, PropertyClass string, amt double")
     rt = spark.createDataFrame([(2020, "170", "R", 1.0, 3.0)],
                                "TaxYear int, TaxDistrict string, PropertyClass string, g double, f double")
     keys = ["TaxYear", "TaxDistrict", "PropertyClass"]
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        rates.apportion(fact, rt, keys, "amt", {"G": "g", "F": "f"}, broadcast_rows=10).explain()
-        assert "BroadcastHashJoin" in capsys.readouterr().out
-        rates.apportion(fact, rt, keys, "amt", {"G": "g", "F": "f"}).explain()
-        assert "BroadcastHashJoin" not in capsys.readouterr().out
-        out = rates.apportion(fact, rt, keys, "amt", {"G": "g", "F": "f"}, keep_rates=True).first()
-        assert (out.Lost_G, out.Lost_F, out.g) == (25.0, 75.0, 1.0)
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    out = rates.apportion(fact, rt, keys, "amt", {"G": "g", "F": "f"}, keep_rates=True).first()
+    assert (out.Lost_G, out.Lost_F, out.g) == (25.0, 75.0, 1.0)
+
+
+def test_write_stage_keeps_codes_and_columns(spark):
+    from fundflow.operators import sinks
+    from fundflow.session import scratch_path
+    df = spark.createDataFrame([("027", 1), ("170", 2), (None, 3)], "TaxDistrict string, v int")
+    got = sinks.write_stage(df.select("TaxDistrict", "v"), scratch_path(spark, "codes"), ["TaxDistrict"])
+    assert got.columns == ["TaxDistrict", "v"] and dict(got.dtypes)["TaxDistrict"] == "string"
+    assert sorted((r.TaxDistrict or "-", r.v) for r in got.collect()) == [("-", 3), ("027", 1), ("170", 2)]
+
+
+def test_split_folders_of_equal_labels(spark):
+    from fundflow.operators import sinks
+    from fundflow.plans import pipeline as pl
+    from fundflow.session import scratch_path
+    names = ["Jefferson Unincorporated North", "Jefferson Unincorporated South", "Gahanna", None]
+    df = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "m string, v int")
+    path = scratch_path(spark, "split")
+    written = sinks.write_split(pl.split_labels(df, "m", "Combined_"), "SheetLabel", path, key_col="m")
+    rows = {r.v: r for r in spark.read.schema(written.schema).parquet(path).collect()}
+    assert rows[0].SheetLabel == rows[1].SheetLabel and rows[0].Folder != rows[1].Folder
+    assert rows[2].Folder == "Combined_Gahanna" and len(rows) == 4
+
+
+def test_drop_scratch(spark):
+    import os
+
+    from fundflow.session import drop_scratch, local_path, scratch_path
+    path = scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    assert os.path.isdir(local_path(path))
+    drop_scratch(spark, [path])
+    assert not os.path.isdir(local_path(path))

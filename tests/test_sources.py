@@ -3,6 +3,8 @@
 import os
 import tempfile
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from fundflow import sources
@@ -32,13 +34,63 @@ def test_read_many_aligns_by_name(spark):
 def test_skip_bad_lines(spark):
     d = tempfile.mkdtemp(prefix="ff-bad-")
     p = os.path.join(d, "Parcel2023.csv")
-    write(p, 'A,B,C,D\n1,2,3,4\n1,2,3,4,5\n7,8\n"x,y",b,c,d\n9,9,9,9,\n')
+    write(p, 'A,B,C,D\n1,2,3,4\n1,2,3,4,5\n7,8\n"x,y",b,c,d\n9,9,9,9,\n'
+             '5,5,5,5,NA\n6,6,6,6,,y\n"q ""r, s""",b,c\n"q ""r, s""",b,c,d,e\n')
     df = sources.read_csv_text(spark, p, ["A", "B", "C", "D"], skip_bad_lines=True, source=None)
     rows = sorted(df.collect(), key=lambda r: r.A)
-    # Known divergence from pandas: a line whose only extra field is empty
-    # ("9,9,9,9,") reads like a full line and is kept.
+    # As pandas: whatever an extra field holds, the line goes; short lines stay.
     assert [tuple(r) for r in rows] == [("1", "2", "3", "4"), ("7", "8", None, None),
-                                        ("9", "9", "9", "9"), ("x,y", "b", "c", "d")]
+                                        ('q "r, s"', "b", "c", None), ("x,y", "b", "c", "d")]
+
+
+def test_file_names_with_spaces_and_glob_characters(spark):
+    d = tempfile.mkdtemp(prefix="ff-names-")
+    write(os.path.join(d, "Parcel 2014.csv"), "A\n1\n")
+    write(os.path.join(d, "Parcel+2015 [1].csv"), "A,B\n2,x\n")
+    write(os.path.join(d, "Parcel 20%16{a}.csv"), "A\n3\n")
+    df = sources.read_many(spark, d, "Parcel*.csv").select("A", "SourceFile", sources.year_from_name("SourceFile").alias("y"))
+    assert sorted(tuple(r) for r in df.collect()) == [
+        ("1", "Parcel 2014.csv", 2014), ("2", "Parcel+2015 [1].csv", 2015), ("3", "Parcel 20%16{a}.csv", None)]
+    assert [r.A for r in sources.read_many(spark, d, "Parcel*.csv", years=[2015]).collect()] == ["2"]
+
+
+def test_quoted_line_breaks(spark):
+    d = tempfile.mkdtemp(prefix="ff-lines-")
+    write(os.path.join(d, "t.csv"), 'A,B\n"x\ny",2\nz,3\n')
+    rows = sources.read_many(spark, d, "t.csv", multiline=True).select("A", "B").collect()
+    assert sorted(map(tuple, rows)) == [("x\ny", "2"), ("z", "3")]
+
+
+def test_long_headers_are_read_whole(spark):
+    d = tempfile.mkdtemp(prefix="ff-long-")
+    names = [f"column_number_{i}_of_a_very_wide_export" for i in range(3000)]
+    write(os.path.join(d, "w.csv"), ",".join(names) + "\n" + ",".join("1" * 3000) + "\n")
+    heads = sources.file_heads(sources.file_table(spark, d, "*.csv")).first()
+    assert heads.header.split(",") == names and heads.error is None
+
+
+def test_broken_files_fail_or_are_reported(spark):
+    import gzip
+    d = tempfile.mkdtemp(prefix="ff-broken-")
+    write(os.path.join(d, "a 2020.csv"), "A\n1\n2\n")
+    with gzip.open(os.path.join(d, "b.csv.gz"), "wt") as fh:
+        fh.write("A\n" + "3\n" * 50_000)
+    whole = open(os.path.join(d, "b.csv.gz"), "rb").read()
+    with gzip.open(os.path.join(d, "c.csv.gz"), "wt") as fh:
+        fh.write("A\n9\n")
+    open(os.path.join(d, "d.csv.gz"), "wb").write(whole[:len(whole) // 2])
+    open(os.path.join(d, "e.csv"), "wb").write(b"A\n1\n\xff\xfe\n")
+    open(os.path.join(d, "f.csv"), "wb").write(b"\xff\xfeA\x00")
+    open(os.path.join(d, "g.csv"), "wb").write(b"\n1\n")
+    with pytest.raises(OSError, match="cannot read"):
+        sources.read_many(spark, d, "*.csv*")
+    df, report = sources.read_tolerant(spark, d, "*.csv*")
+    got = {r.SourceFile: (r.seen, r.n_rows, (r.error or "").split(":")[0]) for r in report.collect()}
+    assert {k: v[:2] for k, v in got.items()} == {
+        "a 2020.csv": (True, 2), "b.csv.gz": (True, 50_000), "c.csv.gz": (True, 1), "d.csv.gz": (False, 0),
+        "e.csv": (False, 0), "f.csv": (False, 0), "g.csv": (False, 0)}
+    assert got["e.csv"][2] == got["f.csv"][2] == "UnicodeDecodeError" and got["d.csv.gz"][2] and got["g.csv"][2] == "EmptyFile"
+    assert df.count() == 50_003
 
 
 def test_na_token_and_typed(spark):
@@ -73,7 +125,9 @@ def test_parquet_many_skips_corrupt_file(spark):
     os.makedirs(bad_dir)
     write(os.path.join(bad_dir, "part-0.parquet"), "this is not parquet")
     paths = [os.path.join(d, f"Tif{y}.parquet") for y in (2021, 2022, 2023)]
-    df = sources.read_parquet_many(spark, paths, source="dir")
+    with pytest.raises(Exception):
+        sources.read_parquet_many(spark, paths, source="dir").collect()
+    df = sources.read_parquet_many(spark, paths, source="dir", skip_unreadable=True)
     assert sorted((r.k, r.x) for r in df.collect()) == [(1, None), (2, None), (3, 1.5)]
     seen = sources.ingest_audit(df)
     expected = spark.createDataFrame([(os.path.basename(p),) for p in paths], "SourceFile string")

@@ -42,6 +42,13 @@ def outputs(spark):
     write_csv(f"{tif_dir}/TifDetails-TY2022.csv",
               ["TaxYear", "Township", "TaxDistrict", "TaxRateType", "DivertedTownship",
                "ParcelNumber", "DivertedCountyGen", "DivertedZoo", "DivertedSenior"], tif_rows)
+    # Files of trend years, with taxable values, for townships in and out of scope.
+    values = ["TaxYear", "Township", "TaxDistrict", "TaxRateType", "DivertedTownship", "ParcelNumber",
+              "AppraisedTotal", "AssessedTotal"]
+    write_csv(f"{tif_dir}/TifDetails-TY2014.csv", values,
+              [("2014", "PLAIN TWP", "170", "Res/Ag", "1", "p", "100", "1"), ("2014", "PLAIN TWP", "999", "Res/Ag", "1", "p", "7", "")])
+    write_csv(f"{tif_dir}/TifDetails-TY2017.csv", values,
+              [("2017", "PLAIN TWP", "027", "Res/Ag", "1", "p", "NA", "50"), ("2017", "PLAIN TWP ", "170", "Res/Ag", "1", "q", "100", "2")])
     rates_path = os.path.join(base, "Township_Rates.csv")
     write_csv(rates_path, tw.RATE_COLS, tw.rate_rows())
     parcel_dir = os.path.join(base, "parcels")
@@ -66,21 +73,38 @@ def test_counts(outputs):
     assert counts["quality/parcel_comparison_duplicates"] == 0
 
 
-def test_parcel_suffix_stripped(spark, outputs, capsys):
+def test_stage_tables_lie_in_the_shared_folder_and_go(spark, outputs):
     out, _ = outputs
-    stage = spark.read.parquet(f"{out}/stage/tifs_all_years")
-    assert stage.filter(F.col("ParcelNumber").endswith("-00")).count() == 0
-    # The stage is partitioned by tax year: a year filter prunes folders.
-    stage.filter(F.col("TaxYear") == 2022).explain()
-    assert "PartitionFilters: [isnotnull(TaxYear" in capsys.readouterr().out
+    from fundflow.session import checkpoint_root, local_path
+    assert not os.path.exists(f"{out}/stage")
+    shared = os.path.join(local_path(checkpoint_root(spark)), "fundflow")
+    assert not [d for d in os.listdir(shared) if d.startswith("township-")]
+
+
+def test_value_trend_reads_all_townships(spark, outputs):
+    out, _ = outputs
+    got = {int(r.TaxYear): float(r.total_tif_value)
+           for r in spark.read.option("header", True).csv(f"{out}/trends/tif_value").collect()}
+    # Rows of another township, in trend districts.
+    assert got == {2014: pytest.approx(35.0), 2017: pytest.approx(0.35 * 150)}
+
+
+def test_missing_or_broken_file_fails_the_job(spark, outputs, tmp_path):
+    for name in ("ab", "tif"):
+        (tmp_path / name).mkdir()
+    (tmp_path / "ab" / "AbatementDetails 2015.csv").write_bytes(b"\xff\xfeT\x00")
+    path = str(tmp_path / "rates.csv")
+    write_csv(path, tw.RATE_COLS, tw.rate_rows())
+    with pytest.raises(OSError, match="cannot read"):
+        job.run(spark, str(tmp_path / "ab"), str(tmp_path / "tif"), path, scratch_path(spark, "broken"))
 
 
 def test_split_labels_written(spark, outputs):
     out, _ = outputs
     labels = sorted(d for d in os.listdir(f"{out.replace('file:', '')}/combined/by_label") if "=" in d)
-    assert "SheetLabel=Combined_JeffersonUnincorporate" in labels
-    assert "SheetLabel=Combined_Gahanna" in labels
-    g = spark.read.option("header", True).csv(f"{out}/combined/by_label/SheetLabel=Combined_Gahanna")
+    assert "Folder=Combined_JeffersonUnincorporate" in labels
+    assert "Folder=Combined_Gahanna" in labels
+    g = spark.read.option("header", True).csv(f"{out}/combined/by_label/Folder=Combined_Gahanna")
     assert g.count() == 2 * 11 + 0  # General and Fire for 11 years (TIF rows add 2022 only)
 
 

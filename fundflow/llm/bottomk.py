@@ -4,18 +4,17 @@
    the ``k`` smallest hashes are its sketch. Documents with the same set are
    one *class*, which goes on as one (its smallest doc_id stands for it).
 2. Inverted lists, retained value -> classes. If two classes are similar enough,
-   their sketches share at least a fraction ``SHARE`` of the smaller sketch
-   (expected: ``threshold`` of the union's sketch; for sets below ``k`` this is
-   certain, above it the chance of less is about 1e-9 for k = 64). So each
-   class needs to stand in the lists of only its rarest values: with ``s``
-   values of which at least ``t`` are shared, one of the ``s - t + 1`` rarest
-   is shared. Values that very many documents retain thus have short lists.
-3. No list is expanded into all its pairs. In a *hub round* each list offers the
-   pairs of one member, drawn anew each round, with the others; lists whose
-   members are all in one component are done. When few pairs between different
-   components are left (``FEW`` by row of the lists; or a round brought no link), those are
-   taken as they are.
-   A link inside a component can't change the components.
+   their sketches share at least ``t`` values: half of them (expected: ``threshold`` of
+   the union's sketch; the chance of less is about 1e-7 for k = 64 and 0.8), or, of a
+   set that is smaller than its sketch may be, three quarters for certain. Of the ``s``
+   values of a sketch, in order of rarity over all classes, the first ``s - t + COMMON``
+   then hold ``COMMON`` shared ones: a class stands in the lists of those alone. Values
+   that very many documents retain thus have short lists.
+3. Pairs that lists offer are counted, and those offered less than ``COMMON`` times go.
+   Lists whose pairs would be many (``FEW`` by row of all lists) aren't expanded: in a
+   *hub round* each list offers the pairs of one member, drawn anew each round, with the
+   others; members of one component are no pair (a link inside a component can't change
+   the components). Once few pairs are left, or a round brought no link, all are taken.
 4. A pair is kept if the estimate from the union's sketch (the k smallest of
    both sketches, and which of them are in both) is not far below the threshold
    (``MARGIN``), and is a link only if the exact Jaccard of the full sets says so.
@@ -41,10 +40,10 @@ from fundflow.llm.common import blocks, staged, text_column, unstage
 from fundflow.llm.components import components
 
 SKETCH = 64
-SHARE = 0.45
+COMMON = 3
 MARGIN = 0.3
 #: Pairs between components, by row of the lists, that are taken as they are.
-FEW = 4
+FEW = 10
 #: Word hashes that a worker keeps.
 WORDS = 1_000_000
 
@@ -94,20 +93,24 @@ def sketches(df: DataFrame, words: int, k: int, id_col: str = "doc_id", text_col
         run, "doc_id long, n_shingles long, set_id binary, sketch array<long>")
 
 
-def _lists(classes: DataFrame) -> DataFrame:
-    """``value, rep, n`` for the rarest values of each class (see the module's text)."""
+def _lists(classes: DataFrame, k: int) -> DataFrame:
+    """``value, rep, n, need`` for the rarest values of each class (see the module's text); ``need``: how
+    many values a similar class has in common at least."""
     value = classes.select("rep", "n", F.size("sketch").alias("s"), F.explode("sketch").alias("value"))
     shared = value.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
     # Values of one class alone are the rarest of all; they take places of the prefix and need no list.
     return (value.join(shared, "value")
             .selectExpr("*", "row_number() over (partition by rep, n order by df, value) as place",
-                        "count(*) over (partition by rep, n) as present")
-            .where(f"s - present + place <= s - ceil({SHARE} * s) + 1").select("value", "rep", "n"))
+                        "count(*) over (partition by rep, n) as present",
+                        f"cast(ceil(if(s < {k}, 0.75, 0.5) * s) as int) as t")
+            .selectExpr("*", f"least({COMMON}, t) as need")
+            .where("s - present + place <= s - t + need").select("value", "rep", "n", "need"))
 
 
 def _estimated(pairs: DataFrame, classes: DataFrame, k: int, least: float) -> DataFrame:
-    """Pairs whose union sketch doesn't rule them out."""
-    sketch = classes.select("rep", "sketch")
+    """Pairs whose union sketch doesn't rule them out. Half of each value's bits, in the same order,
+    are enough here and half as much to move."""
+    sketch = classes.select("rep", F.expr("transform(sketch, x -> cast(shiftright(x, 32) as int))").alias("sketch"))
     a, b = sketch.toDF("a", "sa"), sketch.toDF("b", "sb")
     both = (pairs.join(a, "a").join(b, "b")
             .withColumn("u", F.slice(F.array_sort(F.array_union("sa", "sb")), 1, k))
@@ -142,43 +145,41 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, k: int = S
     some = sets.where("n_shingles > 0 and doc_id is not null")
     classes = staged(some.groupBy("set_id").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"),
                                                 F.first("sketch").alias("sketch")), "classes")
-    lists = staged(_lists(classes), "lists")
+    lists = staged(_lists(classes, k), "lists")
+    whole = text_column(df, id_col, text_col)
     size = f"100 * least(n, hub_n) >= {percent} * greatest(n, hub_n)"
     least = max(0.0, percent / 100 - MARGIN)
-    texts = None
     links = spark.createDataFrame([], "a long, b long")
-    tried = links
     linked = links.toDF("node", "component")
     turn, gained, n_lists = 0, True, lists.count()
     while True:
         member = (lists.join(linked.toDF("rep", "component"), "rep", "left")
                   .withColumn("component", F.coalesce("component", "rep")))
-        # A list's members, by component: what is left of its pairs, and this round's hub.
+        # A list's members, by component: what is left of its pairs.
         of = member.groupBy("value", "component").agg(F.count("*").alias("c"))
         open_ = (of.groupBy("value").agg(F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("cc"))
                  .where("c * c > cc"))
         left = open_.selectExpr("sum(c * c - cc) / 2").first()[0]
         if not left:
             break
-        open_ = open_.select("value")
-        member = member.join(open_, "value", "left_semi")
+        member = member.join(open_.select("value"), "value", "left_semi")
         last = not gained or left <= FEW * n_lists
         if last:
-            other = member.selectExpr("value", "rep hub", "n hub_n", "component hub_component")
-            pairs = member.join(other, "value").where(f"component <> hub_component and rep < hub and {size}")
+            other = member.selectExpr("value", "rep hub", "n hub_n", "component hub_component", "need hub_need")
+            pairs = (member.join(other, "value").where(f"component <> hub_component and rep < hub and {size}")
+                     .groupBy(F.col("rep").alias("a"), F.col("hub").alias("b"))
+                     .agg(F.count("*").alias("common"), F.min(F.least("need", "hub_need")).alias("need"))
+                     .where("common >= need").select("a", "b"))
         else:
             drawn = F.xxhash64("rep", F.lit(turn))
             hubs = (member.groupBy("value").agg(F.min_by("rep", drawn).alias("hub"), F.min_by("n", drawn).alias("hub_n"),
                                                 F.min_by("component", drawn).alias("hub_component")))
-            pairs = member.join(hubs, "value").where(f"component <> hub_component and {size}")
-        pairs = pairs.selectExpr("least(rep, hub) a", "greatest(rep, hub) b").distinct()
-        pairs = staged(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        tried = tried.union(pairs)
-        if texts is None:  # of every class that any list could still pair
-            wanted = member.select(F.col("rep").alias("doc_id")).distinct()
-            whole = text_column(df, id_col, text_col)
-            texts = staged(whole.join(wanted, "doc_id", "left_semi").distinct(), "texts")
-        found = staged(_verified(_estimated(pairs, classes, k, least), texts, words, percent).distinct(), "found")
+            pairs = (member.join(hubs, "value").where(f"component <> hub_component and {size}")
+                     .selectExpr("least(rep, hub) a", "greatest(rep, hub) b").distinct())
+        likely = staged(_estimated(pairs, classes, k, least), "likely")
+        wanted = likely.select("a").union(likely.select("b")).distinct().withColumnRenamed("a", "doc_id")
+        texts = staged(whole.join(wanted, "doc_id", "left_semi").distinct(), "texts")
+        found = staged(_verified(likely, texts, words, percent).distinct(), "found")
         links = links.union(found)
         gained = not found.isEmpty()
         if gained:

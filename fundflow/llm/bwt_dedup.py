@@ -56,7 +56,7 @@ SYMBOL = 10
 GROUP, SHARD, HOT = 400, 64, 2000
 #: Bytes anchored together; longer texts are anchored in overlapping parts.
 BLOCK = 256_000
-FIRST = -2 ** 63
+FIRST = -(2 ** 63)
 
 
 def _powers(base: int) -> list[np.uint32]:

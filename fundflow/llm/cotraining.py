@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Labelled documents fitted on, and documents in the pool without labels, at most.
-LABELLED = 6000
-POOL = 6000
+LABELLED = 5000
+POOL = 5000
 ROUNDS = 3
 #: Share of the pool that each view labels in a round, and how sure it has to be.
 SHARE = 0.05
@@ -89,13 +89,13 @@ class Logistic:
         penalty = np.full(z.shape[1], ridge)
         penalty[-1] = 1e-6
         w = np.zeros(z.shape[1])
-        for _ in range(25):
+        for _ in range(15):
             p = _sigmoid(z @ w)
             gradient = z.T @ (p - y) + penalty * w
             hessian = (z * (p * (1 - p) + 1e-9)[:, None]).T @ z + np.diag(penalty)
             step = np.linalg.solve(hessian, gradient)
             w -= step
-            if np.abs(step).max() < 1e-6:
+            if np.abs(step).max() < 1e-4:
                 break
         return cls(w, mean, scale)
 

@@ -41,6 +41,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -343,20 +344,24 @@ RESULT = ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "spans"
 
 
 def remove_repeats(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text",
-                   with_text: bool = False) -> DataFrame:
-    """The rows with ``n_bytes, n_removed, n_spans, kept_sha256`` behind; ``with_text``: and ``kept_text`` (halves
-    of characters that a cut leaves are dropped) and ``spans`` (``start, end`` of the maximal removed runs)."""
+                   with_text: bool = False, keep: list[str] | None = None) -> DataFrame:
+    """The rows (their columns ``keep``; default: all) with ``n_bytes, n_removed, n_spans, kept_sha256``
+    behind; ``with_text``: and ``kept_text`` (halves of characters that a cut leaves are dropped) and
+    ``spans`` (``start, end`` of the maximal removed runs)."""
     result = RESULT if with_text else RESULT[:4]
-    own = [c for c in df.columns if c not in result]
+    own = [c for c in (df.columns if keep is None else keep) if c not in result]
     spans = (repeats(df, length, id_col, text_col).groupBy("d", "t")
              .agg(F.collect_set(F.struct("start", "end")).alias("r")))
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     docs = df.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(FIRST)).alias("_d"), F.xxhash64(text).alias("_t"),
-                     text.alias("_text"), F.struct(*[F.col(f"`{c}`") for c in own]).alias("_row"))
-    joined = docs.join(spans.toDF("_d", "_t", "_r"), ["_d", "_t"], "left").select("_row", "_text", "_r")
+                     text.alias("_text"), F.struct(*[F.col(f"`{c}`") for c in own if c != text_col]).alias("_row"),
+                     F.col(f"`{text_col}`").isNull().alias("_null"))
+    joined = docs.join(spans.toDF("_d", "_t", "_r"), ["_d", "_t"], "left").select("_row", "_text", "_null", "_r")
     kinds = {"n_bytes": "bigint", "n_removed": "bigint", "n_spans": "bigint", "kept_sha256": "string",
              "kept_text": "string", "spans": "array<struct<start:bigint,end:bigint>>"}
-    schema = T.StructType([T.StructField("_row", T.StructType([df.schema[c] for c in own]))]
+    rest = [c for c in own if c != text_col]
+    schema = T.StructType([T.StructField("_row", T.StructType([df.schema[c] for c in rest]))]
+                          + [T.StructField("_text", T.StringType())] * (text_col in own)
                           + [T.StructField(c, T.DataType.fromDDL(kinds[c])) for c in result])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -376,11 +381,13 @@ def remove_repeats(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
                     if c in out:
                         out[c].append(v)
             types = [pa.int64()] * 3 + [pa.string()] * 2 + [pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))]
+            texts = [pc.if_else(batch.column("_null"), pa.scalar(None, pa.string()), batch.column("_text").cast(pa.string()))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_row")] + [pa.array(out[c], k) for c, k in zip(result, types, strict=False)],
-                names=["_row", *result])
+                [batch.column("_row")] + texts * (text_col in own)
+                + [pa.array(out[c], k) for c, k in zip(result, types, strict=False)], names=schema.names)
 
-    return joined.mapInArrow(run, schema).select("_row.*", *result)
+    return joined.mapInArrow(run, schema).select(
+        *[F.col("_text" if c == text_col else f"_row.`{c}`").alias(c) for c in own], *result)
 
 
 def _union(ranges: list[dict]) -> list[tuple[int, int]]:

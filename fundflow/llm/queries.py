@@ -63,8 +63,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    return bwt_dedup.remove_repeats(docs).drop("text")
+    return bwt_dedup.remove_repeats(read(spark, sf_dir, "documents"), keep=["doc_id"])
 
 
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

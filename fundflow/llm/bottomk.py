@@ -10,11 +10,14 @@
    values of a sketch, in order of rarity over all classes, the first ``s - t + COMMON``
    then hold ``COMMON`` shared ones: a class stands in the lists of those alone. Values
    that very many documents retain thus have short lists.
-3. Pairs that lists offer are counted, and those offered less than ``COMMON`` times go.
-   Lists whose pairs would be many (``FEW`` by row of all lists) aren't expanded: in a
-   *hub round* each list offers the pairs of one member, drawn anew each round, with the
-   others; members of one component are no pair (a link inside a component can't change
-   the components). Once few pairs are left, or a round brought no link, all are taken.
+3. Lists aren't expanded into all their pairs at once. In a *hub round* each list offers the
+   pairs of one member, its hub, with the others, and then goes on without the hub. The hub
+   is the member whose sketch is shared most (the sum of its values' logarithms of the
+   number of classes that have them): of an original and its edited copies, the original.
+   Members of one component are no pair (a link inside a component can't change the
+   components), so a list whose members are all linked is done. Once few pairs are left
+   (``FEW`` by row of the lists), or a round brought no link, all that are left are taken,
+   but for those that lists offer less than ``COMMON`` times.
 4. A pair is kept if the estimate from the union's sketch (the k smallest of
    both sketches, and which of them are in both) is not far below the threshold
    (``MARGIN``), and is a link only if the exact Jaccard of the full sets says so.
@@ -36,14 +39,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fundflow.llm.common import blocks, staged, text_column, unstage
+from fundflow.llm.common import blocks, staged, text_column
 from fundflow.llm.components import components
 
 SKETCH = 64
 COMMON = 3
 MARGIN = 0.3
 #: Pairs between components, by row of the lists, that are taken as they are.
-FEW = 10
+FEW = 2
 #: Word hashes that a worker keeps.
 WORDS = 1_000_000
 
@@ -93,18 +96,22 @@ def sketches(df: DataFrame, words: int, k: int, id_col: str = "doc_id", text_col
         run, "doc_id long, n_shingles long, set_id binary, sketch array<long>")
 
 
+LIST = ["value", "rep", "n", "need", "weight"]
+
+
 def _lists(classes: DataFrame, k: int) -> DataFrame:
-    """``value, rep, n, need`` for the rarest values of each class (see the module's text); ``need``: how
-    many values a similar class has in common at least."""
+    """Inverted lists of the rarest values of each class (see the module's text). ``need``: how many values
+    a similar class has in common at least; ``weight``: how much the class's sketch is shared."""
     value = classes.select("rep", "n", F.size("sketch").alias("s"), F.explode("sketch").alias("value"))
     shared = value.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
     # Values of one class alone are the rarest of all; they take places of the prefix and need no list.
     return (value.join(shared, "value")
             .selectExpr("*", "row_number() over (partition by rep, n order by df, value) as place",
                         "count(*) over (partition by rep, n) as present",
+                        "cast(100 * sum(ln(df)) over (partition by rep, n) as int) as weight",
                         f"cast(ceil(if(s < {k}, 0.75, 0.5) * s) as int) as t")
             .selectExpr("*", f"least({COMMON}, t) as need")
-            .where("s - present + place <= s - t + need").select("value", "rep", "n", "need"))
+            .where("s - present + place <= s - t + need").select(*LIST))
 
 
 def _estimated(pairs: DataFrame, classes: DataFrame, k: int, least: float) -> DataFrame:
@@ -153,29 +160,34 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, k: int = S
     linked = links.toDF("node", "component")
     turn, gained, n_lists = 0, True, lists.count()
     while True:
-        member = (lists.join(linked.toDF("rep", "component"), "rep", "left")
-                  .withColumn("component", F.coalesce("component", "rep")))
-        # A list's members, by component: what is left of its pairs.
-        of = member.groupBy("value", "component").agg(F.count("*").alias("c"))
+        if turn:
+            lists = staged(lists.drop("component").join(linked.toDF("rep", "component"), "rep", "left")
+                           .withColumn("component", F.coalesce("component", "rep")).select(*LIST, "component"), "lists")
+        else:
+            lists = lists.withColumn("component", F.col("rep"))
+        # What is left of each list's pairs: those between components.
+        of = lists.groupBy("value", "component").agg(F.count("*").alias("c")) if turn else (
+            lists.select("value", F.lit(1).alias("c")))
         open_ = (of.groupBy("value").agg(F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("cc"))
                  .where("c * c > cc"))
         left = open_.selectExpr("sum(c * c - cc) / 2").first()[0]
         if not left:
             break
-        member = member.join(open_.select("value"), "value", "left_semi")
-        last = not gained or left <= FEW * n_lists
+        lists = lists.join(open_.select("value"), "value", "left_semi")
+        last = turn > 0 and (not gained or left <= FEW * n_lists)
         if last:
-            other = member.selectExpr("value", "rep hub", "n hub_n", "component hub_component", "need hub_need")
-            pairs = (member.join(other, "value").where(f"component <> hub_component and rep < hub and {size}")
+            other = lists.selectExpr("value", "rep hub", "n hub_n", "component hub_component", "need hub_need")
+            pairs = (lists.join(other, "value").where(f"component <> hub_component and rep < hub and {size}")
                      .groupBy(F.col("rep").alias("a"), F.col("hub").alias("b"))
                      .agg(F.count("*").alias("common"), F.min(F.least("need", "hub_need")).alias("need"))
                      .where("common >= need").select("a", "b"))
         else:
-            drawn = F.xxhash64("rep", F.lit(turn))
-            hubs = (member.groupBy("value").agg(F.min_by("rep", drawn).alias("hub"), F.min_by("n", drawn).alias("hub_n"),
-                                                F.min_by("component", drawn).alias("hub_component")))
-            pairs = (member.join(hubs, "value").where(f"component <> hub_component and {size}")
+            hubs = (lists.groupBy("value").agg(F.expr("max(struct(weight, -rep, n, component))").alias("h"))
+                    .selectExpr("value", "-h.col2 hub", "h.n hub_n", "h.component hub_component"))
+            offered = staged(lists.join(hubs, "value").where("rep <> hub"), "offered")
+            pairs = (offered.where(f"component <> hub_component and {size}")
                      .selectExpr("least(rep, hub) a", "greatest(rep, hub) b").distinct())
+            lists = offered.select(*LIST)
         likely = staged(_estimated(pairs, classes, k, least), "likely")
         wanted = likely.select("a").union(likely.select("b")).distinct().withColumnRenamed("a", "doc_id")
         texts = staged(whole.join(wanted, "doc_id", "left_semi").distinct(), "texts")
@@ -187,7 +199,6 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, k: int = S
         if last:
             break
         turn += 1
-    unstage(lists)
     of = some.groupBy("set_id").agg(F.min("doc_id").alias("rep"))
     of = of.join(linked.toDF("rep", "component"), "rep", "left").selectExpr("set_id", "coalesce(component, rep) component_id")
     return (sets.drop("sketch").join(of, "set_id", "left")

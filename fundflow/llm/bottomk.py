@@ -10,14 +10,17 @@
    values of a sketch, in order of rarity over all classes, the first ``s - t + COMMON``
    then hold ``COMMON`` shared ones: a class stands in the lists of those alone. Values
    that very many documents retain thus have short lists.
-3. Lists aren't expanded into all their pairs at once. In a *hub round* each list offers the
-   pairs of one member, its hub, with the others, and then goes on without the hub. The hub
+3. Lists aren't expanded into all their pairs at once. First each list offers the pairs of one
+   member, its *hub*, with the others, and then goes on without the hub. The hub
    is the member whose sketch is shared most (the sum of its values' logarithms of the
    number of classes that have them): of an original and its edited copies, the original.
-   Members of one component are no pair (a link inside a component can't change the
-   components), so a list whose members are all linked is done. Once few pairs are left
-   (``FEW`` by row of the lists), or a round brought no link, all that are left are taken,
-   but for those that lists offer less than ``COMMON`` times.
+   Members of one component are no pair from then on (a link inside a component can't
+   change the components), so a list whose members are all linked is done. Of what is left,
+   lists of up to ``SMALL`` members offer all their pairs, but for those that lists offer less
+   than ``COMMON`` times. Longer lists with the same next hub are one *group*: its members
+   are dealt into blocks, and pairs of blocks are compared in a task each, on full sets. Blocks
+   of the group's largest component aren't compared with each other. So of a large group
+   of similar documents only links come out, not pairs.
 4. A pair is kept if the estimate from the union's sketch (the k smallest of
    both sketches, and which of them are in both) is not far below the threshold
    (``MARGIN``), and is a link only if the exact Jaccard of the full sets says so.
@@ -45,8 +48,9 @@ from fundflow.llm.components import components
 SKETCH = 64
 COMMON = 3
 MARGIN = 0.3
-#: Pairs between components, by row of the lists, that are taken as they are.
-FEW = 2
+#: Members of a list that offers all its pairs, and documents in a block of a group.
+SMALL = 32
+BLOCK = 256
 #: Word hashes that a worker keeps.
 WORDS = 1_000_000
 
@@ -143,62 +147,99 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     return pairs.join(b, "b").join(a, "a").select("a", "b", "ta", "tb").mapInPandas(run, "a long, b long")
 
 
+def _compared(groups: DataFrame, texts: DataFrame, words: int, percent: int, block: int) -> DataFrame:
+    """Links between components in groups ``hub, rep, component``, found block by block."""
+    counted = groups.groupBy("hub", "component").agg(F.count("*").alias("c"))
+    info = (counted.groupBy("hub").agg(F.sum("c").alias("c"), F.expr("max(struct(c, component))").alias("m"))
+            .selectExpr("hub", "m.component large", f"cast(ceil(m.c / {block}) as int) n_large",
+                        f"cast(greatest(ceil((c - m.c) / {block}), 1) as int) n_rest"))
+    dealt = (groups.join(info, "hub")
+             .withColumn("block", F.expr("cast(if(component = large, pmod(xxhash64(rep), n_large), "
+                                         "n_large + pmod(xxhash64(rep), n_rest)) as int)"))
+             .withColumn("other", F.explode(F.expr("sequence(if(component = large, n_large, 0), n_large + n_rest - 1)")))
+             .selectExpr("hub", "least(block, other) i", "greatest(block, other) j", "block", "rep", "component")
+             .join(texts.toDF("rep", "text"), "rep"))
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        i, j = pdf["i"].iloc[0], pdf["j"].iloc[0]
+        pdf = pdf.sort_values(["rep", "text"], kind="stable")
+        one, two = pdf[pdf["block"] == i], pdf[pdf["block"] == j]
+        a = [shingle_set(t, words) for t in one["text"]]
+        b = a if i == j else [shingle_set(t, words) for t in two["text"]]
+        found = {}
+        if a and b:
+            sizes = np.array([len(x) for x in b])
+            owner, values = np.repeat(np.arange(len(b)), sizes), np.concatenate(b)
+            order = np.argsort(values, kind="stable")
+            owner, values = owner[order], values[order]
+            reps, components = two["rep"].to_numpy(), two["component"].to_numpy()
+            for x, rep, component in zip(a, one["rep"], one["component"], strict=True):
+                lo, n = np.searchsorted(values, x, "left"), np.searchsorted(values, x, "right")
+                n -= lo
+                at = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
+                inter = np.bincount(owner[at], minlength=len(b))
+                hit = (100 * inter >= percent * (sizes + len(x) - inter)) & (components != component)
+                for y in np.flatnonzero(hit):
+                    found.setdefault((component, components[y]), (rep, reps[y]))  # one link joins two components
+        return pd.DataFrame(list(found.values()), columns=["a", "b"], dtype="int64")
+
+    return dealt.groupBy("hub", "i", "j").applyInPandas(run, "a long, b long").distinct()
+
+
+def _linked(lists: DataFrame, links: DataFrame) -> DataFrame:
+    """The lists with each member's ``component``, but for those that are in one component as a whole;
+    ``c``: members of the list."""
+    lists = (lists.join(links.toDF("rep", "component"), "rep", "left")
+             .withColumn("component", F.coalesce("component", "rep")))
+    lists = staged(lists.select(*LIST, "component"), "lists")
+    open_ = lists.groupBy("value").agg(F.count("*").alias("c"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+    return lists.join(open_.where("lo < hi").select("value", "c"), "value")
+
+
+HUB = "max(struct(weight, -rep as rep, n, component))"
+
+
 def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, k: int = SKETCH,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                    id_col: str = "doc_id", text_col: str = "text", small: int = SMALL, block: int = BLOCK) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every row: components of the documents linked
     by a Jaccard of ``percent`` / 100 or more over shingles of ``words`` words."""
-    spark = df.sparkSession
     sets = staged(sketches(df, words, k, id_col, text_col), "sketches")
     some = sets.where("n_shingles > 0 and doc_id is not null")
     classes = staged(some.groupBy("set_id").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"),
                                                 F.first("sketch").alias("sketch")), "classes")
-    lists = staged(_lists(classes, k), "lists")
     whole = text_column(df, id_col, text_col)
     size = f"100 * least(n, hub_n) >= {percent} * greatest(n, hub_n)"
     least = max(0.0, percent / 100 - MARGIN)
-    links = spark.createDataFrame([], "a long, b long")
-    linked = links.toDF("node", "component")
-    turn, gained, n_lists = 0, True, lists.count()
-    while True:
-        if turn:
-            lists = staged(lists.drop("component").join(linked.toDF("rep", "component"), "rep", "left")
-                           .withColumn("component", F.coalesce("component", "rep")).select(*LIST, "component"), "lists")
-        else:
-            lists = lists.withColumn("component", F.col("rep"))
-        # What is left of each list's pairs: those between components.
-        of = lists.groupBy("value", "component").agg(F.count("*").alias("c")) if turn else (
-            lists.select("value", F.lit(1).alias("c")))
-        open_ = (of.groupBy("value").agg(F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("cc"))
-                 .where("c * c > cc"))
-        left = open_.selectExpr("sum(c * c - cc) / 2").first()[0]
-        if not left:
-            break
-        lists = lists.join(open_.select("value"), "value", "left_semi")
-        last = turn > 0 and (not gained or left <= FEW * n_lists)
-        if last:
-            other = lists.selectExpr("value", "rep hub", "n hub_n", "component hub_component", "need hub_need")
-            pairs = (lists.join(other, "value").where(f"component <> hub_component and rep < hub and {size}")
-                     .groupBy(F.col("rep").alias("a"), F.col("hub").alias("b"))
-                     .agg(F.count("*").alias("common"), F.min(F.least("need", "hub_need")).alias("need"))
-                     .where("common >= need").select("a", "b"))
-        else:
-            hubs = (lists.groupBy("value").agg(F.expr("max(struct(weight, -rep, n, component))").alias("h"))
-                    .selectExpr("value", "-h.col2 hub", "h.n hub_n", "h.component hub_component"))
-            offered = staged(lists.join(hubs, "value").where("rep <> hub"), "offered")
-            pairs = (offered.where(f"component <> hub_component and {size}")
-                     .selectExpr("least(rep, hub) a", "greatest(rep, hub) b").distinct())
-            lists = offered.select(*LIST)
-        likely = staged(_estimated(pairs, classes, k, least), "likely")
-        wanted = likely.select("a").union(likely.select("b")).distinct().withColumnRenamed("a", "doc_id")
-        texts = staged(whole.join(wanted, "doc_id", "left_semi").distinct(), "texts")
-        found = staged(_verified(likely, texts, words, percent).distinct(), "found")
-        links = links.union(found)
-        gained = not found.isEmpty()
-        if gained:
-            linked = components(links)
-        if last:
-            break
-        turn += 1
+
+    def texts_of(reps: DataFrame) -> DataFrame:
+        return staged(whole.join(reps.toDF("doc_id").distinct(), "doc_id", "left_semi").distinct(), "texts")
+
+    # Each list's hub with its other members.
+    lists = staged(_lists(classes, k), "lists").withColumn("component", F.col("rep"))
+    hubs = lists.groupBy("value").agg(F.expr(HUB).alias("h")).selectExpr("value", "-h.rep hub", "h.n hub_n")
+    offered = staged(lists.join(hubs, "value").where("rep <> hub"), "offered")
+    pairs = offered.where(size).selectExpr("least(rep, hub) a", "greatest(rep, hub) b").distinct()
+    likely = staged(_estimated(pairs, classes, k, least), "likely")
+    texts = texts_of(likely.select("a").union(likely.select("b")))
+    links = staged(_verified(likely, texts, words, percent).distinct(), "found")
+
+    # What is left: short lists as pairs, long ones as groups in blocks.
+    lists = _linked(offered.select(*LIST), components(links))
+    short = lists.where(F.col("c") <= small)
+    other = short.selectExpr("value", "rep hub", "n hub_n", "component hub_component", "need hub_need")
+    pairs = (short.join(other, "value").where(f"component <> hub_component and rep < hub and {size}")
+             .groupBy(F.col("rep").alias("a"), F.col("hub").alias("b"))
+             .agg(F.count("*").alias("common"), F.min(F.least("need", "hub_need")).alias("need"))
+             .where("common >= need").select("a", "b"))
+    likely = staged(_estimated(pairs, classes, k, least), "likely")
+    long = lists.where(F.col("c") > small)
+    hubs = long.groupBy("value").agg(F.expr(HUB).alias("h")).selectExpr("value", "-h.rep hub")
+    groups = staged(long.join(hubs, "value").select("hub", "rep", "component").distinct(), "groups")
+    texts = texts_of(likely.select("a").union(likely.select("b")).union(groups.select("rep")))
+    found = staged(_verified(likely, texts, words, percent).distinct(), "found")
+    grouped = staged(_compared(groups, texts, words, percent, block), "found")
+    linked = components(links.union(found).union(grouped))
+
     of = some.groupBy("set_id").agg(F.min("doc_id").alias("rep"))
     of = of.join(linked.toDF("rep", "component"), "rep", "left").selectExpr("set_id", "coalesce(component, rep) component_id")
     return (sets.drop("sketch").join(of, "set_id", "left")

@@ -76,11 +76,16 @@ def test_large_group_of_near_copies(spark):
     rows = []
     for i in range(250):
         words = base[:]
-        for _ in range(rng.randrange(1, 6)):
+        for _ in range(rng.randrange(1, 13)):
             words[rng.randrange(120)] = f"x{rng.randrange(10**6)}"
         rows.append((i, " ".join(words)))
-    got = bottomk.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=2).collect()
-    assert sorted(map(tuple, got)) == sorted(brute(rows, 2, 80))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(brute(rows, 2, 80))
+    assert len({r[2] for r in want}) > 5
+    assert sorted(map(tuple, bottomk.near_duplicates(df, words=2).collect())) == want
+    # Groups in many blocks; then all as pairs of lists.
+    assert sorted(map(tuple, bottomk.near_duplicates(df, words=2, small=4, block=16).collect())) == want
+    assert sorted(map(tuple, bottomk.near_duplicates(df, words=2, small=10_000).collect())) == want
 
 
 def test_empty(spark):

@@ -43,12 +43,14 @@ ASSIGN_LEAST = 6
 
 def labelled_samples(docs: DataFrame, documents: int = SAMPLE_DOCUMENTS, id_col: str = "doc_id",
                      text_col: str = "text") -> DataFrame:
-    """``sample, random`` from at most ``documents`` documents (by the order of a hash of the id).
+    """``sample, random`` from the documents of at most ``documents`` ids (by the order of a hash of the id).
 
     Ordinary (false): their words, as they are and joined to identifiers. Random (true): digests of
-    their words, written in base 64 and in base 16."""
-    some = (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-            .where("text is not null").orderBy(F.xxhash64("id"), "text").limit(documents))
+    their texts, written in base 64 and in base 16."""
+    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    # The ids are drawn first, so texts of others don't move: at most ``documents`` numbers are broadcast.
+    ids = docs.select("id").where("id is not null").distinct().orderBy(F.xxhash64("id")).limit(documents)
+    some = docs.where("text is not null").join(F.broadcast(ids), "id")
     words = some.selectExpr("id", "regexp_extract_all(text, '[A-Za-z]+', 0) as w").where("size(w) > 0")
     pairs = "transform(sequence(1, size(w) - 1), i -> {})"
     joined = ("concat(w, case when size(w) < 2 then array() else concat("

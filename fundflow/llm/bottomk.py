@@ -10,17 +10,16 @@
    values of a sketch, in order of rarity over all classes, the first ``s - t + COMMON``
    then hold ``COMMON`` shared ones: a class stands in the lists of those alone. Values
    that very many documents retain thus have short lists.
-3. Lists aren't expanded into all their pairs at once. First each list offers the pairs of one
-   member, its *hub*, with the others, and then goes on without the hub. The hub
-   is the member whose sketch is shared most (the sum of its values' logarithms of the
-   number of classes that have them): of an original and its edited copies, the original.
-   Members of one component are no pair from then on (a link inside a component can't
-   change the components), so a list whose members are all linked is done. Of what is left,
-   lists of up to ``SMALL`` members offer all their pairs, but for those that lists offer less
-   than ``COMMON`` times. Longer lists with the same next hub are one *group*: its members
-   are dealt into blocks, and pairs of blocks are compared in a task each, on full sets. Blocks
-   of the group's largest component aren't compared with each other. So of a large group
-   of similar documents only links come out, not pairs.
+3. Values that up to ``SMALL`` classes have make short lists, which offer all their pairs; pairs
+   that short lists offer less than ``COMMON`` times go. A long list offers the pairs of one
+   member, its *hub*, with the others. The hub is the member whose sketch is shared most (the
+   sum of its values' logarithms of the number of classes that have them): of an original
+   and its edited copies, the original. Once these links are known, members of one component
+   are no pair any more (a link inside a component can't change the components), and a long
+   list whose members are all linked is done. What is left of those with the same next hub is
+   one *group*: its members are dealt into blocks, and pairs of blocks are compared in a task
+   each, on full sets. Blocks of the group's largest component aren't compared with each
+   other. So of a large group of similar documents only links come out, not pairs.
 4. A pair is kept if the estimate from the union's sketch (the k smallest of
    both sketches, and which of them are in both) is not far below the threshold
    (``MARGIN``), and is a link only if the exact Jaccard of the full sets says so.
@@ -48,7 +47,7 @@ from fundflow.llm.components import components
 SKETCH = 64
 COMMON = 3
 MARGIN = 0.3
-#: Members of a list that offers all its pairs, and documents in a block of a group.
+#: Classes with the value of a list that offers all its pairs; documents in a block of a group.
 SMALL = 32
 BLOCK = 256
 #: Word hashes that a worker keeps.
@@ -100,7 +99,7 @@ def sketches(df: DataFrame, words: int, k: int, id_col: str = "doc_id", text_col
         run, "doc_id long, n_shingles long, set_id binary, sketch array<long>")
 
 
-LIST = ["value", "rep", "n", "need", "weight"]
+LIST = ["value", "rep", "n", "need", "weight", "df"]
 
 
 def _lists(classes: DataFrame, k: int) -> DataFrame:
@@ -186,17 +185,21 @@ def _compared(groups: DataFrame, texts: DataFrame, words: int, percent: int, blo
     return dealt.groupBy("hub", "i", "j").applyInPandas(run, "a long, b long").distinct()
 
 
-def _linked(lists: DataFrame, links: DataFrame) -> DataFrame:
-    """The lists with each member's ``component``, but for those that are in one component as a whole;
-    ``c``: members of the list."""
-    lists = (lists.join(links.toDF("rep", "component"), "rep", "left")
-             .withColumn("component", F.coalesce("component", "rep")))
-    lists = staged(lists.select(*LIST, "component"), "lists")
-    open_ = lists.groupBy("value").agg(F.count("*").alias("c"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-    return lists.join(open_.where("lo < hi").select("value", "c"), "value")
+def _short_pairs(lists: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a, b`` that short lists offer often enough. A list's members are gathered: they are few."""
+    member = F.sort_array(F.collect_list(F.struct("rep", "n", "need"))).alias("m")
+    pair = ("flatten(transform(sequence(1, size(m) - 1), i -> transform(filter(slice(m, i + 1, size(m)), "
+            f"y -> y.rep <> m[i - 1].rep and 100 * least(y.n, m[i - 1].n) >= {percent} * greatest(y.n, m[i - 1].n)), "
+            "y -> struct(m[i - 1].rep as a, y.rep as b, least(y.need, m[i - 1].need) as need))))")
+    return (lists.groupBy("value").agg(member).where("size(m) > 1").select(F.explode(F.expr(pair)).alias("p"))
+            .groupBy("p.a", "p.b").agg(F.count("*").alias("common"), F.min("p.need").alias("need"))
+            .where("common >= need").select("a", "b"))
 
 
-HUB = "max(struct(weight, -rep as rep, n, component))"
+def _with_hubs(lists: DataFrame) -> DataFrame:
+    """Long lists with each one's hub (and its size)."""
+    hubs = lists.groupBy("value").agg(F.expr("max(struct(weight, -rep as rep, n))").alias("h"))
+    return lists.join(hubs.selectExpr("value", "-h.rep hub", "h.n hub_n"), "value")
 
 
 def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, k: int = SKETCH,
@@ -214,31 +217,27 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, k: int = S
     def texts_of(reps: DataFrame) -> DataFrame:
         return staged(whole.join(reps.toDF("doc_id").distinct(), "doc_id", "left_semi").distinct(), "texts")
 
-    # Each list's hub with its other members.
-    lists = staged(_lists(classes, k), "lists").withColumn("component", F.col("rep"))
-    hubs = lists.groupBy("value").agg(F.expr(HUB).alias("h")).selectExpr("value", "-h.rep hub", "h.n hub_n")
-    offered = staged(lists.join(hubs, "value").where("rep <> hub"), "offered")
-    pairs = offered.where(size).selectExpr("least(rep, hub) a", "greatest(rep, hub) b").distinct()
+    lists = staged(_lists(classes, k), "lists")
+    pairs = _short_pairs(lists.where(F.col("df") <= small), percent)
+    long = staged(_with_hubs(lists.where(F.col("df") > small)).where("rep <> hub"), "long")
+    pairs = pairs.union(long.where(size).selectExpr("least(rep, hub) a", "greatest(rep, hub) b")).distinct()
     likely = staged(_estimated(pairs, classes, k, least), "likely")
     texts = texts_of(likely.select("a").union(likely.select("b")))
     links = staged(_verified(likely, texts, words, percent).distinct(), "found")
-
-    # What is left: short lists as pairs, long ones as groups in blocks.
-    lists = _linked(offered.select(*LIST), components(links))
-    short = lists.where(F.col("c") <= small)
-    other = short.selectExpr("value", "rep hub", "n hub_n", "component hub_component", "need hub_need")
-    pairs = (short.join(other, "value").where(f"component <> hub_component and rep < hub and {size}")
-             .groupBy(F.col("rep").alias("a"), F.col("hub").alias("b"))
-             .agg(F.count("*").alias("common"), F.min(F.least("need", "hub_need")).alias("need"))
-             .where("common >= need").select("a", "b"))
-    likely = staged(_estimated(pairs, classes, k, least), "likely")
-    long = lists.where(F.col("c") > small)
-    hubs = long.groupBy("value").agg(F.expr(HUB).alias("h")).selectExpr("value", "-h.rep hub")
-    groups = staged(long.join(hubs, "value").select("hub", "rep", "component").distinct(), "groups")
-    texts = texts_of(likely.select("a").union(likely.select("b")).union(groups.select("rep")))
-    found = staged(_verified(likely, texts, words, percent).distinct(), "found")
-    grouped = staged(_compared(groups, texts, words, percent, block), "found")
-    linked = components(links.union(found).union(grouped))
+    linked = components(links)
+
+    # What is left of long lists: their members by component, as groups.
+    member = (long.select(*LIST).join(linked.toDF("rep", "component"), "rep", "left")
+              .withColumn("component", F.coalesce("component", "rep")))
+    open_ = (member.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+             .where("lo < hi").select("value"))
+    groups = staged(_with_hubs(member.join(open_, "value", "left_semi")).select("hub", "rep", "component").distinct(),
+                    "groups")
+    if not groups.isEmpty():
+        texts = texts_of(groups.select("rep"))
+        grouped = staged(_compared(groups, texts, words, percent, block), "found")
+        if not grouped.isEmpty():
+            linked = components(links.union(grouped))
 
     of = some.groupBy("set_id").agg(F.min("doc_id").alias("rep"))
     of = of.join(linked.toDF("rep", "component"), "rep", "left").selectExpr("set_id", "coalesce(component, rep) component_id")

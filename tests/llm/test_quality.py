@@ -16,12 +16,14 @@ def tables(spark):
 
 def test_held_out_accuracy(spark, tables):
     docs, labels = tables
-    held = F.xxhash64("doc_id") % 3 == 0
-    model = cotraining.train(docs, labels.where(~held))
-    rows = cotraining.score(docs, model).join(labels.where(held), "doc_id").collect()
+    rows = []
+    for fold in range(3):  # one fold alone has a dozen bad documents
+        held = F.pmod(F.xxhash64("doc_id"), F.lit(3)) == fold
+        model = cotraining.train(docs, labels.where(~held))
+        rows += cotraining.score(docs, model).join(labels.where(held), "doc_id").collect()
     good = [r for r in rows if r.quality == 1]
     bad = [r for r in rows if r.quality == 0]
-    assert len(bad) > 10
+    assert len(good) + len(bad) == labels.count() and len(bad) > 50
     assert sum(r.accepted for r in good) >= 0.97 * len(good)
     assert sum(not r.accepted for r in bad) >= 0.8 * len(bad)
     assert all(0 <= p <= 1 for r in rows for p in (r.p_content, r.p_metadata, r.p_quality))

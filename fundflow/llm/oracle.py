@@ -14,7 +14,7 @@ WITH v AS (
     AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
     AND len([x FOR x IN embedding IF x <> 0]) > 0
 ), d AS (
-  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_distance(q.e, c.e) AS score
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, sqrt(list_sum([(q.e[i] - c.e[i]) * (q.e[i] - c.e[i]) FOR i IN range(1, len(q.e) + 1)])) AS score
   FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(c.e) = len(q.e)
 ), r AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM d
@@ -77,28 +77,28 @@ _QUERY = (r"array_to_string(list_sort([x FOR x IN string_split({q}, '&') IF x <>
           ).format(q=_URL.format(4))
 _OP5 = f"""
 WITH p AS (
-  SELECT page_id, url, md5(html) AS m, length(html) AS n, page_id * 60 AS at,
+  SELECT page_id, url, md5(html) AS m, length(html) AS n, page_id * 60 AS ts,
     CASE WHEN contains(url, '#') THEN url
          ELSE url || (CASE WHEN contains(url, '?') THEN '&' ELSE '?' END) || 'utm_medium=feed#x' END AS mark
   FROM pages
 ), rec AS (
-  SELECT page_id * 4 AS record_id, 'response' AS kind, url, at, '"' || m || '"' AS etag, m AS digest, n FROM p
+  SELECT page_id * 4 AS record_id, 'response' AS kind, url, ts, '"' || m || '"' AS etag, m AS digest, n FROM p
   UNION ALL
-  SELECT page_id * 4 + 2, 'response', url, at + 43200, '"' || reverse(m) || '"', reverse(m), n FROM p WHERE page_id % 4 = 0
+  SELECT page_id * 4 + 2, 'response', url, ts + 43200, '"' || reverse(m) || '"', reverse(m), n FROM p WHERE page_id % 4 = 0
   UNION ALL
-  SELECT page_id * 4 + 1, 'revisit', mark, at + 86400,
+  SELECT page_id * 4 + 1, 'revisit', mark, ts + 86400,
     '"' || CASE WHEN page_id % 5 = 0 THEN 'changed' WHEN page_id % 4 = 0 THEN reverse(m) ELSE m END || '"',
     CASE WHEN page_id % 3 <> 0 THEN CASE WHEN page_id % 4 = 0 THEN reverse(m) ELSE m END END, NULL FROM p
   UNION ALL
-  SELECT page_id * 4 + 3, 'revisit', mark, at - 30, '"' || m || '"', m, NULL FROM p WHERE page_id % 7 = 0
+  SELECT page_id * 4 + 3, 'revisit', mark, ts - 30, '"' || m || '"', m, NULL FROM p WHERE page_id % 7 = 0
 ), c AS (
   SELECT * REPLACE (CASE WHEN {_URL.format(1)} = '' THEN url ELSE {_HOST}
     || CASE WHEN {_URL.format(3)} = '' THEN '/' ELSE {_URL.format(3)} END
     || CASE WHEN {_QUERY} = '' THEN '' ELSE '?' || {_QUERY} END END AS url) FROM rec
 ), j AS (
-  SELECT v.*, r.record_id AS base_id, r.at AS base_at, r.digest AS base_digest, r.n AS base_n, r.etag AS base_etag,
-    row_number() OVER (PARTITION BY v.record_id ORDER BY r.at DESC, r.record_id DESC) AS k
-  FROM c v LEFT JOIN c r ON r.kind = 'response' AND r.url = v.url AND r.at < v.at
+  SELECT v.*, r.record_id AS base_id, r.ts AS base_at, r.digest AS base_digest, r.n AS base_n, r.etag AS base_etag,
+    row_number() OVER (PARTITION BY v.record_id ORDER BY r.ts DESC, r.record_id DESC) AS k
+  FROM c v LEFT JOIN c r ON r.kind = 'response' AND r.url = v.url AND r.ts < v.ts
   WHERE v.kind = 'revisit'
 ), o AS (
   SELECT *, CASE WHEN base_id IS NULL THEN 'no_response'
@@ -107,7 +107,7 @@ WITH p AS (
 )
 SELECT record_id, url, base_id, base_at, outcome,
   CASE WHEN outcome = 'resolved' THEN 'content-length=' || base_n || '; content-type=text/html; date=day '
-    || (CAST(floor((at - 86400 * (record_id % 4 = 1)::INT + 30 * (record_id % 4 = 3)::INT) / 86400) AS BIGINT) + 1)
+    || (CAST(floor((ts - 86400 * (record_id % 4 = 1)::INT + 30 * (record_id % 4 = 3)::INT) / 86400) AS BIGINT) + 1)
     || '; etag=' || CASE WHEN record_id % 4 = 1 THEN 'W/' ELSE '' END || etag || '; x-cache=hit' END AS headers,
   CASE WHEN outcome = 'resolved' THEN base_digest END AS digest
 FROM o

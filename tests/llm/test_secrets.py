@@ -72,6 +72,49 @@ def test_added_spans_leave_base_ones(spark, weights):
     assert [(s.kind, s.start) for s in spans] == [("assign", 0), ("markov", 37)]
 
 
+def test_joined_hyphenated_and_short_keys(spark, weights):
+    rng = random.Random(2)
+    plain, safe = string.ascii_letters + string.digits, string.ascii_letters + string.digits + "-_"
+    names = ["service_account_authorization=", "database_connection_credential=", "var/lib/application/", "signing_material_"]
+    cases = {}
+    for k in range(100):
+        cases["short", k] = ("", "".join(rng.choices(plain, k=16)), "")
+        cases["safe", k] = ("", "".join(rng.choices(safe, k=20 if k % 2 else 32)), "")
+        for n, name in enumerate(names):
+            cases[n, k] = (name, "".join(rng.choices(plain, k=20)), "/settings" if k % 2 else "")
+    keys = list(cases)
+    df = spark.createDataFrame([(i, "see {}{}{} here".format(*cases[c]), "") for i, c in enumerate(keys)], SCHEMA)
+    hit = dict.fromkeys(["short", "safe", 0, 1, 2, 3], 0)
+    for r in secret_scan.scan(df, weights).collect():
+        name, secret, _ = cases[keys[r.doc_id]]
+        at = 4 + len(name)
+        spans = [s for s in r.found if s.kind == "markov" and s.start < at + len(secret) and at < s.end]
+        covered = {i for s in spans for i in range(s.start, s.end)} & set(range(at, at + len(secret)))
+        hit[keys[r.doc_id][0]] += len(covered) >= len(secret) - 3
+    assert all(n >= 95 for n in hit.values()), hit
+
+
+def test_each_key_of_a_run(spark, weights):
+    one, two = "x9Kf02LmQzR7pTa4VbNc", "Zq81YdWe5JtGh3XvB6uP"
+    df = spark.createDataFrame([(1, f"é {one}/configuration_of_the_application/{two}", ""),
+                                (2, "é " + hashlib.sha1(b"x").hexdigest() + f"/configuration_of_the_application/{two}", "")], SCHEMA)
+    found = {r.doc_id: [(s.kind, s.value) for s in r.found] for r in secret_scan.scan(df, weights).collect()}
+    # A span may take in the piece beside the key, not what follows it.
+    assert [k for k, _ in found[1]] == ["markov"] * 2 and one in found[1][0][1] and two in found[1][1][1]
+    assert found[2][0] == ("hex", hashlib.sha1(b"x").hexdigest()) and found[2][1][0] == "markov" and two in found[2][1][1]
+    assert not any("of_the" in v for spans in found.values() for _, v in spans)
+
+
+def test_ordinary_paths_and_numbers(spark, weights):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rng = random.Random(3)
+    words = [w for r in docs.where("doc_id >= 200").limit(300).collect() for w in re.findall("[A-Za-z]{4,}", r.text)]
+    forms = ["/{}/{}/{}/{}", "{}-{}-{}-{}", "{}={}/{}_{}", "{}_{}_{}-20240312", "{}/2024/03/12/{}{}{}", "{}{}{}{}_000123"]
+    texts = [forms[i % 6].format(*rng.choices(words, k=4)) for i in range(600)]
+    df = spark.createDataFrame([(i, f"see {s} here", "") for i, s in enumerate(texts)], SCHEMA)
+    assert secret_scan.digest(secret_scan.scan(df, weights)).where("n_markov > 0").count() <= 6
+
+
 def test_empty(spark, weights):
     assert secret_scan.digest(secret_scan.scan(spark.createDataFrame([], SCHEMA), weights)).count() == 0
     assert set(secret_scan.train(spark.createDataFrame([], "sample string, random boolean"))) == {0.0}

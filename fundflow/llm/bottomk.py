@@ -2,7 +2,8 @@
 
 1. Every document becomes its set of word shingles, hashed with one function;
    the ``k`` smallest hashes are its sketch. Documents with the same set are
-   one *class*, which goes on as one (its smallest doc_id stands for it).
+   one *class*, which goes on as one under a number of its own (the text of its smallest
+   doc_id stands for it).
 2. Inverted lists, retained value -> classes. If two classes are similar enough,
    their sketches share at least ``t`` values: half of them (expected: ``threshold`` of
    the union's sketch; the chance of less is about 1e-7 for k = 64 and 0.8), or, of a
@@ -27,8 +28,9 @@
 Results: a document with fewer words than a shingle is one shingle of all its
 words; one without words (or with null text) has an empty set and no links. A
 null doc_id has no links and comes back with a null component, kept. A row
-whose doc_id is repeated with another text gets the component of its own text.
-Other columns are left out; an empty table gives an empty result.
+whose doc_id is repeated with another text gets the component of its own text; two components
+with the same smallest doc_id then have the same component_id (:func:`grouped` tells
+them apart). Other columns are left out; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -86,17 +88,22 @@ def shingle_set(text: str, words: int) -> np.ndarray:
     return np.unique(_mix(x).view(np.int64))
 
 
+def _texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``doc_id, text, text_hash``: the hash tells texts of one doc_id apart."""
+    return text_column(df, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
+
+
 def sketches(df: DataFrame, words: int, k: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, set_id, sketch`` (the ``k`` smallest hashes) of every row."""
+    """``doc_id, text_hash, n_shingles, set_id, sketch`` (the ``k`` smallest hashes) of every row."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in blocks(batches, "text"):
             sets = [shingle_set(t, words) for t in pdf["text"]]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_shingles": [len(s) for s in sets],
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "text_hash": pdf["text_hash"], "n_shingles": [len(s) for s in sets],
                                 "set_id": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets],
                                 "sketch": [s[:k] for s in sets]})
 
-    return text_column(df, id_col, text_col).mapInPandas(
-        run, "doc_id long, n_shingles long, set_id binary, sketch array<long>")
+    return _texts(df, id_col, text_col).mapInPandas(
+        run, "doc_id long, text_hash long, n_shingles long, set_id binary, sketch array<long>")
 
 
 LIST = ["value", "rep", "n", "need", "weight", "df"]
@@ -202,20 +209,24 @@ def _with_hubs(lists: DataFrame) -> DataFrame:
     return lists.join(hubs.selectExpr("value", "-h.rep hub", "h.n hub_n"), "value")
 
 
-def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, k: int = SKETCH,
-                    id_col: str = "doc_id", text_col: str = "text", small: int = SMALL, block: int = BLOCK) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of every row: components of the documents linked
-    by a Jaccard of ``percent`` / 100 or more over shingles of ``words`` words."""
+def grouped(df: DataFrame, words: int = 5, percent: int = 80, k: int = SKETCH,
+            id_col: str = "doc_id", text_col: str = "text", small: int = SMALL, block: int = BLOCK) -> DataFrame:
+    """``doc_id, text_hash, n_shingles, component, component_id`` of every row: ``component`` is a number of the
+    component, which no other has (null without words or doc_id), ``component_id`` its smallest doc_id."""
     sets = staged(sketches(df, words, k, id_col, text_col), "sketches")
     some = sets.where("n_shingles > 0 and doc_id is not null")
-    classes = staged(some.groupBy("set_id").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"),
-                                                F.first("sketch").alias("sketch")), "classes")
-    whole = text_column(df, id_col, text_col)
+    # Numbered by class: a doc_id can stand for several texts. Written, so the numbers stay.
+    classes = staged(some.groupBy("set_id").agg(F.min(F.struct("doc_id", "text_hash")).alias("m"), F.first("n_shingles").alias("n"),
+                                                F.first("sketch").alias("sketch"))
+                     .select(F.monotonically_increasing_id().alias("rep"), "set_id", "m.doc_id", "m.text_hash", "n", "sketch"),
+                     "classes")
+    whole = _texts(df, id_col, text_col)
     size = f"100 * least(n, hub_n) >= {percent} * greatest(n, hub_n)"
     least = max(0.0, percent / 100 - MARGIN)
 
     def texts_of(reps: DataFrame) -> DataFrame:
-        return staged(whole.join(reps.toDF("doc_id").distinct(), "doc_id", "left_semi").distinct(), "texts")
+        wanted = classes.join(reps.toDF("rep").distinct(), "rep", "left_semi").select("rep", "doc_id", "text_hash")
+        return staged(whole.join(wanted, ["doc_id", "text_hash"]).select("rep", "text").distinct(), "texts")
 
     lists = staged(_lists(classes, k), "lists")
     pairs = _short_pairs(lists.where(F.col("df") <= small), percent)
@@ -235,13 +246,39 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, k: int = S
                     "groups")
     if not groups.isEmpty():
         texts = texts_of(groups.select("rep"))
-        grouped = staged(_compared(groups, texts, words, percent, block), "found")
-        if not grouped.isEmpty():
-            linked = components(links.union(grouped))
-
-    of = some.groupBy("set_id").agg(F.min("doc_id").alias("rep"))
-    of = of.join(linked.toDF("rep", "component"), "rep", "left").selectExpr("set_id", "coalesce(component, rep) component_id")
+        more = staged(_compared(groups, texts, words, percent, block), "found")
+        if not more.isEmpty():
+            linked = components(links.union(more))
+
+    # Components of several classes: each one's smallest doc_id.
+    member = linked.toDF("rep", "component").union(linked.select("component", "component").distinct())
+    first = (member.join(classes.select("rep", "doc_id"), "rep").groupBy("component")
+             .agg(F.min("doc_id").alias("component_id")))
+    of = (classes.select("set_id", "rep", "doc_id").join(member.join(first, "component"), "rep", "left")
+          .selectExpr("set_id", "coalesce(component, rep) component", "coalesce(component_id, doc_id) component_id"))
     return (sets.drop("sketch").join(of, "set_id", "left")
-            .withColumn("component_id", F.expr(
-                "case when doc_id is null then null when n_shingles > 0 then component_id else doc_id end"))
-            .selectExpr("doc_id", "n_shingles", "component_id", "coalesce(doc_id = component_id, true) kept"))
+            .selectExpr("doc_id", "text_hash", "n_shingles",
+                        "case when doc_id is not null and n_shingles > 0 then component end component",
+                        "case when doc_id is null then null when n_shingles > 0 then component_id else doc_id end component_id"))
+
+
+def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, k: int = SKETCH,
+                    id_col: str = "doc_id", text_col: str = "text", small: int = SMALL, block: int = BLOCK) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` of every row: components of the documents linked
+    by a Jaccard of ``percent`` / 100 or more over shingles of ``words`` words."""
+    return grouped(df, words, percent, k, id_col, text_col, small, block).selectExpr(
+        "doc_id", "n_shingles", "component_id", "coalesce(doc_id = component_id, true) kept")
+
+
+def one_of_each(df: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` (its columns must have an order), one of each component: that of the smallest doc_id. Rows
+    with a null doc_id stay; of rows without words, one of each doc_id and text stays."""
+    rows = grouped(df, words, percent, id_col=id_col, text_col=text_col).where("doc_id is not null")
+    chosen = (rows.where("component is not null").groupBy("component").agg(F.min(F.struct("doc_id", "text_hash")).alias("m"))
+              .select("m.*").union(rows.where("component is null").select("doc_id", "text_hash")).distinct())
+    own = [F.col(f"`{c}`") for c in df.columns]
+    keyed = df.select(F.struct(*own).alias("row"), F.col(id_col).cast("long").alias("doc_id"),
+                      F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("text_hash"))
+    kept = (keyed.where("doc_id is not null").join(chosen, ["doc_id", "text_hash"], "left_semi")
+            .groupBy("doc_id", "text_hash").agg(F.min("row").alias("row")))
+    return kept.select("row.*").union(keyed.where("doc_id is null").select("row.*"))

@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+import corpus_pipeline
 from fundflow.llm import bottomk, components
 
 SCHEMA = "doc_id long, text string, component_id string, sketch int"
@@ -88,6 +89,33 @@ def test_large_group_of_near_copies(spark):
     assert sorted(map(tuple, bottomk.near_duplicates(df, words=2, small=10_000).collect())) == want
 
 
+def repeated():
+    a, b, c = ([f"{p}{i}" for i in range(100)] for p in "abc")
+    near = b[:]
+    near[50] = "new"
+    return [(3, " ".join(near)), (5, " ".join(a)), (5, " ".join(b)), (5, " ".join(b)), (8, " ".join(c)), (8, " ".join(c)),
+            (9, ""), (9, ""), (9, " "), (None, " ".join(c)), (None, " ".join(c))]
+
+
+def test_repeated_ids_with_other_texts(spark):
+    """A text alone under its id stays, whatever other text has that id."""
+    rows = repeated()
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for options in ({}, {"small": 1, "block": 1}):
+        got = bottomk.near_duplicates(df, **options).select("doc_id", "component_id", "kept").collect()
+        assert sorted(map(str, map(tuple, got))) == sorted(map(str, [
+            (3, 3, True), (5, 5, True), (5, 3, False), (5, 3, False), (8, 8, True), (8, 8, True),
+            (9, 9, True), (9, 9, True), (9, 9, True), (None, None, True), (None, None, True)]))
+
+
+def test_pipeline_keeps_one_row_of_each_group(spark):
+    rows = [(i, t, "en", f"s{n}", len(t)) for n, (i, t) in enumerate(repeated())]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.near_duplicates(spark, df, "")
+    assert got.columns == corpus_pipeline.COLUMNS
+    assert sorted(r.source for r in got.collect()) == sorted(["s0", "s1", "s4", "s6", "s8", "s9", "s10"])
+
+
 def test_empty(spark):
     assert bottomk.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
 

@@ -6,9 +6,11 @@ Two logistic regressions see different features of a document:
 * *metadata*: language, source, stated length, layout (lines, non-ASCII share).
 
 They are fitted on a bounded sample of labelled documents (``LABELLED``), and
-then teach each other over ``rounds``: each picks the documents of a bounded
-pool without labels (``POOL``) of whose label it is surest, and hands them, with
-that label, to the other. Each view is calibrated on labelled documents kept
+then teach each other over ``rounds``: each scores all documents without a label,
+picks those of whose label it is surest, and hands them, with that label, to the
+other. How many it hands over is bounded (``SHARE``, ``HANDED``), which documents
+are looked at isn't. A round is a pass over the texts in Spark, whose rows of a few
+numbers are shuffled; texts aren't. Each view is calibrated on labelled documents kept
 out of the fitting (Platt), and the calibrated views are combined by a third
 logistic regression on the same documents. Scoring is one pass over all
 documents with the model (a few thousand numbers) in the task: no shuffle.
@@ -22,24 +24,28 @@ columns are passed through; those named like a result column are replaced.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Labelled documents fitted on, and documents in the pool without labels, at most.
-LABELLED = 5000
-POOL = 5000
+from fundflow.llm.common import staged, unstage
+
+#: Labelled documents fitted on, at most.
+LABELLED = 6000
 ROUNDS = 3
-#: Share of the pool that each view labels in a round, and how sure it has to be.
+#: Share of the documents without a label that each view labels in a round, how many at most, and how sure it has to be.
 SHARE = 0.05
+HANDED = 1000
 SURE = 0.95
 #: Of the labelled documents, each so-manyth is kept for calibration.
 KEPT_OUT = 4
+SURE_LOGIT = float(np.log(SURE / (1 - SURE)))
 PAIRS = 256
 REJECT_BELOW = 0.5
 
@@ -89,13 +95,13 @@ class Logistic:
         penalty = np.full(z.shape[1], ridge)
         penalty[-1] = 1e-6
         w = np.zeros(z.shape[1])
-        for _ in range(15):
+        for _ in range(25):
             p = _sigmoid(z @ w)
             gradient = z.T @ (p - y) + penalty * w
             hessian = (z * (p * (1 - p) + 1e-9)[:, None]).T @ z + np.diag(penalty)
             step = np.linalg.solve(hessian, gradient)
             w -= step
-            if np.abs(step).max() < 1e-4:
+            if np.abs(step).max() < 1e-6:
                 break
         return cls(w, mean, scale)
 
@@ -124,42 +130,66 @@ class CoTrained:
         return _sigmoid(np.stack([*logits, self.both.logit(np.stack(logits, axis=1))], axis=1))
 
 
-def co_train(views: list[np.ndarray], label: np.ndarray, rounds: int = ROUNDS) -> CoTrained:
-    """``views``: features by view, of labelled (``label`` 0 or 1) and other (NaN) documents."""
-    known = np.flatnonzero(~np.isnan(label))
+VIEWS = ("content", "metadata")
+#: Of each view: the features of documents handed to it, by view, and their labels.
+Handed = list[tuple[list[np.ndarray], np.ndarray]]
+
+
+def _quotas(documents: int, good: float) -> list[int]:
+    """How many documents a view hands over in a round, as good and as bad."""
+    most = min(SHARE * documents, HANDED)
+    return [max(1, int(most * share)) for share in (good, 1 - good)]
+
+
+def _teach(views: list[np.ndarray], label: np.ndarray, rounds: int,
+           hand: Callable[[list[Logistic], float], Handed]) -> CoTrained:
+    """``views``: features by view of labelled documents. ``hand``: what the models of a round hand over
+    (to each view what the other picked), given the share of good documents."""
+    known = np.arange(len(label))
     kept = known[::KEPT_OUT]
     fit = np.setdiff1d(known, kept)
     if any(len(np.unique(label[part])) < 2 for part in (fit, kept)):
         return CoTrained(None, None, None, [])
-    pool = np.flatnonzero(np.isnan(label))
-    given = [label.copy(), label.copy()]  # what each view is taught
-    taught = [fit, fit]
+    taught = [(x[fit], label[fit]) for x in views]
     handed = []
-    models = [Logistic.fit(x[fit], label[fit]) for x in views]
+    models = [Logistic.fit(x, y) for x, y in taught]
     for _ in range(rounds):
-        new = [np.empty(0, int), np.empty(0, int)]
-        for i, (model, x) in enumerate(zip(models, views, strict=True)):
-            free = np.setdiff1d(pool, taught[1 - i])
-            if not len(free):
-                continue
-            p = _sigmoid(model.logit(x[free]))
-            good = label[fit].mean()
-            for sure, share, value in ((p, good, 1.0), (1 - p, 1 - good, 0.0)):
-                most = np.argsort(-sure, kind="stable")[:max(1, int(SHARE * len(pool) * share))]
-                most = free[most[sure[most] >= SURE]]
-                given[1 - i][most] = value
-                new[1 - i] = np.concatenate([new[1 - i], most])
-        handed.append(len(new[0]) + len(new[1]))
+        new = hand(models, label[fit].mean())
+        handed.append(sum(len(y) for _, y in new))
         if not handed[-1]:
             break
-        taught = [np.union1d(t, x) for t, x in zip(taught, new, strict=True)]
-        models = [Logistic.fit(x[t], g[t]) for x, t, g in zip(views, taught, given, strict=True)]
+        taught = [(np.concatenate([x, f[i]]), np.concatenate([y, g])) for i, ((x, y), (f, g)) in enumerate(zip(taught, new, strict=True))]
+        models = [Logistic.fit(x, y) for x, y in taught]
     logits = [m.logit(x[kept])[:, None] for m, x in zip(models, views, strict=True)]
     platt = [Logistic.fit(x, label[kept], 1.0) for x in logits]
     calibrated = np.stack([p.logit(x) for p, x in zip(platt, logits, strict=True)], axis=1)
     return CoTrained(models, platt, Logistic.fit(calibrated, label[kept], 1.0), handed)
 
 
+def co_train(views: list[np.ndarray], label: np.ndarray, rounds: int = ROUNDS) -> CoTrained:
+    """``views``: features by view, of labelled (``label`` 0 or 1) and other (NaN) documents."""
+    known, pool = np.flatnonzero(~np.isnan(label)), np.flatnonzero(np.isnan(label))
+    given = [np.empty(0, int), np.empty(0, int)]
+
+    def hand(models: list[Logistic], good: float) -> Handed:
+        out: Handed = [None, None]
+        for i, (model, x) in enumerate(zip(models, views, strict=True)):
+            free = np.setdiff1d(pool, given[1 - i])
+            logit = model.logit(x[free])
+            picked, labels = [], []
+            for sign, value, most in zip((1, -1), (1.0, 0.0), _quotas(len(pool), good), strict=True):
+                best = np.argsort(-sign * logit, kind="stable")[:most]
+                best = free[best[sign * logit[best] >= SURE_LOGIT]]
+                picked.append(best)
+                labels.append(np.full(len(best), value))
+            picked = np.concatenate(picked)
+            given[1 - i] = np.concatenate([given[1 - i], picked])
+            out[1 - i] = ([v[picked] for v in views], np.concatenate(labels))
+        return out
+
+    return _teach([x[known] for x in views], label[known], rounds, hand)
+
+
 def _features(batch: dict[str, list]) -> list[np.ndarray]:
     content, metadata = [], []
     for text, lang, source, n in zip(batch["text"], batch["lang"], batch["source"], batch["n_chars"], strict=True):
@@ -175,34 +205,83 @@ def _inputs(docs: DataFrame) -> list:
             F.col("source").cast("string").alias("source"), F.col("n_chars").cast("double").alias("n_chars")]
 
 
-def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int = POOL, rounds: int = ROUNDS) -> CoTrained:
-    """Fit on at most ``labelled`` documents with a label and ``pool`` without, both drawn by a hash of
-    the id. Documents labelled both good and bad have no label."""
-    known = (labels.where("doc_id is not null and quality in (0, 1)").groupBy("doc_id")
-             .agg(F.min("quality").alias("quality"), F.max("quality").alias("other")).where("quality = other")
-             .select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("quality")))
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
-    some = known.join(ids, "doc_id", "left_semi").orderBy(F.xxhash64("doc_id")).limit(labelled)
-    rest = ids.join(known, "doc_id", "left_anti").orderBy(F.xxhash64("doc_id")).limit(pool).withColumn(
-        "quality", F.lit(None).cast("double"))
-    schema = "doc_id long, quality double, content binary, metadata binary"
+def _unpacked(rows: pd.DataFrame) -> list[np.ndarray]:
+    return [np.stack([np.frombuffer(r, np.float32) for r in rows[c]]).astype(np.float64) if len(rows) else np.empty((0, 0))
+            for c in VIEWS]
+
 
+def _with_features(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``columns`` of ``df`` (which has :func:`_inputs` too), and the features of both views as bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            content, metadata = _features(batch.to_pydict())
+            views = _features(batch.to_pydict())
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], batch["quality"]]
-                + [pa.array([r.astype(np.float32).tobytes() for r in x], pa.binary()) for x in (content, metadata)],
-                names=["doc_id", "quality", "content", "metadata"])
-
-    # At most labelled + pool rows of two numbers: the sample's bound holds for the broadcast.
-    drawn = F.broadcast(some.union(rest))
-    rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), *_inputs(docs)).join(drawn, "doc_id")
-            .mapInArrow(run, schema).dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id")).toPandas())
-    if not len(rows):
+                [batch[c] for c in columns] + [pa.array([r.astype(np.float32).tobytes() for r in x], pa.binary()) for x in views],
+                names=[*columns, *VIEWS])
+
+    return df.mapInArrow(run, T.StructType([df.schema[c] for c in columns] + [T.StructField(c, T.BinaryType()) for c in VIEWS]))
+
+
+def _logits(df: DataFrame, models: list[Logistic]) -> DataFrame:
+    """``doc_id, key`` of the rows, and the logit of each of the ``models``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a in range(0, batch.num_rows, 1000):
+                part = batch.slice(a, 1000)
+                logits = [pa.array(m.logit(x)) for m, x in zip(models, _features(part.to_pydict()), strict=True)]
+                yield pa.RecordBatch.from_arrays([part["doc_id"], part["key"], *logits], names=["doc_id", "key", "l0", "l1"])
+
+    return df.mapInArrow(run, "doc_id long, key long, l0 double, l1 double")
+
+
+def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, rounds: int = ROUNDS) -> CoTrained:
+    """Fit on at most ``labelled`` documents with a label, drawn by a hash of the id, and on what the views hand
+    over of all others (at most ``HANDED`` a view and round). Documents labelled both good and bad have no label.
+    Equal rows count once; rows of one id that differ, and those without an id, are documents each."""
+    known = (labels.where("doc_id is not null and quality in (0, 1)").groupBy("doc_id")
+             .agg(F.min("quality").alias("quality"), F.max("quality").alias("other")).where("quality = other")
+             .select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("quality")))
+    rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), *_inputs(docs))
+            .withColumn("key", F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\0"))
+                                            for c in ("doc_id", "text", "lang", "source", "n_chars")])))
+    ids = rows.select("doc_id").where("doc_id is not null").distinct()
+    # At most ``labelled`` rows of two numbers: the sample's bound holds for the broadcast.
+    some = F.broadcast(known.join(ids, "doc_id", "left_semi").orderBy(F.xxhash64("doc_id")).limit(labelled))
+    sample = (_with_features(rows.join(some, "doc_id"), ["doc_id", "quality"])
+              .dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id")).toPandas())
+    if not len(sample):
         return CoTrained(None, None, None, [])
-    views = [np.stack([np.frombuffer(r, np.float32) for r in rows[c]]).astype(np.float64) for c in ("content", "metadata")]
-    return co_train(views, rows["quality"].to_numpy(dtype=np.float64), rounds)
+    given: list[list[int]] = [[], []]
+
+    def hand(models: list[Logistic], good: float) -> Handed:
+        scored = _logits(rows, models).join(known.select("doc_id"), "doc_id", "left_anti")
+        scored = staged(scored.groupBy("key").agg(F.first("l0").alias("l0"), F.first("l1").alias("l1")), "logits")
+        quotas = _quotas(scored.count(), good)
+        spark = docs.sparkSession
+        picks = []
+        for i in range(2):
+            # What this view has handed over already (a bounded number) isn't picked again.
+            before = spark.createDataFrame([(k,) for k in given[1 - i]], "key long")
+            free = scored.join(F.broadcast(before), "key", "left_anti")
+            for sign, value, most in zip((1, -1), (1.0, 0.0), quotas, strict=True):
+                best = free.withColumn("sure", sign * F.col(f"l{i}")).where(F.col("sure") >= SURE_LOGIT)
+                picks += [(r.key, 1 - i, value) for r in best.orderBy(F.desc("sure"), "key").limit(most).select("key").collect()]
+        unstage(scored)
+        wanted = spark.createDataFrame([(k,) for k in sorted({p[0] for p in picks})], "key long")
+        found = _with_features(rows.join(F.broadcast(wanted), "key"), ["key"]).dropDuplicates(["key"]).toPandas()
+        features, place = _unpacked(found), {k: n for n, k in enumerate(found["key"])}
+        out = []
+        for j in range(2):
+            mine = [(k, value) for k, to, value in picks if to == j]
+            given[j] += [k for k, _ in mine]
+            at = [place[k] for k, _ in mine]
+            width = [x.shape[1] for x in views]
+            out.append(([x[at] if at else np.empty((0, w)) for x, w in zip(features, width, strict=True)],
+                        np.array([value for _, value in mine])))
+        return out
+
+    views = _unpacked(sample)
+    return _teach(views, sample["quality"].to_numpy(dtype=np.float64), rounds, hand)
 
 
 RESULT = ("p_content", "p_metadata", "p_quality", "accepted")

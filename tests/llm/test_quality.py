@@ -40,6 +40,35 @@ def test_views_teach_each_other():
     assert (((p[:, 2] > 0.5) == y)[60:]).mean() > 0.95
 
 
+def test_pseudo_labels_come_from_all_documents(spark, tables, monkeypatch):
+    """The surest documents are found wherever they are, and the number handed over is the bound's."""
+    docs, labels = tables
+    monkeypatch.setattr(cotraining, "HANDED", 10)
+    monkeypatch.setattr(cotraining, "ROUNDS", 1)
+    drawn = []
+    teach = cotraining._teach
+
+    def seen(views, label, rounds, hand):
+        def hand_(models, good):
+            drawn.append((models, good, hand(models, good)))
+            return drawn[-1][2]
+        return teach(views, label, rounds, hand_)
+
+    monkeypatch.setattr(cotraining, "_teach", seen)
+    model = cotraining.train(docs, labels, rounds=1)
+    (models, good, new), = drawn
+    rest = docs.join(labels.where("quality in (0, 1)"), "doc_id", "left_anti").toPandas().to_dict("list")
+    features = cotraining._features(rest)
+    assert model.handed == [len(new[0][1]) + len(new[1][1])] and 0 < model.handed[0] <= 20
+    for i in range(2):
+        logit = models[i].logit(features[i])
+        for sign, value, most in zip((1, -1), (1.0, 0.0), cotraining._quotas(len(logit), good), strict=True):
+            want = np.sort(sign * logit)[::-1][:most]
+            views, given = new[1 - i]
+            got = np.sort(sign * models[i].logit(views[i][given == value]))[::-1] if (given == value).any() else np.empty(0)
+            np.testing.assert_allclose(got, want[want >= cotraining.SURE_LOGIT], rtol=1e-6)
+
+
 def test_columns_rows_and_edges(spark, tables):
     docs, labels = tables
     model = cotraining.train(docs, labels)

@@ -1,7 +1,7 @@
 """DuckDB SQL of the training-data queries that SQL can express.
 
 Tokenizer files (2, 8), surrogates drawn anew until none collides (1) and
-trained models (6, 10) are out of its reach; tests hold those against brute
+trained models (6, 10, 13) and eigenvectors (12) are out of its reach; tests hold those against brute
 force.
 """
 
@@ -113,17 +113,26 @@ SELECT record_id, url, base_id, base_at, outcome,
 FROM o
 """
 
-# Bytes as hexadecimal text: place i (from 0) of n bytes is two characters at 2 * i + 1.
+# Bytes as hexadecimal text: place i (from 0) of n bytes is two characters at 2 * i + 1. Windows are taken from
+# parts of 300 bytes, each of which has 201 of them: a substring of a whole text costs the text's length.
 _OP9 = """
 WITH h AS (
   SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), o AS (
+  SELECT doc_id, h, unnest(range(0, greatest(len(h) // 2 - 99, 0), 201)) AS o FROM h
+), p AS (
+  SELECT doc_id, o, substr(h, 2 * o + 1, 600) AS p FROM o
+), j AS (
+  SELECT doc_id, o, p, unnest(range(0, len(p) // 2 - 99)) AS j FROM p
 ), w AS (
-  SELECT doc_id, h, unnest(range(0, greatest(len(h) // 2 - 99, 0))) AS i FROM h
+  SELECT doc_id, o + j AS i, md5_number(substr(p, 2 * j + 1, 200)) AS m FROM j
+), f AS (
+  SELECT m, min(ROW(doc_id, i)) AS f FROM w GROUP BY m HAVING count(*) > 1
 ), x AS (
-  SELECT doc_id, i, row_number() OVER (PARTITION BY md5(substr(h, 2 * i + 1, 200)) ORDER BY doc_id, i) AS k FROM w
+  SELECT w.doc_id, w.i FROM w JOIN f ON w.m = f.m WHERE ROW(w.doc_id, w.i) <> f.f
 ), b AS (
   SELECT doc_id, i, max(i + 100) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS e
-  FROM x WHERE k > 1
+  FROM x
 ), g AS (
   SELECT doc_id, i, sum(CASE WHEN e IS NULL OR i > e THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM b
 ), s AS (
@@ -144,5 +153,37 @@ SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(gone AS BIGINT) AS n
 FROM r
 """
 
+_OP11 = r"""
+WITH t AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), w AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM t
+), n AS (
+  SELECT lang, sum(len(ws))::HUGEINT AS n FROM w GROUP BY lang
+), x AS (
+  SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w
+), f AS (
+  SELECT lang, ws[i:i + k - 1] AS g, count(*)::HUGEINT AS f FROM x, range(1, 6) AS s(k) WHERE i + k - 1 <= len(ws)
+  GROUP BY ALL HAVING count(*) >= 100
+), c AS (
+  SELECT f.lang, f.g, f.f AS a, k, l.f AS l, r.f AS r, n.n, 1000 * f.f * n.n // (l.f * r.f) AS score
+  FROM f JOIN n ON n.lang = f.lang JOIN range(1, 5) AS s(k) ON k < len(f.g)
+    JOIN f l ON l.lang = f.lang AND l.g = f.g[1:k] JOIN f r ON r.lang = f.lang AND r.g = f.g[k + 1:len(f.g)]
+), b AS (
+  SELECT *, array_to_string(g, ' ') AS phrase FROM c QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1
+), d AS (
+  SELECT * FROM b WHERE NOT EXISTS (
+    SELECT 1 FROM f q WHERE q.lang = b.lang AND len(q.g) > len(b.g) AND 100 * q.f >= 100 * b.a
+      AND contains(' ' || array_to_string(q.g, ' ') || ' ', ' ' || b.phrase || ' '))
+), o AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM d
+)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM o WHERE rank <= 2000
+"""
+
 LLM_ORACLE_SQL: dict[str, str] = {
-    "op3_vptree": _OP3, "op4_near_dedup": _OP4, "op5_revisits": _OP5, "op7_top_products": _OP7, "op9_repeats": _OP9}
+    "op3_vptree": _OP3, "op4_near_dedup": _OP4, "op5_revisits": _OP5, "op7_top_products": _OP7, "op9_repeats": _OP9,
+    "op11_collocations": _OP11}

@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from fundflow.llm import (
     bottomk,
     bwt_dedup,
+    collocations,
     cotraining,
+    language_id,
     packing,
     pii,
     revisits,
@@ -20,6 +22,7 @@ from fundflow.llm import (
     sentencepiece_codec,
     topk,
     vptree,
+    whitening,
 )
 from fundflow.llm.common import read, tokenizer_path
 
@@ -72,6 +75,19 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(docs, weights))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"), longest=5, least=100, top=2000)
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whitened = whitening.whiten(read(spark, sf_dir, "embeddings"), components=16)
+    return whitened.withColumn("deviation", F.expr("try_cast(deviation as long)"))
+
+
+def op13_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(read(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES = {f.__name__: f for f in (
     op1_pii, op2_sentencepiece, op3_vptree, op4_near_dedup, op5_revisits, op6_quality, op7_top_products, op8_packing,
-    op9_repeats, op10_secrets)}
+    op9_repeats, op10_secrets, op11_collocations, op12_whitening, op13_language)}

@@ -25,7 +25,7 @@ def con():
 
 def test_registered():
     names = [n for n in queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in queries() and set(LLM_ORACLE_SQL) <= set(oracle_sql())
 
 
@@ -40,7 +40,7 @@ def test_query_matches_oracle(spark, con, name):
     assert digest(df.columns, got)[1] == digest(columns, want)[1]
 
 
-@pytest.mark.parametrize("name", ["op1_pii", "op2_sentencepiece", "op6_quality", "op10_secrets"])
+@pytest.mark.parametrize("name", ["op1_pii", "op2_sentencepiece", "op6_quality", "op10_secrets", "op13_language"])
 def test_one_row_per_document(spark, name):
     assert queries()[name](spark, SF).count() == read(spark, SF, "documents").count()
 

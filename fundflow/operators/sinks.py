@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+import uuid
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from fundflow.session import scratch_path
+
 
 def write_csv(df: DataFrame, path: str, null_token: str = "", mode: str = "overwrite") -> None:
     """Delimited output with a header (overwrite by default)."""
@@ -32,7 +37,8 @@ def write_split(df: DataFrame, label_col: str, path: str, fmt: str = "parquet",
 
     With ``key_col`` (what the labels were made from) the folders are
     ``path/Folder=<name>/`` of :func:`unique_folders`, and the label stays a
-    column: two keys whose cut labels are equal don't share a folder.
+    column: two keys whose cut labels are equal don't share a folder. ``df`` is then staged
+    first, as its labels are compared before its rows are written: it runs once.
 
     The ``rebalance`` hint clusters rows by folder before the write, so a folder
     lands in few files instead of one per input partition, while AQE splits one
@@ -41,7 +47,7 @@ def write_split(df: DataFrame, label_col: str, path: str, fmt: str = "parquet",
     """
     by = label_col
     if key_col is not None:
-        df, by = unique_folders(df, label_col, key_col), FOLDER
+        df, by = unique_folders(write_stage(df, scratch_path(df.sparkSession, "split")), label_col, key_col), FOLDER
     (df.hint("rebalance", by).write.mode(mode).partitionBy(by)
      .option("header", True).format(fmt).save(path))
     return df
@@ -68,3 +74,72 @@ def observe_rows(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observat
     """Attach a row counter filled in by the next action (no second pass)."""
     obs = Observation(name)
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
+def write_bucketed(df: DataFrame, path: str, keys: Sequence[str], buckets: int, name: str | None = None) -> DataFrame:
+    """A stage table dealt into ``buckets`` by ``keys`` and sorted by them, as a table of the session's catalog.
+
+    Two tables with the same keys and number of buckets are joined (and grouped) on the keys without
+    an exchange, as often as they are read: the shuffle is paid once, here. The rows lie under ``path``; ``name`` is
+    the table's (default: a new one; see :func:`drop_bucketed`).
+    """
+    name = name or f"fundflow_{uuid.uuid4().hex[:16]}"
+    (df.repartition(buckets, *keys).write.mode("overwrite").option("path", path).bucketBy(buckets, *keys)
+     .sortBy(*keys).saveAsTable(name))
+    return df.sparkSession.table(name).select(*df.columns)
+
+
+def drop_bucketed(spark: SparkSession, name: str) -> None:
+    """Forget a bucketed table; its rows stay under their path."""
+    spark.sql(f"DROP TABLE IF EXISTS `{name}`")
+
+
+MARKER = "_PUBLISHED"
+
+
+def _files(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return p, p(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def published(spark: SparkSession, out: str) -> str | None:
+    """Folder of the published version of a report (None: none yet)."""
+    p, fs = _files(spark, out)
+    if not fs.exists(p(f"{out}/{MARKER}")):
+        return None
+    return f"{out}/{spark.read.text(f'{out}/{MARKER}').first()[0]}"
+
+
+def publish(df: DataFrame, out: str, label_col: str, key_col: str | None = None, fmt: str = "parquet") -> str:
+    """SNK-2 as a whole: ``df`` as a total table and one folder per label, made visible together.
+
+    ``df`` runs once, into ``<version>/Total``; the folders of ``<version>/by_label`` are written from that. The marker
+    that names the version is put in place last, by a rename: readers (:func:`published`) see the old report or
+    the new one, and a run that fails leaves the old. The version before the old one is then deleted; the old one
+    stays for readers that are at it. One run publishes at a time.
+    """
+    spark = df.sparkSession
+    p, fs = _files(spark, out)
+    last = published(spark, out)
+    version = f"version-{uuid.uuid4().hex[:16]}"
+    total = f"{out}/{version}/Total"
+    df.write.option("header", True).format(fmt).save(total)
+    back = spark.read.option("header", True).schema(df.schema).format(fmt).load(total)
+    by, split = label_col, back
+    if key_col is not None:
+        by, split = FOLDER, unique_folders(back, label_col, key_col)
+    split.hint("rebalance", by).write.partitionBy(by).option("header", True).format(fmt).save(f"{out}/{version}/by_label")
+    # The marker is a folder with one text file; the old one steps aside, and is put back if the new one can't be placed.
+    new, marker, aside = p(f"{out}/{version}/marker"), p(f"{out}/{MARKER}"), p(f"{out}/{version}/previous")
+    spark.createDataFrame([(version,)], "value string").coalesce(1).write.text(str(new))
+    if fs.exists(marker):
+        fs.rename(marker, aside)
+    if not fs.rename(new, marker):
+        if fs.exists(aside):
+            fs.rename(aside, marker)
+        raise OSError(f"cannot publish {out}/{version}")
+    keep = {version, last.rsplit("/", 1)[-1] if last else version}
+    for s in fs.globStatus(p(f"{out}/version-*")):
+        if s.getPath().getName() not in keep:
+            fs.delete(s.getPath(), True)
+    return f"{out}/{version}"

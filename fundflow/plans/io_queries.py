@@ -75,10 +75,10 @@ def q_bad_casts(spark: SparkSession, sf: str) -> DataFrame:
     return reshape.to_long(counts, [], list(_SUPPLIER_TYPES), "Column", "n_bad", value_type="bigint")
 
 
-def q_bad_line_skip(spark: SparkSession, sf: str) -> DataFrame:
-    """SRC-4: lines with too many fields dropped (whatever the extra ones hold: text, a missing-value
-    token, nothing, several), short lines kept with NULLs, commas inside quotes no separators."""
-    path = scratch_path(spark, "bad_line_skip")
+def malformed_export(spark: SparkSession, sf: str, name: str) -> str:
+    """Customers as lines of text: one good line each (some short, some with commas inside quotes) and one with too
+    many fields, whatever the extra ones hold: text, a missing-value token, nothing, several."""
+    path = scratch_path(spark, name)
     c = dv.table(spark, sf, "customer")
     k = F.col("c_custkey")
     quoted = F.concat(F.lit('"'), "c_name", F.lit(', ""x"""'))
@@ -93,6 +93,12 @@ def q_bad_line_skip(spark: SparkSession, sf: str) -> DataFrame:
     # Raw lines: one text column named after the header line, written without quoting.
     (lines.select(F.col("value").alias("c_custkey,c_name,c_nationkey"))
      .write.mode("overwrite").option("header", True).option("sep", "|").option("quote", "").csv(path))
+    return path
+
+
+def q_bad_line_skip(spark: SparkSession, sf: str) -> DataFrame:
+    """SRC-4: lines with too many fields dropped, short lines kept with NULLs, commas inside quotes no separators."""
+    path = malformed_export(spark, sf, "bad_line_skip")
     raw = sources.read_csv_text(spark, path, ["c_custkey", "c_name", "c_nationkey"],
                                 skip_bad_lines=True, source=None)
     return sources.typed(raw, {"c_custkey": "bigint", "c_nationkey": "int"})

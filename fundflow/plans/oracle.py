@@ -198,7 +198,7 @@ WITH r AS (
 SELECT ParcelNumber, {', '.join(outs)} FROM w"""
 
 
-_RECON = f"""
+RECONCILE = f"""
 WITH tifp AS (
   SELECT {norm(split_id('o_orderkey') + " || '-00'")} AS ParcelNumber,
          {year('o_orderdate')} AS TaxYear, o_totalprice AS DivertedTownship
@@ -296,11 +296,11 @@ FROM (SELECT c_custkey, c_acctbal AS AccountBalance, c_mktsegment AS Segment,
              {pad('c_nationkey')} || '-' || {pad('c_custkey', 6)} || '-' || {pad('c_custkey % 3', 2)}
                AS ParcelRaw
       FROM customer)""",
-    "reconcile_matched": _RECON + """
+    "reconcile_matched": RECONCILE + """
 SELECT t.ParcelNumber, t.TaxYear, t.DivertedTownship, p.TIFMLND, p.TIFMBLD
 FROM tifp t JOIN parc p
   ON t.ParcelNumber = p.ParcelNumber AND t.TaxYear = p.TaxYear""",
-    "reconcile_unmatched": _RECON + """
+    "reconcile_unmatched": RECONCILE + """
 SELECT t.* FROM tifp t
 WHERE NOT EXISTS (SELECT 1 FROM parc p
                   WHERE p.ParcelNumber = t.ParcelNumber AND p.TaxYear = t.TaxYear)""",

@@ -6,15 +6,16 @@ the township study (TaxYear, TaxDistrict, PropertyClass, Municipality, Fund).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fundflow.functions import clean, labels, text
 from fundflow.functions.sqltext import ident, in_list, lit
-from fundflow.operators import agg, combine, rates, reshape, trend
+from fundflow.operators import agg, combine, keys, profile, rates, reshape, trend
 from fundflow.plans.domain import Domain
+from fundflow.sources.readers import bad_cast
 
 KEY = ["TaxYear", "TaxDistrict", "PropertyClass"]
 
@@ -105,15 +106,16 @@ def exclude_pairs(df: DataFrame, dom: Domain, fund_col: str = "Fund",
 
 
 def fund_long(wide: DataFrame, dom: Domain, value_name: str,
-              keys: Sequence[str] = ("TaxYear", "Municipality")) -> DataFrame:
-    """CMP-3 tail: wide fund sums -> long (Fund, value) -> drop inapplicable pairs."""
-    long = reshape.to_long(wide, list(keys), list(dom.funds), "Fund", value_name)
-    return exclude_pairs(long, dom)
+              by: Sequence[str] = ("TaxYear", "Municipality"), excluded: DataFrame | None = None) -> DataFrame:
+    """CMP-3 tail: wide fund sums -> long (Fund, value) -> drop inapplicable pairs: the domain's, or those of
+    the table ``excluded`` (Fund, Municipality)."""
+    long = reshape.to_long(wide, list(by), list(dom.funds), "Fund", value_name)
+    return exclude_pairs(long, dom) if excluded is None else keys.drop_keys(long, excluded, ["Fund", "Municipality"])
 
 
-def fund_summary(apportioned: DataFrame, dom: Domain, value_name: str) -> DataFrame:
+def fund_summary(apportioned: DataFrame, dom: Domain, value_name: str, excluded: DataFrame | None = None) -> DataFrame:
     """CMP-3: apportioned rows -> sums -> long -> filtered."""
-    return fund_long(fund_wide(apportioned, dom), dom, value_name)
+    return fund_long(fund_wide(apportioned, dom), dom, value_name, excluded=excluded)
 
 
 # --------------------------------------------------------- combined loss ---
@@ -196,6 +198,36 @@ def rate_coverage(fact: DataFrame, rate_table: DataFrame, keys: Sequence[str] =
                  F.count_if(F.col("_rated").isNull()).alias("n_unmatched")))
 
 
+# Columns of a quality profile (CMP-12).
+PROFILE_KEYS = ["SourceFile", *KEY]
+INVALID = "n_invalid"
+
+
+def stage_profile(raw: DataFrame, fact: Callable[[DataFrame], DataFrame], types: Mapping[str, str], amount: str) -> DataFrame:
+    """CMP-12: every count of a stage table from one scan and one aggregate.
+
+    ``raw`` has text columns and ``SourceFile``; ``fact`` types its keys and ``amount`` (:func:`tif_fact`,
+    :func:`abatement_fact`). Per file and key: rows, values of each of ``types`` that don't cast
+    (``bad_<column>``), and missing or negative amounts.
+    """
+    text_of = {c: f"_text_{c}" for c in types}
+    rows = fact(raw.withColumns({alias: F.col(c) for c, alias in text_of.items()}))
+    checks = {f"bad_{c}": bad_cast(text_of[c], t) for c, t in types.items()}
+    return profile.profile(rows, PROFILE_KEYS, checks | {INVALID: F.col(amount).isNull() | (F.col(amount) < 0)})
+
+
+def profile_tables(found: DataFrame, rate_table: DataFrame, types: Mapping[str, str]) -> dict[str, DataFrame]:
+    """The quality tables of a profile (stage it first: each is an aggregate of it): ``rows_per_file``,
+    ``rate_coverage``, ``bad_casts``, ``invalid_amounts`` (per file). Rates are looked up once for each key."""
+    rated = profile.unlisted(found, rate_table, KEY, "n_unmatched")
+    bad = profile.totals(found, [], {c: f"bad_{c}" for c in types})
+    return {
+        "rows_per_file": profile.totals(found, ["SourceFile"], {"n_rows": "n_rows"}),
+        "rate_coverage": profile.totals(rated, ["TaxYear", "PropertyClass"], {"n_rows": "n_rows", "n_unmatched": "n_unmatched"}),
+        "bad_casts": reshape.to_long(bad, [], list(types), "Column", "n_bad", value_type="bigint"),
+        "invalid_amounts": profile.totals(found, ["SourceFile"], {"n_rows": "n_rows", INVALID: INVALID})}
+
+
 def split_labels(df: DataFrame, label_col: str, prefix: str, out: str = "SheetLabel") -> DataFrame:
     """SNK-3 on a column: ``prefix`` + label without spaces, capped at 31."""
     return df.withColumn(out, text.safe_label(label_col, prefix))

@@ -15,7 +15,9 @@ The study's whole workflow as one Spark application, stage by stage:
 Every output is written as a total table plus one folder per municipality
 label, in one pass each. Outputs are overwritten, so a re-run after a failure
 is safe; the gathered inputs are materialised once (stage tables) and both
-report branches read them.
+report branches read them. With ``--store`` the gathered rows are kept, and a later run
+reads only the files of years that changed. With ``--tolerant`` a file that
+can't be read is left out and reported (``quality/files``), instead of failing the job.
 
 Usage::
 
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 from fundflow import sources
 from fundflow.sources import schemas
 from fundflow.functions import clean
-from fundflow.operators import combine, reshape, sinks, trend
+from fundflow.operators import combine, sinks, trend
 from fundflow.operators import rates as rates_op
 from fundflow.plans import pipeline as pl
 from fundflow.session import drop_scratch, scratch_path
@@ -62,14 +64,17 @@ def normalise_parcel(col: str, strip_suffix: bool = True):
 
 
 def parcel_files(spark: SparkSession, folder: str, pattern: str = PARCEL_PATTERN,
-                 strip_suffix: bool = True) -> DataFrame:
-    """Yearly parcel files: malformed lines skipped, three columns kept and
-    renamed, id normalised, tax year from the file name."""
-    raw = sources.read_many(spark, folder, pattern, skip_bad_lines=True)
-    return (raw.select(*PARCEL_COLUMNS, "SourceFile")
+                 strip_suffix: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Yearly parcel files: malformed lines set aside, three columns kept and
+    renamed, id normalised, tax year from the file name. With the rows come the rejected
+    lines (file, text, number of fields), from the same scan."""
+    lines = sources.read_many(spark, folder, pattern, keep_lines=True)
+    raw, rejected = sources.stage_lines(lines, scratch_path(spark, "parcel-lines"))
+    rows = (raw.select(*PARCEL_COLUMNS, "SourceFile")
             .withColumnsRenamed(PARCEL_COLUMNS)
             .withColumn("ParcelNumber", normalise_parcel("ParcelNumber", strip_suffix))
             .withColumn("TaxYear", sources.year_from_name("SourceFile")))
+    return rows, rejected
 
 
 def reconcile_parcels(tif: DataFrame, parcels: DataFrame) -> DataFrame:
@@ -109,25 +114,51 @@ def tif_value_trend(tif: DataFrame, years=TOWNSHIP_TREND_YEARS,
     return t.withColumn("total_tif_value_units", F.col("total_tif_value") / F.lit(unit))
 
 
-def gather(spark: SparkSession, folder: str, pattern: str, scope: str | None = TOWNSHIP_SCOPE,
-           strip_parcel_suffix: bool = False) -> DataFrame:
-    """Stages 1-2: all matching yearly files, text columns stacked by name,
-    rows of the township only (when the files have a Township column)."""
-    raw = pl.in_scope(sources.read_many(spark, folder, pattern), "Township", scope)
+def _township_rows(raw: DataFrame, scope: str | None, strip_parcel_suffix: bool) -> DataFrame:
+    raw = pl.in_scope(raw, "Township", scope)
     if strip_parcel_suffix and "ParcelNumber" in raw.columns:
         raw = raw.withColumn("ParcelNumber", clean.strip_suffix("ParcelNumber", "-00"))
     return raw
 
 
-def value_rows(spark: SparkSession, folder: str, years=TOWNSHIP_TREND_YEARS) -> DataFrame | None:
+def gather(spark: SparkSession, folder: str, pattern: str, scope: str | None = TOWNSHIP_SCOPE,
+           strip_parcel_suffix: bool = False, tolerant: bool = False, store: str | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """Stages 1-2: all matching yearly files, text columns stacked by name,
+    rows of the township only (when the files have a Township column).
+
+    ``tolerant``: files that can't be read are left out, and the second result reports every file. ``store``: the rows
+    are kept there, and only the years whose files changed since the last run are read.
+    """
+    if store is not None:
+        if tolerant:
+            raise ValueError("a store is brought up to date with all files or not at all: leave out tolerant")
+        kept = sources.gather_years(spark, folder, pattern, store,
+                                    transform=lambda raw: _township_rows(raw, scope, strip_parcel_suffix))
+        return kept.rows.drop("FileYear", "Gather"), None
+    if not tolerant:
+        return _township_rows(sources.read_many(spark, folder, pattern), scope, strip_parcel_suffix), None
+    raw, report = sources.read_tolerant(spark, folder, pattern)
+    if raw is None:
+        raise FileNotFoundError(f"no readable files under {folder} matching {pattern!r}")
+    return _township_rows(raw, scope, strip_parcel_suffix), report
+
+
+def value_rows(spark: SparkSession, folder: str, years=TOWNSHIP_TREND_YEARS,
+               tolerant: bool = False) -> tuple[DataFrame | None, str | None]:
     """Rows of the whole county's TIF files named for ``years`` (only those are opened), with the
-    columns of :func:`tif_value_trend`; None if there are no such files or columns."""
+    columns of :func:`tif_value_trend`; or None and the reason why there are none."""
     try:
-        raw = sources.read_many(spark, folder, TIF_PATTERN, years=years)
-    except FileNotFoundError:
-        return None
+        raw = (sources.read_tolerant(spark, folder, TIF_PATTERN, years=years)[0] if tolerant
+               else sources.read_many(spark, folder, TIF_PATTERN, years=years))
+    except FileNotFoundError as e:
+        return None, str(e)
+    if raw is None:
+        return None, f"no readable files of {list(years)}"
     need = ["TaxYear", "TaxDistrict", "AppraisedTotal", "AssessedTotal"]
-    return raw.select(*need).withColumn("TaxYear", clean.to_int("TaxYear")) if set(need) <= set(raw.columns) else None
+    missing = [c for c in need if c not in raw.columns]
+    if missing:
+        return None, f"no columns {', '.join(missing)} in the files of {list(years)}"
+    return raw.select(*need).withColumn("TaxYear", clean.to_int("TaxYear")), None
 
 
 def read_rates(spark: SparkSession, path: str, dom: Domain = TOWNSHIP) -> DataFrame:
@@ -143,6 +174,14 @@ def _write(df: DataFrame, path: str, counts: dict, name: str) -> None:
     counts[name] = obs.get["rows"]
 
 
+def _stage(df: DataFrame, path: str, counts: dict, name: str) -> DataFrame:
+    """A stage table by tax year, its rows counted while it is written."""
+    observed, obs = sinks.observe_rows(df.withColumn("TaxYear", clean.to_int("TaxYear")), name)
+    staged = sinks.write_stage(observed, path, ["TaxYear"])
+    counts[name] = obs.get["rows"]
+    return staged
+
+
 def _report(df: DataFrame, out: str, prefix: str, counts: dict, name: str) -> None:
     """Total table + one folder per municipality label (capped 31-char labels).
 
@@ -158,24 +197,25 @@ def _report(df: DataFrame, out: str, prefix: str, counts: dict, name: str) -> No
 
 def run(spark: SparkSession, abatement_dir: str, tif_dir: str, rates_path: str, out: str,
         dom: Domain = TOWNSHIP, scope: str | None = TOWNSHIP_SCOPE,
-        parcel_dir: str | None = None) -> dict[str, int]:
+        parcel_dir: str | None = None, tolerant: bool = False, store: str | None = None) -> dict[str, int]:
     """Run all stages; returns the row count of each written table. A yearly file that can't be read
-    fails the job. Stage tables lie in the shared checkpoint folder and go at the end."""
+    fails the job, or with ``tolerant`` is left out and reported. An output that the inputs can't give (no files of
+    the trend years, missing columns) is named in ``quality/missing_outputs`` with the reason. ``store`` keeps
+    the gathered rows for incremental runs. Stage tables lie in the shared checkpoint folder and go at the end."""
     stage = scratch_path(spark, "township")
     counts: dict[str, int] = {}
+    missing: list[tuple[str, str]] = []
     # Validate the (small) rate table before any heavy work: unique
     # (year, district, class) keeps the left joins from fanning out fact rows.
     rates = read_rates(spark, rates_path, dom)
     rates_op.assert_unique(rates, pl.KEY)
-    ab = gather(spark, abatement_dir, ABATEMENT_PATTERN, scope)
-    tif = gather(spark, tif_dir, TIF_PATTERN, scope, strip_parcel_suffix=True)
+    ab, ab_files = gather(spark, abatement_dir, ABATEMENT_PATTERN, scope, tolerant=tolerant,
+                          store=f"{store}/abatements" if store else None)
+    tif, tif_files = gather(spark, tif_dir, TIF_PATTERN, scope, strip_parcel_suffix=True, tolerant=tolerant,
+                            store=f"{store}/tifs" if store else None)
     # Stage tables partitioned by tax year: later year-scoped reads prune folders.
-    ab = sinks.write_stage(ab.withColumn("TaxYear", clean.to_int("TaxYear")),
-                           f"{stage}/abatements_all_years", ["TaxYear"])
-    tif = sinks.write_stage(tif.withColumn("TaxYear", clean.to_int("TaxYear")),
-                            f"{stage}/tifs_all_years", ["TaxYear"])
-    counts["abatements_all_years"] = ab.count()
-    counts["tifs_all_years"] = tif.count()
+    ab = _stage(ab, f"{stage}/abatements_all_years", counts, "abatements_all_years")
+    tif = _stage(tif, f"{stage}/tifs_all_years", counts, "tifs_all_years")
 
     tif_rows, ab_rows = pl.tif_fact(tif, dom), pl.abatement_fact(ab, dom)
     tif_long = pl.fund_summary(
@@ -185,26 +225,22 @@ def run(spark: SparkSession, abatement_dir: str, tif_dir: str, rates_path: str,
         pl.apportion_total_rate(ab_rows, rates, dom, "ForegoneTownship"),
         dom, "Forgone_Revenue_Abatements")
 
-    # Data-quality tables (CMP-12): rows per file, rows without a rate, bad casts.
+    # Data-quality tables (CMP-12): one scan of each stage table makes a profile, the tables are aggregates of it.
     q = f"{out}/quality"
-    _write(sources.ingest_audit(tif).withColumn("Source", F.lit("TIF")).unionByName(
-        sources.ingest_audit(ab).withColumn("Source", F.lit("Abatement"))), f"{q}/rows_per_file",
-        counts, "quality/rows_per_file")
-    _write(pl.rate_coverage(tif_rows, rates).withColumn("Source", F.lit("TIF")).unionByName(
-        pl.rate_coverage(ab_rows, rates).withColumn("Source", F.lit("Abatement"))),
-        f"{q}/rate_coverage", counts, "quality/rate_coverage")
-    # Every typed column the files carry (TaxYear is already typed in the stage).
-    casts = {"TIF": (tif, schemas.present(sources.TIF_TYPES, tif.columns)),
-             "Abatement": (ab, schemas.present(sources.ABATEMENT_TYPES, ab.columns))}
-    casts = {k: (df, {c: t for c, t in types.items() if c != "TaxYear"})
-             for k, (df, types) in casts.items()}
-    bad = None
-    for label, (raw, types) in casts.items():
-        part = (reshape.to_long(sources.bad_cast_counts(raw, types), [], list(types),
-                                "Column", "n_bad", value_type="bigint")
-                .withColumn("Source", F.lit(label)))
-        bad = part if bad is None else bad.unionByName(part)
-    _write(bad, f"{q}/bad_casts", counts, "quality/bad_casts")
+    tables: dict[str, list[DataFrame]] = {}
+    for label, raw, fact, kinds, amount in (("TIF", tif, pl.tif_fact, sources.TIF_TYPES, "DivertedTownship"),
+                                            ("Abatement", ab, pl.abatement_fact, sources.ABATEMENT_TYPES, "ForegoneTownship")):
+        # Every typed column the files carry (TaxYear is already typed in the stage).
+        types = {c: t for c, t in schemas.present(kinds, raw.columns).items() if c != "TaxYear"}
+        found = sinks.write_stage(pl.stage_profile(raw, lambda df, fact=fact: fact(df, dom), types, amount),
+                                  f"{stage}/profile_{label}")
+        for name, table in pl.profile_tables(found, rates, types).items():
+            tables.setdefault(name, []).append(table.withColumn("Source", F.lit(label)))
+    for name, (one, two) in tables.items():
+        _write(one.unionByName(two), f"{q}/{name}", counts, f"quality/{name}")
+    if tolerant:
+        _write(tif_files.withColumn("Source", F.lit("TIF")).unionByName(ab_files.withColumn("Source", F.lit("Abatement"))),
+               f"{q}/files", counts, "quality/files")
     _report(tif_long, out, "Final_", counts, "tif_by_fund")
     _report(ab_long, out, "Final_", counts, "abatements_by_fund")
 
@@ -224,8 +260,10 @@ def run(spark: SparkSession, abatement_dir: str, tif_dir: str, rates_path: str,
     _write(fire, f"{out}/trends/fire_rate", counts, "trends/fire_rate")
     _write(trend.avg_change(fire, "pct_change_global_fire_rate"), f"{out}/trends/fire_rate_avg",
            counts, "trends/fire_rate_avg")
-    county = value_rows(spark, tif_dir)
-    if county is not None:
+    county, why = value_rows(spark, tif_dir, tolerant=tolerant)
+    if county is None:
+        missing += [("trends/tif_value", why), ("trends/tif_value_avg", why)]
+    else:
         value = tif_value_trend(county)
         _write(value, f"{out}/trends/tif_value", counts, "trends/tif_value")
         _write(trend.avg_change(value, "pct_change"), f"{out}/trends/tif_value_avg", counts,
@@ -233,7 +271,9 @@ def run(spark: SparkSession, abatement_dir: str, tif_dir: str, rates_path: str,
 
     # Parcel comparison of one district over a few years (wide + long).
     cmp_cols = [c for c in COMPARE_COLUMNS if c in tif.columns]
-    if "DivertedTownship" in cmp_cols:
+    if "DivertedTownship" not in cmp_cols:
+        missing.append(("parcel_comparison", "no column DivertedTownship"))
+    else:
         wide, long = pl.parcel_comparison(tif, COMPARE_DISTRICT, COMPARE_YEARS, cmp_cols,
                                           "DivertedTownship", "Township")
         _write(wide, f"{out}/parcel_comparison/wide", counts, "parcel_comparison/wide")
@@ -248,7 +288,9 @@ def run(spark: SparkSession, abatement_dir: str, tif_dir: str, rates_path: str,
     # Parcel files <-> TIF reconciliation.
     if parcel_dir:
         # One pass over both sides; the two outputs are read off what it wrote.
-        both = sinks.write_stage(reconcile_parcels(tif, parcel_files(spark, parcel_dir)), f"{stage}/reconciled")
+        parcels, rejected = parcel_files(spark, parcel_dir)
+        _write(rejected, f"{q}/rejected_lines", counts, "quality/rejected_lines")
+        both = sinks.write_stage(reconcile_parcels(tif, parcels), f"{stage}/reconciled")
         hit = F.col(combine.MATCHED)
         _write(both.where(hit).drop(combine.MATCHED), f"{out}/reconcile/matched", counts, "matched")
         _write(both.where(~hit).select(*tif.columns), f"{out}/reconcile/unmatched", counts, "unmatched")
@@ -260,6 +302,9 @@ def run(spark: SparkSession, abatement_dir: str, tif_dir: str, rates_path: str,
     typed_tif = typed_tif.withColumn("Municipality", pl.municipality(dom))
     county = pl.county_totals(typed_tif, present or [F.lit(None).cast("double")])
     _report(county, out, "CountyTot_", counts, "county_totals")
+    if not present:
+        missing.append(("county_totals", "no county columns: all totals are 0"))
+    _write(spark.createDataFrame(missing, "Output string, Reason string"), f"{q}/missing_outputs", counts, "quality/missing_outputs")
     drop_scratch(spark, [stage])
     return counts
 
@@ -272,11 +317,13 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--rates", required=True)
     p.add_argument("--out", required=True)
     p.add_argument("--scope", default=TOWNSHIP_SCOPE)
+    p.add_argument("--tolerant", action="store_true", help="leave out files that can't be read, and report them")
+    p.add_argument("--store", default=None, help="folder that keeps the gathered rows: later runs read changed years only")
     p.add_argument("--parcels", default=None, help="folder of yearly parcel files to reconcile")
     a = p.parse_args(argv)
     spark = build_session()
     for k, v in run(spark, a.abatements, a.tifs, a.rates, a.out, scope=a.scope,
-                    parcel_dir=a.parcels).items():
+                    parcel_dir=a.parcels, tolerant=a.tolerant, store=a.store).items():
         print(f"{k}: {v} rows")
 
 

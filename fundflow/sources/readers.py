@@ -2,10 +2,11 @@
 
 Spark's multi-file CSV read aligns columns by *position* of the first file's
 header. Yearly exports often reorder or add columns, so ``read_many`` groups
-files by their header (read on the executors, one short read per file) and
+files by their header (from a manifest, which opens each file once on the executors) and
 reads each group once, then unions by *name* with missing columns NULL. No
 reader drops rows or files that it wasn't told to: ``read_many`` fails on a
-file that can't be read, ``read_tolerant`` leaves it out and reports it.
+file that can't be read, ``read_tolerant`` leaves it out and reports it; lines that are
+skipped can be had from the same scan (``stage_lines``).
 """
 
 from __future__ import annotations
@@ -18,103 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fundflow.functions import clean
-
-
-def _decoded(path: Column) -> Column:
-    """A path as it is called: percent escapes undone (a plus sign is no space)."""
-    return F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
-
-
-def source_file(level: str = "file") -> Column:
-    """Provenance: the base file name, or the parent folder name (``level='dir'``)
-    when each logical file is a Spark-written folder of part files."""
-    path = F.col("_metadata.file_path")
-    part = r"([^/]+)/[^/]+$" if level == "dir" else r"([^/]+)$"
-    return _decoded(F.regexp_extract(path, part, 1))
-
-
-def year_from_name(name) -> Column:
-    """First run of four digits in a file or folder name, as int (NULL if none)."""
-    c = F.col(name) if isinstance(name, str) else name
-    return clean.to_int(F.nullif(F.regexp_extract(c, r"(\d{4})", 1), F.lit("")))
-
-
-def escape_glob(path: str) -> str:
-    """A path whose glob characters stand for themselves."""
-    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
-
-
-def file_table(spark: SparkSession, path: str, pattern: str | None = None,
-               recursive: bool = True) -> DataFrame:
-    """``path`` of the files under a folder matching the glob ``pattern``.
-
-    Spark's own (parallel) file listing through the ``binaryFile`` source; no
-    content is read, and nothing comes to the driver but Spark's own listing.
-    """
-    r = spark.read.format("binaryFile")
-    if pattern:
-        r = r.option("pathGlobFilter", pattern)
-    if recursive:
-        r = r.option("recursiveFileLookup", True)
-    return r.load(path).select("path")
-
-
-def list_files(spark: SparkSession, path: str, pattern: str | None = None,
-               recursive: bool = True) -> list[str]:
-    """The paths of :func:`file_table` as a list."""
-    return [row.path for row in file_table(spark, path, pattern, recursive).collect()]
-
-
-def file_heads(files: DataFrame, whole: bool = False) -> DataFrame:
-    """``path, header, error`` of each file of ``files`` (``path``), read on the executors.
-
-    ``header`` is the whole first line, however long. ``error`` says why a file
-    can't be read or decoded (else NULL): of its first line, or with ``whole``
-    of all of it (compressed ones are unpacked), a block at a time.
-    """
-    def heads(batches):
-        # Self-contained (imports inside, no module globals): it is pickled by
-        # value, so executors need not have this package on their Python path.
-        import codecs
-
-        import pandas as pd
-        import pyarrow as pa
-        import pyarrow.fs as pafs
-
-        def opened(path: str):
-            if path.startswith("file:"):
-                local = "/" + path[5:].lstrip("/")
-                fs, inner = pafs.LocalFileSystem(), local
-            else:
-                fs, inner = pafs.FileSystem.from_uri(path)
-            packed = "gzip" if path.endswith(".gz") else "bz2" if path.endswith(".bz2") else None
-            return fs.open_input_stream(inner, compression=packed)
-
-        def look(path: str):
-            text, ended = codecs.getincrementaldecoder("utf-8-sig")(), False
-            first = []
-            try:
-                with opened(path) as fh:
-                    while not ended or whole:
-                        block = fh.read(1 << 16)
-                        part = text.decode(block, not block)
-                        if not ended:
-                            line, mark, _ = part.partition("\n")
-                            first.append(line)
-                            ended = bool(mark)
-                        if not block:
-                            break
-            except (OSError, UnicodeDecodeError, pa.ArrowException) as e:
-                return None, f"{type(e).__name__}: {e}"[:500]
-            header = "".join(first).rstrip("\r")
-            return (header, None) if header else (None, "EmptyFile: no header line")
-
-        for b in batches:
-            rows = [look(p) for p in b["path"]]
-            yield pd.DataFrame({"path": b["path"], "header": [r[0] for r in rows], "error": [r[1] for r in rows]})
-
-    n = max(1, files.sparkSession.sparkContext.defaultParallelism)
-    return files.repartition(n).mapInPandas(heads, "path string, header string, error string")
+from fundflow.sources import manifest as mf
+from fundflow.sources.manifest import escape_glob, source_file
 
 
 def _split_header(line: str, sep: str) -> list[str]:
@@ -127,12 +33,13 @@ def all_string_schema(columns: Sequence[str]) -> T.StructType:
 
 
 CORRUPT_COL = "_line"
+FIELDS_COL = "_fields"
 
 
 def read_csv_text(spark: SparkSession, paths: Sequence[str] | str, columns: Sequence[str],
                   null_token: str = "NA", skip_bad_lines: bool = False, sep: str = ",",
                   source: str | None = "file", multiline: bool = False,
-                  pattern: str | None = None) -> DataFrame:
+                  pattern: str | None = None, keep_lines: bool = False) -> DataFrame:
     """All-text CSV read with a header, ``null_token`` and blank text as NULL.
 
     An unreadable file fails the read (see :func:`read_tolerant` for the
@@ -140,26 +47,31 @@ def read_csv_text(spark: SparkSession, paths: Sequence[str] | str, columns: Sequ
     header (pandas ``on_bad_lines='skip'``), empty ones and missing-value
     tokens included, and keeps short lines padded with NULL: the text of every
     line whose field count is not the header's is kept aside, and its fields
-    are counted outside quotes. ``multiline`` lets quoted fields hold line
+    are counted outside quotes. With ``keep_lines`` they stay: ``_line`` has the text
+    of such a line and ``_fields`` its number of fields (NULL for lines to be kept); see
+    :func:`stage_lines`. ``multiline`` lets quoted fields hold line
     breaks; a file is then read by one task, so leave it off for files that
     need none. ``pattern`` selects files in a folder. Adds ``SourceFile``
     unless ``source`` is None.
     """
     fields = all_string_schema(columns)
-    if skip_bad_lines:
+    aside = skip_bad_lines or keep_lines
+    if aside:
         fields = T.StructType([*fields, T.StructField(CORRUPT_COL, T.StringType())])
     reader = (spark.read.schema(fields).option("header", True).option("sep", sep).option("mode", "PERMISSIVE")
               .option("nullValue", null_token).option("multiLine", multiline).option("escape", '"'))
-    if skip_bad_lines:
+    if aside:
         # A pruned parser reads some fields only and can't count them.
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COL).option("columnPruning", False)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
     df = reader.csv(list(paths) if not isinstance(paths, str) else paths)
-    if skip_bad_lines:
+    if aside:
         plain = F.regexp_replace(F.col(CORRUPT_COL), '"([^"]|"")*"', "")
-        n = F.length(plain) - F.length(F.replace(plain, F.lit(sep), F.lit(""))) + 1
-        df = df.filter(F.col(CORRUPT_COL).isNull() | (n <= len(columns))).drop(CORRUPT_COL)
+        n = (F.length(plain) - F.length(F.replace(plain, F.lit(sep), F.lit(""))) + 1).cast("int")
+        long = F.coalesce(n > len(columns), F.lit(False))
+        df = (df.withColumns({FIELDS_COL: F.when(long, n), CORRUPT_COL: F.when(long, F.col(CORRUPT_COL))}) if keep_lines
+              else df.filter(~long).drop(CORRUPT_COL))
     df = df.withColumns({c: clean.blank_to_null(c) for c in columns})
     if source:
         df = df.withColumn("SourceFile", source_file(source))
@@ -180,25 +92,36 @@ def files_for_years(paths: Sequence[str], years: Iterable[int], level: str = "fi
     return out
 
 
-def _for_years(files: DataFrame, years: Iterable[int] | None, level: str) -> DataFrame:
-    if years is None:
-        return files
-    part = r"([^/]+)/[^/]+$" if level == "dir" else r"([^/]+)$"
-    return files.where(year_from_name(F.regexp_extract("path", part, 1)).isin([int(y) for y in years]))
+def stage_lines(lines: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """Rows read with ``keep_lines``, as (kept, rejected), from one scan: they are written once, apart.
+
+    ``kept`` has the rows without the two columns; ``rejected`` the lines with too many fields:
+    ``SourceFile`` (if there), ``Line``, ``Fields``. Every line is in one of them.
+    """
+    own = [c for c in lines.columns if c not in (CORRUPT_COL, FIELDS_COL)]
+    apart = lines.withColumn("_rejected", F.col(FIELDS_COL).isNotNull())
+    apart.write.mode("overwrite").partitionBy("_rejected").parquet(path)
+    back = lines.sparkSession.read.schema(apart.schema).parquet(path)
+    names = [c for c in own if c == "SourceFile"]
+    return (back.where("not _rejected").select(*own),
+            back.where("_rejected").select(*names, F.col(CORRUPT_COL).alias("Line"), F.col(FIELDS_COL).alias("Fields")))
 
 
-def _stack(spark: SparkSession, heads: DataFrame, folder: tuple[str, str | None] | None, null_token: str, sep: str,
-           source: str, skip_bad_lines: bool, multiline: bool) -> DataFrame | None:
-    """Files of ``heads`` stacked by column name; ``folder`` (path, pattern) if they are all of its files.
+def read_manifest(spark: SparkSession, manifest: DataFrame, null_token: str = "NA", sep: str = ",", source: str = "file",
+                  skip_bad_lines: bool = False, multiline: bool = False, keep_lines: bool = False,
+                  folder: tuple[str, str | None] | None = None) -> DataFrame | None:
+    """The readable files of a manifest stacked by column name (None: there are none); ``folder`` (path, pattern) if
+    they are all of its files.
 
     The driver takes the distinct headers. With one header, a folder is read by
     its path; paths come to the driver only where headers differ (or files were
-    chosen), to be read a header at a time.
+    chosen), to be read a header at a time. A line has too many fields by its own file's header.
     """
     def read(paths, header, pattern=None):
         return read_csv_text(spark, paths, _split_header(header, sep), null_token, skip_bad_lines, sep, source,
-                             multiline, pattern)
+                             multiline, pattern, keep_lines)
 
+    heads = manifest.where("error is null")
     headers = sorted(r.header for r in heads.select("header").distinct().collect())
     if len(headers) == 1 and folder is not None:
         return read(folder[0], headers[0], folder[1] or "*")
@@ -213,7 +136,7 @@ def _stack(spark: SparkSession, heads: DataFrame, folder: tuple[str, str | None]
 def read_many(spark: SparkSession, path: str | None = None, pattern: str | None = None,
               null_token: str = "NA", sep: str = ",", source: str = "file",
               skip_bad_lines: bool = False, paths: Sequence[str] | None = None,
-              years: Iterable[int] | None = None, multiline: bool = False) -> DataFrame:
+              years: Iterable[int] | None = None, multiline: bool = False, keep_lines: bool = False) -> DataFrame:
     """All files under ``path`` matching ``pattern`` (or the given ``paths``),
     stacked by column *name*; optionally only the files named for ``years``
     (with ``source='dir'``: in folders named for them).
@@ -222,14 +145,10 @@ def read_many(spark: SparkSession, path: str | None = None, pattern: str | None
     in parallel; the union fills columns missing from a group with NULL. A file
     that can't be read fails the gather, naming the file.
     """
-    files = (spark.createDataFrame([(p,) for p in paths], "path string") if paths is not None
-             else file_table(spark, path, pattern))
-    heads = file_heads(_for_years(files, years, source))
-    bad = heads.where("error is not null").limit(1).collect()
-    if bad:
-        raise OSError(f"cannot read {bad[0].path}: {bad[0].error}")
+    manifest = mf.build(spark, path, pattern, paths, years, source)
+    mf.first_error(manifest)
     folder = (path, pattern) if paths is None and years is None else None
-    out = _stack(spark, heads, folder, null_token, sep, source, skip_bad_lines, multiline)
+    out = read_manifest(spark, manifest, null_token, sep, source, skip_bad_lines, multiline, keep_lines, folder)
     if out is None:
         raise FileNotFoundError(f"no files under {path} matching {pattern!r} (years={years})")
     return out
@@ -246,19 +165,11 @@ def read_tolerant(spark: SparkSession, path: str, pattern: str | None = None, nu
     Each file is read through once beforehand on the executors, so that a file
     that breaks off gives no rows rather than some.
     """
-    heads = file_heads(_for_years(file_table(spark, path, pattern), years, source), whole=True)
-    bad = heads.where("error is not null").limit(1).count()
-    df = _stack(spark, heads.where("error is null"), None if bad or years is not None else (path, pattern), null_token,
-                sep, source, skip_bad_lines, multiline)
-    part = r"([^/]+)/[^/]+$" if source == "dir" else r"([^/]+)$"
-    expected = (heads.select(F.regexp_extract("path", part, 1).alias("SourceFile"), "error").groupBy("SourceFile")
-                .agg(F.max("error").alias("error")))
-    seen = (ingest_audit(df) if df is not None
-            else spark.createDataFrame([], "SourceFile string, n_rows bigint"))
-    report = expected.join(seen, "SourceFile", "left").select(
-        "SourceFile", F.col("error").isNull().alias("seen"), F.coalesce("n_rows", F.lit(0)).cast("bigint").alias("n_rows"),
-        "error")
-    return df, report
+    manifest = mf.build(spark, path, pattern, None, years, source, whole=True)
+    whole = years is None and manifest.where("error is not null").isEmpty()
+    df = read_manifest(spark, manifest, null_token, sep, source, skip_bad_lines, multiline,
+                       folder=(path, pattern) if whole else None)
+    return df, mf.sources_report(manifest, ingest_audit(df) if df is not None else None)
 
 
 def read_parquet_many(spark: SparkSession, paths: Sequence[str] | str, source: str = "file",
@@ -276,40 +187,33 @@ def read_parquet_many(spark: SparkSession, paths: Sequence[str] | str, source: s
     return df.withColumn("SourceFile", source_file(source)) if source else df
 
 
+def _cast(c: str, kind: str) -> Column:
+    if kind == "number":
+        return clean.parse_number(c)
+    if kind in ("int", "integer", "bigint", "long", "smallint"):
+        return clean.to_int(c, kind)
+    if kind in ("double", "float"):
+        return clean.to_num(c).try_cast(kind)
+    return F.col(c).try_cast(kind)
+
+
 def typed(df: DataFrame, schema: dict[str, str]) -> DataFrame:
     """Cast text columns to types without raising: bad text -> NULL.
 
     Integers go through double so '2014.0' -> 2014; doubles treat NaN as NULL;
     ``"number"`` parses decorated text ('$1,234.50' -> 1234.5).
     """
-    out = {}
-    for c, t in schema.items():
-        if t == "number":
-            out[c] = clean.parse_number(c)
-            continue
-        if t in ("int", "integer", "bigint", "long", "smallint"):
-            out[c] = clean.to_int(c, t)
-        elif t in ("double", "float"):
-            out[c] = clean.to_num(c).try_cast(t)
-        else:
-            out[c] = F.col(c).try_cast(t)
-    return df.withColumns(out)
+    return df.withColumns({c: _cast(c, t) for c, t in schema.items()})
+
+
+def bad_cast(c: str, kind: str) -> Column:
+    """Whether a value is present as text but NULL after casting."""
+    return F.col(c).isNotNull() & _cast(c, kind).isNull()
 
 
 def bad_cast_counts(raw: DataFrame, typed_df_cols: dict[str, str]) -> DataFrame:
     """Per column: values present as text but NULL after casting (one pass)."""
-    aggs = []
-    for c, t in typed_df_cols.items():
-        if t == "number":
-            conv = clean.parse_number(c)
-        elif t in ("int", "integer", "bigint", "long", "smallint"):
-            conv = clean.to_int(c, t)
-        elif t in ("double", "float"):
-            conv = clean.to_num(c).try_cast(t)
-        else:
-            conv = F.col(c).try_cast(t)
-        aggs.append(F.count_if(F.col(c).isNotNull() & conv.isNull()).alias(c))
-    return raw.agg(*aggs)
+    return raw.agg(*[F.count_if(bad_cast(c, t)).alias(c) for c, t in typed_df_cols.items()])
 
 
 def ingest_audit(df: DataFrame, source_col: str = "SourceFile") -> DataFrame:

@@ -159,3 +159,52 @@ def test_duplicate_rate_keys_are_rejected(spark, tmp_path):
     empty.mkdir()
     with pytest.raises(ValueError, match="not unique"):
         job.run(spark, str(empty), str(empty), path, scratch_path(spark, "dup_rates"))
+
+
+def test_tolerant_job_reports_files_and_missing_outputs(spark, tmp_path):
+    ab, tif, out = tmp_path / "ab", tmp_path / "tif", scratch_path(spark, "tolerant")
+    ab.mkdir()
+    tif.mkdir()
+    write_csv(f"{ab}/AbatementDetails 2020.csv", ["TaxYear", "ParcelNumber", "ForegoneTownship", "Township"],
+              [("2020", "027-1-00", "5", "JEFFERSON TWP")])
+    (ab / "AbatementDetails 2021.csv").write_bytes(b"\xff\xfeT\x00")
+    write_csv(f"{tif}/TifDetails 2022.csv", ["TaxYear", "ParcelNumber", "DivertedTownship", "Township", "TaxDistrict", "TaxRateType"],
+              [("2022", "027-2-00", "7", "JEFFERSON TWP", "027", "Res/Ag")])
+    path = str(tmp_path / "rates.csv")
+    write_csv(path, tw.RATE_COLS, tw.rate_rows())
+    counts = job.run(spark, str(ab), str(tif), path, out, tolerant=True)
+    read = lambda name: spark.read.option("header", True).csv(f"{out}/{name}").collect()
+    files = {(r.Source, r.SourceFile): (r.seen, r.n_rows, (r.error or "").split(":")[0]) for r in read("quality/files")}
+    assert files == {("Abatement", "AbatementDetails 2020.csv"): ("true", "1", ""),
+                     ("Abatement", "AbatementDetails 2021.csv"): ("false", "0", "UnicodeDecodeError"),
+                     ("TIF", "TifDetails 2022.csv"): ("true", "1", "")}
+    why = {r.Output: r.Reason for r in read("quality/missing_outputs")}
+    assert set(why) == {"trends/tif_value", "trends/tif_value_avg", "county_totals"} and "no readable files" in why["trends/tif_value"]
+    assert counts["abatements_all_years"] == counts["tifs_all_years"] == 1 and "trends/tif_value" not in counts
+
+
+def test_job_with_a_store_reads_changed_years_only(spark, tmp_path):
+    ab, tif, store = tmp_path / "ab", tmp_path / "tif", f"{tmp_path}/store"
+    ab.mkdir()
+    tif.mkdir()
+    row = lambda y, a: [(str(y), f"027-{y}-00", str(a), "JEFFERSON TWP")]
+    head = ["TaxYear", "ParcelNumber", "ForegoneTownship", "Township"]
+    for y in (2020, 2021):
+        write_csv(f"{ab}/AbatementDetails {y}.csv", head, row(y, 5))
+    write_csv(f"{tif}/TifDetails 2022.csv", ["TaxYear", "ParcelNumber", "DivertedTownship", "Township", "TaxDistrict", "TaxRateType"],
+              [("2022", "027-2-00", "7", "JEFFERSON TWP", "027", "Res/Ag")])
+    path = str(tmp_path / "rates.csv")
+    write_csv(path, tw.RATE_COLS, tw.rate_rows())
+
+    def totals(name, **more):
+        out = scratch_path(spark, name)
+        job.run(spark, str(ab), str(tif), path, out, **more)
+        rows = spark.read.option("header", True).csv(f"{out}/combined/Total").collect()
+        return sorted(tuple(r) for r in rows)
+
+    totals("first", store=store)
+    write_csv(f"{ab}/AbatementDetails 2021.csv", head, row(2021, 5000) + row(2021, 6))
+    assert totals("second", store=store) == totals("plain")
+    from fundflow.sources.incremental import GATHER, YEAR
+    held = spark.read.parquet(f"{store}/abatements/rows").select(YEAR, GATHER).distinct().collect()
+    assert {(r[0], r[1]) for r in held} == {(2020, 1), (2021, 2)}

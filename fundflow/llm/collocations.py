@@ -7,7 +7,8 @@ same word shows if two words share the first, and then all is counted under anot
    below ``least`` end a suffix. Which words are frequent goes to the tasks as a filter of
    bounded size (at most ``FILTER_WORDS`` 64-bit words): it never denies a frequent word, and what it
    admits wrongly costs time, not correctness.
-2. *Prefixes of two words* are counted, and filtered, in the same way.
+2. *Prefixes of two and of three words* are counted, and filtered, in the same way, each where what it
+   is made of is frequent (by ``PREFIX_BITS`` of a hash: that two prefixes may share them only admits too much).
 3. *Vertical partitioning.* A prefix of two words that occurs more than ``budget`` times is extended by
    a word, as long as it does (up to one word short of the depth); only those few are listed (at most
    one in ``budget`` occurrences a depth), all other prefixes are final. Prefixes are dealt into groups by
@@ -46,8 +47,14 @@ MOST_HEAVY = 100_000
 #: Words of 64 bits in a filter, at most (a power of two), and bits for each of its members.
 FILTER_WORDS = 1 << 22
 FILTER_BITS = 16
+#: Bits of a prefix's hash: as many as a filter uses (22 for the place, 6 for each of three bits).
+PREFIX_BITS = 40
+#: Depths of prefixes that are counted and filtered before the subtrees are built.
+FILTERED = (2, 3)
+#: Prefixes, and suffixes, that a task holds to combine equal ones.
+PREFIXES_HELD, SUFFIXES_HELD = 2_000_000, 300_000
 #: Word hashes that a worker keeps from one block to the next.
-WORDS = 1_000_000
+WORDS = 600_000
 #: A byte that no UTF-8 text holds: between pieces.
 BREAK = b"\xff"
 UNDEFINED = "und"
@@ -55,32 +62,33 @@ _SHAPE = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\n\x0b\x0c\r\t", b"ab
 
 
 class _Hashes(dict):
-    """Word -> hash, within one group; ``second`` has, by hash, the word's other hash and itself."""
+    """Word -> hash, within one group; ``second`` (if wanted) has each hash's other hash."""
 
-    def __init__(self, group: str, seed: int):
+    def __init__(self, group: str, seed: int, second: bool):
         super().__init__({BREAK: 0})
-        self.head, self.seed, self.second = group.encode() + b"\0", seed, {}
+        self.head, self.seed, self.second = group.encode() + b"\0", seed, {} if second else None
 
     def __missing__(self, word: bytes) -> int:
         both = xxhash.xxh3_128_digest(self.head + word, self.seed)
         h = int.from_bytes(both[:8], "little", signed=True) or 1
         self[word] = h
-        self.second[h] = int.from_bytes(both[8:], "little", signed=True), word
+        if self.second is not None:
+            self.second[h] = int.from_bytes(both[8:12], "little", signed=True)
         return h
 
 
 class _Reader:
     """Hashes of the words of a block of texts, by group; 0 stands between pieces."""
 
-    def __init__(self, seed: int):
-        self.seed, self.of = seed, {}
+    def __init__(self, seed: int, second: bool = False):
+        self.seed, self.second, self.of = seed, second, {}
 
     def read(self, batches: Iterator[pd.DataFrame]) -> Iterator[tuple[str, _Hashes, np.ndarray]]:
         for pdf in blocks(batches, "text"):
             for group, part in pdf.groupby("grp", sort=False):
                 if sum(len(t) for t in self.of.values()) > WORDS:
                     self.of = {}
-                table = self.of.setdefault(group, _Hashes(group, self.seed))
+                table = self.of.setdefault(group, _Hashes(group, self.seed, self.second))
                 raw = b"\n".join([t.encode() for t in part["text"]]).translate(_SHAPE)
                 # Splits at blanks and \x0b-\x0d (which are breaks now), not at other white space.
                 tokens = raw.replace(BREAK, b" \xff ").split()
@@ -94,6 +102,12 @@ def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (x ^ (x >> np.uint64(29))).view(np.int64)
 
 
+def _longer(prefix: np.ndarray, word: np.ndarray, depth: int) -> np.ndarray:
+    """Hash of a prefix of ``depth`` words, from that of all but its last."""
+    x = _mixed(prefix, word)
+    return x & np.int64((1 << PREFIX_BITS) - 1)
+
+
 class _Filter:
     """Which hashes may be members: three bits in one 64-bit word each."""
 
@@ -103,7 +117,7 @@ class _Filter:
     def has(self, h: np.ndarray) -> np.ndarray:
         u, one = h.view(np.uint64), np.uint64(1)
         mask = np.zeros(len(u), np.uint64)
-        for shift in (58, 52, 46):
+        for shift in (22, 28, 34):
             mask |= one << ((u >> np.uint64(shift)) & np.uint64(63))
         return (self.bits[(u & np.uint64(len(self.bits) - 1)).astype(np.int64)] & mask) == mask
 
@@ -112,7 +126,7 @@ class _Filter:
         """Built by an aggregate; at most FILTER_WORDS numbers come to the driver."""
         need = max(1, members.count() * FILTER_BITS // 64)
         size = min(FILTER_WORDS, 1 << (need - 1).bit_length())
-        mask = " | ".join(f"shiftleft(1L, cast(shiftrightunsigned({column}, {s}) & 63 as int))" for s in (58, 52, 46))
+        mask = " | ".join(f"shiftleft(1L, cast(shiftrightunsigned({column}, {s}) & 63 as int))" for s in (22, 28, 34))
         rows = (members.groupBy(F.expr(f"cast({column} & {size - 1} as int)").alias("at"))
                 .agg(F.expr(f"bit_or({mask})").alias("bits")).toPandas())
         bits = np.zeros(size, np.int64)
@@ -127,19 +141,30 @@ def _counted(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _words(texts: DataFrame, least: int, seed: int) -> DataFrame:
     """``h, f, clash`` of the words that occur ``least`` times or more."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for _, table, h in _Reader(seed).read(batches):
+        for _, table, h in _Reader(seed, second=True).read(batches):
             found, n = _counted(h[h != 0])
-            yield pd.DataFrame({"h": found, "g": [table.second[x][0] for x in found.tolist()], "n": n})
+            yield pd.DataFrame({"h": found, "g": [table.second[x] for x in found.tolist()], "n": n})
 
-    return (texts.mapInPandas(run, "h long, g long, n long").groupBy("h")
+    return (texts.mapInPandas(run, "h long, g int, n long").groupBy("h")
             .agg(F.sum("n").alias("f"), (F.min("g") != F.max("g")).alias("clash")).where(F.col("f") >= least))
 
 
-#: What a task learns of a block: frequent words by place, and hashes of the pairs that start there (0: none).
-def _pairs_of(h: np.ndarray, words: _Filter) -> tuple[np.ndarray, np.ndarray]:
+def _prefixes(h: np.ndarray, words: _Filter, filters: list) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Which words of a block are frequent, and by depth (from 2) the hashes of the prefixes that start at each place (-1:
+    none, as a part of it isn't frequent); one depth more than there are ``filters`` (of prefixes of 2, 3, ... words)."""
     good = (h != 0) & words.has(h)
-    both = good[:-1] & good[1:]
-    return good, np.where(both, _mixed(h[:-1].copy(), h[1:].copy()), 0) if len(h) > 1 else np.empty(0, np.int64)
+    seen, at, prefix = good, [], h
+    for depth in range(2, len(filters) + 3):
+        if len(seen) < 2:
+            at.append(np.empty(0, np.int64))
+            seen = np.empty(0, bool)
+            continue
+        both = seen[:-1] & seen[1:]
+        prefix = np.where(both, _longer(prefix[:len(both)].copy(), h[depth - 1:].copy(), depth), -1)
+        at.append(prefix)
+        if depth - 2 < len(filters):
+            seen = both & filters[depth - 2].has(prefix)
+    return good, at
 
 
 def _pairs(texts: DataFrame, words, least: int, seed: int) -> DataFrame:
@@ -155,31 +180,74 @@ def _pairs(texts: DataFrame, words, least: int, seed: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         told: set[int] = set()
+        held = _Held()
         for group, table, h in _Reader(seed).read(b.to_pandas() for b in batches):
-            good, pairs = _pairs_of(h, words.value)
-            p, n = _counted(pairs[pairs != 0])
-            yield batch(0, p, None, None, n)
+            good, (pairs,) = _prefixes(h, words.value, [])
+            for p, n in held.add(pairs[pairs >= 0]):
+                yield batch(0, p, None, None, n)
             new = set(_counted(h[good])[0].tolist()) - told
             if len(told) > WORDS:
                 told = set()
             told |= new
-            yield batch(1, list(new), group, [table.second[x][1].decode() for x in new], [0] * len(new))
+            text = {v: w.decode() for w, v in table.items() if v in new} if new else {}
+            yield batch(1, list(text), group, list(text.values()), [0] * len(text))
             yield batch(2, [0], group, None, [int((h != 0).sum())])
+        for p, n in held.rest():
+            yield batch(0, p, None, None, n)
 
     return (texts.mapInArrow(run, "kind int, p long, grp string, word string, n long")
             .groupBy("kind", "p", "grp", "word").agg(F.sum("n").alias("n")).where(f"kind > 0 or n >= {least}"))
 
 
+class _Held:
+    """Prefixes of a task, counted when there are many or no more."""
+
+    def __init__(self):
+        self.parts: list[np.ndarray] = []
+
+    def add(self, p: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        self.parts.append(p)
+        if sum(map(len, self.parts)) >= PREFIXES_HELD:
+            yield from self.rest()
+
+    def rest(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        if self.parts:
+            yield _counted(np.concatenate(self.parts))
+            self.parts.clear()
+
+
+def _longer_prefixes(texts: DataFrame, words, filters: list, least: int, seed: int) -> DataFrame:
+    """``p, n`` of the prefixes of one word more than those of the last of the ``filters`` that occur ``least`` times or more."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = _Held()
+        for _, _, h in _Reader(seed).read(batches):
+            last = _prefixes(h, words.value, [f.value for f in filters])[1][-1]
+            for p, n in held.add(last[last >= 0]):
+                yield pd.DataFrame({"p": p, "n": n})
+        for p, n in held.rest():
+            yield pd.DataFrame({"p": p, "n": n})
+
+    return texts.mapInPandas(run, "p long, n long").groupBy("p").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+
+
 class _Suffixes:
-    """Suffixes of a block that begin with a frequent pair, cut at the first pair that isn't one and at the depth."""
-
-    def __init__(self, h: np.ndarray, words: _Filter, pairs: _Filter, longest: int):
-        _, p = _pairs_of(h, words)
-        good = (p != 0) & pairs.has(p) if len(p) else np.empty(0, bool)
-        reach = np.zeros(len(good) + longest, np.int8)
-        for _ in range(longest - 1):  # words that follow, up to longest - 1
-            reach[:len(good)] = np.where(good, reach[1:len(good) + 1] + 1, 0)
-        self.at = np.flatnonzero(reach[:len(good)] > 0)
+    """Suffixes of a block that begin with a frequent pair, cut at the depth and before the first word at which a prefix
+    that ends there isn't frequent."""
+
+    def __init__(self, h: np.ndarray, words: _Filter, filters: list, longest: int):
+        at = _prefixes(h, words, filters)[1]
+        n = len(h)
+        reach = np.zeros(n + 1, np.int8)  # words that follow, up to longest - 1
+        for depth, f in reversed(list(enumerate(filters, 2))):
+            p = at[depth - 2]
+            good = np.zeros(n, bool)
+            good[:len(p)] = (p >= 0) & f.has(p)
+            if depth == len(filters) + 1:  # the deepest: as long as each next one is frequent
+                for _ in range(longest - depth + 1):
+                    reach[:n] = np.where(good, np.maximum(reach[1:], depth - 2) + 1, 0)
+            else:
+                reach[:n] = np.where(good, np.maximum(reach[:n], depth - 1), 0)
+        self.at = np.flatnonzero(reach[:n] > 0)
         self.more = np.minimum(reach[self.at], longest - 1)
         padded = np.concatenate([h, np.zeros(longest, np.int64)])
         self.w = np.stack([np.where(self.more >= k, padded[self.at + k], 0) for k in range(longest)], axis=1)
@@ -188,7 +256,7 @@ class _Suffixes:
         """Hash of the first ``depth`` words (suffixes that are shorter: of all their words)."""
         x = self.w[:, 0].copy()
         for k in range(1, depth):
-            x = np.where(self.more >= k, _mixed(x, self.w[:, k].copy()), x)
+            x = np.where(self.more >= k, _longer(x, self.w[:, k].copy(), k + 1), x)
         return x
 
     def final(self, heavy: list[np.ndarray]) -> np.ndarray:
@@ -215,7 +283,7 @@ def _heavy(texts: DataFrame, pairs: DataFrame, filters: tuple, budget: int, long
 
         def run(batches: Iterator[pd.DataFrame], rows=rows, depth=depth) -> Iterator[pd.DataFrame]:
             for _, _, h in _Reader(seed).read(batches):
-                s = _Suffixes(h, words.value, listed.value, longest)
+                s = _Suffixes(h, words.value, [f.value for f in listed], longest)
                 p, n = _counted(s.prefix(depth + 1)[(s.more >= depth) & np.isin(s.prefix(depth), rows)])
                 yield pd.DataFrame({"p": p, "n": n})
 
@@ -228,21 +296,36 @@ def _grouped_suffixes(texts: DataFrame, filters: tuple, heavy: list[np.ndarray],
     words, listed = filters
     names = [f"w{k + 1}" for k in range(longest)]
 
+    def combined(parts: list[tuple]) -> tuple:
+        """Prefix hash, words, group and count of suffixes, equal ones as one."""
+        key, w, part, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.argsort(key, kind="stable")
+        key, w, part, n = key[order], w[order], part[order], n[order]
+        first = np.ones(len(w), bool)
+        first[1:] = (w[1:] != w[:-1]).any(axis=1)
+        start = np.flatnonzero(first)
+        return key[start], w[start], part[start], np.add.reduceat(n, start)
+
+    def rows(parts: list[tuple]) -> pd.DataFrame:
+        _, w, part, n = combined(parts)
+        out = pd.DataFrame(w, columns=names)
+        out.insert(0, "part", part)
+        out["n"] = n
+        return out
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[tuple] = []
         for _, _, h in _Reader(seed).read(batches):
-            s = _Suffixes(h, words.value, listed.value, longest)
+            s = _Suffixes(h, words.value, [f.value for f in listed], longest)
             if not len(s.at):
                 continue
-            order = np.argsort(s.prefix(longest), kind="stable")
-            w = s.w[order]
-            first = np.ones(len(w), bool)
-            first[1:] = (w[1:] != w[:-1]).any(axis=1)
-            start = np.flatnonzero(first)
-            part = (s.final(heavy).view(np.uint64) % np.uint64(groups)).astype(np.int64)[order]
-            out = pd.DataFrame(w[start], columns=names)
-            out.insert(0, "part", part[start])
-            out["n"] = np.diff(start, append=len(w))
-            yield out
+            part = (s.final(heavy).view(np.uint64) % np.uint64(groups)).astype(np.int64)
+            held.append(combined([(s.prefix(longest), s.w, part, np.ones(len(part), np.int64))]))
+            if sum(len(x[0]) for x in held) >= SUFFIXES_HELD:
+                yield rows(held)
+                held = []
+        if held:
+            yield rows(held)
 
     return texts.mapInPandas(run, "part long, " + ", ".join(f"{c} long" for c in names) + ", n long")
 
@@ -261,7 +344,7 @@ def _nodes(suffixes: DataFrame, heavy: list[np.ndarray], least: int, longest: in
             differs[1:] |= w[1:, depth - 1] != w[:-1, depth - 1]
             if depth == 1:
                 continue
-            prefix = _mixed(prefix, w[:, depth - 1].copy())
+            prefix = _longer(prefix, w[:, depth - 1].copy(), depth)
             start = np.flatnonzero(differs)
             f = np.add.reduceat(n, start)
             part = np.isin(prefix[start], heavy[depth - 2]) if depth - 2 < len(heavy) else False
@@ -298,7 +381,10 @@ def frequent_phrases(df: DataFrame, text_col: str = "text", group_col: str = "la
     of_words = share(_Filter.of(words, "h"))
     seen = staged(_pairs(texts, of_words, least, seed), "pairs")
     pairs = seen.where("kind = 0")
-    filters = (of_words, share(_Filter.of(pairs, "p")))
+    filters = (of_words, [share(_Filter.of(pairs, "p"))])
+    for _ in FILTERED[1:longest - 1]:
+        longer = staged(_longer_prefixes(texts, *filters, least, seed), "prefixes")
+        filters[1].append(share(_Filter.of(longer, "p")))
     occurrences = pairs.agg(F.sum("n")).first()[0] or 0
     budget = max(budget, occurrences // MOST_HEAVY)
     heavy = _heavy(texts, pairs, filters, budget, longest, seed)

@@ -27,7 +27,8 @@ Every step is an aggregate or join by anchor, or by document; the most that meet
 in one task is a group of bounded size, or one document with its spans.
 
 Results: null text is empty; a null doc_id comes before all others; rows that share
-doc_id and text are one document (none of them is the other's repeat); extra
+doc_id and text are one document (none of them is the other's repeat); different texts of
+one doc_id (or of none) are documents in the order of their texts' hashes (xxhash64); extra
 columns pass through, but for those named like result columns, which are
 replaced; an empty table gives an empty result.
 """
@@ -58,6 +59,8 @@ GROUP, SHARD, HOT = 400, 64, 2000
 #: Bytes anchored together; longer texts are anchored in overlapping parts.
 BLOCK = 256_000
 FIRST = -(2 ** 63)
+#: Not the first of its kind: by document, the text's hash where several texts have one id, and place.
+LATER = "d <> f.d or t <> f.t or start <> f.start"
 
 
 def _powers(base: int) -> list[np.uint32]:
@@ -285,7 +288,7 @@ def _merged_groups(contexts: DataFrame, length: int) -> DataFrame:
     """Ranges ``d, t, start, end`` that are repeats in their group; from hot anchors also the first windows
     (``hash`` not null), for comparing groups."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["d", "start"], kind="stable")
+        pdf = pdf.sort_values(["d", "t", "start"], kind="stable")
         region, place, first = first_windows(pdf["bytes"].tolist(), length)
         at = pdf["start"].to_numpy()[region] + place
         # Repeats that follow each other in a region are one range.
@@ -325,18 +328,18 @@ def repeats(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_co
     long = docs.where(f"octet_length(text) >= {length}")
     shared = _anchor_counts(long, length).groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor")
     hits = staged(_all_runs(long, length).join(staged(shared, "anchors"), "anchor"), "hits")
-    first = staged(hits.groupBy("anchor", "region").agg(F.min(F.struct("d", "start", "t", "windows")).alias("f")),
+    first = staged(hits.groupBy("anchor", "region").agg(F.min(F.struct("d", "t", "start", "windows")).alias("f")),
                    "regions")
-    again = (hits.join(first, ["anchor", "region"]).where("d <> f.d or start <> f.start")
+    again = (hits.join(first, ["anchor", "region"]).where(LATER)
              .selectExpr("d", "t", "start", f"start + windows + {length - 1} as end"))
     several = first.groupBy("anchor").agg(F.count("*").alias("many")).where("many > 1")
     wanted = first.join(several, "anchor").selectExpr("anchor", "many", "f.d", "f.t", "f.start", "f.windows")
     contexts = staged(_texts_of(wanted, long, length), "contexts")
     merged = staged(_merged_groups(contexts, length), "merged")
     rows = merged.where("hash is not null")
-    met = (rows.groupBy("anchor", "hash").agg(F.min(F.struct("d", "start")).alias("f"), F.count("*").alias("n"))
+    met = (rows.groupBy("anchor", "hash").agg(F.min(F.struct("d", "t", "start")).alias("f"), F.count("*").alias("n"))
            .where("n > 1"))
-    across = rows.join(met, ["anchor", "hash"]).where("d <> f.d or start <> f.start").select("d", "t", "start", "end")
+    across = rows.join(met, ["anchor", "hash"]).where(LATER).select("d", "t", "start", "end")
     return again.union(merged.where("hash is null").select("d", "t", "start", "end")).union(across)
 
 

@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+import xxhash
 
 from fundflow.llm import bwt_dedup
 
@@ -12,8 +13,12 @@ SCHEMA = "doc_id long, text string, spans int, extra string"
 
 
 def brute(rows, length):
-    """(doc_id, n_bytes, n_removed, spans, kept_sha256, kept) by row; rows of one id and text are one document."""
-    key = lambda r: (-2 ** 63 if r[0] is None else r[0])
+    """(doc_id, n_bytes, n_removed, spans, kept_sha256, kept) by row; rows of one id and text are one document,
+    several texts of one id in the order of their hashes."""
+    def key(r):
+        h = xxhash.xxh64_intdigest((r[1] or "").encode(), 42)
+        return (-2 ** 63 if r[0] is None else r[0], h - 2 ** 64 if h >= 2 ** 63 else h)
+
     first = {}
     for i, t in sorted(set(rows), key=key):
         raw = (t or "").encode()
@@ -64,6 +69,25 @@ def test_as_brute_force(spark, monkeypatch, seed, small):
     assert sorted(map(str, have)) == sorted(map(str, brute(rows, 100)))
 
 
+@pytest.mark.parametrize("small", [False, True])
+def test_several_texts_of_one_id(spark, monkeypatch, small):
+    """A common header at the start of texts that share an id (or have none) goes from all but one of them."""
+    if small:
+        for name, value in (("GROUP", 5), ("HOT", 4), ("BLOCK", 60)):
+            monkeypatch.setattr(bwt_dedup, name, value)
+    rng = random.Random(7)
+    body = lambda: " ".join(str(rng.randrange(10 ** 6)) for _ in range(30))
+    header = " ".join(body() for _ in range(5))
+    rows = [(1, header + body()), (1, header + body()), (1, body() + header + body()), (None, header + body()), (None, header[40:] + body()),
+            (2, header), (2, header), (1, body()), (3, "x" + header + body())]
+    df = spark.createDataFrame([(i, t, 1, "e") for i, t in rows], SCHEMA)
+    have = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, r.kept_text)
+            for r in bwt_dedup.remove_repeats(df, with_text=True).collect()]
+    want = brute(rows, 100)
+    assert sorted(map(str, have)) == sorted(map(str, want))
+    assert sum(header in r[5] for r in want) == 1
+
+
 def test_merged_transforms_sort_suffixes():
     """The refined interleave is the order of all suffixes by their first symbols."""
     rng = random.Random(3)

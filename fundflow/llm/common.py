@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import os
-import uuid
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundflow.session import checkpoint_root
+from fundflow.session import drop_scratch, scratch_path
 
 #: Text taken into one working block inside a task (characters).
 BLOCK_CHARS = 4_000_000
@@ -25,10 +24,11 @@ def staged(df: DataFrame, name: str, partition_by: list[str] | None = None) -> D
     """Write ``df`` under the shared checkpoint folder and read it back.
 
     Cuts lineage: what follows re-reads the written table when an executor is
-    lost, and the shuffle files that made it may go.
+    lost, and the shuffle files that made it may go. The folder is scratch: :func:`unstage` deletes it, or
+    ``fundflow.session.drop_scratch`` all of them, once nothing reads them any more.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_root(spark)}/fundflow-llm/{name}-{uuid.uuid4().hex[:12]}"
+    path = scratch_path(spark, f"llm-{name}")
     w = df.write
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -40,12 +40,10 @@ def staged(df: DataFrame, name: str, partition_by: list[str] | None = None) -> D
 
 def unstage(df: DataFrame) -> None:
     """Delete the folder of a table made by :func:`staged` (not needed any more)."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
     for f in df.inputFiles()[:1]:
-        folder = jvm.org.apache.hadoop.fs.Path(f).getParent()
-        if "/fundflow-llm/" in folder.toString():
-            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        folder = f.rsplit("/", 1)[0]
+        if "/fundflow/llm-" in folder:
+            drop_scratch(df.sparkSession, [folder])
 
 
 def _release(spark: SparkSession) -> None:
@@ -69,9 +67,19 @@ def blocks(batches: Iterable[pd.DataFrame], text: str, limit: int = BLOCK_CHARS)
 
 
 def tokenizer_path(name: str) -> str:
-    """Place of a public tokenizer file (folder: ``FUNDFLOW_TOKENIZERS`` or
-    /opt/tokenizers); the files are never part of the repository."""
-    return os.path.join(os.environ.get("FUNDFLOW_TOKENIZERS", "/opt/tokenizers"), name)
+    """Place of a public tokenizer file, as its package has it (or in the folder ``FUNDFLOW_TOKENIZERS``); the files
+    are never part of the repository. Workers look for themselves: see :func:`local_tokenizer`."""
+    folder = os.environ.get("FUNDFLOW_TOKENIZERS")
+    if folder:
+        return os.path.join(folder, name)
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def local_tokenizer(path: str) -> str:
+    """A tokenizer file on this machine: the path itself, or where it isn't there, the package's file of that name."""
+    return path if os.path.exists(path) else tokenizer_path(os.path.basename(path))
 
 
 def text_column(df: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from fundflow.llm.common import blocks, text_column
+from fundflow.llm.common import blocks, local_tokenizer, text_column
 
 WINDOW = 4096
 END_ID = 2
@@ -50,6 +50,9 @@ class WordTokenizer:
     library as they are; a file of another kind is used whole."""
 
     PLAIN = re.compile("[!-~¡-ɏ]+")
+    #: Those of them that lower-case one by one.
+    SAME_LENGTH = re.compile("[!-~¡-įı-ɏ]+")
+    MARKS = ".,;:!?"
     PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
     def __init__(self, path: str, table_words: int = TABLE_WORDS):
@@ -73,7 +76,9 @@ class WordTokenizer:
             self.ends = np.zeros(max(vocab.values()) + 1, bool)
             self.ends[[i for w, i in vocab.items() if w.endswith(suffix)]] = True
         self.words: dict[str, bytes] = {"": b""}
-        self.tokens: dict[str, bytes] = {}
+        self.tokens: dict[str, bytes] = {"": b""}
+        #: No added token could be found in letters and marks.
+        self.marks_are_plain = not any(x.rstrip(self.MARKS).isalpha() for x in self.added)
         self.table_words = table_words
 
     def _library(self, texts: list[str]) -> list[bytes]:
@@ -83,7 +88,7 @@ class WordTokenizer:
         """Ids of pre-tokens, a line of them at a time: each ends with an end-of-word id."""
         for i in range(0, len(new), 200):
             part = new[i:i + 200]
-            ids = np.array(self.library.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+            ids = np.array(self.library.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
             cuts = (np.flatnonzero(self.ends[ids]) + 1) * 4
             if len(cuts) != len(part):  # a pre-token that the library splits
                 self.tokens.update(zip(part, self._library(part), strict=True))
@@ -94,17 +99,27 @@ class WordTokenizer:
                 a = b
 
     def _segment(self, new: list[str]) -> dict[str, bytes]:
-        plain, other = {}, []
-        for w in new:
+        # Most words are Latin letters with marks behind: two pre-tokens, found without the pattern, all words in step.
+        plain = [w for w in new if w.isascii() or self.SAME_LENGTH.fullmatch(w)] if self.marks_are_plain else []
+        low = "\n".join(plain).lower().split("\n") if plain else []
+        heads = [w.rstrip(self.MARKS) for w in low]
+        simple = [w for w, h in zip(plain, heads, strict=True) if h.isalpha()]
+        marks = [w[len(h):] for w, h in zip(low, heads, strict=True) if h.isalpha()]
+        heads = [h for h in heads if h.isalpha()]
+        rest, other = {}, []
+        for w in set(new).difference(simple):
             if self.PLAIN.fullmatch(w) and not any(x in w for x in self.added):
-                plain[w] = self.pre.findall(unicodedata.normalize("NFC", w).lower())
+                rest[w] = self.pre.findall(unicodedata.normalize("NFC", w).lower())
             else:
                 other.append(w)
         if len(self.tokens) > self.table_words:
-            self.tokens = {}
+            self.tokens = {"": b""}
         tokens = self.tokens
-        self._pre_tokens(list({t for ts in plain.values() for t in ts if t not in tokens}))
-        found = {w: b"".join([tokens[t] for t in ts]) for w, ts in plain.items()}
+        wanted = set(heads).union(marks, *rest.values())
+        self._pre_tokens(list(wanted - tokens.keys()))
+        get = tokens.__getitem__
+        found = dict(zip(simple, map(bytes.__add__, map(get, heads), map(get, marks)), strict=True))
+        found.update((w, b"".join(map(get, ts))) for w, ts in rest.items())
         found.update(zip(other, self._library(other), strict=True))
         return found
 
@@ -114,7 +129,7 @@ class WordTokenizer:
             return self._library(texts)
         split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
         table = self.words
-        new = {w for ws in split for w in ws if w not in table}
+        new = set().union(*split) - table.keys()
         if new:
             found = self._segment(list(new))
             if len(table) + len(found) <= self.table_words:
@@ -142,7 +157,7 @@ _TOKENIZERS: dict[str, WordTokenizer] = {}
 def tokenizer(path: str) -> WordTokenizer:
     """The worker's tokenizer of a file; it outlives a task where workers are reused."""
     if path not in _TOKENIZERS:
-        _TOKENIZERS[path] = WordTokenizer(path)
+        _TOKENIZERS[path] = WordTokenizer(local_tokenizer(path))
     return _TOKENIZERS[path]
 
 

@@ -31,7 +31,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from fundflow.llm.common import blocks, text_column
+from fundflow.llm.common import blocks, local_tokenizer, text_column
 
 MARK = "▁"
 #: Entries kept by a worker (about 200 bytes each).
@@ -113,7 +113,7 @@ def codec(model_path: str, table_words: int = TABLE_WORDS) -> ChunkCodec:
     """The worker's codec of a model; it outlives a task where workers are reused."""
     key = (model_path, table_words)
     if key not in _CODECS:
-        _CODECS[key] = ChunkCodec(model_path, table_words)
+        _CODECS[key] = ChunkCodec(local_tokenizer(model_path), table_words)
     return _CODECS[key]
 
 

@@ -30,6 +30,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,6 +48,8 @@ SURE = 0.95
 KEPT_OUT = 4
 SURE_LOGIT = float(np.log(SURE / (1 - SURE)))
 PAIRS = 256
+#: Text and rows that a task turns into features together.
+PART_BYTES, PART_ROWS = 2_000_000, 1000
 REJECT_BELOW = 0.5
 
 
@@ -166,37 +169,25 @@ def _teach(views: list[np.ndarray], label: np.ndarray, rounds: int,
     return CoTrained(models, platt, Logistic.fit(calibrated, label[kept], 1.0), handed)
 
 
-def co_train(views: list[np.ndarray], label: np.ndarray, rounds: int = ROUNDS) -> CoTrained:
-    """``views``: features by view, of labelled (``label`` 0 or 1) and other (NaN) documents."""
-    known, pool = np.flatnonzero(~np.isnan(label)), np.flatnonzero(np.isnan(label))
-    given = [np.empty(0, int), np.empty(0, int)]
-
-    def hand(models: list[Logistic], good: float) -> Handed:
-        out: Handed = [None, None]
-        for i, (model, x) in enumerate(zip(models, views, strict=True)):
-            free = np.setdiff1d(pool, given[1 - i])
-            logit = model.logit(x[free])
-            picked, labels = [], []
-            for sign, value, most in zip((1, -1), (1.0, 0.0), _quotas(len(pool), good), strict=True):
-                best = np.argsort(-sign * logit, kind="stable")[:most]
-                best = free[best[sign * logit[best] >= SURE_LOGIT]]
-                picked.append(best)
-                labels.append(np.full(len(best), value))
-            picked = np.concatenate(picked)
-            given[1 - i] = np.concatenate([given[1 - i], picked])
-            out[1 - i] = ([v[picked] for v in views], np.concatenate(labels))
-        return out
-
-    return _teach([x[known] for x in views], label[known], rounds, hand)
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of about PART_BYTES of text, so that a task holds that much of it as Python objects."""
+    ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(batch.column("text")), 0), np.int64))
+    a = 0
+    while a < batch.num_rows:
+        before = ends[a - 1] if a else 0
+        b = max(a + 1, min(int(np.searchsorted(ends, before + PART_BYTES)), a + PART_ROWS))
+        yield batch.slice(a, b - a)
+        a = b
 
 
 def _features(batch: dict[str, list]) -> list[np.ndarray]:
+    """Content and metadata features of rows, in single precision."""
     content, metadata = [], []
     for text, lang, source, n in zip(batch["text"], batch["lang"], batch["source"], batch["n_chars"], strict=True):
         text = text or ""
-        content.append(content_features(text))
-        metadata.append(metadata_features(text, lang or "", source or "", float(len(text) if n is None else n)))
-    return [np.array(content, np.float32).astype(np.float64), np.array(metadata, np.float32).astype(np.float64)]
+        content.append(content_features(text).astype(np.float32))
+        metadata.append(metadata_features(text, lang or "", source or "", float(len(text) if n is None else n)).astype(np.float32))
+    return [np.array(content, np.float32), np.array(metadata, np.float32)]
 
 
 def _inputs(docs: DataFrame) -> list:
@@ -214,10 +205,11 @@ def _with_features(df: DataFrame, columns: list[str]) -> DataFrame:
     """``columns`` of ``df`` (which has :func:`_inputs` too), and the features of both views as bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            views = _features(batch.to_pydict())
-            yield pa.RecordBatch.from_arrays(
-                [batch[c] for c in columns] + [pa.array([r.astype(np.float32).tobytes() for r in x], pa.binary()) for x in views],
-                names=[*columns, *VIEWS])
+            for part in _parts(batch):
+                views = _features(part.to_pydict())
+                yield pa.RecordBatch.from_arrays(
+                    [part[c] for c in columns] + [pa.array([r.tobytes() for r in x], pa.binary()) for x in views],
+                    names=[*columns, *VIEWS])
 
     return df.mapInArrow(run, T.StructType([df.schema[c] for c in columns] + [T.StructField(c, T.BinaryType()) for c in VIEWS]))
 
@@ -226,8 +218,7 @@ def _logits(df: DataFrame, models: list[Logistic]) -> DataFrame:
     """``doc_id, key`` of the rows, and the logit of each of the ``models``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a in range(0, batch.num_rows, 1000):
-                part = batch.slice(a, 1000)
+            for part in _parts(batch):
                 logits = [pa.array(m.logit(x)) for m, x in zip(models, _features(part.to_pydict()), strict=True)]
                 yield pa.RecordBatch.from_arrays([part["doc_id"], part["key"], *logits], names=["doc_id", "key", "l0", "l1"])
 
@@ -290,19 +281,15 @@ RESULT = ("p_content", "p_metadata", "p_quality", "accepted")
 def score(docs: DataFrame, model: CoTrained, reject_below: float = REJECT_BELOW) -> DataFrame:
     """The documents with ``p_content, p_metadata, p_quality`` and ``accepted`` behind them."""
     own = [c for c in docs.columns if c not in RESULT]
-    seen = [f"_{i}" for i in range(4)]
-    df = docs.select(*[F.col(f"`{c}`") for c in own], *[c.alias(n) for c, n in zip(_inputs(docs), seen, strict=True)])
-    schema = T.StructType([docs.schema[c] for c in own]
-                          + [T.StructField(c, T.DoubleType()) for c in RESULT[:3]] + [T.StructField(RESULT[3], T.BooleanType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a in range(0, batch.num_rows, 1000):
-                part = batch.slice(a, 1000)
-                inputs = {n: part.column(len(own) + i).to_pylist() for i, n in enumerate(("text", "lang", "source", "n_chars"))}
-                p = model.score(_features(inputs))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(i) for i in range(len(own))] + [pa.array(p[:, i]) for i in range(3)]
-                    + [pa.array(p[:, 2] >= reject_below)], names=[*own, *RESULT])
-
-    return df.mapInArrow(run, schema)
+    names = ["text", "lang", "source", "n_chars"]
+    # Only what the features are made of goes to Python, once, and three numbers come back.
+    @F.arrow_udf("struct<p_content:double,p_metadata:double,p_quality:double>")
+    def predicted(text: pa.Array, lang: pa.Array, source: pa.Array, n_chars: pa.Array) -> pa.Array:
+        batch = pa.RecordBatch.from_arrays([text, lang, source, n_chars], names=names)
+        found = [model.score(_features(part.to_pydict())) for part in _parts(batch)]
+        p = np.concatenate(found) if found else np.empty((0, 3))
+        return pa.StructArray.from_arrays([pa.array(p[:, i]) for i in range(3)], names=list(RESULT[:3]))
+
+    return (docs.select(*[F.col(f"`{c}`") for c in own], predicted(*_inputs(docs)).alias("_p"))
+            .select(*[F.col(f"`{c}`") for c in own], *[F.col(f"_p.{c}") for c in RESULT[:3]],
+                    (F.col("_p.p_quality") >= reject_below).alias(RESULT[3])))

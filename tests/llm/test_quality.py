@@ -29,15 +29,30 @@ def test_held_out_accuracy(spark, tables):
     assert all(0 <= p <= 1 for r in rows for p in (r.p_content, r.p_metadata, r.p_quality))
 
 
-def test_views_teach_each_other():
-    rng = np.random.default_rng(0)
-    y = (rng.random(1200) < 0.5).astype(float)
-    views = [rng.normal(size=(1200, 5)) + 2.5 * y[:, None], rng.normal(size=(1200, 3)) + 2.0 * y[:, None]]
-    label = np.where(np.arange(1200) < 60, y, np.nan)
-    model = cotraining.co_train(views, label)
-    assert len(model.handed) == 3 and model.handed[0] > 0
-    p = model.score(views)
-    assert (((p[:, 2] > 0.5) == y)[60:]).mean() > 0.95
+def test_views_teach_each_other(spark, tables):
+    """Rounds of exchanged labels: every round hands some over, and what is accepted stays as good."""
+    docs, labels = tables
+    known = labels.where(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0)
+    rest = labels.join(known, "doc_id", "left_anti")
+
+    def right(rounds):
+        model = cotraining.train(docs, known, rounds=rounds)
+        rows = cotraining.score(docs, model).join(rest, "doc_id").collect()
+        return model, np.mean([r.accepted == (r.quality == 1) for r in rows])
+
+    alone, taught = right(0), right(cotraining.ROUNDS)
+    assert alone[0].handed == [] and len(taught[0].handed) == cotraining.ROUNDS and taught[0].handed[0] > 0
+    assert taught[1] > alone[1] - 0.02 and taught[1] > 0.9
+
+
+def test_parts_are_the_batch():
+    import pyarrow as pa
+    texts = ["a" * n for n in (0, 3_000_000, 10, 1_500_000, 600_000, 5)] + [None] * 2500
+    batch = pa.RecordBatch.from_pydict({"text": texts, "i": list(range(len(texts)))})
+    parts = list(cotraining._parts(batch))
+    assert [i for p in parts for i in p["i"].to_pylist()] == list(range(len(texts)))
+    assert all(p.num_rows == 1 or sum(len(t or "") for t in p["text"].to_pylist()) <= cotraining.PART_BYTES for p in parts)
+    assert max(p.num_rows for p in parts) <= cotraining.PART_ROWS
 
 
 def test_pseudo_labels_come_from_all_documents(spark, tables, monkeypatch):

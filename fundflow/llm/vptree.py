@@ -12,7 +12,8 @@ A block of queries goes down the tree together; at each node the queries part
 into those that look into the near half first and those that begin far.
 
 Results: see :func:`fundflow.llm.vectors.vectors` for the rows that take part;
-fewer than ``k`` candidates give fewer rows; ties go to the smaller id; an
+fewer than ``k`` candidates give fewer rows; ties go to the smaller id; repeated rows
+(same id) count once, with the smallest vector; an
 empty table, or no query, gives no rows; other columns are left out.
 """
 
@@ -22,7 +23,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fundflow.llm.vectors import QUERY_BLOCK, SHARD_ROWS, best, by_shard, ranked, vectors
+from fundflow.llm.vectors import QUERY_BLOCK, best, by_shard, hashed_shards, one_row_per_id, ranked, to_all, vectors
 
 #: Points in a leaf, at most.
 LEAF = 128
@@ -38,10 +39,10 @@ class VPTree:
         self.root = self._build(np.arange(len(ids)), np.random.default_rng(len(ids)))
 
     def _build(self, rows: np.ndarray, rng: np.random.Generator) -> tuple:
-        if len(rows) <= self.leaf:
+        if len(rows) <= max(self.leaf, 2):  # a node needs a point on either side of its vantage point
             return (rows,)
         # Of a few points, the one whose distances spread most.
-        tries = rng.choice(rows, 5, replace=False)
+        tries = rng.choice(rows, min(len(rows), 5), replace=False)
         some = self.points[rng.choice(rows, min(len(rows), 64), replace=False)]
         vantage = max(tries, key=lambda t: float(np.std(_lengths(some - self.points[t]))))
         rest = rows[rows != vantage]
@@ -115,17 +116,18 @@ def _in_order(query: np.ndarray, points: np.ndarray) -> np.ndarray:
 
 
 def nearest(df: DataFrame, is_query: Column, k: int = 10, factor: float = 1.0, id_col: str = "vec_id",
-            vec_col: str = "embedding", shard_rows: int = SHARD_ROWS, query_block: int = QUERY_BLOCK,
+            vec_col: str = "embedding", shard_rows: int | None = None, query_block: int = QUERY_BLOCK,
             leaf: int = LEAF) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest (Euclidean) rows found for every row
     for which ``is_query`` (an expression over ``vec_id``) holds, out of all rows but itself."""
     if factor < 1:
         raise ValueError("factor: 1 (exact) or more")
-    base = vectors(df, id_col, vec_col, keep_zero=False)
+    base, n, shard_rows = one_row_per_id(vectors(df, id_col, vec_col, keep_zero=False), shard_rows)
+    dealt, shards = hashed_shards(base, n, shard_rows)
 
     def make(ids: np.ndarray, points: np.ndarray):
         tree = VPTree(ids, points, leaf)
-        return lambda query_ids, queries: tree.search(query_ids, queries, k, factor)
+        return lambda query_ids, queries, bounds: tree.search(query_ids, queries, k, factor)
 
-    answers = by_shard(base, base.where(is_query), make, "double", shard_rows, query_block)
+    answers = by_shard(dealt, to_all(base.where(is_query), 0, shards), shards, make, "double", query_block)
     return ranked(answers, k, nearest=True).withColumn("rank", F.col("rank").cast("int"))

@@ -97,6 +97,44 @@ def test_products_beyond_double_precision(spark):
     assert [(r["vec_id"], r["score"]) for r in sorted(got, key=lambda r: r["rank"])] == [(i, -s) for s, i in want]
 
 
+def test_close_scores_beyond_double_precision(spark):
+    """Scores of 2^56 + i, less than 64 bits: told apart one by one, over tiers and shards too."""
+    table = [(i, [2.0 ** 20, i / 256], "s", 1) for i in range(120)]
+    for shard_rows in (None, 7):
+        got = topk.top_products(frame(spark, table), F.col("vec_id") == 0, k=5, shard_rows=shard_rows).collect()
+        # The query's second component is 0: all equal but for ids; so ask one that tells them apart.
+        assert [r["vec_id"] for r in sorted(got, key=lambda r: r["rank"])] == [1, 2, 3, 4, 5]
+        got = topk.top_products(frame(spark, table), F.col("vec_id") == 1, k=5, shard_rows=shard_rows).collect()
+        want = [(i, (2 ** 28) ** 2 + i) for i in (119, 118, 117, 116, 115)]
+        assert [(r["vec_id"], r["score"]) for r in sorted(got, key=lambda r: r["rank"])] == want
+
+
+def test_tiers_of_length_prune_and_stay_exact(spark):
+    """Lengths that differ much: later tiers are asked by few. Equal lengths: one tier in several shards."""
+    rng = np.random.default_rng(4)
+    x = (rng.normal(size=(600, 8)) * (10 ** rng.uniform(-2, 2, 600))[:, None]).astype(np.float32)
+    table = [(i, v.tolist(), "s", 1) for i, v in enumerate(x)] + [(1000 + i, [0.0] * 8, "s", 1) for i in range(90)]
+    got = topk.top_products(frame(spark, table), F.col("vec_id") % 10 == 0, k=5, shard_rows=40).collect()
+    assert sorted(tuple(r) for r in got) == sorted(brute(table, 10, 5, True))
+    shard = topk.NormSorted(np.arange(600), np.floor(256 * x.astype(np.float64)), None, 3, 16)
+    shard.search(np.arange(600), shard.points[:1].repeat(600, 0), 5)
+    assert 0 < shard.scored < 0.5 * 600 * 600
+
+
+def test_small_leaves(spark):
+    table = rows(120, 3, 8)
+    for leaf in (1, 2, 4):
+        got = vptree.nearest(frame(spark, table), F.col("vec_id") % 10 == 0, k=3, leaf=leaf).collect()
+        assert sorted((r[0], r[1], r[2]) for r in got) == sorted(w[:3] for w in brute(table, 10, 3, False))
+
+
+def test_an_id_with_very_many_rows(spark):
+    table = rows(110, 4, 9) + [(7, [float(i), 0.0, 0.0, 0.0], "s", 1) for i in range(3, 400)]
+    want = [r for r in table if r[0] != 7] + [(7, min(r[1] for r in table if r[0] == 7), "s", 1)]
+    got = vptree.nearest(frame(spark, table), F.col("vec_id") % 10 == 0, k=5, shard_rows=20).collect()
+    assert sorted((r[0], r[1], r[2]) for r in got) == sorted(w[:3] for w in brute(want, 10, 5, False))
+
+
 def test_few_rows_and_none(spark):
     few = frame(spark, rows()[:3])
     assert vptree.nearest(few, F.col("vec_id") == 0, k=10).count() == 2

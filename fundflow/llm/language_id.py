@@ -198,9 +198,12 @@ def train(learn: DataFrame, centroids: int = CENTROIDS, sample: int = SAMPLE) ->
     n, df = document_frequencies(learn)
     idf = (np.log((1 + n) / (1 + df)) + 1).astype(np.float32)
     # Ids of the sample: distinct texts, by hash. Cut to the sample in each task before they are shuffled.
-    keys = staged(learn.select("lang", F.xxhash64("text").alias("h")).distinct(), "languages")
+    keys = staged_keys = staged(learn.select("lang", F.xxhash64("text").alias("h")).distinct(), "languages")
     if keys.select("lang").distinct().count() > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    # Twice as many as wanted pass by their hash alone, so however many tasks there are, a language's window is small.
+    many = keys.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    keys = keys.join(many, "lang").where(f"(h / 9.223372036854775807e18D + 1) / 2 <= 2D * {sample} / n").select("lang", "h")
     w = Window.partitionBy("lang").orderBy("h")
     # At most ``sample`` rows of a language: the bound holds for the broadcast.
     some = F.broadcast(keys.withColumn("i", F.row_number().over(w)).where(F.col("i") <= sample).drop("i"))
@@ -218,7 +221,7 @@ def train(learn: DataFrame, centroids: int = CENTROIDS, sample: int = SAMPLE) ->
 
     rows = drawn.select("lang", "h", "text").groupBy("lang").applyInPandas(
         cluster, "lang string, centre binary, distance double, size long").collect()
-    unstage(keys)
+    unstage(staged_keys)
     found = sorted((r.lang, bytes(r.centre)) for r in rows if r.centre is not None)
     languages = sorted({lang for lang, _ in found})
     place = {lang: i for i, lang in enumerate(languages)}

@@ -1,8 +1,10 @@
 """Personal data: each entity found is replaced by a keyed surrogate of its kind.
 
 * *Detection*: one pattern with an alternative for each kind (e-mail address,
-  IP address, bank account, card, social security and phone numbers, names
-  behind a title), leftmost matches, no overlaps.
+  IP addresses of both versions, bank account, card, social security and phone numbers, names
+  behind a title), leftmost matches, no overlaps. Between them, words that are a name found
+  in the same text (given name or surname, capitalised or in capitals) are mentions of it too.
+  Names that never stand behind a title, and numbers written in other ways (``00 49 30 901820``), aren't found.
 * *Canonical form*: what mentions of one entity have in common (digits without
   separators and country prefix; lower case; a name without its title). All
   mentions of an entity get the same surrogate, each in its own format.
@@ -10,7 +12,7 @@
   Digits stand for digits and letters for letters; a card that passes the Luhn
   check does so again, parts of an IP address stay below 256 and as long as they were,
   e-mail addresses go to the reserved ``example`` domain; names keep gender (by
-  their title), script (Latin or Cyrillic) and case.
+  their title, or behind a title that has none by an ending in a), script (Latin or Cyrillic) and case.
 * *Collision checks*: over the table of all distinct entities of the corpus, no two
   entities of a kind may have one surrogate, and no surrogate may be an entity
   of the corpus. Entities that collide (all but the first) are drawn anew, in
@@ -38,12 +40,19 @@ from fundflow.llm.spans import quoted
 # Fixed patterns, in order of precedence.
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 TITLES = {"m": ("Mr", "Herr", "Monsieur", "Señor", "Sr", "Г-н", "господин"),
-          "f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Г-жа", "госпожа")}
+          "f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Г-жа", "госпожа"),
+          "": ("Dr", "Prof", "Professor", "Doktor", "Docteur", "Доктор")}
 TITLE = "|".join(sorted((t for ts in TITLES.values() for t in ts), key=lambda t: (-len(t), t)))
 WORD = r"\p{Lu}\p{L}+(?:-\p{Lu}\p{L}+)?"
+HEX = "[0-9A-Fa-f]{1,4}"
+#: A word, as bare mentions of names are looked for.
+TOKEN = r"\p{L}[\p{L}0-9]*(?:-\p{L}[\p{L}0-9]*)*"
 KINDS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "ip": rf"(?<![0-9A-Za-z.]){OCTET}(?:\.{OCTET}){{3}}(?![0-9A-Za-z]|\.[0-9])",
+    # Eight groups, or two colons for some of them; with a digit, so that no other pair of colons is one.
+    "ipv6": rf"(?<![0-9A-Za-z:.])(?=[A-Fa-f:]*[0-9])(?:{HEX}(?::{HEX}){{7}}|{HEX}(?::{HEX}){{0,6}}::(?:{HEX}(?::{HEX}){{0,6}})?"
+            rf"|::{HEX}(?::{HEX}){{0,6}})(?![0-9A-Za-z:]|\.[0-9])",
     "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){3,7}(?:[ ]?[A-Z0-9]{1,3})?(?![0-9A-Za-z])",
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z]|-[0-9])",
     "phone": r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z]|-[0-9])"
@@ -74,10 +83,11 @@ def _parts(mention: str) -> str:
     given name (of two words, the first) and a surname, which are entities each."""
     digits = f"regexp_replace({mention}, '[^0-9]', '')"
     national = f"case when length({digits}) > 10 then right({digits}, 10) else {digits} end"
-    one = (f"case kind when 'email' then lower({mention}) when 'ip' then {mention} "
+    one = (f"case kind when 'email' then lower({mention}) when 'ip' then {mention} when 'ipv6' then lower({mention}) "
            f"when 'iban' then replace({mention}, ' ', '') when 'phone' then {national} else {digits} end")
-    female = "|".join(TITLES["f"])
-    gender = f"case when {mention} rlike {quoted(f'^(?:{female})' + '[. ]')} then 'f' else 'm' end"
+    female, neutral = "|".join(TITLES["f"]), "|".join(TITLES[""])
+    gender = (f"case when {mention} rlike {quoted(f'^(?:{female})' + '[. ]')} then 'f' "
+              f"when {mention} rlike {quoted(f'^(?:{neutral})' + '[. ]')} and lower(w) rlike '[aа]$' then 'f' else 'm' end")
     words = f"slice(split({mention}, ' '), 2, 2)"
     script = "case when w rlike '\\\\p{IsCyrillic}' then 'cyrillic' else 'latin' end"
     # Latin surnames are the same for all genders.
@@ -124,6 +134,8 @@ def _surrogate() -> str:
     octet = (f"case when {wide} then {_number('j + 40')} % 256 when length(o) = 1 then {_number('j + 40')} % 10 "
              f"when length(o) = 2 then 10 + {_number('j + 40')} % 90 else 100 + {_number('j + 40')} % 156 end")
     ip = f"array_join(transform(split(canonical, '[.]'), (o, j) -> cast({octet} as string)), '.')"
+    ipv6 = (f"array_join(transform(sequence(1, length(canonical)), i -> if(substring(canonical, i, 1) = ':', ':', "
+            f"lower(hex({_number('i')} % 16)))), '')")
     iban = f"concat(left(canonical, 2), substring({_alike('canonical')}, 3))"
     body = f"concat(left(canonical, 1), substring({_alike('left(canonical, length(canonical) - 1)')}, 2))"
     card = (f"case when {_luhn('canonical')} = 0 then element_at(transform(array({body}), b -> concat(b, cast(pmod(10 - "
@@ -135,7 +147,7 @@ def _surrogate() -> str:
         syllables = "array({})".format(", ".join(f"'{s}'" for s in SYLLABLES[script].split()))
         names.append(f"when kind = '{part} {script} {gender}' then concat(initcap(array_join(transform(sequence(1, {many}), "
                      f"i -> {syllables}[{_number('i')} % 16]), '')), '{ending}')")
-    return (f"case when kind = 'email' then {email} when kind = 'ip' then {ip} when kind = 'iban' then {iban} "
+    return (f"case when kind = 'email' then {email} when kind = 'ip' then {ip} when kind = 'ipv6' then {ipv6} when kind = 'iban' then {iban} "
             f"when kind = 'card' then {card} {' '.join(names)} else {_alike('canonical')} end")
 
 
@@ -173,7 +185,8 @@ def _written() -> str:
 
 
 def replacements(mentions: DataFrame, key: str) -> DataFrame:
-    """``mention, replacement`` for distinct mentions ``mention``."""
+    """``mention, replacement, names`` for distinct mentions ``mention``; ``names``: of the names in it, the
+    canonical form, the surrogate, and whether it is a surname (first) or a given name."""
     parts = staged(mentions.withColumn("kind", F.expr(_kind("mention"))).withColumn("parts", F.expr(_parts("mention")))
                    .select("mention", F.posexplode("parts").alias("place", "p"))
                    .selectExpr("mention", "place", "p.kind as part", "p.canonical as canonical", "p.word as word"), "mentions")
@@ -181,8 +194,10 @@ def replacements(mentions: DataFrame, key: str) -> DataFrame:
     named = parts.join(table.withColumnRenamed("kind", "part"), ["part", "canonical"]).withColumn("written", F.expr(_written()))
     title = "if(element_at(words, 1).part rlike ' ', concat(substring_index(mention, ' ', 1), ' '), '')"
     # At most two parts a mention.
-    return (named.groupBy("mention").agg(F.array_sort(F.collect_list(F.struct("place", "written", "part"))).alias("words"))
-            .selectExpr("mention", f"concat({title}, array_join(transform(words, w -> w.written), ' ')) as replacement"))
+    return (named.groupBy("mention").agg(F.array_sort(F.collect_list(F.struct("place", "written", "part", "canonical", "surrogate"))).alias("words"))
+            .selectExpr("mention", f"concat({title}, array_join(transform(words, w -> w.written), ' ')) as replacement",
+                        "transform(filter(words, w -> w.part rlike ' '), w -> struct(w.canonical as canonical, "
+                        "w.part like 'given%' as given, w.surrogate as surrogate)) as names"))
 
 
 def pseudonymise(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
@@ -196,11 +211,26 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame
                    .withColumn("id", F.monotonically_increasing_id()).drop("t"), "found")
     each = found.select("id", F.explode(F.array_distinct("mentions")).alias("mention"))
     table = replacements(each.select("mention").distinct(), key)
-    maps = (each.join(table, "mention").groupBy("id")
-            .agg(F.map_from_entries(F.collect_list(F.struct("mention", "replacement"))).alias("by")))
-    gaps = f"split(row.`{text_col}`, {quoted(ANY)}, -1)"
-    new = F.expr(f"array_join(zip_with({gaps}, transform(mentions, m -> by[m]), (g, m) -> concat(g, coalesce(m, ''))), '')")
-    done = found.join(maps, "id").withColumn("new", new)
+    joined = staged(each.join(table, "mention"), "mentions")
+    maps = joined.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("mention", "replacement"))).alias("by"))
+    # A word that is a surname and a given name in one text stands for the surname.
+    names = (joined.select("id", F.explode("names").alias("n")).groupBy("id", "n.canonical")
+             .agg(F.expr("min(struct(n.given, n.surrogate))").alias("m")).groupBy("id")
+             .agg(F.map_from_entries(F.collect_list(F.struct("canonical", "m.surrogate"))).alias("names")))
+    # What stands between the mentions, as words and what is between those; and the words that are names.
+    token = quoted(TOKEN)
+    gaps = (f"transform(split(row.`{text_col}`, {quoted(ANY)}, -1), g -> struct(split(g, {token}, -1) as between, "
+            f"transform(regexp_extract_all(g, {token}, 0), w -> struct(w as word, if(w rlike '^\\\\p{{Lu}}' and "
+            "(w = initcap(lower(w)) or w = upper(w) or w rlike '-'), names[initcap(lower(w))], null) as name)) as words))")
+    word = "coalesce(if(w.word = upper(w.word) and length(w.word) > 1, upper(w.name), w.name), w.word)"
+    gap = f"array_join(zip_with(g.between, transform(g.words, w -> {word}), (b, w) -> concat(b, coalesce(w, ''))), '')"
+    plain = f"split(row.`{text_col}`, {quoted(ANY)}, -1)"
+    new = F.expr(f"array_join(zip_with(coalesce(transform(gaps, g -> {gap}), {plain}), transform(mentions, m -> by[m]), "
+                 "(g, m) -> concat(g, coalesce(m, ''))), '')")
+    bare = "aggregate(gaps, 0, (n, g) -> n + size(filter(g.words, w -> w.name is not null)))"
+    done = (found.join(maps, "id").join(names, "id", "left")
+            .withColumn("gaps", F.expr(f"case when names is not null then {gaps} end"))
+            .withColumn("new", new).withColumn("n", F.expr(f"size(mentions) + coalesce({bare}, 0)")))
     columns = []
     for c in own:
         value = F.col(f"row.`{c}`")
@@ -209,5 +239,5 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame
         elif c == "n_chars":
             value = F.length("new").cast(docs.schema[c].dataType)
         columns.append(value.alias(c))
-    return (done.select(*columns, F.size("mentions").alias("n_replaced"))
+    return (done.select(*columns, F.col("n").alias("n_replaced"))
             .union(docs.where(~hit).withColumn("n_replaced", F.lit(0))))

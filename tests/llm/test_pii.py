@@ -89,3 +89,56 @@ def test_repeated_rows_and_long_text(spark):
     assert len(got) == 3 and sorted(r.n_replaced for r in got) == [1, 2, 2]
     short = next(r.text for r in got if r.doc_id is None)
     assert all(short in r.text and len(r.text) >= len(long) for r in got if r.doc_id)
+
+
+def test_bare_mentions_of_names_in_the_same_text(spark):
+    texts = ["Mr. John Smith called. Later John Smith left; Smith agreed, SMITH's car. johnsmith Smithy Johnson smith. Dr. Anna Weber came, Anna too.",
+             "Smith alone, John too.", "Mrs Ann-Marie Lee-Roy and Ann-Marie, then Lee-Roy. Prof. Lee."]
+    out = replaced(spark, texts)
+    m = re.fullmatch(r"Mr\. (\w+n) (\w+r) called\. Later (\w+) (\w+) left; (\w+) agreed, ([A-Z]+)'s car\. johnsmith Smithy Johnson smith\. "
+                     r"Dr\. (\w+na) (\w+r) came, (\w+) too\.", out[0].text)
+    assert m and m[1] == m[3] != "John" and m[2] == m[4] == m[5] == m[6].capitalize() != "Smith"
+    assert m[7] == m[9] != "Anna" and m[8] != "Weber" and out[0].n_replaced == 2 + 4 + 1
+    assert out[1].text == texts[1] and out[1].n_replaced == 0  # no title in this text
+    m = re.fullmatch(r"Mrs (\S+) (\S+) and (\S+), then (\S+)\. Prof\. (\w+)\.", out[2].text)
+    assert m and m[1] == m[3] and m[2] == m[4] and m[5] not in ("Lee", m[2])
+
+
+def test_ipv6(spark):
+    texts = ["IP 2001:db8::8a2e:370:7334, and FE80::1.", "2001:0DB8:0000:0000:0000:ff00:0042:8329 ok", "std::vector 12:30:45 a::b :: x 1:2",
+             "again 2001:DB8::8A2E:370:7334"]
+    out = [r.text for r in replaced(spark, texts)]
+    assert re.fullmatch(r"IP [0-9a-f]{4}:[0-9a-f]{3}::[0-9a-f]{4}:[0-9a-f]{3}:[0-9a-f]{4}, and [0-9A-F]{4}::[0-9A-F]\.", out[0]) and out[0] != texts[0]
+    assert re.fullmatch(r"[0-9a-f]{4}(:[0-9a-f]{4}){7} ok", out[1]) and out[1] != texts[1]
+    assert out[2] == texts[2] and out[3] == "again " + out[0].split()[1].rstrip(",").upper()
+
+
+def test_as_brute_force(spark):
+    """Detection and replacement by a plain reading of the patterns: same spans, one surrogate an entity, none shared."""
+    import random
+    rng = random.Random(6)
+    names = ["Mr. Ian Stone", "Mrs Eva Stone", "Herr Braun", "Dr. Lena Fox"]
+    pool = ["a.b@mail.example.org", "c-d@x.example.com", "10.20.30.40", "9.8.7.6", "743-555-3824", "+1 743 555 3824", "4111 1111 1111 1111",
+            "123-45-6789", "DE89 3704 0044 0532 0130 00", "fe80::12:9", *names, "Stone", "Eva", "plain words", "x 12", "Braun,"]
+    texts = [" ; ".join(rng.choices(pool, k=rng.randrange(1, 9))) for _ in range(120)]
+    any_, token = re.compile(pii.ANY.replace("\\p{Lu}", "[A-ZÄÖÜ]").replace("\\p{L}", "[A-Za-zÄÖÜäöüß]")), re.compile("[A-Za-z]+")
+    want, seen = [], {}
+    for t in texts:
+        spans = [m.span() for m in any_.finditer(t)]
+        known = {w for a, b in spans for w in t[a:b].split()[1:] if re.match("(?:Mr|Mrs|Herr|Dr)", t[a:b])}
+        gaps = list(zip([0] + [b for _, b in spans], [a for a, _ in spans] + [len(t)]))
+        spans += [(a + m.start(), a + m.end()) for a, b in gaps for m in token.finditer(t[a:b]) if m[0] in known]
+        want.append(sorted(spans))
+    out = replaced(spark, texts)
+    for t, spans, r in zip(texts, want, out):
+        assert r.n_replaced == len(spans), t
+        # What stands between the spans is unchanged, in order; what stands in them isn't.
+        pattern = re.escape(t[:spans[0][0]]) + "".join(
+            "(.+?)" + re.escape(t[b:c]) for (_, b), c in zip(spans, [a for a, _ in spans[1:]] + [len(t)])) if spans else re.escape(t)
+        m = re.fullmatch(pattern, r.text, re.S)
+        assert m, (t, r.text)
+        for (a, b), new in zip(spans, m.groups()):
+            assert new != t[a:b]
+            if " " not in new or not re.match("(?:Mr|Mrs|Herr|Dr)", t[a:b]):
+                assert seen.setdefault(t[a:b], new) == new
+    assert len(set(seen.values())) == len(seen)

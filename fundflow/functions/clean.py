@@ -8,6 +8,8 @@ end, white space including tabs and newlines).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -54,6 +56,10 @@ def prefix_sql(x: str, n: int = 3) -> str:
 
 
 def strip_literal_suffix_sql(x: str, suffix: str) -> str:
+    """A literal suffix off the end, once. Of a plain column without a regular expression; an expression is
+    written down once only, as every mention of it is evaluated (and again in filters inferred from join keys)."""
+    if "(" in x:
+        return f"regexp_replace({x}, {lit(re.escape(suffix) + chr(92) + 'z')}, '')"
     return (f"CASE WHEN endswith({x}, {lit(suffix)}) "
             f"THEN substring({x}, 1, length({x}) - {len(suffix)}) ELSE {x} END")
 

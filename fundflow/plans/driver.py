@@ -59,7 +59,7 @@ def parcel_id(district: str, key: str, suffix: str | None = "00", width: int = 6
 
 def split_id_sql(key: str, width: int = 9) -> str:
     s = clean.zero_pad_sql(ident(key), width)
-    return f"concat(substring({s}, 1, length({s}) - 6), '-', substring({s}, length({s}) - 5, 6))"
+    return f"overlay({s} PLACING '-' FROM length({s}) - 5 FOR 0)"
 
 
 def split_id(key: str, width: int = 9):

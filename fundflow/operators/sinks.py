@@ -102,25 +102,29 @@ def _files(spark: SparkSession, path: str):
     return p, p(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def _markers(spark: SparkSession, out: str) -> list[str]:
+    """Names of the markers of a report, oldest first: a number and the version that it shows."""
+    p, fs = _files(spark, out)
+    return sorted(s.getPath().getName() for s in fs.globStatus(p(f"{out}/{MARKER}/*-version-*")) or [])
+
+
 def published(spark: SparkSession, out: str) -> str | None:
     """Folder of the published version of a report (None: none yet)."""
-    p, fs = _files(spark, out)
-    if not fs.exists(p(f"{out}/{MARKER}")):
-        return None
-    return f"{out}/{spark.read.text(f'{out}/{MARKER}').first()[0]}"
+    markers = _markers(spark, out)
+    return f"{out}/{markers[-1].split('-', 1)[1]}" if markers else None
 
 
 def publish(df: DataFrame, out: str, label_col: str, key_col: str | None = None, fmt: str = "parquet") -> str:
     """SNK-2 as a whole: ``df`` as a total table and one folder per label, made visible together.
 
-    ``df`` runs once, into ``<version>/Total``; the folders of ``<version>/by_label`` are written from that. The marker
-    that names the version is put in place last, by a rename: readers (:func:`published`) see the old report or
-    the new one, and a run that fails leaves the old. The version before the old one is then deleted; the old one
-    stays for readers that are at it. One run publishes at a time.
+    ``df`` runs once, into ``<version>/Total``; the folders of ``<version>/by_label`` are written from that. An empty
+    file, the marker that names the version, is created last: readers (:func:`published`, the newest marker) see the
+    old report or the new one, never a part, and a run that fails leaves the old. What is older than the old
+    version is then deleted; the old one stays for readers that are at it. One run publishes at a time.
     """
     spark = df.sparkSession
     p, fs = _files(spark, out)
-    last = published(spark, out)
+    before = _markers(spark, out)
     version = f"version-{uuid.uuid4().hex[:16]}"
     total = f"{out}/{version}/Total"
     df.write.option("header", True).format(fmt).save(total)
@@ -129,16 +133,12 @@ def publish(df: DataFrame, out: str, label_col: str, key_col: str | None = None,
     if key_col is not None:
         by, split = FOLDER, unique_folders(back, label_col, key_col)
     split.hint("rebalance", by).write.partitionBy(by).option("header", True).format(fmt).save(f"{out}/{version}/by_label")
-    # The marker is a folder with one text file; the old one steps aside, and is put back if the new one can't be placed.
-    new, marker, aside = p(f"{out}/{version}/marker"), p(f"{out}/{MARKER}"), p(f"{out}/{version}/previous")
-    spark.createDataFrame([(version,)], "value string").coalesce(1).write.text(str(new))
-    if fs.exists(marker):
-        fs.rename(marker, aside)
-    if not fs.rename(new, marker):
-        if fs.exists(aside):
-            fs.rename(aside, marker)
+    number = int(before[-1].split("-", 1)[0]) + 1 if before else 1
+    if not fs.createNewFile(p(f"{out}/{MARKER}/{number:012d}-{version}")):
         raise OSError(f"cannot publish {out}/{version}")
-    keep = {version, last.rsplit("/", 1)[-1] if last else version}
+    for old in before[:-1]:
+        fs.delete(p(f"{out}/{MARKER}/{old}"), False)
+    keep = {version, *(m.split("-", 1)[1] for m in before[-1:])}
     for s in fs.globStatus(p(f"{out}/version-*")):
         if s.getPath().getName() not in keep:
             fs.delete(s.getPath(), True)

@@ -101,6 +101,7 @@ def sketches(df: DataFrame, words: int, k: int, id_col: str = "doc_id", text_col
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "text_hash": pdf["text_hash"], "n_shingles": [len(s) for s in sets],
                                 "set_id": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets],
                                 "sketch": [s[:k] for s in sets]})
+        _HASHES.clear()  # workers outlive tasks, and serve other stages too
 
     return _texts(df, id_col, text_col).mapInPandas(
         run, "doc_id long, text_hash long, n_shingles long, set_id binary, sketch array<long>")
@@ -148,6 +149,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
                 inter = len(np.intersect1d(a, b, assume_unique=True))
                 hit.append(100 * inter >= percent * (len(a) + len(b) - inter))
             yield pdf.loc[hit, ["a", "b"]]
+        _HASHES.clear()
 
     a, b = texts.toDF("a", "ta"), texts.toDF("b", "tb")
     return pairs.join(b, "b").join(a, "a").select("a", "b", "ta", "tb").mapInPandas(run, "a long, b long")
@@ -187,6 +189,8 @@ def _compared(groups: DataFrame, texts: DataFrame, words: int, percent: int, blo
                 hit = (100 * inter >= percent * (sizes + len(x) - inter)) & (components != component)
                 for y in np.flatnonzero(hit):
                     found.setdefault((component, components[y]), (rep, reps[y]))  # one link joins two components
+        if len(_HASHES) > WORDS // 4:
+            _HASHES.clear()
         return pd.DataFrame(list(found.values()), columns=["a", "b"], dtype="int64")
 
     return dealt.groupBy("hub", "i", "j").applyInPandas(run, "a long, b long").distinct()

@@ -75,12 +75,17 @@ class WordTokenizer:
             vocab = self.library.get_vocab(with_added_tokens=True)
             self.ends = np.zeros(max(vocab.values()) + 1, bool)
             self.ends[[i for w, i in vocab.items() if w.endswith(suffix)]] = True
-        self.words: dict[str, bytes] = {"": b""}
-        self.tokens: dict[str, bytes] = {"": b""}
+        self.words: dict[str, bytes]
+        self.tokens: dict[str, bytes]
+        self.forget()
         #: No added token could be found in letters and marks.
         self.marks_are_plain = not any(x.rstrip(self.MARKS).isalpha() for x in self.added)
         self.table_words = table_words
 
+    def forget(self) -> None:
+        """Empty the tables."""
+        self.words, self.tokens = {"": b""}, {"": b""}
+
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, "<u4").tobytes() for x in self.library.encode_batch(texts, add_special_tokens=False)]
 
@@ -155,7 +160,7 @@ _TOKENIZERS: dict[str, WordTokenizer] = {}
 
 
 def tokenizer(path: str) -> WordTokenizer:
-    """The worker's tokenizer of a file; it outlives a task where workers are reused."""
+    """The worker's tokenizer of a file; it outlives a task where workers are reused, its tables don't."""
     if path not in _TOKENIZERS:
         _TOKENIZERS[path] = WordTokenizer(local_tokenizer(path))
     return _TOKENIZERS[path]
@@ -292,5 +297,6 @@ def pack(df: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_col: s
         packer.finish()
         if packer.out:
             yield closed()
+        t.forget()  # workers outlive tasks, and serve other stages too
 
     return text_column(df, id_col, text_col).mapInPandas(run, kinds + ", ids array<int>" * with_ids)

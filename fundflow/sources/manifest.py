@@ -14,6 +14,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.accumulators import Accumulator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fundflow.functions import clean
 from fundflow.session import scratch_path
@@ -71,7 +72,7 @@ def list_files(spark: SparkSession, path: str, pattern: str | None = None,
 
 
 def file_heads(files: DataFrame, whole: bool = False, opens: Accumulator | None = None) -> DataFrame:
-    """``path, header, digest, error`` of each file of ``files`` (``path``), read on the executors.
+    """``files`` (``path`` and other columns) with ``header, digest, error`` of each file, read on the executors.
 
     ``header`` is the whole first line, however long. ``error`` says why a file
     can't be read or decoded (else NULL): of its first line, or with ``whole``
@@ -123,11 +124,12 @@ def file_heads(files: DataFrame, whole: bool = False, opens: Accumulator | None
 
         for b in batches:
             rows = [look(p) for p in b["path"]]
-            yield pd.DataFrame({"path": b["path"], **{c: pd.Series([r[i] for r in rows], dtype=object)
-                                                      for i, c in enumerate(("header", "digest", "error"))}})
+            yield b.assign(**{c: pd.Series([r[i] for r in rows], index=b.index, dtype=object)
+                              for i, c in enumerate(("header", "digest", "error"))})
 
     n = max(1, files.sparkSession.sparkContext.defaultParallelism)
-    return files.select("path").repartition(n).mapInPandas(heads, "path string, header string, digest string, error string")
+    found = T.StructType([T.StructField(c, T.StringType()) for c in ("header", "digest", "error")])
+    return files.repartition(n).mapInPandas(heads, T.StructType([*files.schema, *found]))
 
 
 def build(spark: SparkSession, path: str | None = None, pattern: str | None = None, paths: Sequence[str] | None = None,
@@ -142,14 +144,15 @@ def build(spark: SparkSession, path: str | None = None, pattern: str | None = No
         files = files.where(year_from_name(_name_in(F.col("path"), source)).isin([int(y) for y in years]))
     heads = file_heads(files, whole, opens)
     # A listing's path is as it is called; percent signs in it are the name's own.
-    table = files.join(heads, "path").select("path", _name_in(F.col("path"), source).alias("SourceFile"), "size", "modified",
+    table = heads.select("path", _name_in(F.col("path"), source).alias("SourceFile"), "size", "modified",
                                              "header", "digest", "error")
     return store(table, scratch_path(spark, "manifest"))
 
 
 def store(table: DataFrame, path: str) -> DataFrame:
     """Write a manifest and read it back."""
-    table.coalesce(1).write.mode("overwrite").parquet(path)
+    # Few rows to a file; the files' heads are read by as many tasks as before.
+    table.hint("rebalance").write.mode("overwrite").parquet(path)
     return load(table.sparkSession, path)
 
 

@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fundflow.llm.common import blocks, staged, text_column
+from fundflow.llm.common import blocks, give_back, staged, text_column
 from fundflow.llm.components import components
 
 SKETCH = 64
@@ -102,6 +102,7 @@ def sketches(df: DataFrame, words: int, k: int, id_col: str = "doc_id", text_col
                                 "set_id": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets],
                                 "sketch": [s[:k] for s in sets]})
         _HASHES.clear()  # workers outlive tasks, and serve other stages too
+        give_back()
 
     return _texts(df, id_col, text_col).mapInPandas(
         run, "doc_id long, text_hash long, n_shingles long, set_id binary, sketch array<long>")
@@ -150,6 +151,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
                 hit.append(100 * inter >= percent * (len(a) + len(b) - inter))
             yield pdf.loc[hit, ["a", "b"]]
         _HASHES.clear()
+        give_back()
 
     a, b = texts.toDF("a", "ta"), texts.toDF("b", "tb")
     return pairs.join(b, "b").join(a, "a").select("a", "b", "ta", "tb").mapInPandas(run, "a long, b long")

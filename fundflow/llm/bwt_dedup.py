@@ -48,7 +48,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fundflow.llm.common import staged
+from fundflow.llm.common import give_back, staged
 
 LENGTH = 100
 GRAM = 24
@@ -159,6 +159,7 @@ def _anchor_counts(docs: DataFrame, length: int) -> DataFrame:
         for _, _, _, texts in _blocks(batches, length):
             anchors, n = np.unique(_hashes(runs(texts, length)[3]), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(anchors), pa.array(n)], names=["anchor", "n"])
+        give_back()
 
     return docs.select("text").mapInArrow(run, "anchor long, n long")
 
@@ -173,6 +174,7 @@ def _all_runs(docs: DataFrame, length: int) -> DataFrame:
                 [batch.column("d").take(row), batch.column("t").take(row), pa.array(start + places[text]),
                  pa.array(windows.astype(np.int32)), pa.array(_hashes(anchors)), pa.array(_hashes(regions))],
                 names=["d", "t", "start", "windows", "anchor", "region"])
+        give_back()
 
     return docs.mapInArrow(run, "d long, t long, start long, windows int, anchor long, region long")
 
@@ -388,6 +390,7 @@ def remove_repeats(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_row")] + texts * (text_col in own)
                 + [pa.array(out[c], k) for c, k in zip(result, types, strict=False)], names=schema.names)
+        give_back()
 
     return joined.mapInArrow(run, schema).select(
         *[F.col("_text" if c == text_col else f"_row.`{c}`").alias(c) for c in own], *result)

@@ -82,6 +82,20 @@ def local_tokenizer(path: str) -> str:
     return path if os.path.exists(path) else tokenizer_path(os.path.basename(path))
 
 
+def give_back() -> None:
+    """Return to the system what this worker's allocators keep for later: workers outlive tasks, and the next
+    stage's memory is counted with it. For the end of a task, or of a batch of texts."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library: it has its own ways
+        pass
+
+
 def text_column(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``doc_id, text`` with a null text read as empty; other columns go."""
     return df.select(F.col(id_col).cast("long").alias("doc_id"),

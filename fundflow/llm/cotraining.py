@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fundflow.llm.common import staged, unstage
+from fundflow.llm.common import give_back, staged, unstage
 
 #: Labelled documents fitted on, at most.
 LABELLED = 6000
@@ -210,6 +210,7 @@ def _with_features(df: DataFrame, columns: list[str]) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [part[c] for c in columns] + [pa.array([r.tobytes() for r in x], pa.binary()) for x in views],
                     names=[*columns, *VIEWS])
+        give_back()
 
     return df.mapInArrow(run, T.StructType([df.schema[c] for c in columns] + [T.StructField(c, T.BinaryType()) for c in VIEWS]))
 
@@ -221,6 +222,7 @@ def _logits(df: DataFrame, models: list[Logistic]) -> DataFrame:
             for part in _parts(batch):
                 logits = [pa.array(m.logit(x)) for m, x in zip(models, _features(part.to_pydict()), strict=True)]
                 yield pa.RecordBatch.from_arrays([part["doc_id"], part["key"], *logits], names=["doc_id", "key", "l0", "l1"])
+            give_back()
 
     return df.mapInArrow(run, "doc_id long, key long, l0 double, l1 double")
 
@@ -288,6 +290,7 @@ def score(docs: DataFrame, model: CoTrained, reject_below: float = REJECT_BELOW)
         batch = pa.RecordBatch.from_arrays([text, lang, source, n_chars], names=names)
         found = [model.score(_features(part.to_pydict())) for part in _parts(batch)]
         p = np.concatenate(found) if found else np.empty((0, 3))
+        give_back()
         return pa.StructArray.from_arrays([pa.array(p[:, i]) for i in range(3)], names=list(RESULT[:3]))
 
     return (docs.select(*[F.col(f"`{c}`") for c in own], predicted(*_inputs(docs)).alias("_p"))

@@ -33,14 +33,14 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from fundflow.llm.common import blocks, local_tokenizer, text_column
+from fundflow.llm.common import blocks, give_back, local_tokenizer, text_column
 
 WINDOW = 4096
 END_ID = 2
 #: Partly filled windows that a task keeps open at most.
 MAX_OPEN = 8192
 #: Entries of each of a worker's two tables.
-TABLE_WORDS = 600_000
+TABLE_WORDS = 300_000
 
 
 class WordTokenizer:
@@ -298,5 +298,6 @@ def pack(df: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_col: s
         if packer.out:
             yield closed()
         t.forget()  # workers outlive tasks, and serve other stages too
+        give_back()
 
     return text_column(df, id_col, text_col).mapInPandas(run, kinds + ", ids array<int>" * with_ids)

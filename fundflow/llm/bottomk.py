@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fundflow.llm.common import blocks, give_back, staged, text_column
+from fundflow.llm.common import blocks, give_back, staged, take_worker, text_column
 from fundflow.llm.components import components
 
 SKETCH = 64
@@ -96,6 +96,7 @@ def _texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def sketches(df: DataFrame, words: int, k: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, text_hash, n_shingles, set_id, sketch`` (the ``k`` smallest hashes) of every row."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        take_worker("near duplicates", _HASHES.clear)
         for pdf in blocks(batches, "text"):
             sets = [shingle_set(t, words) for t in pdf["text"]]
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "text_hash": pdf["text_hash"], "n_shingles": [len(s) for s in sets],

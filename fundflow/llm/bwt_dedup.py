@@ -48,7 +48,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fundflow.llm.common import give_back, staged
+from fundflow.llm.common import give_back, staged, take_worker
 
 LENGTH = 100
 GRAM = 24
@@ -156,6 +156,7 @@ def _documents(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def _anchor_counts(docs: DataFrame, length: int) -> DataFrame:
     def run(batches):
+        take_worker("repeats")
         for _, _, _, texts in _blocks(batches, length):
             anchors, n = np.unique(_hashes(runs(texts, length)[3]), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(anchors), pa.array(n)], names=["anchor", "n"])

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -96,6 +96,19 @@ def give_back() -> None:
         pass
 
 
+_KEPT: list = []
+
+
+def take_worker(name: str, forget: Callable[[], None] | None = None) -> None:
+    """Called by an operator as its task begins: what another operator keeps in this worker (tables that serve its
+    later tasks) is forgotten. ``forget`` empties what this one keeps."""
+    if _KEPT and _KEPT[0] != name:
+        if _KEPT[1] is not None:
+            _KEPT[1]()
+        give_back()
+    _KEPT[:] = [name, forget]
+
+
 def text_column(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``doc_id, text`` with a null text read as empty; other columns go."""
     return df.select(F.col(id_col).cast("long").alias("doc_id"),

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fundflow.llm.common import give_back, staged, unstage
+from fundflow.llm.common import give_back, staged, take_worker, unstage
 
 #: Labelled documents fitted on, at most.
 LABELLED = 6000
@@ -204,6 +204,7 @@ def _unpacked(rows: pd.DataFrame) -> list[np.ndarray]:
 def _with_features(df: DataFrame, columns: list[str]) -> DataFrame:
     """``columns`` of ``df`` (which has :func:`_inputs` too), and the features of both views as bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_worker("quality")
         for batch in batches:
             for part in _parts(batch):
                 views = _features(part.to_pydict())
@@ -218,6 +219,7 @@ def _with_features(df: DataFrame, columns: list[str]) -> DataFrame:
 def _logits(df: DataFrame, models: list[Logistic]) -> DataFrame:
     """``doc_id, key`` of the rows, and the logit of each of the ``models``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_worker("quality")
         for batch in batches:
             for part in _parts(batch):
                 logits = [pa.array(m.logit(x)) for m, x in zip(models, _features(part.to_pydict()), strict=True)]
@@ -287,6 +289,7 @@ def score(docs: DataFrame, model: CoTrained, reject_below: float = REJECT_BELOW)
     # Only what the features are made of goes to Python, once, and three numbers come back.
     @F.arrow_udf("struct<p_content:double,p_metadata:double,p_quality:double>")
     def predicted(text: pa.Array, lang: pa.Array, source: pa.Array, n_chars: pa.Array) -> pa.Array:
+        take_worker("quality")
         batch = pa.RecordBatch.from_arrays([text, lang, source, n_chars], names=names)
         found = [model.score(_features(part.to_pydict())) for part in _parts(batch)]
         p = np.concatenate(found) if found else np.empty((0, 3))

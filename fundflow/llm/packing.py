@@ -33,14 +33,14 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from fundflow.llm.common import blocks, give_back, local_tokenizer, text_column
+from fundflow.llm.common import blocks, local_tokenizer, take_worker, text_column
 
 WINDOW = 4096
 END_ID = 2
 #: Partly filled windows that a task keeps open at most.
 MAX_OPEN = 8192
 #: Entries of each of a worker's two tables.
-TABLE_WORDS = 300_000
+TABLE_WORDS = 600_000
 
 
 class WordTokenizer:
@@ -160,7 +160,8 @@ _TOKENIZERS: dict[str, WordTokenizer] = {}
 
 
 def tokenizer(path: str) -> WordTokenizer:
-    """The worker's tokenizer of a file; it outlives a task where workers are reused, its tables don't."""
+    """The worker's tokenizer of a file; it outlives a task where workers are reused, until another
+    operator takes the worker."""
     if path not in _TOKENIZERS:
         _TOKENIZERS[path] = WordTokenizer(local_tokenizer(path))
     return _TOKENIZERS[path]
@@ -277,6 +278,7 @@ def pack(df: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_col: s
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         t, packer = tokenizer(tokenizer_file), Packer(window, max_open)
+        take_worker("packing", t.forget)
         base = TaskContext.get().partitionId() << 32
         end = np.array([end_id], "<u4").tobytes()
 
@@ -297,7 +299,5 @@ def pack(df: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_col: s
         packer.finish()
         if packer.out:
             yield closed()
-        t.forget()  # workers outlive tasks, and serve other stages too
-        give_back()
 
     return text_column(df, id_col, text_col).mapInPandas(run, kinds + ", ids array<int>" * with_ids)

@@ -26,10 +26,12 @@ from __future__ import annotations
 import re
 import unicodedata
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
@@ -39,27 +41,29 @@ WINDOW = 4096
 END_ID = 2
 #: Partly filled windows that a task keeps open at most.
 MAX_OPEN = 8192
-#: Entries of each of a worker's two tables.
+#: Entries of each of a worker's two tables of ids, about.
 TABLE_WORDS = 600_000
 
 
 class WordTokenizer:
     """A ``tokenizers`` file whose pre-tokenizer never crosses white space,
-    used through tables of distinct words: first by the words between blanks,
-    then by the pre-tokens in them. Words outside plain Latin go to the
-    library as they are; a file of another kind is used whole."""
+    used through a table of distinct pre-tokens. A block of texts is split at
+    blanks into words and these are numbered; what follows is done once for
+    each distinct word, and the ids of a text are gathered by its words'
+    numbers. Words outside plain Latin go to the library as they are; a file
+    of another kind is used whole."""
 
     PLAIN = re.compile("[!-~¡-ɏ]+")
-    #: Those of them that lower-case one by one.
-    SAME_LENGTH = re.compile("[!-~¡-įı-ɏ]+")
     MARKS = ".,;:!?"
+    #: Letters among them that lower-case one by one, and marks behind: two pre-tokens.
+    SIMPLE = "^[" + "".join(c for c in map(chr, range(0x21, 0x250)) if c.isalpha() and c != "İ") + "]+[" + MARKS + "]*$"
     PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
     def __init__(self, path: str, table_words: int = TABLE_WORDS):
         import json
 
         import regex
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
@@ -75,8 +79,12 @@ class WordTokenizer:
             vocab = self.library.get_vocab(with_added_tokens=True)
             self.ends = np.zeros(max(vocab.values()) + 1, bool)
             self.ends[[i for w, i in vocab.items() if w.endswith(suffix)]] = True
-        self.words: dict[str, bytes]
-        self.tokens: dict[str, bytes]
+            #: The same model for pre-tokens: normalized and split already.
+            self.model = Tokenizer(self.library.model)
+            self.model.pre_tokenizer = pre_tokenizers.Sequence(
+                [pre_tokenizers.WhitespaceSplit()] + [self.library.pre_tokenizer[i] for i in range(1, len(steps))])
+        self.recent: dict[str, bytes]
+        self.older: dict[str, bytes]
         self.forget()
         #: No added token could be found in letters and marks.
         self.marks_are_plain = not any(x.rstrip(self.MARKS).isalpha() for x in self.added)
@@ -84,76 +92,97 @@ class WordTokenizer:
 
     def forget(self) -> None:
         """Empty the tables."""
-        self.words, self.tokens = {"": b""}, {"": b""}
+        self.recent, self.older = {}, {}
 
-    def _library(self, texts: list[str]) -> list[bytes]:
-        return [np.array(x.ids, "<u4").tobytes() for x in self.library.encode_batch(texts, add_special_tokens=False)]
+    @staticmethod
+    def _encoded(library, texts: list[str]) -> list[bytes]:
+        return [np.array(x.ids, "<u4").tobytes() for x in library.encode_batch(texts, add_special_tokens=False)]
 
-    def _pre_tokens(self, new: list[str]) -> None:
+    def _pre_tokens(self, new: list[str]) -> Iterator[bytes]:
         """Ids of pre-tokens, a line of them at a time: each ends with an end-of-word id."""
         for i in range(0, len(new), 200):
             part = new[i:i + 200]
-            ids = np.array(self.library.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            ids = np.array(self.model.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
             cuts = (np.flatnonzero(self.ends[ids]) + 1) * 4
-            if len(cuts) != len(part):  # a pre-token that the library splits
-                self.tokens.update(zip(part, self._library(part), strict=True))
+            if len(cuts) != len(part):  # a pre-token that the model splits
+                yield from self._encoded(self.model, part)
                 continue
             raw, a = ids.tobytes(), 0
-            for w, b in zip(part, cuts.tolist(), strict=True):
-                self.tokens[w] = raw[a:b]
+            for b in cuts.tolist():
+                yield raw[a:b]
                 a = b
 
-    def _segment(self, new: list[str]) -> dict[str, bytes]:
-        # Most words are Latin letters with marks behind: two pre-tokens, found without the pattern, all words in step.
-        plain = [w for w in new if w.isascii() or self.SAME_LENGTH.fullmatch(w)] if self.marks_are_plain else []
-        low = "\n".join(plain).lower().split("\n") if plain else []
-        heads = [w.rstrip(self.MARKS) for w in low]
-        simple = [w for w, h in zip(plain, heads, strict=True) if h.isalpha()]
-        marks = [w[len(h):] for w, h in zip(low, heads, strict=True) if h.isalpha()]
-        heads = [h for h in heads if h.isalpha()]
-        rest, other = {}, []
-        for w in set(new).difference(simple):
-            if self.PLAIN.fullmatch(w) and not any(x in w for x in self.added):
-                rest[w] = self.pre.findall(unicodedata.normalize("NFC", w).lower())
-            else:
-                other.append(w)
-        if len(self.tokens) > self.table_words:
-            self.tokens = {"": b""}
-        tokens = self.tokens
-        wanted = set(heads).union(marks, *rest.values())
-        self._pre_tokens(list(wanted - tokens.keys()))
-        get = tokens.__getitem__
-        found = dict(zip(simple, map(bytes.__add__, map(get, heads), map(get, marks)), strict=True))
-        found.update((w, b"".join(map(get, ts))) for w, ts in rest.items())
-        found.update(zip(other, self._library(other), strict=True))
-        return found
+    def _other_words(self, words: list[str]) -> Iterator[bytes]:
+        """Ids of words that aren't letters with marks behind."""
+        plain = [bool(self.PLAIN.fullmatch(w)) and not any(x in w for x in self.added) for w in words]
+        split = [self.pre.findall(unicodedata.normalize("NFC", w).lower()) if p else () for w, p in zip(words, plain, strict=True)]
+        wanted = list(set().union(*split))
+        tokens = dict(zip(wanted, self._known(wanted, self._pre_tokens), strict=True))
+        whole = iter(self._encoded(self.library, [w for w, p in zip(words, plain, strict=True) if not p]))
+        for p, ts in zip(plain, split, strict=True):
+            yield b"".join(map(tokens.__getitem__, ts)) if p else next(whole)
+
+    def _known(self, names: list[str], find: Callable[[list[str]], Iterable[bytes]], key: str = "") -> list[bytes]:
+        """Ids of distinct names by the tables; ``find`` gives those of new ones. What is used stays in the recent table,
+        which becomes the older one when it is full."""
+        keys = [key + x for x in names] if key else names
+        out = list(map(self.recent.get, keys))
+        at = [i for i, x in enumerate(out) if x is None]
+        for i in at:
+            out[i] = self.older.get(keys[i])
+        lost = [i for i in at if out[i] is None]
+        for i, x in zip(lost, find([names[i] for i in lost]), strict=True):
+            out[i] = x
+        self.recent.update((keys[i], out[i]) for i in at)
+        if len(self.recent) > self.table_words:
+            self.older, self.recent = self.recent, {}
+            if len(self.older) > 2 * self.table_words:  # a block with more words than that
+                self.older = {}
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids (little-endian unsigned 32-bit) of each text."""
         if not self.by_word:
-            return self._library(texts)
-        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        table = self.words
-        new = set().union(*split) - table.keys()
-        if new:
-            found = self._segment(list(new))
-            if len(table) + len(found) <= self.table_words:
-                table.update(found)
-            else:
-                table = _Both(table, found)
-        get = table.__getitem__
-        return [b"".join(map(get, ws)) for ws in split]
-
-
-class _Both(dict):
-    """The worker's table first, then the block's."""
-
-    def __init__(self, table: dict, found: dict):
-        super().__init__(found)
-        self.first = table
-
-    def __missing__(self, word: str) -> bytes:
-        return self.first[word]
+            return self._encoded(self.library, texts)
+        clean = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ") for t in texts]
+        split = pc.split_pattern(pa.array(clean, pa.large_string()), " ")
+        words = split.flatten().dictionary_encode()
+        first, second, ids = self._word_ids(words.dictionary)
+        # Ids of the distinct words, then of the texts' words.
+        refs = np.stack([first, second], axis=1).ravel()
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat = _gathered(np.frombuffer(b"".join(ids), "<u4"), sizes, refs)
+        sizes = sizes[first] + sizes[second]
+        at = words.indices.to_numpy()
+        flat = _gathered(flat, sizes, at)
+        ends = np.concatenate([[0], np.cumsum(sizes[at])])[split.offsets.to_numpy()].tolist()
+        return [flat[a:b].tobytes() for a, b in zip(ends, ends[1:], strict=False)]
+
+    def _word_ids(self, words: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """Two places for each of the distinct words, and what stands at the places: the ids of a word's two parts."""
+        simple = pc.match_substring_regex(words, self.SIMPLE).to_numpy(zero_copy_only=False) & self.marks_are_plain
+        other = ~simple & (pc.binary_length(words).to_numpy() > 0)
+        first, second = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        whole = words.filter(pa.array(simple))
+        heads = pc.utf8_rtrim(whole, self.MARKS)
+        marked = (pc.binary_length(whole).to_numpy() > pc.binary_length(heads).to_numpy())
+        heads = pc.utf8_lower(heads).dictionary_encode()
+        marks = pc.replace_substring_regex(whole.filter(pa.array(marked)), "^[^" + self.MARKS + "]+", "").dictionary_encode()
+        ids = [b""]
+        for places, names, numbers, find, key in (
+                (np.flatnonzero(simple), heads.dictionary, heads.indices, self._pre_tokens, ""),
+                (np.flatnonzero(simple)[marked], marks.dictionary, marks.indices, self._pre_tokens, ""),
+                (np.flatnonzero(other), words.filter(pa.array(other)), None, self._other_words, " ")):
+            at = np.arange(len(places)) if numbers is None else numbers.to_numpy()
+            (second if names is marks.dictionary else first)[places] = at + len(ids)
+            ids += self._known(names.to_numpy(zero_copy_only=False).tolist(), find, key)
+        return first, second, ids
+
+
+def _gathered(flat: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The runs (of these sizes, one behind the other in ``flat``) with the numbers ``at``, joined."""
+    starts, n = np.cumsum(sizes) - sizes, sizes[at]
+    return flat[np.repeat(starts[at] - np.cumsum(n) + n, n) + np.arange(n.sum())]
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}

@@ -115,3 +115,30 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert sentencepiece_codec.round_trip(none, PIECES).count() == 0
     assert packing.pack(none, WORDS).count() == 0
+
+
+def library_ids(texts):
+    return [np.array(x.ids, "<u4").tobytes() for x in Tokenizer.from_file(WORDS).encode_batch(texts, add_special_tokens=False)]
+
+
+def test_full_word_tables_change_no_ids():
+    texts = [t or "" for t in TEXTS] + ["Don't STOP... x-1 £5!? <|ENDOFTEXT|> ŉa ǅ ĳ ª º × ɏ ɐ́ é.é", "THE the. The, the"]
+    for table_words in (1, 5, 1000):
+        small = packing.WordTokenizer(WORDS, table_words=table_words)
+        assert small.by_word and small.encode([]) == []
+        for _ in range(2):
+            assert small.encode(texts) == library_ids(texts)
+
+
+def test_frequent_words_outlive_a_full_table(monkeypatch):
+    def name(i):
+        return "".join(chr(97 + int(c)) for c in f"{i:06d}")
+
+    t, asked = packing.WordTokenizer(WORDS, table_words=100), collections.Counter()
+    real = t._pre_tokens
+    monkeypatch.setattr(t, "_pre_tokens", lambda new: (asked.update(new), real(new))[1])
+    frequent = [name(i) for i in range(60)]
+    for block in range(8):  # each block: the frequent words, and as many of its own
+        texts = [" ".join(frequent), " ".join(name(1000 * (block + 1) + i) for i in range(60))]
+        assert t.encode(texts) == library_ids(texts)
+    assert {asked[w] for w in frequent} == {1} and len(asked) == 60 * 9

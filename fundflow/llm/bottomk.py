@@ -216,10 +216,10 @@ def _with_hubs(lists: DataFrame) -> DataFrame:
     return lists.join(hubs.selectExpr("value", "-h.rep hub", "h.n hub_n"), "value")
 
 
-def grouped(df: DataFrame, words: int = 5, percent: int = 80, k: int = SKETCH,
-            id_col: str = "doc_id", text_col: str = "text", small: int = SMALL, block: int = BLOCK) -> DataFrame:
-    """``doc_id, text_hash, n_shingles, component, component_id`` of every row: ``component`` is a number of the
-    component, which no other has (null without words or doc_id), ``component_id`` its smallest doc_id."""
+def _linked(df: DataFrame, words: int, percent: int, k: int, id_col: str, text_col: str,
+            small: int, block: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows' sketches, their classes, and ``node, component`` of the classes that are linked (as
+    :func:`components` has them: by ``rep``, without the smallest of each component)."""
     sets = staged(sketches(df, words, k, id_col, text_col), "sketches")
     some = sets.where("n_shingles > 0 and doc_id is not null")
     # Numbered by class: a doc_id can stand for several texts. Written, so the numbers stay.
@@ -255,8 +255,15 @@ def grouped(df: DataFrame, words: int = 5, percent: int = 80, k: int = SKETCH,
         texts = texts_of(groups.select("rep"))
         more = staged(_compared(groups, texts, words, percent, block), "found")
         if not more.isEmpty():
-            linked = components(links.union(more))
+            linked = components(linked.toDF("a", "b").union(more))
+    return sets, classes, linked
+
 
+def grouped(df: DataFrame, words: int = 5, percent: int = 80, k: int = SKETCH,
+            id_col: str = "doc_id", text_col: str = "text", small: int = SMALL, block: int = BLOCK) -> DataFrame:
+    """``doc_id, text_hash, n_shingles, component, component_id`` of every row: ``component`` is a number of the
+    component, which no other has (null without words or doc_id), ``component_id`` its smallest doc_id."""
+    sets, classes, linked = _linked(df, words, percent, k, id_col, text_col, small, block)
     # Components of several classes: each one's smallest doc_id.
     member = linked.toDF("rep", "component").union(linked.select("component", "component").distinct())
     first = (member.join(classes.select("rep", "doc_id"), "rep").groupBy("component")
@@ -280,9 +287,14 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, k: int = S
 def one_of_each(df: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df`` (its columns must have an order), one of each component: that of the smallest doc_id. Rows
     with a null doc_id stay; of rows without words, one of each doc_id and text stays."""
-    rows = grouped(df, words, percent, id_col=id_col, text_col=text_col).where("doc_id is not null")
-    chosen = (rows.where("component is not null").groupBy("component").agg(F.min(F.struct("doc_id", "text_hash")).alias("m"))
-              .select("m.*").union(rows.where("component is null").select("doc_id", "text_hash")).distinct())
+    sets, classes, linked = _linked(df, words, percent, SKETCH, id_col, text_col, SMALL, BLOCK)
+    of = (classes.select("set_id", "rep").join(linked.toDF("rep", "component"), "rep", "left")
+          .selectExpr("set_id", "coalesce(component, rep) component"))
+    rows = (sets.where("doc_id is not null").join(of, "set_id", "left")
+            .selectExpr("doc_id", "text_hash", "case when n_shingles > 0 then component end component"))
+    # Without a component, each doc_id and text is a group.
+    chosen = (rows.groupBy("component", F.expr("if(component is null, doc_id, null)"), F.expr("if(component is null, text_hash, null)"))
+              .agg(F.min(F.struct("doc_id", "text_hash")).alias("m")).select("m.*"))
     own = [F.col(f"`{c}`") for c in df.columns]
     keyed = df.select(F.struct(*own).alias("row"), F.col(id_col).cast("long").alias("doc_id"),
                       F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("text_hash"))

@@ -4,7 +4,9 @@ Each round ties every node to the smallest node of its neighbourhood, first for
 greater neighbours (large star), then for smaller ones (small star); rounds go
 on until the links are stars around the smallest node of each component. A
 node's neighbours are never gathered: their minimum is a partial aggregate, and
-it goes back to them by a join that can split a node with very many links.
+it goes back to them by a join that can split a node with very many links. A link
+is kept once, greater end first; a round is two such joins and no union of both
+directions: the driver keeps account of every stage and task of a round.
 """
 
 from __future__ import annotations
@@ -18,21 +20,22 @@ from fundflow.llm.common import staged
 def components(links: DataFrame) -> DataFrame:
     """``node, component`` (the smallest node reachable) of links ``a, b``. Nodes that are the
     smallest of their component, or have no links, have no row. Null ends and loops are no links."""
-    edges = staged(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-                   .where("a is not null and b is not null and u <> v").distinct(), "links")
-    last = None
-    while True:
-        both = edges.union(edges.selectExpr("v", "u"))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").selectExpr("v u", "m v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
-        new = small.selectExpr("v u", "m v").where("u <> v").union(least.selectExpr("u", "m v")).distinct()
+    def written(found: DataFrame) -> tuple[DataFrame, dict]:
         # Taken while the links are written: how many, and a sum that tells them from others.
         seen = Observation()
-        edges = staged(new.observe(seen, F.count(F.lit(1)).alias("n"),
+        out = staged(found.observe(seen, F.count(F.lit(1)).alias("n"),
                                    F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum")), "links")
-        now = seen.get
+        return out, seen.get
+
+    edges, last = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+                          .where("a is not null and b is not null and u <> v").distinct())
+    while True:
+        # Large star: the greater neighbours of v go to v's smallest neighbour, or v itself.
+        least = edges.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "v")
+        large = edges.join(least, "v", "left").selectExpr("u", "coalesce(m, v) v")
+        # Small star: u and its smaller neighbours go to the smallest of them, m; u's own link takes the place of m's.
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        edges, now = written(large.join(least, "u").selectExpr("if(v = m, u, v) u", "m v").distinct())
         if now == last:
             return edges.selectExpr("u node", "v component")
         last = now

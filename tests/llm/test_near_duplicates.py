@@ -139,3 +139,39 @@ def test_components(spark):
     got = components.components(spark.createDataFrame(links, "a long, b long")).collect()
     assert {tuple(r) for r in got} == {(i, root(i)) for i in list(parent) if root(i) != i}
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def _tasks(spark, run):
+    """Tasks that ``run`` starts, with as many partitions to every shuffle as are set (8)."""
+    sc, tracker = spark.sparkContext, spark.sparkContext.statusTracker()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    sc.setJobGroup("counted", "tasks of a test")
+    try:
+        run()
+        stages = {s for j in tracker.getJobIdsForGroup("counted") for s in tracker.getJobInfo(j).stageIds}
+        return sum(info.numCompletedTasks for info in map(tracker.getStageInfo, stages) if info)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_few_tasks_a_round(spark):
+    # The driver keeps account of every task: stars are known as such after one round of few shuffles.
+    stars = spark.createDataFrame([(i % 5, 100 + i) for i in range(200)], "a long, b long").repartition(2)
+    assert _tasks(spark, lambda: components.components(stars).collect()) <= 90
+
+
+def test_one_of_each_has_few_shuffles(spark):
+    df = spark.createDataFrame(repeated(), "doc_id long, text string")
+    plan = bottomk.one_of_each(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") <= 10, plan.count("Exchange")
+
+
+def test_one_of_each_without_words_or_id(spark):
+    rows = [(1, "a b c d e f"), (1, "a b c d e f"), (1, "x y z"), (2, "A b c d e f"), (3, ""), (3, ""), (3, None), (3, " "),
+            (4, ""), (None, "a b c d e f"), (None, "a b c d e f"), (5, "x y z")]
+    got = sorted(((r.doc_id, r.text) for r in bottomk.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()),
+                 key=str)
+    # The smallest of "" and null (one text, ""), 3's blank is another text.
+    assert got == sorted([(1, "a b c d e f"), (1, "x y z"), (3, None), (3, " "), (4, ""), (None, "a b c d e f"),
+                          (None, "a b c d e f")], key=str)

@@ -13,8 +13,8 @@ same word shows if two words share the first, and then all is counted under anot
    a word, as long as it does (up to one word short of the depth); only those few are listed (at most
    one in ``budget`` occurrences a depth), all other prefixes are final. Prefixes are dealt into groups by
    a hash, so many that a group holds about ``budget`` occurrences.
-4. *Subtrees.* Every group gets the suffixes with its prefixes, cut at the depth of ``longest`` words (equal
-   ones of a block of text as one with a count), and builds its subtree by sorting them: a node is a
+4. *Subtrees.* The suffixes, cut at the depth of ``longest`` words, are counted by their words. Every group
+   gets the distinct ones with its prefixes, and builds its subtree by sorting them: a node is a
    run of suffixes with the same first words, its frequency the total of its leaves. Groups don't
    know of each other.
 
@@ -51,8 +51,8 @@ FILTER_BITS = 16
 PREFIX_BITS = 40
 #: Depths of prefixes that are counted and filtered before the subtrees are built.
 FILTERED = (2, 3)
-#: Prefixes, and suffixes, that a task holds to combine equal ones.
-PREFIXES_HELD, SUFFIXES_HELD = 2_000_000, 300_000
+#: Pairs that a task holds to combine equal ones.
+PREFIXES_HELD = 2_000_000
 #: Word hashes that a worker keeps from one block to the next.
 WORDS = 600_000
 #: A byte that no UTF-8 text holds: between pieces.
@@ -200,7 +200,7 @@ def _pairs(texts: DataFrame, words, least: int, seed: int) -> DataFrame:
 
 
 class _Held:
-    """Prefixes of a task, counted when there are many or no more."""
+    """Pairs of a task, counted when there are many or no more."""
 
     def __init__(self):
         self.parts: list[np.ndarray] = []
@@ -219,15 +219,11 @@ class _Held:
 def _longer_prefixes(texts: DataFrame, words, filters: list, least: int, seed: int) -> DataFrame:
     """``p, n`` of the prefixes of one word more than those of the last of the ``filters`` that occur ``least`` times or more."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = _Held()
         for _, _, h in _Reader(seed).read(batches):
             last = _prefixes(h, words.value, [f.value for f in filters])[1][-1]
-            for p, n in held.add(last[last >= 0]):
-                yield pd.DataFrame({"p": p, "n": n})
-        for p, n in held.rest():
-            yield pd.DataFrame({"p": p, "n": n})
+            yield pd.DataFrame({"p": last[last >= 0]})
 
-    return texts.mapInPandas(run, "p long, n long").groupBy("p").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    return texts.mapInPandas(run, "p long").groupBy("p").agg(F.count("*").alias("n")).where(F.col("n") >= least)
 
 
 class _Suffixes:
@@ -292,42 +288,19 @@ def _heavy(texts: DataFrame, pairs: DataFrame, filters: tuple, budget: int, long
 
 
 def _grouped_suffixes(texts: DataFrame, filters: tuple, heavy: list[np.ndarray], groups: int, longest: int, seed: int) -> DataFrame:
-    """``part, w1, w2, ..., n``: suffixes with the group that they are dealt into; equal ones of a block are one."""
+    """``part, w1, w2, ..., n``: distinct suffixes, with the group that they are dealt into and their count."""
     words, listed = filters
     names = [f"w{k + 1}" for k in range(longest)]
 
-    def combined(parts: list[tuple]) -> tuple:
-        """Prefix hash, words, group and count of suffixes, equal ones as one."""
-        key, w, part, n = (np.concatenate(x) for x in zip(*parts, strict=True))
-        order = np.argsort(key, kind="stable")
-        key, w, part, n = key[order], w[order], part[order], n[order]
-        first = np.ones(len(w), bool)
-        first[1:] = (w[1:] != w[:-1]).any(axis=1)
-        start = np.flatnonzero(first)
-        return key[start], w[start], part[start], np.add.reduceat(n, start)
-
-    def rows(parts: list[tuple]) -> pd.DataFrame:
-        _, w, part, n = combined(parts)
-        out = pd.DataFrame(w, columns=names)
-        out.insert(0, "part", part)
-        out["n"] = n
-        return out
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[tuple] = []
         for _, _, h in _Reader(seed).read(batches):
             s = _Suffixes(h, words.value, [f.value for f in listed], longest)
-            if not len(s.at):
-                continue
-            part = (s.final(heavy).view(np.uint64) % np.uint64(groups)).astype(np.int64)
-            held.append(combined([(s.prefix(longest), s.w, part, np.ones(len(part), np.int64))]))
-            if sum(len(x[0]) for x in held) >= SUFFIXES_HELD:
-                yield rows(held)
-                held = []
-        if held:
-            yield rows(held)
-
-    return texts.mapInPandas(run, "part long, " + ", ".join(f"{c} long" for c in names) + ", n long")
+            out = pd.DataFrame(s.w, columns=names)
+            out.insert(0, "part", (s.final(heavy).view(np.uint64) % np.uint64(groups)).astype(np.int64))
+            yield out
+
+    return (texts.mapInPandas(run, "part long, " + ", ".join(f"{c} long" for c in names))
+            .groupBy("part", *names).agg(F.count("*").alias("n")))
 
 
 def _nodes(suffixes: DataFrame, heavy: list[np.ndarray], least: int, longest: int) -> DataFrame:

@@ -95,6 +95,22 @@ def test_nothing_frequent(spark):
     assert collocations.collocations(frame(spark, [("a. " * 200, "en")])).count() == 0
 
 
+def test_groups_get_each_suffix_once(spark, monkeypatch):
+    # However many tasks meet a suffix, its group gets one row with its count.
+    found, real = [], collocations._nodes
+
+    def seen(suffixes, *more):
+        found.extend(suffixes.collect())
+        return real(suffixes, *more)
+
+    monkeypatch.setattr(collocations, "_nodes", seen)
+    rows = corpus(6)
+    got = collocations.collocations(frame(spark, rows), least=10).collect()
+    words = [tuple(r)[:-1] for r in found]
+    assert sorted(map(tuple, got)) == sorted(brute(rows, 10))
+    assert max(r.n for r in found) > 1 and len(set(words)) == len(words)
+
+
 def test_exact_beyond_64_bits(spark):
     big = spark.range(1).selectExpr("(cast(1000 * 900000000000 as decimal(18,0)) * cast(800000000000000 as decimal(18,0))) div "
                                     "(cast(900000000001 as decimal(18,0)) * cast(900000000007 as decimal(18,0))) as s")

@@ -4,17 +4,17 @@
    the ``k`` smallest hashes are its sketch. Documents with the same set are
    one *class*, which goes on as one under a number of its own (the text of its smallest
    doc_id stands for it).
-2. Inverted lists, retained value -> classes. If two classes are similar enough,
-   their sketches share at least ``t`` values: half of them (expected: ``threshold`` of
-   the union's sketch; the chance of less is about 1e-7 for k = 64 and 0.8), or, of a
-   set that is smaller than its sketch may be, three quarters for certain. Of the ``s``
-   values of a sketch, in order of rarity over all classes, the first ``s - t + COMMON``
-   then hold ``COMMON`` shared ones: a class stands in the lists of those alone. Values
-   that very many documents retain thus have short lists.
-3. Values that up to ``SMALL`` classes have make short lists, which offer all their pairs; pairs
-   that short lists offer less than ``COMMON`` times go. A long list offers the pairs of one
+2. Inverted lists, run -> classes: a run is ``RUN`` neighbours in the order of a sketch. Single values won't do: common
+   shingles stand in more and more sketches as documents are added, and any two of them in many pairs; runs of them are
+   rare, as whatever else a document has stands between. If two classes are similar enough, the values that both
+   have leave at least ``SHARED`` runs whole among the ``k`` smallest of both (33 are expected at 0.8; the chance
+   of less is about 1e-7 for k = 64), or, of a set that is smaller than its sketch may be, for certain as many as
+   are left when a fifth of its values each break three (:func:`_need`; sets of up to five values have runs of
+   two too). Of the runs of a class, in order of rarity over all classes, all but the last ``SHARED - 1`` then hold
+   a shared one: a class stands in the lists of those alone.
+3. Runs that up to ``SMALL`` classes have make short lists, which offer all their pairs. A long list offers the pairs of one
    member, its *hub*, with the others. The hub is the member whose sketch is shared most (the
-   sum of its values' logarithms of the number of classes that have them): of an original
+   sum of its runs' logarithms of the number of classes that have them): of an original
    and its edited copies, the original. Once these links are known, members of one component
    are no pair any more (a link inside a component can't change the components), and a long
    list whose members are all linked is done. What is left of those with the same next hub is
@@ -25,6 +25,9 @@
    both sketches, and which of them are in both) is not far below the threshold
    (``MARGIN``), and is a link only if the exact Jaccard of the full sets says so.
 
+Written tables go as soon as nothing reads them any more: of those that a result reads, only the rows'
+and the classes' have a row for each document.
+
 Results: a document with fewer words than a shingle is one shingle of all its
 words; one without words (or with null text) has an empty set and no links. A
 null doc_id has no links and comes back with a null component, kept. A row
@@ -43,13 +46,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fundflow.llm.common import blocks, give_back, staged, take_worker, text_column
+from fundflow.llm.common import blocks, give_back, staged, take_worker, text_column, unstage
 from fundflow.llm.components import components
 
 SKETCH = 64
-COMMON = 3
+RUN = 3
+SHARED = 4
 MARGIN = 0.3
-#: Classes with the value of a list that offers all its pairs; documents in a block of a group.
+#: Classes with the run of a list that offers all its pairs; documents in a block of a group.
 SMALL = 32
 BLOCK = 256
 #: Word hashes that a worker keeps.
@@ -109,22 +113,33 @@ def sketches(df: DataFrame, words: int, k: int, id_col: str = "doc_id", text_col
         run, "doc_id long, text_hash long, n_shingles long, set_id binary, sketch array<long>")
 
 
-LIST = ["value", "rep", "n", "need", "weight", "df"]
+LIST = ["value", "rep", "n", "weight", "df"]
+
+
+def _need(k: int, percent: int) -> str:
+    """Runs that two similar classes have in common at least (see the module's text), by the size ``n`` of either. Of
+    a whole set, 1 - percent / 100 of ``n`` values at most are not shared; each breaks ``RUN`` runs."""
+    whole = f"floor(least(n, {k}) * {100 - RUN * (100 - percent)} / 100 - {RUN - 1})"
+    return f"cast(greatest(1, least({SHARED}, {whole})) as int)"
+
 
+def _lists(classes: DataFrame, k: int, percent: int) -> DataFrame:
+    """Inverted lists of the rarest runs of each class (see the module's text); ``value`` is a run's hash.
+    ``weight``: how much the class's sketch is shared."""
+    def runs(size: int) -> str:
+        at = ", ".join(f"sketch[i + {j}]" for j in range(size))
+        return f"if(size(sketch) < {size}, array(), transform(sequence(0, size(sketch) - {size}), i -> xxhash64({at})))"
 
-def _lists(classes: DataFrame, k: int) -> DataFrame:
-    """Inverted lists of the rarest values of each class (see the module's text). ``need``: how many values
-    a similar class has in common at least; ``weight``: how much the class's sketch is shared."""
-    value = classes.select("rep", "n", F.size("sketch").alias("s"), F.explode("sketch").alias("value"))
+    # Of so few values, all runs may be broken; of the shorter runs, some are whole.
+    few = f"size(sketch) * {100 - RUN * (100 - percent)} <= {100 * (RUN - 1)}"
+    value = classes.select("rep", "n", F.explode(F.expr(f"if({few}, concat({runs(RUN)}, {runs(RUN - 1)}), {runs(RUN)})")).alias("value"))
     shared = value.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
-    # Values of one class alone are the rarest of all; they take places of the prefix and need no list.
+    # Runs of one class alone are the rarest of all; they take places of the prefix and need no list.
     return (value.join(shared, "value")
             .selectExpr("*", "row_number() over (partition by rep, n order by df, value) as place",
                         "count(*) over (partition by rep, n) as present",
-                        "cast(100 * sum(ln(df)) over (partition by rep, n) as int) as weight",
-                        f"cast(ceil(if(s < {k}, 0.75, 0.5) * s) as int) as t")
-            .selectExpr("*", f"least({COMMON}, t) as need")
-            .where("s - present + place <= s - t + need").select(*LIST))
+                        "cast(100 * sum(ln(df)) over (partition by rep, n) as int) as weight")
+            .where(f"place + {_need(k, percent)} <= present + 1").select(*LIST))
 
 
 def _estimated(pairs: DataFrame, classes: DataFrame, k: int, least: float) -> DataFrame:
@@ -200,14 +215,12 @@ def _compared(groups: DataFrame, texts: DataFrame, words: int, percent: int, blo
 
 
 def _short_pairs(lists: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``a, b`` that short lists offer often enough. A list's members are gathered: they are few."""
-    member = F.sort_array(F.collect_list(F.struct("rep", "n", "need"))).alias("m")
+    """Pairs ``a, b`` that short lists offer, each as often as they do. A list's members are gathered: they are few."""
+    member = F.sort_array(F.collect_list(F.struct("rep", "n"))).alias("m")
     pair = ("flatten(transform(sequence(1, size(m) - 1), i -> transform(filter(slice(m, i + 1, size(m)), "
             f"y -> y.rep <> m[i - 1].rep and 100 * least(y.n, m[i - 1].n) >= {percent} * greatest(y.n, m[i - 1].n)), "
-            "y -> struct(m[i - 1].rep as a, y.rep as b, least(y.need, m[i - 1].need) as need))))")
-    return (lists.groupBy("value").agg(member).where("size(m) > 1").select(F.explode(F.expr(pair)).alias("p"))
-            .groupBy("p.a", "p.b").agg(F.count("*").alias("common"), F.min("p.need").alias("need"))
-            .where("common >= need").select("a", "b"))
+            "y -> struct(m[i - 1].rep as a, y.rep as b))))")
+    return (lists.groupBy("value").agg(member).where("size(m) > 1").select(F.explode(F.expr(pair)).alias("p")).select("p.a", "p.b"))
 
 
 def _with_hubs(lists: DataFrame) -> DataFrame:
@@ -220,13 +233,15 @@ def _linked(df: DataFrame, words: int, percent: int, k: int, id_col: str, text_c
             small: int, block: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The rows' sketches, their classes, and ``node, component`` of the classes that are linked (as
     :func:`components` has them: by ``rep``, without the smallest of each component)."""
-    sets = staged(sketches(df, words, k, id_col, text_col), "sketches")
-    some = sets.where("n_shingles > 0 and doc_id is not null")
+    sketched = staged(sketches(df, words, k, id_col, text_col), "sketches")
+    some = sketched.where("n_shingles > 0 and doc_id is not null")
     # Numbered by class: a doc_id can stand for several texts. Written, so the numbers stay.
     classes = staged(some.groupBy("set_id").agg(F.min(F.struct("doc_id", "text_hash")).alias("m"), F.first("n_shingles").alias("n"),
                                                 F.first("sketch").alias("sketch"))
                      .select(F.monotonically_increasing_id().alias("rep"), "set_id", "m.doc_id", "m.text_hash", "n", "sketch"),
                      "classes")
+    sets = staged(sketched.drop("sketch"), "sets")
+    unstage(sketched)
     whole = _texts(df, id_col, text_col)
     size = f"100 * least(n, hub_n) >= {percent} * greatest(n, hub_n)"
     least = max(0.0, percent / 100 - MARGIN)
@@ -235,14 +250,18 @@ def _linked(df: DataFrame, words: int, percent: int, k: int, id_col: str, text_c
         wanted = classes.join(reps.toDF("rep").distinct(), "rep", "left_semi").select("rep", "doc_id", "text_hash")
         return staged(whole.join(wanted, ["doc_id", "text_hash"]).select("rep", "text").distinct(), "texts")
 
-    lists = staged(_lists(classes, k), "lists")
+    lists = staged(_lists(classes, k, percent), "lists")
     pairs = _short_pairs(lists.where(F.col("df") <= small), percent)
     long = staged(_with_hubs(lists.where(F.col("df") > small)).where("rep <> hub"), "long")
     pairs = pairs.union(long.where(size).selectExpr("least(rep, hub) a", "greatest(rep, hub) b")).distinct()
     likely = staged(_estimated(pairs, classes, k, least), "likely")
+    unstage(lists)
     texts = texts_of(likely.select("a").union(likely.select("b")))
     links = staged(_verified(likely, texts, words, percent).distinct(), "found")
+    unstage(texts)
+    unstage(likely)
     linked = components(links)
+    unstage(links)
 
     # What is left of long lists: their members by component, as groups.
     member = (long.select(*LIST).join(linked.toDF("rep", "component"), "rep", "left")
@@ -251,11 +270,16 @@ def _linked(df: DataFrame, words: int, percent: int, k: int, id_col: str, text_c
              .where("lo < hi").select("value"))
     groups = staged(_with_hubs(member.join(open_, "value", "left_semi")).select("hub", "rep", "component").distinct(),
                     "groups")
+    unstage(long)
     if not groups.isEmpty():
         texts = texts_of(groups.select("rep"))
         more = staged(_compared(groups, texts, words, percent, block), "found")
+        unstage(texts)
         if not more.isEmpty():
-            linked = components(linked.toDF("a", "b").union(more))
+            before, linked = linked, components(linked.toDF("a", "b").union(more))
+            unstage(before)
+        unstage(more)
+    unstage(groups)
     return sets, classes, linked
 
 
@@ -270,7 +294,7 @@ def grouped(df: DataFrame, words: int = 5, percent: int = 80, k: int = SKETCH,
              .agg(F.min("doc_id").alias("component_id")))
     of = (classes.select("set_id", "rep", "doc_id").join(member.join(first, "component"), "rep", "left")
           .selectExpr("set_id", "coalesce(component, rep) component", "coalesce(component_id, doc_id) component_id"))
-    return (sets.drop("sketch").join(of, "set_id", "left")
+    return (sets.join(of, "set_id", "left")
             .selectExpr("doc_id", "text_hash", "n_shingles",
                         "case when doc_id is not null and n_shingles > 0 then component end component",
                         "case when doc_id is null then null when n_shingles > 0 then component_id else doc_id end component_id"))

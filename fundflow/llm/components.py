@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from fundflow.llm.common import staged
+from fundflow.llm.common import staged, unstage
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -35,7 +35,9 @@ def components(links: DataFrame) -> DataFrame:
         large = edges.join(least, "v", "left").selectExpr("u", "coalesce(m, v) v")
         # Small star: u and its smaller neighbours go to the smallest of them, m; u's own link takes the place of m's.
         least = large.groupBy("u").agg(F.min("v").alias("m"))
+        before = edges
         edges, now = written(large.join(least, "u").selectExpr("if(v = m, u, v) u", "m v").distinct())
+        unstage(before)
         if now == last:
             return edges.selectExpr("u node", "v component")
         last = now

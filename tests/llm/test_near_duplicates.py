@@ -1,11 +1,13 @@
 """Near duplicates and components against brute force."""
 
+import glob
 import random
 
 import pytest
 
 import corpus_pipeline
 from fundflow.llm import bottomk, components
+from fundflow.session import checkpoint_root, local_path
 
 SCHEMA = "doc_id long, text string, component_id string, sketch int"
 
@@ -116,6 +118,45 @@ def test_pipeline_keeps_one_row_of_each_group(spark):
     assert sorted(r.source for r in got.collect()) == sorted(["s0", "s1", "s4", "s6", "s8", "s9", "s10"])
 
 
+def test_common_shingles_offer_few_pairs(spark, monkeypatch):
+    """Documents of a few words have many shingles in common, two by two: that alone makes no pairs or groups."""
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(rng.choices(words, [1 / (j + 3) for j in range(60)], k=150))) for i in range(400)]
+    for i in range(0, 400, 40):
+        edited = rows[i][1].split()
+        edited[70] = "new"
+        rows.append((1000 + i, " ".join(edited)))
+    pairs, members = [], [0]
+    estimated, compared = bottomk._estimated, bottomk._compared
+    monkeypatch.setattr(bottomk, "_estimated", lambda found, *a: pairs.append(found.count()) or estimated(found, *a))
+    monkeypatch.setattr(bottomk, "_compared", lambda groups, *a: members.append(groups.count()) or compared(groups, *a))
+    got = bottomk.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=2)
+    assert sorted(map(tuple, got.collect())) == sorted(brute(rows, 2, 80))
+    assert pairs[0] < 1000 and sum(members) < 1000, (pairs, members)
+
+
+def test_small_sets_are_not_missed(spark):
+    """Sets of up to 64 shingles that are just similar enough, whatever the order of their hashes."""
+    rows = []
+    for size in range(4, 65):
+        for j in range(3):
+            a = [f"s{size}.{j}.{x}" for x in range(size)]
+            b, c = a[size // 5:], a + [f"t{size}.{j}.{x}" for x in range(min(size // 4, 64 - size))]
+            rows += [(len(rows) + x, " ".join(t)) for x, t in enumerate((a, b, c))]
+    got = bottomk.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=1)
+    assert {(r.doc_id, r.component_id) for r in got.collect()} == {(i, i - i % 3) for i, _ in rows}
+
+
+def test_written_tables_go(spark):
+    rows = [r for r in corpus(4, 40) if r[0] is not None]
+    folders = lambda: set(glob.glob(f"{local_path(checkpoint_root(spark))}/fundflow/llm-*"))
+    before = folders()
+    got = bottomk.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=2, small=1, block=4)
+    assert sorted(f.rsplit("llm-", 1)[1].rsplit("-", 1)[0] for f in folders() - before) == ["classes", "links", "sets"]
+    assert sorted(map(tuple, got.collect())) == sorted(brute(rows, 2, 80))
+
+
 def test_empty(spark):
     assert bottomk.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
 

@@ -264,12 +264,12 @@ def _linked(df: DataFrame, words: int, percent: int, k: int, id_col: str, text_c
     unstage(links)
 
     # What is left of long lists: their members by component, as groups.
-    member = (long.select(*LIST).join(linked.toDF("rep", "component"), "rep", "left")
+    member = (long.select("value", "rep", "weight").join(linked.toDF("rep", "component"), "rep", "left")
               .withColumn("component", F.coalesce("component", "rep")))
-    open_ = (member.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-             .where("lo < hi").select("value"))
-    groups = staged(_with_hubs(member.join(open_, "value", "left_semi")).select("hub", "rep", "component").distinct(),
-                    "groups")
+    open_ = (member.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                         F.expr("max(struct(weight, -rep as rep))").alias("h"))
+             .where("lo < hi").selectExpr("value", "-h.rep hub"))
+    groups = staged(member.join(open_, "value").select("hub", "rep", "component").distinct(), "groups")
     unstage(long)
     if not groups.isEmpty():
         texts = texts_of(groups.select("rep"))
